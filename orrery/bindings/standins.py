@@ -22,7 +22,7 @@ from ..functions import dates as D
 from ..tables import Tables
 
 # Stand-in for the cost-group rule: category (lower, trimmed) -> group.
-COST_GROUPS = {"promo": "food", "standard": "services", "large": "other"}
+COST_GROUPS = {"promo": "alimentacion", "standard": "servicios", "large": "otros"}
 FOOD_CATEGORY = "PROMO"
 LODGING_CATEGORIES = ("A", "N", "R")
 
@@ -201,3 +201,12 @@ SELECT c.c_custkey, c.c_name, c.c_nationkey, n.n_regionkey,
        27.0 + (c.c_custkey % 173) * 0.1 AS lat, -18.0 + ((c.c_custkey * 11) % 229) * 0.1 AS lon
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
+
+
+def cost_group_sql(expr: str) -> str:
+    whens = " ".join(f"WHEN lower(trim({expr})) = '{k}' THEN '{v}'" for k, v in COST_GROUPS.items())
+    return f"CASE {whens} ELSE 'actividades' END"
+
+
+def with_ctes(*pairs: tuple[str, str]) -> str:
+    return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in pairs)
