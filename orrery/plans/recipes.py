@@ -62,3 +62,16 @@ def with_cost_group(rec: DataFrame, rules: Mapping[str, str] = COST_GROUP_RULES,
                     default: str = COST_GROUP_DEFAULT, category: str = "category") -> DataFrame:
     """M3: add ``cost_group`` to the M2 result."""
     return rec.withColumn("cost_group", cost_group(category, rules, default))
+
+
+def quantile_bins(df: DataFrame, value: str, n_bins: int = 4, out: str = "quantile_bin",
+                  labels: Sequence[str] | None = None) -> DataFrame:
+    """Equal-frequency bins from exact quantile edges (right
+    closed, lowest included), not ``ntile`` (which splits ties). The edges
+    are one broadcast row."""
+    labels = list(labels) if labels else [f"Q{i + 1}" for i in range(n_bins)]
+    probs = [i / n_bins for i in range(n_bins + 1)]
+    edges = one_row(df.agg(F.percentile(value, F.array(*[F.lit(p) for p in probs])).alias("__e")))
+    j = df.crossJoin(edges)
+    cols = [F.element_at("__e", i + 1) for i in range(n_bins + 1)]
+    return j.withColumn(out, bins_from_edges(value, cols, labels)).drop("__e")
