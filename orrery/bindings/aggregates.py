@@ -142,7 +142,7 @@ def a16(t: Tables):
 
 
 @register("a17_global_quantile_table", " UNION ALL ".join(
-    f"SELECT {p} AS prob, {r2(f'quantile_cont(l_extendedprice, {p})')} AS value FROM lineitem"
+    f"SELECT CAST({p} AS DOUBLE) AS prob, {r2(f'quantile_cont(l_extendedprice, {p})')} AS value FROM lineitem"
     for p in (0.05, 0.25, 0.5, 0.75, 0.95, 0.99)), ["A17"])
 def a17(t: Tables):
     return A.global_quantiles(_lines(t), "l_extendedprice", [0.05, 0.25, 0.5, 0.75, 0.95, 0.99])

@@ -47,12 +47,17 @@ def impute_hierarchical(df: DataFrame, value: str, levels: Sequence[Sequence[str
         key_ok = F.lit(True)
         for k in keys:
             key_ok = key_ok & F.col(k).isNotNull()
-        lvl = (table.groupBy(*keys).agg(F.sum("__fs").alias("__ls"), F.sum("__fc").alias("__lc"))
-               .withColumn(f"__m{i}", F.try_divide(F.col("__ls"), F.col("__lc").cast("double")))
-               .drop("__ls", "__lc"))
-        cond = [table[k].eqNullSafe(lvl[k]) for k in keys]
-        j = table.join(lvl, cond, "left") if keys else table.crossJoin(lvl)
-        table = j.select(*[table[c] for c in table.columns], F.when(key_ok, lvl[f"__m{i}"]).alias(f"__m{i}"))
+        lvl = (table.groupBy(*[F.col(k).alias(f"__lk{j}") for j, k in enumerate(keys)])
+               .agg(F.try_divide(F.sum("__fs"), F.sum("__fc").cast("double")).alias(f"__m{i}")))
+        if keys:
+            cond = None
+            for j, k in enumerate(keys):
+                c = F.col(k).eqNullSafe(F.col(f"__lk{j}"))
+                cond = c if cond is None else cond & c
+            table = table.join(lvl, cond, "left").drop(*[f"__lk{j}" for j in range(len(keys))])
+        else:
+            table = table.crossJoin(one_row(lvl))
+        table = table.withColumn(f"__m{i}", F.when(key_ok, F.col(f"__m{i}")))
         # Rows filled at this level: the nulls of groups that now have a mean.
         gap = F.col("__n") - F.col("__fc")
         has_mean = F.col(f"__m{i}").isNotNull() & (gap > 0)
@@ -64,17 +69,20 @@ def impute_hierarchical(df: DataFrame, value: str, levels: Sequence[Sequence[str
         g = one_row(table.agg(F.try_divide(F.sum("__fs"), F.sum("__fc").cast("double")).alias("__mg")))
         table = table.crossJoin(g)
         fill_cols.append("__mg")
-    fills = table.select(*finest, *fill_cols)
-    cond = [df[k].eqNullSafe(fills[k]) for k in finest]
+    fills = table.select(*[F.col(k).alias(f"__fk{j}") for j, k in enumerate(finest)], *fill_cols)
+    cond = None
+    for j, k in enumerate(finest):
+        c = F.col(k).eqNullSafe(F.col(f"__fk{j}"))
+        cond = c if cond is None else cond & c
     j = df.join(fills, cond, "left")
-    filled = F.coalesce(df[value].cast("double"), *[fills[c] for c in fill_cols])
-    cols = [df[c] for c in df.columns if c != out]
+    filled = F.coalesce(F.col(value).cast("double"), *[F.col(c) for c in fill_cols])
+    cols = [F.col(c) for c in df.columns if c != out]
     extra = []
     if level_col:
-        lvl_expr = F.when(df[value].isNotNull(), F.lit("observed"))
+        lvl_expr = F.when(F.col(value).isNotNull(), F.lit("observed"))
         for i, c in enumerate(fill_cols):
             name = "global" if c == "__mg" else f"level_{i + 1}"
-            lvl_expr = lvl_expr.when(fills[c].isNotNull(), F.lit(name))
+            lvl_expr = lvl_expr.when(F.col(c).isNotNull(), F.lit(name))
         extra.append(lvl_expr.alias(level_col))
     return j.select(*cols, filled.alias(out), *extra)
 
