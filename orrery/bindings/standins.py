@@ -193,12 +193,12 @@ def customer_geo(t: Tables) -> DataFrame:
     return c.join(n, c.c_nationkey == n.n_nationkey).select(
         "c_custkey", "c_name", "c_nationkey", "n_regionkey",
         (F.lit(27.0) + (F.col("c_custkey") % 173) * 0.1).alias("lat"),
-        (F.lit(-18.0) + ((F.col("c_custkey") * 11) % 229) * 0.1).alias("lon"))
+        (F.lit(-18.0) + ((F.col("c_custkey") * 11) % 260) * 0.1).alias("lon"))
 
 
 CUSTOMER_GEO_SQL = """
 SELECT c.c_custkey, c.c_name, c.c_nationkey, n.n_regionkey,
-       27.0 + (c.c_custkey % 173) * 0.1 AS lat, -18.0 + ((c.c_custkey * 11) % 229) * 0.1 AS lon
+       27.0 + (c.c_custkey % 173) * 0.1 AS lat, -18.0 + ((c.c_custkey * 11) % 260) * 0.1 AS lon
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
 

@@ -207,9 +207,9 @@ def s18(t: Tables):
     return t.orders.select("o_orderkey", T.format_money("o_totalprice").alias("price_text"))
 
 
-def _variants_sql() -> str:
+def _variants_sql(name: str = "s_name || ' ñ'") -> str:
     clean = lambda x: f"regexp_replace(regexp_replace({strip_ws(x)}, '\\s+', ' ', 'g'), ',+$', '', 'g')"
-    n, p, r = clean("s_name || ' ñ'"), clean("n_name"), clean("r_name")
+    n, p, r = clean(name), clean("n_name"), clean("r_name")
     tmpl = [f"{n} || ', ' || {p} || ', ' || {r} || ', España'", f"{n} || ', ' || {p} || ', España'",
             f"{n} || ', ' || {r} || ', España'", f"{n} || ', España'", n]
     parts = []
