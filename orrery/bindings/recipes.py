@@ -26,3 +26,271 @@ def lodging_price_by_province(t: Tables):
 
 
 register("m1_lodging_price_by_province", M1_SQL, ["M1", "J2", "A9", "A10", "N8"])(lodging_price_by_province)
+
+
+LF = f"({S.LODGING_FACT_SQL}) f"
+AF = f"({S.ACTIVITY_FACT_SQL}) f"
+
+
+@register("m7_weekend_premium", f"""
+SELECT COUNT(*) AS n_pairs, {r2('AVG(CASE WHEN weekend_price > weekday_price THEN 1 ELSE 0 END) * 100')} AS share_higher_pct,
+  {r2('AVG(CASE WHEN weekend_price < weekday_price THEN 1 ELSE 0 END) * 100')} AS share_lower_pct,
+  {r2('AVG(CASE WHEN weekend_price = weekday_price THEN 1 ELSE 0 END) * 100')} AS share_equal_pct,
+  {r2('AVG((weekend_price - weekday_price) / NULLIF(weekday_price, 0) * 100)')} AS mean_premium_pct,
+  {r2('median((weekend_price - weekday_price) / NULLIF(weekday_price, 0) * 100)')} AS median_premium_pct
+FROM {LF} WHERE weekday_price IS NOT NULL AND weekend_price IS NOT NULL""", ["M7", "N9", "A21", "A16"])
+def m7(t: Tables):
+    return M.weekend_premium(S.lodging_fact(t))
+
+
+@register("m8_monthly_seasonality", f"""
+WITH m AS (SELECT month, median(weekday_price) AS s FROM {LF} GROUP BY month)
+SELECT month, {r2('s')} AS median_value, s = (SELECT MAX(s) FROM m) AS is_peak, s = (SELECT MIN(s) FROM m) AS is_low,
+       {r2('(SELECT MAX(s) FROM m) - (SELECT MIN(s) FROM m)')} AS amplitude FROM m""", ["M8", "W5", "A16"])
+def m8(t: Tables):
+    return M.monthly_seasonality(S.lodging_fact(t), "month", "weekday_price")
+
+
+@register("m9_category_segmentation", f"""
+SELECT category, COUNT(*) AS n_rows, {r2('median(weekday_price)')} AS median_weekday, {r2('median(weekend_price)')} AS median_weekend,
+  {r2('(median(weekend_price) - median(weekday_price)) / NULLIF(median(weekday_price), 0) * 100')} AS premium_pct
+FROM {LF} WHERE CASE WHEN month IN (6, 7, 8, 12) THEN '2-3 meses' ELSE '1 mes' END = '1 mes' GROUP BY category""",
+          ["M9", "D-6", "A16"])
+def m9(t: Tables):
+    from ..functions.dates import lead_time_for_month
+    f = S.lodging_fact(t).filter(lead_time_for_month("month") == "1 mes")
+    return M.category_segmentation(f, "category")
+
+
+@register("m10_region_ranking", f"""
+WITH g AS (SELECT province_id, COUNT(*) AS n_rows, median(weekday_price) AS med, quantile_cont(weekday_price, 0.25) AS p25,
+                  quantile_cont(weekday_price, 0.75) AS p75 FROM {LF} GROUP BY province_id),
+n AS (SELECT median(weekday_price) AS nat FROM {LF})
+SELECT province_id, n_rows, {r2('med')} AS median, {r2('p25')} AS p25, {r2('p75')} AS p75, {r2('p75 - p25')} AS iqr,
+  {r2('med / nat * 100')} AS index_vs_overall, CAST(ROW_NUMBER() OVER (ORDER BY med, province_id) AS INTEGER) AS rank_cheapest
+FROM g, n""", ["M10", "A16"])
+def m10(t: Tables):
+    return M.region_ranking(S.lodging_fact(t), "province_id", "weekday_price")
+
+
+@register("m11_price_quality_quartiles", f"""
+WITH b AS (SELECT * FROM {LF} WHERE weekday_price IS NOT NULL),
+q AS (SELECT quantile_cont(weekday_price, [0.0, 0.25, 0.5, 0.75, 1.0]) AS e FROM b),
+x AS (SELECT b.*, CASE WHEN weekday_price >= e[1] AND weekday_price <= e[2] THEN 'Q1' WHEN weekday_price > e[2] AND weekday_price <= e[3] THEN 'Q2'
+                       WHEN weekday_price > e[3] AND weekday_price <= e[4] THEN 'Q3' WHEN weekday_price > e[4] AND weekday_price <= e[5] THEN 'Q4' END AS price_quartile
+      FROM b, q)
+SELECT price_quartile, COUNT(*) AS n_rows, {r2('median(weekday_price)')} AS median_price, {r2('median(rating)')} AS median_rating
+FROM x GROUP BY price_quartile""", ["M11", "N12", "A16"])
+def m11(t: Tables):
+    return M.price_quality_quartiles(S.lodging_fact(t), "weekday_price", "rating")
+
+
+@register("m12_overpriced_top10", f"""
+WITH b AS (SELECT quantile_cont(weekday_price, 0.75) AS p75, quantile_cont(rating, 0.25) AS r25 FROM {LF})
+SELECT supplier_id, month, category, {r2('weekday_price')} AS price, {r2('rating')} AS rating
+FROM {LF}, b WHERE weekday_price >= p75 AND rating <= r25
+ORDER BY weekday_price DESC, supplier_id, month, category LIMIT 10""", ["M12", "A17", "T2"])
+def m12(t: Tables):
+    from ..functions.common import round_half_up
+    o = M.overpriced(S.lodging_fact(t), "weekday_price", "rating", 10, ["supplier_id", "month", "category"])
+    return o.select("supplier_id", "month", "category", round_half_up("weekday_price").alias("price"),
+                    round_half_up("rating").alias("rating"))
+
+
+@register("m13_quality_price_score", f"""
+WITH b AS (SELECT MIN(rating) AS rlo, MAX(rating) AS rhi, quantile_cont(weekday_price, 0.05) AS plo,
+                  quantile_cont(weekday_price, 0.95) AS phi FROM {LF})
+SELECT supplier_id, month, category,
+  {r2('0.6 * ((rating - rlo) / NULLIF(rhi - rlo, 0)) + 0.4 * (1 - (LEAST(GREATEST(weekday_price, plo), phi) - plo) / NULLIF(phi - plo, 0))', 4)} AS qp_score
+FROM {LF}, b""", ["M13", "W8", "W7", "N13"])
+def m13(t: Tables):
+    from ..functions.common import round_half_up
+    s = M.quality_price_score(S.lodging_fact(t), "weekday_price", "rating")
+    return s.select("supplier_id", "month", "category", round_half_up("qp_score", 4).alias("qp_score"))
+
+
+@register("m14_price_value_score", f"""
+WITH g AS (SELECT province_id, COUNT(*) AS n_rows, median(weekday_price) AS mp, AVG(rating) AS mr FROM {LF}
+           GROUP BY province_id HAVING COUNT(*) >= 100),
+m AS (SELECT MIN(mp) AS plo, MAX(mp) AS phi, MIN(mr) AS rlo, MAX(mr) AS rhi FROM g)
+SELECT province_id, n_rows, {r2('mp')} AS median_price, {r2('mr')} AS mean_rating,
+  {r2('0.5 * (1 - (mp - plo) / NULLIF(phi - plo, 0)) + 0.5 * ((mr - rlo) / NULLIF(rhi - rlo, 0))', 4)} AS value_score
+FROM g, m""", ["M14", "F10", "W7", "N13"])
+def m14(t: Tables):
+    from ..functions.common import round_half_up
+    s = M.price_value_score(S.lodging_fact(t), "province_id", "weekday_price", "rating", 100)
+    return s.select("province_id", "n_rows", round_half_up("median_price").alias("median_price"),
+                    round_half_up("mean_rating").alias("mean_rating"), round_half_up("value_score", 4).alias("value_score"))
+
+
+@register("m15_strategic_score_top10", f"""
+WITH s AS (SELECT supplier_id, AVG((COALESCE(weekday_price, 0) + COALESCE(weekend_price, 0)) /
+                   NULLIF((weekday_price IS NOT NULL)::INT + (weekend_price IS NOT NULL)::INT, 0)) AS price, AVG(rating) AS rating
+           FROM {LF} GROUP BY supplier_id),
+g AS ({S.SUPPLIER_GEO_SQL}), c AS (SELECT AVG(lat) AS cx, AVG(lon) AS cy FROM g),
+d AS (SELECT s_suppkey, SQRT(POWER(lat - cx, 2) + POWER(lon - cy, 2)) AS dd FROM g, c),
+dm AS (SELECT MIN(dd) AS lo, MAX(dd) AS hi FROM d),
+loc AS (SELECT s_suppkey, 1 - (dd - lo) / NULLIF(hi - lo, 0) AS location_score FROM d, dm),
+j AS (SELECT s.*, loc.location_score FROM s JOIN loc ON s.supplier_id = loc.s_suppkey),
+m AS (SELECT MIN(price) AS plo, MAX(price) AS phi, MIN(rating) AS rlo, MAX(rating) AS rhi FROM j),
+sc AS (SELECT supplier_id, 0.4 * (1 - (price - plo) / NULLIF(phi - plo, 0)) + 0.4 * ((rating - rlo) / NULLIF(rhi - rlo, 0))
+                      + 0.2 * location_score AS score FROM j, m)
+SELECT supplier_id, {r2('score', 4)} AS strategic_score FROM sc ORDER BY score DESC, supplier_id LIMIT 10""",
+          ["M15", "G7", "W7", "N10", "N13", "T2"])
+def m15(t: Tables):
+    from ..functions.common import round_half_up
+    from ..functions.numeric import row_mean
+    from ..operators.geo import location_score
+    f = S.lodging_fact(t).withColumn("__m", row_mean("weekday_price", "weekend_price"))
+    s = f.groupBy("supplier_id").agg(F.avg("__m").alias("price"), F.avg("rating").alias("rating"))
+    loc = location_score(S.supplier_geo(t), "lat", "lon").select(F.col("s_suppkey").alias("supplier_id"), "location_score")
+    sc = M.strategic_score(s.join(loc, "supplier_id"), "price", "rating", "location_score")
+    top = sc.orderBy(F.col("strategic_score").desc(), "supplier_id").limit(10)
+    return top.select("supplier_id", round_half_up("strategic_score", 4).alias("strategic_score"))
+
+
+@register("m16_saving_by_month", f"""
+SELECT month, {r2('quantile_cont(entry_price, 0.25)')} AS p25, {r2('quantile_cont(entry_price, 0.75)')} AS p75,
+  {r2('(quantile_cont(entry_price, 0.75) - quantile_cont(entry_price, 0.25)) / NULLIF(quantile_cont(entry_price, 0.75), 0) * 100')} AS saving_pct
+FROM {AF} GROUP BY month""", ["M16", "A16"])
+def m16(t: Tables):
+    return M.potential_saving(S.activity_fact(t), ["month"], "entry_price")
+
+
+@register("m16_saving_by_province", f"""
+SELECT province_id, {r2('quantile_cont(total_spend, 0.25)')} AS p25, {r2('quantile_cont(total_spend, 0.75)')} AS p75,
+  {r2('(quantile_cont(total_spend, 0.75) - quantile_cont(total_spend, 0.25)) / NULLIF(quantile_cont(total_spend, 0.75), 0) * 100')} AS saving_pct
+FROM {AF} GROUP BY province_id""", ["M16"])
+def m16p(t: Tables):
+    return M.potential_saving(S.activity_fact(t), ["province_id"], "total_spend")
+
+
+@register("m17_rating_confidence", f"""
+SELECT CASE WHEN opinions > 0 AND opinions <= 10 THEN '1-10' WHEN opinions > 10 AND opinions <= 25 THEN '11-25'
+            WHEN opinions > 25 AND opinions <= 50 THEN '26-50' END AS opinion_bin,
+       COUNT(*) AS n_rows, {r2('AVG(rating)')} AS mean_rating
+FROM {AF} GROUP BY 1""", ["M17", "N11", "A1"])
+def m17(t: Tables):
+    return M.rating_confidence(S.activity_fact(t), "opinions", "rating", [0, 10, 25, 50], ["1-10", "11-25", "26-50"])
+
+
+@register("m18_rating_coverage", f"""
+WITH g AS (SELECT rating IS NOT NULL AS has_rating, COUNT(*) AS n_rows, {r2('AVG(total_spend)')} AS avg_total_spend,
+                  {r2('AVG(entry_price)')} AS avg_entry_price FROM {AF} GROUP BY 1)
+SELECT *, {r2('n_rows * 100.0 / SUM(n_rows) OVER ()')} AS share_pct FROM g""", ["M18", "A2", "F12"])
+def m18(t: Tables):
+    return M.rating_coverage(S.activity_fact(t), "rating", ["total_spend", "entry_price"])
+
+
+@register("m19_category_summary", f"""
+SELECT category, COUNT(*) AS n_rows, {r2('AVG(total_spend)')} AS avg_total_spend, {r2('AVG(entry_price)')} AS avg_entry_price,
+       {r2('SUM(total_spend)')} AS sum_total_spend
+FROM {AF} GROUP BY category""", ["M19", "A1", "T1"])
+def m19(t: Tables):
+    from ..functions.common import round_half_up
+    f = S.activity_fact(t)
+    return f.groupBy("category").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     round_half_up(F.avg("total_spend")).alias("avg_total_spend"),
+                                     round_half_up(F.avg("entry_price")).alias("avg_entry_price"),
+                                     round_half_up(F.sum("total_spend")).alias("sum_total_spend")).orderBy(
+        F.col("sum_total_spend").desc())
+
+
+@register("m20_extremes", f"""
+WITH q AS (SELECT quantile_cont(total_spend, 0.95) AS p95, quantile_cont(total_spend, 0.99) AS p99 FROM {AF})
+SELECT {r2('ANY_VALUE(p95)')} AS p95, {r2('ANY_VALUE(p99)')} AS p99, COUNT(*) FILTER (WHERE total_spend > p95) AS n_above_p95,
+       COUNT(*) FILTER (WHERE total_spend > p99) AS n_above_p99 FROM {AF}, q""", ["M20", "A17"])
+def m20(t: Tables):
+    return M.extremes_report(S.activity_fact(t), "total_spend")
+
+
+@register("m21_mode_share_and_trend", f"""
+WITH c AS (SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS yr, COUNT(*) AS n FROM orders GROUP BY 1, 2)
+SELECT o_orderpriority, yr, n, {r2('n * 100.0 / SUM(n) OVER (PARTITION BY yr)')} AS share_pct,
+  {r2('(n - LAG(n) OVER (PARTITION BY o_orderpriority ORDER BY yr)) * 100.0 / NULLIF(LAG(n) OVER (PARTITION BY o_orderpriority ORDER BY yr), 0)')} AS pct_change
+FROM c""", ["M21", "W2", "W6"])
+def m21(t: Tables):
+    from ..operators.windows import period_change, share_within
+    c = t.orders.groupBy("o_orderpriority", F.year("o_orderdate").alias("yr")).agg(F.count(F.lit(1)).alias("n"))
+    return period_change(share_within(c, ["yr"], "n"), ["o_orderpriority"], "yr", "n")
+
+
+_ROUTES_SQL = """SELECT cn.n_name || ' - ' || sn.n_name AS route, l.l_suppkey AS operator, l.l_extendedprice AS price,
+  CAST(month(l.l_shipdate) AS INTEGER) AS month
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation cn ON c.c_nationkey = cn.n_nationkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
+JOIN nation sn ON s.s_nationkey = sn.n_nationkey"""
+
+
+def _routes(t: Tables):
+    from ..functions.text import join_id
+    li = t.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    o = t.orders.select("o_orderkey", "o_custkey")
+    c = t.customer.select("c_custkey", "c_nationkey")
+    s = t.supplier.select("s_suppkey", "s_nationkey")
+    cn = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("cn"))
+    sn = t.nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("sn"))
+    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
+         .join(cn, "c_nationkey").join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(sn, "s_nationkey"))
+    return j.select(join_id("cn", "sn", sep=" - ").alias("route"), F.col("l_suppkey").alias("operator"),
+                    F.col("l_extendedprice").alias("price"), F.month("l_shipdate").alias("month"))
+
+
+@register("m22_route_summary", f"""
+SELECT route, COUNT(*) AS n_trips, COUNT(DISTINCT operator) AS n_operators, {r2('AVG(price)')} AS avg_price,
+       {r2('median(price)')} AS median_price, {r2('MIN(price)')} AS min_price, {r2('MAX(price)')} AS max_price
+FROM ({_ROUTES_SQL}) r GROUP BY route""", ["M22", "S12", "S14", "A19"])
+def m22(t: Tables):
+    from ..functions.common import round_half_up
+    r = _routes(t)
+    return r.groupBy("route").agg(F.count(F.lit(1)).alias("n_trips"), F.countDistinct("operator").alias("n_operators"),
+                                  round_half_up(F.avg("price")).alias("avg_price"),
+                                  round_half_up(F.median("price")).alias("median_price"),
+                                  round_half_up(F.min("price")).alias("min_price"),
+                                  round_half_up(F.max("price")).alias("max_price"))
+
+
+@register("m22_operator_share_by_route", f"""
+WITH c AS (SELECT route, operator, COUNT(*) AS n FROM ({_ROUTES_SQL}) r GROUP BY 1, 2)
+SELECT route, operator, n, {r2('n * 100.0 / SUM(n) OVER (PARTITION BY route)')} AS share_pct FROM c""", ["M22", "W2"])
+def m22b(t: Tables):
+    from ..operators.windows import share_within
+    c = _routes(t).groupBy("route", "operator").agg(F.count(F.lit(1)).alias("n"))
+    return share_within(c, ["route"], "n")
+
+
+_DOW = list(range(1, 8))
+
+
+@register("m23_heat_table", "SELECT event_type, " + ", ".join(
+    f"{r2(f'AVG(CASE WHEN dayofweek(ts) + 1 = {d} THEN value END)')} AS d{d}" for d in _DOW) +
+    " FROM events GROUP BY event_type", ["M23", "R2"])
+def m23(t: Tables):
+    from ..operators.reshape import pivot_mean
+    e = t.events.select("event_type", "value", F.dayofweek("ts").alias("dow"))
+    return pivot_mean(e, ["event_type"], "dow", _DOW, "value", names=[f"d{d}" for d in _DOW])
+
+
+@register("m23_distribution_and_correlation", f"""
+SELECT event_type, COUNT(value) AS count, {r2('AVG(value)')} AS mean, {r2('STDDEV_SAMP(value)')} AS std,
+       {r2('MIN(value)')} AS min, {r2('quantile_cont(value, 0.25)')} AS p25, {r2('quantile_cont(value, 0.5)')} AS p50,
+       {r2('quantile_cont(value, 0.75)')} AS p75, {r2('MAX(value)')} AS max,
+       {r2('CORR(value, CAST(hour(ts) AS DOUBLE))', 4)} AS corr_value_hour
+FROM events GROUP BY event_type""", ["M23", "A19", "A20"])
+def m23b(t: Tables):
+    from ..functions.common import round_half_up
+    from ..operators.aggregates import numeric_profile
+    e = t.events.select("event_type", "value", F.hour("ts").cast("double").alias("hr"))
+    p = numeric_profile(e, "value", ["event_type"])
+    c = e.groupBy("event_type").agg(round_half_up(F.corr("value", "hr"), 4).alias("corr_value_hour"))
+    return p.join(c, "event_type")
+
+
+@register("m24_lead_time_mix", f"""
+WITH g AS (SELECT month, CASE WHEN month IN (6, 7, 8, 12) THEN '2-3 meses' ELSE '1 mes' END AS lead_time, COUNT(*) AS n_rows,
+                  {r2('median(weekday_price)')} AS median_value FROM {LF} GROUP BY 1, 2)
+SELECT *, {r2('n_rows * 100.0 / SUM(n_rows) OVER (PARTITION BY month)')} AS share_pct FROM g""", ["M24", "W12", "D-6"])
+def m24(t: Tables):
+    from ..functions.dates import lead_time_for_month
+    f = S.lodging_fact(t).withColumn("lead_time", lead_time_for_month("month"))
+    return M.lead_time_mix(f, "month", "lead_time", "weekday_price")

@@ -43,7 +43,7 @@ COUNTRIES_SQL = """SELECT r_regionkey AS country_id, r_name AS country_name FROM
 
 
 def lodging_fact(t: Tables) -> DataFrame:
-    li = t.lineitem.select("l_suppkey", "l_shipdate", "l_returnflag", "l_extendedprice")
+    li = t.lineitem.select("l_suppkey", "l_shipdate", "l_returnflag", "l_extendedprice", "l_quantity")
     s = t.supplier.select("s_suppkey", "s_nationkey")
     n = t.nation.select("n_nationkey", "n_regionkey")
     j = li.join(s, li.l_suppkey == s.s_suppkey).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -56,6 +56,7 @@ def lodging_fact(t: Tables) -> DataFrame:
         F.avg(F.when(~we, F.col("l_extendedprice"))).alias("weekday_price"),
         F.avg(F.when(we, F.col("l_extendedprice"))).alias("weekend_price"),
         F.count(F.lit(1)).alias("n_lines"),
+        (F.avg("l_quantity") / 10).alias("rating"),
     )
 
 
@@ -64,14 +65,15 @@ SELECT n.n_regionkey AS country_id, s.s_nationkey AS province_id, l.l_suppkey AS
        CAST(month(l.l_shipdate) AS INTEGER) AS month, l.l_returnflag AS category,
        AVG(CASE WHEN NOT (dayofweek(l.l_shipdate) IN (5, 6)) THEN l.l_extendedprice END) AS weekday_price,
        AVG(CASE WHEN dayofweek(l.l_shipdate) IN (5, 6) THEN l.l_extendedprice END) AS weekend_price,
-       COUNT(*) AS n_lines
+       COUNT(*) AS n_lines, AVG(l.l_quantity) / 10 AS rating
 FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
 GROUP BY 1, 2, 3, 4, 5
 """
 
 
 def activity_fact(t: Tables) -> DataFrame:
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity",
+                           "l_discount")
     p = t.part.select("p_partkey", "p_type", "p_brand", "p_retailprice")
     s = t.supplier.select("s_suppkey", "s_nationkey")
     n = t.nation.select("n_nationkey", "n_regionkey")
@@ -82,13 +84,15 @@ def activity_fact(t: Tables) -> DataFrame:
         F.month("l_shipdate").alias("month"), F.col("p_type").alias("category"), F.col("p_brand").alias("product"),
         F.col("p_retailprice").alias("entry_price"), F.col("l_extendedprice").alias("total_spend"),
         F.col("l_quantity").alias("opinions"),
+        F.when(F.col("l_orderkey") % 10 != 0, F.col("l_discount") * 50).alias("rating"),
     )
 
 
 ACTIVITY_FACT_SQL = """
 SELECT n.n_regionkey AS country_id, s.s_nationkey AS province_id, CAST(month(l.l_shipdate) AS INTEGER) AS month,
        p.p_type AS category, p.p_brand AS product, p.p_retailprice AS entry_price,
-       l.l_extendedprice AS total_spend, l.l_quantity AS opinions
+       l.l_extendedprice AS total_spend, l.l_quantity AS opinions,
+       CASE WHEN l.l_orderkey % 10 = 0 THEN NULL ELSE l.l_discount * 50 END AS rating
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
 JOIN nation n ON s.s_nationkey = n.n_nationkey
 """

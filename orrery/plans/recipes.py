@@ -75,3 +75,157 @@ def quantile_bins(df: DataFrame, value: str, n_bins: int = 4, out: str = "quanti
     j = df.crossJoin(edges)
     cols = [F.element_at("__e", i + 1) for i in range(n_bins + 1)]
     return j.withColumn(out, bins_from_edges(value, cols, labels)).drop("__e")
+
+
+def weekend_premium(fact: DataFrame, weekday: str = "weekday_price", weekend: str = "weekend_price",
+                    exclude_flag: str | None = None, scale: int = 2) -> DataFrame:
+    """M7: distribution of the weekend premium over rows with both prices:
+    shares higher / lower / equal, mean and median premium %. Rows flagged
+    ``exclude_flag`` (replicated copies) can be left out."""
+    pairs = fact.filter(F.col(weekday).isNotNull() & F.col(weekend).isNotNull())
+    if exclude_flag:
+        pairs = pairs.filter(~F.coalesce(F.col(exclude_flag), F.lit(False)))
+    prem = pct_change(weekday, weekend)
+    wd, we = F.col(weekday), F.col(weekend)
+    return pairs.agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        round_half_up(F.avg((we > wd).cast("int")) * 100, scale).alias("share_higher_pct"),
+        round_half_up(F.avg((we < wd).cast("int")) * 100, scale).alias("share_lower_pct"),
+        round_half_up(F.avg((we == wd).cast("int")) * 100, scale).alias("share_equal_pct"),
+        round_half_up(F.avg(prem), scale).alias("mean_premium_pct"),
+        round_half_up(F.median(prem), scale).alias("median_premium_pct"),
+    )
+
+
+def monthly_seasonality(fact: DataFrame, month: str, value: str, stat: str = "median",
+                        scale: int = 2) -> DataFrame:
+    """M8: median (or mean) per month, with peak / low flags and the
+    amplitude (months are few: the extremes are one broadcast row)."""
+    agg = F.median(value) if stat == "median" else F.avg(value)
+    m = fact.groupBy(month).agg(agg.alias("stat"))
+    ext = one_row(m.agg(F.max("stat").alias("__hi"), F.min("stat").alias("__lo")))
+    j = m.crossJoin(ext)
+    return j.select(month, round_half_up("stat", scale).alias(f"{stat}_value"),
+                    (F.col("stat") == F.col("__hi")).alias("is_peak"), (F.col("stat") == F.col("__lo")).alias("is_low"),
+                    round_half_up(F.col("__hi") - F.col("__lo"), scale).alias("amplitude"))
+
+
+def category_segmentation(fact: DataFrame, category: str, weekday: str = "weekday_price",
+                          weekend: str = "weekend_price", scale: int = 2) -> DataFrame:
+    """M9: per category medians of both prices and the premium of the
+    weekend median over the weekday median."""
+    g = fact.groupBy(category).agg(F.median(weekday).alias("__wd"), F.median(weekend).alias("__we"),
+                                   F.count(F.lit(1)).alias("n_rows"))
+    return g.select(category, "n_rows", round_half_up("__wd", scale).alias("median_weekday"),
+                    round_half_up("__we", scale).alias("median_weekend"),
+                    round_half_up(pct_change("__wd", "__we"), scale).alias("premium_pct"))
+
+
+def region_ranking(fact: DataFrame, region: str, value: str, scale: int = 2) -> DataFrame:
+    """Per region median, p25, p75, IQR and index against the overall
+    median (=100), ranked by median (rank computed on the small per-region
+    table)."""
+    from pyspark.sql import Window
+    g = fact.groupBy(region).agg(F.median(value).alias("__med"), F.percentile(value, 0.25).alias("__p25"),
+                                 F.percentile(value, 0.75).alias("__p75"), F.count(F.lit(1)).alias("n_rows"))
+    nat = one_row(fact.agg(F.median(value).alias("__nat")))
+    j = g.crossJoin(nat)
+    w = Window.orderBy(F.col("__med").asc(), F.col(region).asc())
+    return j.select(region, "n_rows", round_half_up("__med", scale).alias("median"),
+                    round_half_up("__p25", scale).alias("p25"), round_half_up("__p75", scale).alias("p75"),
+                    round_half_up(F.col("__p75") - F.col("__p25"), scale).alias("iqr"),
+                    round_half_up(safe_div("__med", "__nat") * 100, scale).alias("index_vs_overall"),
+                    F.row_number().over(w).alias("rank_cheapest"))
+
+
+def price_quality_quartiles(fact: DataFrame, price: str, rating: str, scale: int = 2) -> DataFrame:
+    """Price quartile (exact edges) -> rows, median price, median rating."""
+    q = quantile_bins(fact.filter(F.col(price).isNotNull()), price, 4, "price_quartile")
+    return q.groupBy("price_quartile").agg(F.count(F.lit(1)).alias("n_rows"),
+                                           round_half_up(F.median(price), scale).alias("median_price"),
+                                           round_half_up(F.median(rating), scale).alias("median_rating"))
+
+
+def overpriced(fact: DataFrame, price: str, rating: str, n: int, order_tiebreak: Sequence[str]) -> DataFrame:
+    """Rows priced at or above the p75 price and rated at or below the
+    p25 rating; the n dearest (the top-n is the feature)."""
+    b = one_row(fact.agg(F.percentile(price, 0.75).alias("__p75"), F.percentile(rating, 0.25).alias("__r25")))
+    j = fact.crossJoin(b).filter((F.col(price) >= F.col("__p75")) & (F.col(rating) <= F.col("__r25")))
+    return j.orderBy(F.col(price).desc(), *[F.col(c).asc() for c in order_tiebreak]).limit(n).drop("__p75", "__r25")
+
+
+def quality_price_score(fact: DataFrame, price: str, rating: str, w_rating: float = 0.6, w_price: float = 0.4,
+                        out: str = "qp_score") -> DataFrame:
+    """w_rating x rating (min-max) + w_price x (1 - winsorised price)."""
+    d = minmax_normalize(fact, rating, "__rn")
+    d = winsorized_normalize(d, price, out="__pn")
+    return d.withColumn(out, F.lit(w_rating) * F.col("__rn") + F.lit(w_price) * (F.lit(1.0) - F.col("__pn"))).drop("__rn", "__pn")
+
+
+def price_value_score(fact: DataFrame, group: str, price: str, rating: str, min_rows: int = 100,
+                      out: str = "value_score") -> DataFrame:
+    """Groups with at least ``min_rows`` rows: median price and mean
+    rating, min-max scaled (price inverted), 0.5 / 0.5."""
+    g = fact.groupBy(group).agg(F.count(F.lit(1)).alias("n_rows"), F.median(price).alias("median_price"),
+                                F.avg(rating).alias("mean_rating")).filter(F.col("n_rows") >= min_rows)
+    g = minmax_normalize(g, "median_price", "__p", invert=True)
+    g = minmax_normalize(g, "mean_rating", "__r")
+    return g.withColumn(out, 0.5 * F.col("__p") + 0.5 * F.col("__r")).drop("__p", "__r")
+
+
+def strategic_score(df: DataFrame, price: str, rating: str, location: str, weights=(0.4, 0.4, 0.2),
+                    out: str = "strategic_score") -> DataFrame:
+    """Weights x (inverted min-max price, min-max rating, location score)."""
+    d = minmax_normalize(df, price, "__p", invert=True)
+    d = minmax_normalize(d, rating, "__r")
+    wp, wr, wl = weights
+    return d.withColumn(out, wp * F.col("__p") + wr * F.col("__r") + wl * F.col(location)).drop("__p", "__r")
+
+
+def potential_saving(fact: DataFrame, keys: Sequence[str], value: str, scale: int = 2) -> DataFrame:
+    """(p75 - p25) / p75 per group, in %."""
+    g = fact.groupBy(*keys).agg(F.percentile(value, 0.25).alias("__p25"), F.percentile(value, 0.75).alias("__p75"))
+    return g.select(*keys, round_half_up("__p25", scale).alias("p25"), round_half_up("__p75", scale).alias("p75"),
+                    round_half_up(safe_div(F.col("__p75") - F.col("__p25"), "__p75") * 100, scale).alias("saving_pct"))
+
+
+def rating_confidence(fact: DataFrame, opinions: str, rating: str, edges: Sequence[float], labels: Sequence[str],
+                      scale: int = 2) -> DataFrame:
+    """Mean rating and rows per opinion-count bin."""
+    b = fact.withColumn("opinion_bin", fixed_bins(opinions, edges, labels))
+    return b.groupBy("opinion_bin").agg(F.count(F.lit(1)).alias("n_rows"),
+                                        round_half_up(F.avg(rating), scale).alias("mean_rating"))
+
+
+def rating_coverage(fact: DataFrame, rating: str, metrics: Sequence[str], scale: int = 2) -> DataFrame:
+    """Rows with / without a rating, their share and the mean of each
+    metric in both groups."""
+    f = fact.withColumn("has_rating", F.col(rating).isNotNull())
+    g = f.groupBy("has_rating").agg(F.count(F.lit(1)).alias("n_rows"),
+                                    *[round_half_up(F.avg(m), scale).alias(f"avg_{m}") for m in metrics])
+    tot = one_row(g.agg(F.sum("n_rows").alias("__t")))
+    return g.crossJoin(tot).withColumn("share_pct", round_half_up(pct("n_rows", "__t"), scale)).drop("__t")
+
+
+def extremes_report(fact: DataFrame, value: str, scale: int = 2) -> DataFrame:
+    """p95 and p99 of a value plus how many rows exceed each."""
+    q = one_row(fact.agg(F.percentile(value, 0.95).alias("__p95"), F.percentile(value, 0.99).alias("__p99")))
+    j = fact.crossJoin(q)
+    return j.agg(round_half_up(F.first("__p95"), scale).alias("p95"), round_half_up(F.first("__p99"), scale).alias("p99"),
+                 F.count_if(F.col(value) > F.col("__p95")).alias("n_above_p95"),
+                 F.count_if(F.col(value) > F.col("__p99")).alias("n_above_p99"))
+
+
+def lead_time_mix(fact: DataFrame, month: str, lead_time: str, value: str, scale: int = 2) -> DataFrame:
+    """Share of each lead-time bucket in the month's rows and the
+    median value per (month, bucket)."""
+    from ..operators.windows import share_within
+    g = fact.groupBy(month, lead_time).agg(F.count(F.lit(1)).alias("n_rows"),
+                                           round_half_up(F.median(value), scale).alias("median_value"))
+    return share_within(g, [month], "n_rows")
+
+
+def source_comparison(fact: DataFrame, source: str, flag: str, metrics: Sequence[str], scale: int = 2) -> DataFrame:
+    """Rows and mean metrics by source and replicated flag."""
+    return fact.groupBy(source, flag).agg(F.count(F.lit(1)).alias("n_rows"),
+                                          *[round_half_up(F.avg(m), scale).alias(f"avg_{m}") for m in metrics])
