@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.common import round_half_up
 from ..plans import recipes as M
 from ..tables import Tables
 from . import standins as S
@@ -294,3 +295,182 @@ def m24(t: Tables):
     from ..functions.dates import lead_time_for_month
     f = S.lodging_fact(t).withColumn("lead_time", lead_time_for_month("month"))
     return M.lead_time_mix(f, "month", "lead_time", "weekday_price")
+
+
+# ------------------------------------------------------------ fact builders
+from .sqlutil import normalize as _norm_sql  # noqa: E402
+from .sqlutil import parse_spanish as _parse_sql  # noqa: E402
+from .sqlutil import spanish_text as _es_sql  # noqa: E402
+
+
+def _lodging_raw(t: Tables):
+    from ..functions.dates import is_weekend_night
+    from ..functions.text import format_money
+    li = t.lineitem.select("l_orderkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_extendedprice")
+    s = t.supplier.select("s_suppkey", "s_nationkey")
+    n = t.nation.select("n_nationkey", "n_name")
+    j = li.join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    we = is_weekend_night("l_shipdate")
+    txt = F.when(F.col("l_orderkey") % 7 == 0, F.lit("-")).otherwise(format_money("l_extendedprice", symbol=""))
+    prov = F.when(F.col("s_suppkey") % 11 == 0, F.lit("Unknown Place")).otherwise(
+        F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")))
+    return j.select(prov.alias("province_text"), F.month("l_shipdate").alias("month"),
+                    F.col("l_returnflag").alias("category"),
+                    F.when(~we, txt).alias("weekday_text"), F.when(we, txt).alias("weekend_text"))
+
+
+def _lodging_ratings(t: Tables):
+    li = t.lineitem.filter(F.col("l_returnflag") != "N").select("l_suppkey", "l_returnflag", "l_discount")
+    s = t.supplier.select("s_suppkey", "s_nationkey")
+    return (li.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+            .groupBy(F.col("s_nationkey").alias("province_id"), F.col("l_returnflag").alias("category"))
+            .agg((F.avg("l_discount") * 1000).alias("rating_0_100")))
+
+
+def _rentals(t: Tables):
+    o = t.orders.select("o_custkey", "o_totalprice", "o_orderdate")
+    c = t.customer.select("c_custkey", "c_nationkey")
+    n = t.nation.select("n_nationkey", "n_regionkey")
+    return (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(F.col("n_regionkey").alias("country_id"), F.month("o_orderdate").alias("month"),
+                    (F.col("o_totalprice") / 100).alias("price")))
+
+
+def lodging_fact_build(t: Tables):
+    bridge = t.nation.select(F.col("n_regionkey").alias("country_id"), F.col("n_nationkey").alias("province_id"))
+    return M.build_lodging_fact(_lodging_raw(t), S.provinces(t), _lodging_ratings(t), _rentals(t), bridge)
+
+
+def _impute_sql(src: str, col: str, out: str) -> str:
+    lv = [["country_id", "province_id", "month", "category"], ["country_id", "province_id", "category"],
+          ["country_id", "category"]]
+    steps, prev = [], col
+    for i, keys in enumerate(lv):
+        ok = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+        steps.append((f"{out}{i}", f"COALESCE({prev}, CASE WHEN {ok} THEN AVG({prev}) OVER (PARTITION BY {', '.join(keys)}) END)"))
+        prev = f"{out}{i}"
+    sql = src
+    for name, expr in steps:
+        sql = f"SELECT *, {expr} AS {name} FROM ({sql}) z"
+    return f"SELECT *, COALESCE({prev}, AVG({prev}) OVER ()) AS {out} FROM ({sql}) z"
+
+
+def _m4_sql() -> str:
+    txt = f"CASE WHEN l_orderkey % 7 = 0 THEN '-' ELSE {_es_sql('l_extendedprice')} END"
+    prov = "CASE WHEN s_suppkey % 11 = 0 THEN 'Unknown Place' ELSE '  ' || lower(n_name) || ' ' END"
+    raw = f"""SELECT {_norm_sql(prov)} AS province_key, CAST(month(l_shipdate) AS INTEGER) AS month, l_returnflag AS category,
+      {_parse_sql(f"CASE WHEN dayofweek(l_shipdate) NOT IN (5, 6) THEN {txt} END")} AS weekday_price,
+      {_parse_sql(f"CASE WHEN dayofweek(l_shipdate) IN (5, 6) THEN {txt} END")} AS weekend_price
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"""
+    dim = f"SELECT {_norm_sql('n_name')} AS province_key, n_nationkey AS province_id, n_regionkey AS country_id FROM nation"
+    r = f"SELECT raw.*, dim.province_id, dim.country_id FROM ({raw}) raw LEFT JOIN ({dim}) dim ON raw.province_key = dim.province_key"
+    imp = _impute_sql(_impute_sql(r, "weekday_price", "wd"), "weekend_price", "we")
+    return f"""
+WITH imp AS ({imp}),
+g AS (SELECT country_id, province_id, month, category, {r2('AVG(wd)')} AS weekday_price, {r2('AVG(we)')} AS weekend_price
+      FROM imp WHERE country_id IS NOT NULL AND province_id IS NOT NULL AND month IS NOT NULL AND category IS NOT NULL
+      GROUP BY 1, 2, 3, 4),
+rt AS (SELECT s_nationkey AS province_id, l_returnflag AS category, {r2('AVG(l_discount) * 1000 / 20.0')} AS rating
+       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag <> 'N' GROUP BY 1, 2),
+hotels AS (SELECT g.country_id, g.province_id, g.month, g.category, g.weekday_price, g.weekend_price, rt.rating,
+                  rt.rating IS NOT NULL AS has_rating, 'hotel' AS source, 'province' AS origin_grain, FALSE AS is_replicated,
+                  'province' AS geo_level
+           FROM g LEFT JOIN rt ON g.province_id = rt.province_id AND g.category = rt.category),
+reg AS (SELECT n_regionkey AS country_id, CAST(month(o_orderdate) AS INTEGER) AS month, {r2('AVG(o_totalprice / 100)')} AS price
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
+rentals AS (SELECT reg.country_id, b.province_id, reg.month, 'V' AS category, reg.price AS weekday_price, reg.price AS weekend_price,
+                   CAST(NULL AS DOUBLE) AS rating, FALSE AS has_rating, 'rentals' AS source, 'region' AS origin_grain,
+                   TRUE AS is_replicated, 'province' AS geo_level
+            FROM reg JOIN (SELECT DISTINCT n_regionkey AS country_id, n_nationkey AS province_id FROM nation) b
+              ON reg.country_id = b.country_id),
+u AS (SELECT * FROM hotels UNION ALL SELECT * FROM rentals)
+SELECT *, ROW_NUMBER() OVER (ORDER BY country_id, province_id, month, category, source) AS lodging_id FROM u"""
+
+
+M4_SQL = _m4_sql()
+register("m4_lodging_fact_build", M4_SQL, ["M4", "N1", "S1", "J1", "W1", "A1", "N6", "F12", "J8", "U1", "F11", "W10"])(
+    lodging_fact_build)
+
+
+@register("m25_source_comparison", f"""
+SELECT source, is_replicated, COUNT(*) AS n_rows, {r2('AVG(weekday_price)')} AS avg_weekday_price,
+       {r2('AVG(weekend_price)')} AS avg_weekend_price FROM ({M4_SQL}) m GROUP BY 1, 2""", ["M25"])
+def m25(t: Tables):
+    return M.source_comparison(lodging_fact_build(t), "source", "is_replicated", ["weekday_price", "weekend_price"])
+
+
+@register("m7_weekend_premium_excluding_copies", f"""
+SELECT COUNT(*) AS n_pairs, {r2('AVG(CASE WHEN weekend_price > weekday_price THEN 1 ELSE 0 END) * 100')} AS share_higher_pct,
+  {r2('AVG(CASE WHEN weekend_price < weekday_price THEN 1 ELSE 0 END) * 100')} AS share_lower_pct,
+  {r2('AVG(CASE WHEN weekend_price = weekday_price THEN 1 ELSE 0 END) * 100')} AS share_equal_pct,
+  {r2('AVG((weekend_price - weekday_price) / NULLIF(weekday_price, 0) * 100)')} AS mean_premium_pct,
+  {r2('median((weekend_price - weekday_price) / NULLIF(weekday_price, 0) * 100)')} AS median_premium_pct
+FROM ({M4_SQL}) m WHERE weekday_price IS NOT NULL AND weekend_price IS NOT NULL AND NOT is_replicated""", ["M7", "X14"])
+def m7x(t: Tables):
+    return M.weekend_premium(lodging_fact_build(t), exclude_flag="is_replicated")
+
+
+ACTIVITY_CATEGORY_MAP = {"PROMO": "comida y bebida", "STANDARD": "servicios", "LARGE": "otros"}
+_CAT_SQL = ("CASE p_type WHEN 'PROMO' THEN 'comida y bebida' WHEN 'STANDARD' THEN 'servicios' "
+            "WHEN 'LARGE' THEN 'otros' ELSE p_type END")
+
+
+def activity_fact_build(t: Tables):
+    from ..functions.text import format_money
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_discount",
+                           "l_returnflag")
+    p = t.part.select("p_partkey", "p_type", "p_brand", "p_retailprice")
+    s = t.supplier.select("s_suppkey", "s_nationkey")
+    n = t.nation.select("n_nationkey", "n_regionkey")
+    j = (li.join(p, F.col("l_partkey") == F.col("p_partkey")).join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+         .join(n, F.col("s_nationkey") == F.col("n_nationkey")))
+    raw = j.select(F.col("n_regionkey").alias("country_id"), F.col("s_nationkey").alias("province_id"),
+                   F.month("l_shipdate").alias("month"), F.col("p_type").alias("category"),
+                   F.col("p_brand").alias("product"), format_money("p_retailprice", symbol="").alias("price_text"),
+                   F.when(F.col("l_orderkey") % 13 == 0, F.lit("n/d"))
+                   .otherwise(format_money("l_extendedprice", symbol="")).alias("spend_text"))
+    from ..operators.joins import map_values
+    rated = map_values(j.filter(F.col("l_returnflag") == "R"), "p_type", ACTIVITY_CATEGORY_MAP, mode="replace",
+                       output="category")
+    ratings = rated.groupBy(F.col("s_nationkey").alias("province_id"), "category").agg(
+        round_half_up(F.avg("l_discount") * 50).alias("rating"))
+    return M.build_activity_fact(raw, ACTIVITY_CATEGORY_MAP, ratings)
+
+
+@register("m5_activity_fact_build", f"""
+WITH j AS (SELECT * FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+           JOIN nation ON s_nationkey = n_nationkey),
+raw AS (SELECT n_regionkey AS country_id, s_nationkey AS province_id, CAST(month(l_shipdate) AS INTEGER) AS month,
+               p_type AS category, p_brand AS product, {_parse_sql(_es_sql('p_retailprice'))} AS entry_price,
+               {_parse_sql(f"CASE WHEN l_orderkey % 13 = 0 THEN 'n/d' ELSE {_es_sql('l_extendedprice')} END")} AS total_spend FROM j),
+g AS (SELECT country_id, province_id, month, category, product, {r2('AVG(total_spend)')} AS total_spend,
+             {r2('AVG(entry_price)')} AS entry_price FROM raw GROUP BY 1, 2, 3, 4, 5),
+gm AS (SELECT country_id, province_id, month, CASE category WHEN 'PROMO' THEN 'comida y bebida' WHEN 'STANDARD' THEN 'servicios'
+              WHEN 'LARGE' THEN 'otros' ELSE category END AS category, product, total_spend, entry_price FROM g),
+rt AS (SELECT s_nationkey AS province_id, {_CAT_SQL} AS category, {r2('AVG(l_discount) * 50')} AS rating
+       FROM j WHERE l_returnflag = 'R' GROUP BY 1, 2)
+SELECT gm.*, rt.rating, rt.rating IS NOT NULL AS has_rating
+FROM gm LEFT JOIN rt ON gm.province_id = rt.province_id AND gm.category = rt.category""",
+          ["M5", "N1", "A1", "J10", "J1", "F12"])
+def m5(t: Tables):
+    return activity_fact_build(t)
+
+
+@register("m6_geo_dimension_build", f"""
+SELECT DISTINCT s.s_suppkey AS member_id, {_norm_sql('s.s_name')} AS member_name, code AS member_code,
+       substring(code, 3, 6) AS partial_code, lpad(CAST(s.s_nationkey AS VARCHAR), 2, '0') AS parent_code,
+       lpad(CAST(n.n_regionkey AS VARCHAR), 2, '0') AS grandparent_code, n.n_name AS parent_name, r.r_name AS grandparent_name,
+       'ES-' || code AS member_gid, 'ES-' || lpad(CAST(s.s_nationkey AS VARCHAR), 2, '0') AS parent_gid
+FROM (SELECT *, lpad(CAST(n2.n_regionkey AS VARCHAR), 2, '0') || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') ||
+             lpad(CAST(s_suppkey % 1000 AS VARCHAR), 3, '0') || CAST(s_suppkey % 10 AS VARCHAR) AS code
+      FROM supplier JOIN nation n2 ON s_nationkey = n2.n_nationkey) s
+LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
+          ["M6", "S7", "S14", "S15", "J1", "U4"])
+def m6(t: Tables):
+    members = t.supplier.select(F.col("s_suppkey").alias("member_id"), F.col("s_name").alias("member_name"),
+                                F.col("s_nationkey").alias("parent_id"), (F.col("s_suppkey") % 1000).alias("local_code"),
+                                (F.col("s_suppkey") % 10).alias("check_digit"))
+    parents = t.nation.select(F.col("n_nationkey").alias("parent_id"), F.col("n_name").alias("parent_name"),
+                              F.col("n_regionkey").alias("grandparent_id"))
+    grand = t.region.select(F.col("r_regionkey").alias("grandparent_id"), F.col("r_name").alias("grandparent_name"))
+    return M.build_geo_dimension(members, parents, grand)

@@ -18,7 +18,7 @@ from ..functions.common import ColumnOrName, col, pct, round_half_up, safe_div
 from .joins import one_row
 
 
-def impute_hierarchical(df: DataFrame, value: str, levels: Sequence[Sequence[str]],
+def impute_hierarchical(df: DataFrame, value: str | Sequence[str], levels: Sequence[Sequence[str]],
                         global_fallback: bool = True, out: str | None = None,
                         level_col: str | None = None) -> DataFrame:
     """Fill nulls with the mean of the finest group, then of coarser
@@ -26,65 +26,74 @@ def impute_hierarchical(df: DataFrame, value: str, levels: Sequence[Sequence[str
     already filled at the finer levels (sequential semantics).
 
     Levels must nest (each level's keys a subset of the previous level's).
-    Then the whole cascade can be computed on the small per-group statistics
-    table of the finest level: one aggregate of the fact, rollups of that
-    table, and one join back (null-safe on the keys). A row whose key at a
-    level is null gets no fill from that level (pandas drops null groups).
-    Existing values are never overwritten (``coalesce``)."""
-    out = out or value
+    Then the whole cascade runs on the per-group statistics of the finest
+    level (sum, count of values, count of rows), not on the rows:
+
+      1. one aggregate of the fact (partial, map-side; a hot key is
+         combined before the shuffle),
+      2. per level, a window over that small statistics table (one shuffle of
+         groups, not rows) updates the filled sums and counts,
+      3. one join back on the finest keys (null-safe).
+
+    A row whose key at a level is null gets no fill from that level (pandas
+    drops null groups). Existing values are never overwritten
+    (``coalesce``). Several value columns share the same passes."""
+    values = [value] if isinstance(value, str) else list(value)
+    if out is not None and len(values) != 1:
+        raise ValueError("out applies to a single value column")
+    outs = {v: (out or v) for v in values}
     levels = [list(lv) for lv in levels]
     for finer, coarser in zip(levels, levels[1:]):
         if not set(coarser) <= set(finer):
             raise ValueError("levels must nest: each level a subset of the previous one")
     finest = levels[0]
-    v = F.col(value).cast("double")
-    stats = df.groupBy(*finest).agg(
-        F.sum(v).alias("__s"), F.count(v).alias("__c"), F.count(F.lit(1)).alias("__n"))
-    # Per finest group: filled sum / filled count after each level.
-    table = stats.withColumn("__fs", F.col("__s")).withColumn("__fc", F.col("__c"))
-    fill_cols = []
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for j, v in enumerate(values):
+        x = F.col(v).cast("double")
+        aggs += [F.sum(x).alias(f"__fs{j}"), F.count(x).alias(f"__fc{j}")]
+    table = df.groupBy(*finest).agg(*aggs)
+    fill_cols: dict[int, list[str]] = {j: [] for j in range(len(values))}
     for i, keys in enumerate(levels):
         key_ok = F.lit(True)
         for k in keys:
             key_ok = key_ok & F.col(k).isNotNull()
-        lvl = (table.groupBy(*[F.col(k).alias(f"__lk{j}") for j, k in enumerate(keys)])
-               .agg(F.try_divide(F.sum("__fs"), F.sum("__fc").cast("double")).alias(f"__m{i}")))
-        if keys:
-            cond = None
-            for j, k in enumerate(keys):
-                c = F.col(k).eqNullSafe(F.col(f"__lk{j}"))
-                cond = c if cond is None else cond & c
-            table = table.join(lvl, cond, "left").drop(*[f"__lk{j}" for j in range(len(keys))])
-        else:
-            table = table.crossJoin(one_row(lvl))
-        table = table.withColumn(f"__m{i}", F.when(key_ok, F.col(f"__m{i}")))
-        # Rows filled at this level: the nulls of groups that now have a mean.
-        gap = F.col("__n") - F.col("__fc")
-        has_mean = F.col(f"__m{i}").isNotNull() & (gap > 0)
-        table = (table.withColumn("__fs", F.when(has_mean, F.col("__fs") + gap * F.col(f"__m{i}"))
-                                  .otherwise(F.col("__fs")))
-                 .withColumn("__fc", F.when(has_mean, F.col("__n")).otherwise(F.col("__fc"))))
-        fill_cols.append(f"__m{i}")
+        w = Window.partitionBy(*keys)
+        for j in range(len(values)):
+            mean = F.try_divide(F.sum(f"__fs{j}").over(w), F.sum(f"__fc{j}").over(w).cast("double"))
+            table = table.withColumn(f"__m{i}_{j}", F.when(key_ok, mean))
+        for j in range(len(values)):
+            gap = F.col("__n") - F.col(f"__fc{j}")
+            has_mean = F.col(f"__m{i}_{j}").isNotNull() & (gap > 0)
+            table = (table.withColumn(f"__fs{j}", F.when(has_mean, F.col(f"__fs{j}") + gap * F.col(f"__m{i}_{j}"))
+                                      .otherwise(F.col(f"__fs{j}")))
+                     .withColumn(f"__fc{j}", F.when(has_mean, F.col("__n")).otherwise(F.col(f"__fc{j}"))))
+            fill_cols[j].append(f"__m{i}_{j}")
     if global_fallback:
-        g = one_row(table.agg(F.try_divide(F.sum("__fs"), F.sum("__fc").cast("double")).alias("__mg")))
+        g = one_row(table.agg(*[F.try_divide(F.sum(f"__fs{j}"), F.sum(f"__fc{j}").cast("double")).alias(f"__mg_{j}")
+                                for j in range(len(values))]))
         table = table.crossJoin(g)
-        fill_cols.append("__mg")
-    fills = table.select(*[F.col(k).alias(f"__fk{j}") for j, k in enumerate(finest)], *fill_cols)
+        for j in range(len(values)):
+            fill_cols[j].append(f"__mg_{j}")
+    all_fill = [c for j in range(len(values)) for c in fill_cols[j]]
+    fills = table.select(*[F.col(k).alias(f"__fk{n}") for n, k in enumerate(finest)], *all_fill)
     cond = None
-    for j, k in enumerate(finest):
-        c = F.col(k).eqNullSafe(F.col(f"__fk{j}"))
+    for n, k in enumerate(finest):
+        c = F.col(k).eqNullSafe(F.col(f"__fk{n}"))
         cond = c if cond is None else cond & c
-    j = df.join(fills, cond, "left")
-    filled = F.coalesce(F.col(value).cast("double"), *[F.col(c) for c in fill_cols])
-    cols = [F.col(c) for c in df.columns if c != out]
+    joined = df.join(fills, cond, "left")
+    replaced = set(outs.values())
+    cols = [F.col(c) for c in df.columns if c not in replaced]
+    filled = [F.coalesce(F.col(v).cast("double"), *[F.col(c) for c in fill_cols[j]]).alias(outs[v])
+              for j, v in enumerate(values)]
     extra = []
     if level_col:
-        lvl_expr = F.when(F.col(value).isNotNull(), F.lit("observed"))
-        for i, c in enumerate(fill_cols):
-            name = "global" if c == "__mg" else f"level_{i + 1}"
+        v0 = values[0]
+        lvl_expr = F.when(F.col(v0).isNotNull(), F.lit("observed"))
+        for i, c in enumerate(fill_cols[0]):
+            name = "global" if c.startswith("__mg") else f"level_{i + 1}"
             lvl_expr = lvl_expr.when(F.col(c).isNotNull(), F.lit(name))
         extra.append(lvl_expr.alias(level_col))
-    return j.select(*cols, filled.alias(out), *extra)
+    return joined.select(*cols, *filled, *extra)
 
 
 def share_within(df: DataFrame, parent: Sequence[str], value: str, out: str = "share_pct",

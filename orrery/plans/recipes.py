@@ -229,3 +229,97 @@ def source_comparison(fact: DataFrame, source: str, flag: str, metrics: Sequence
     """Rows and mean metrics by source and replicated flag."""
     return fact.groupBy(source, flag).agg(F.count(F.lit(1)).alias("n_rows"),
                                           *[round_half_up(F.avg(m), scale).alias(f"avg_{m}") for m in metrics])
+
+
+def build_lodging_fact(raw: DataFrame, provinces: DataFrame, ratings: DataFrame, rentals: DataFrame,
+                       bridge: DataFrame, rating_divisor: float = 20.0, rental_category: str = "V") -> DataFrame:
+    """M4: lodging fact from raw text rows.
+
+    ``raw``: (province_text, month, category, weekday_text, weekend_text)
+    with Spanish-formatted numbers; ``provinces``: (province_id,
+    province_name, country_id); ``ratings``: (province_id, category,
+    rating_0_100); ``rentals``: region-grain rows (country_id, month, price);
+    ``bridge``: (country_id, province_id).
+
+    Steps: parse numbers (N1), normalise names (S1) and map them to ids
+    (J1), impute both prices by province/month/category -> province/category
+    -> country/category -> all (W1), aggregate to the natural key (A1, null
+    keys dropped), join ratings rescaled to 0-5 (J1, N6, F12), expand the
+    region rows to every province (J8) as replicated copies, union (U1) with
+    lineage columns (F11) and number the rows (W10)."""
+    from ..functions.numeric import parse_spanish_number
+    from ..functions.text import normalize_text
+    from ..operators.keys import surrogate_key
+    from ..operators.windows import impute_hierarchical
+    r = raw.select(normalize_text("province_text").alias("province_key"), "month", "category",
+                   parse_spanish_number("weekday_text").alias("weekday_price"),
+                   parse_spanish_number("weekend_text").alias("weekend_price"))
+    dim = provinces.select(normalize_text("province_name").alias("province_key"), "province_id", "country_id")
+    r = r.join(dim, "province_key", "left")
+    levels = [["country_id", "province_id", "month", "category"], ["country_id", "province_id", "category"],
+              ["country_id", "category"]]
+    r = impute_hierarchical(r, ["weekday_price", "weekend_price"], levels)
+    keys = ["country_id", "province_id", "month", "category"]
+    g = r.dropna(subset=keys).groupBy(*keys).agg(
+        round_half_up(F.avg("weekday_price")).alias("weekday_price"),
+        round_half_up(F.avg("weekend_price")).alias("weekend_price"))
+    rt = ratings.select("province_id", "category", round_half_up(F.col("rating_0_100") / rating_divisor).alias("rating"))
+    hotels = (g.join(rt, ["province_id", "category"], "left")
+              .withColumn("has_rating", F.col("rating").isNotNull())
+              .withColumn("source", F.lit("hotel")).withColumn("origin_grain", F.lit("province"))
+              .withColumn("is_replicated", F.lit(False)).withColumn("geo_level", F.lit("province")))
+    reg = rentals.groupBy("country_id", "month").agg(round_half_up(F.avg("price")).alias("weekday_price"))
+    expanded = (reg.join(bridge.select("country_id", "province_id").distinct(), "country_id", "inner")
+                .select("country_id", "province_id", "month", F.lit(rental_category).alias("category"),
+                        "weekday_price", F.col("weekday_price").alias("weekend_price"),
+                        F.lit(None).cast("double").alias("rating"), F.lit(False).alias("has_rating"),
+                        F.lit("rentals").alias("source"), F.lit("region").alias("origin_grain"),
+                        F.lit(True).alias("is_replicated"), F.lit("province").alias("geo_level")))
+    cols = ["country_id", "province_id", "month", "category", "weekday_price", "weekend_price", "rating",
+            "has_rating", "source", "origin_grain", "is_replicated", "geo_level"]
+    u = hotels.select(*cols).unionByName(expanded.select(*cols))
+    return surrogate_key(u, ["country_id", "province_id", "month", "category", "source"], name="lodging_id")
+
+
+def build_activity_fact(raw: DataFrame, category_map: Mapping[str, str], ratings: DataFrame,
+                        zero_fill_ratings: bool = False) -> DataFrame:
+    """M5: activity fact: parse text numbers (N1), mean per natural key
+    (A1), map the category through a dictionary keeping unknown ones (J10
+    replace mode), join ratings per (province, category) with a presence
+    flag (J1, F12); optional zero fill of absent ratings (F13, off by
+    default)."""
+    from ..functions.numeric import parse_spanish_number
+    from ..operators.joins import map_values
+    r = raw.select("country_id", "province_id", "month", "category", "product",
+                   parse_spanish_number("price_text").alias("entry_price"),
+                   parse_spanish_number("spend_text").alias("total_spend"))
+    keys = ["country_id", "province_id", "month", "category", "product"]
+    g = r.dropna(subset=keys).groupBy(*keys).agg(
+        round_half_up(F.avg("total_spend")).alias("total_spend"), round_half_up(F.avg("entry_price")).alias("entry_price"))
+    g = map_values(g, "category", dict(category_map), mode="replace")
+    j = g.join(ratings.select("province_id", "category", "rating"), ["province_id", "category"], "left")
+    j = j.withColumn("has_rating", F.col("rating").isNotNull())
+    if zero_fill_ratings:
+        j = j.withColumn("rating", F.when(~F.col("has_rating"), F.lit(0.0)).otherwise(F.col("rating")))
+    return j
+
+
+def build_geo_dimension(members: DataFrame, parents: DataFrame, grandparents: DataFrame, prefix: str = "ES") -> DataFrame:
+    """M6: member dimension with composite ids: region(2) + province(2) +
+    local(3) + check digit(1); partial id without the region; global ids
+    ``<prefix>-<code>``; names of both parents (J1); distinct rows (U4).
+
+    ``members``: (member_id, member_name, parent_id, local_code, check_digit);
+    ``parents``: (parent_id, parent_name, grandparent_id);
+    ``grandparents``: (grandparent_id, grandparent_name)."""
+    from ..functions.text import join_id, normalize_text, zfill
+    j = members.join(parents, "parent_id", "left").join(grandparents, "grandparent_id", "left")
+    code = F.concat(zfill("grandparent_id", 2), zfill("parent_id", 2), zfill("local_code", 3),
+                    F.col("check_digit").cast("string"))
+    out = j.select("member_id", normalize_text("member_name").alias("member_name"),
+                   code.alias("member_code"), F.substring(code, 3, 6).alias("partial_code"),
+                   zfill("parent_id", 2).alias("parent_code"), zfill("grandparent_id", 2).alias("grandparent_code"),
+                   "parent_name", "grandparent_name",
+                   join_id(F.lit(prefix), code).alias("member_gid"),
+                   join_id(F.lit(prefix), zfill("parent_id", 2)).alias("parent_gid"))
+    return out.distinct()
