@@ -304,3 +304,96 @@ FROM q LEFT JOIN estimate e ON q.plan_id = e.plan_id LEFT JOIN summary s ON q.pl
 """.replace("WITH summary", "WITH summary", 1), ["P13"])
 def checklist_progress(t: Tables):
     return P.checklist_progress(_checklist_state(t), estimate(t), _summary(t))
+
+
+# ----------------------------------------------------- batch plan maintenance
+_PLAN_KEY = ["user_id", "origin_country_id", "dest_country_id", "start_date", "end_date", "lodging_category"]
+_PLAN_KEY_SQL = ", ".join(_PLAN_KEY)
+
+
+@register("p14_insert_new_plans", f"""
+WITH p AS ({S.PLANS_SQL}),
+existing AS (SELECT * FROM p WHERE start_date < DATE '1998-01-01'),
+incoming AS (SELECT * FROM p WHERE start_date >= DATE '1997-01-01'
+             UNION ALL SELECT * FROM p WHERE start_date >= DATE '2000-01-01'),
+batch AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {_PLAN_KEY_SQL} ORDER BY plan_id) AS rn FROM incoming) z
+          WHERE rn = 1)
+SELECT plan_id, {_PLAN_KEY_SQL} FROM batch b
+WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE """ + " AND ".join(f"e.{k} = b.{k}" for k in _PLAN_KEY) + ")",
+          ["P14", "K1", "J4"])
+def p14(t: Tables):
+    p = S.plans(t)
+    existing = p.filter(F.col("start_date") < F.lit("1998-01-01").cast("date"))
+    incoming = (p.filter(F.col("start_date") >= F.lit("1997-01-01").cast("date"))
+                .unionByName(p.filter(F.col("start_date") >= F.lit("2000-01-01").cast("date"))))
+    return P.insert_new(existing, incoming, _PLAN_KEY, ["plan_id"]).select("plan_id", *_PLAN_KEY)
+
+
+@register("p15_upsert_preferences", f"""
+WITH pr AS ({S.PREFS_SQL}),
+existing AS (SELECT plan_id, category, quantity, 0 AS version FROM pr),
+incoming AS (SELECT plan_id, category, quantity + 1 AS quantity, 1 AS version FROM pr WHERE category = 'PROMO'),
+u AS (SELECT * FROM existing UNION ALL SELECT * FROM incoming)
+SELECT plan_id, category, quantity, version FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY plan_id, category ORDER BY version DESC) AS rn FROM u) z WHERE rn = 1""",
+          ["P15", "K3"])
+def p15(t: Tables):
+    pr = S.prefs(t)
+    existing = pr.withColumn("version", F.lit(0))
+    incoming = pr.filter(F.col("category") == "PROMO").select(
+        "plan_id", "category", (F.col("quantity") + 1).alias("quantity"), F.lit(1).alias("version"))
+    return P.upsert(existing, incoming, ["plan_id", "category"], "version").select("plan_id", "category", "quantity", "version")
+
+
+@register("p16_validated_ledger", f"""
+SELECT entry_id, plan_id, amount, CASE WHEN plan_id IS NULL THEN 'plan_not_null' WHEN NOT (amount >= 0) THEN 'amount_non_negative' END AS rejected_rule
+FROM (SELECT event_id AS entry_id, CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS plan_id,
+             CASE WHEN event_type = 'click' THEN -value ELSE value END AS amount FROM events) z""", ["P16", "Q16"])
+def p16(t: Tables):
+    e = S.ledger(t).select("entry_id", F.when(F.col("category") != "error", F.col("plan_id")).alias("plan_id"),
+                           F.when(F.col("category") == "click", -F.col("amount")).otherwise(F.col("amount")).alias("amount"))
+    ok, bad = P.append_validated(e)
+    return ok.withColumn("rejected_rule", F.lit(None).cast("string")).unionByName(bad)
+
+
+@register("p17_cascade_delete", f"""
+SELECT s.plan_id, s.stop_order, s.province_id FROM ({S.STOPS_SQL}) s
+WHERE s.plan_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""", ["P17"])
+def p17(t: Tables):
+    surviving = t.orders.filter(F.col("o_orderstatus") != "P").select(F.col("o_orderkey").alias("plan_id"))
+    return P.cascade_keep(S.stops(t), surviving)
+
+
+@register("p18_plan_rule_violations", f"""
+WITH p AS (SELECT plan_id, user_id, origin_country_id, dest_country_id, start_date,
+                  CASE WHEN plan_id % 17 = 0 THEN CAST(start_date - 1 AS DATE) ELSE end_date END AS end_date,
+                  CASE WHEN plan_id % 19 = 0 THEN -budget ELSE budget END AS budget FROM ({S.PLANS_SQL}) x)
+SELECT plan_id, 'end_not_before_start' AS rule FROM p WHERE NOT COALESCE(end_date >= start_date, FALSE)
+UNION ALL SELECT plan_id, 'budget_non_negative' FROM p WHERE NOT COALESCE(budget >= 0, FALSE)
+UNION ALL SELECT plan_id, 'user_required' FROM p WHERE user_id IS NULL""", ["P18", "Q16"])
+def p18(t: Tables):
+    p = S.plans(t)
+    p = p.withColumn("end_date", F.when(F.col("plan_id") % 17 == 0, F.date_sub("start_date", 1)).otherwise(F.col("end_date")))
+    p = p.withColumn("budget", F.when(F.col("plan_id") % 19 == 0, -F.col("budget")).otherwise(F.col("budget")))
+    return P.plan_rule_violations(p)
+
+
+@register("p19_pick_lists", f"""
+SELECT 'country' AS list, CAST(country_id AS VARCHAR) AS code, country_name AS label FROM ({S.COUNTRIES_SQL}) c
+UNION ALL SELECT 'province', CAST(province_id AS VARCHAR), province_name FROM ({S.PROVINCES_SQL}) p
+UNION ALL SELECT DISTINCT 'lodging_category', category, category FROM ({S.LODGING_FACT_SQL}) f WHERE category IS NOT NULL AND category <> ''
+UNION ALL SELECT 'activity_category', category, category FROM ({M2_SQL}) r
+  WHERE {S.cost_group_sql('category')} = 'actividades' GROUP BY category""", ["P19", "U4", "T6", "T1"])
+def p19(t: Tables):
+    from ..operators.topk import keys_by_aggregate
+    c = S.countries(t).select(F.lit("country").alias("list"), F.col("country_id").cast("string").alias("code"),
+                              F.col("country_name").alias("label"))
+    pv = S.provinces(t).select(F.lit("province").alias("list"), F.col("province_id").cast("string").alias("code"),
+                               F.col("province_name").alias("label"))
+    lc = (S.lodging_fact(t).select("category").filter(F.col("category").isNotNull() & (F.col("category") != ""))
+          .distinct().select(F.lit("lodging_category").alias("list"), F.col("category").alias("code"),
+                             F.col("category").alias("label")))
+    rec = M.with_cost_group(_activity_rec(t), S.COST_GROUPS).filter(F.col("cost_group") == "actividades")
+    ac = keys_by_aggregate(rec, "category", F.sum("n_rows")).select(
+        F.lit("activity_category").alias("list"), F.col("category").alias("code"), F.col("category").alias("label"))
+    return c.unionByName(pv).unionByName(lc).unionByName(ac)
