@@ -25,10 +25,11 @@ SELECT doc_id, {normalize('text')} AS norm_text,
        CASE WHEN doc_id % 5 = 0 THEN NULL ELSE {normalize('text')} END AS norm_keep_null
 FROM documents""", ["S1", "S2"])
 def s1(t: Tables):
-    d = _docs(t)
-    gap = F.when(F.col("doc_id") % 5 != 0, F.col("text"))
-    return d.select("doc_id", T.normalize_text("text").alias("norm_text"),
-                    T.normalize_text(gap, null_as_empty=False).alias("norm_keep_null"))
+    d = _docs(t).select("doc_id", T.normalize_text("text", null_as_empty=False).alias("__n"))
+    # S2 keeps null input null; S1 maps it to ''. The gap is made inside the
+    # query, so the normalised text is computed once and reused.
+    return d.select("doc_id", F.coalesce(F.col("__n"), F.lit("")).alias("norm_text"),
+                    F.when(F.col("doc_id") % 5 != 0, F.col("__n")).alias("norm_keep_null"))
 
 
 @register("s3_remove_accents", "SELECT doc_id, strip_accents(text) AS plain_text FROM documents", ["S3"])

@@ -10,6 +10,7 @@ afterwards, exactly as the NFKD + ASCII-ignore method drops them.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Mapping, Sequence
 
@@ -59,14 +60,27 @@ _MARKS_MAP = _build_fold_map(ascii_only=False)
 def _fold(c: Column, table) -> Column:
     src, dst, multi = table
     out = F.translate(c, src, dst)
+    if not multi:
+        return out
+    # The multi-character expansions are rare. Deleting those characters
+    # with one translate and comparing lengths is a cheap probe; the chain
+    # of replacements only runs on rows that contain one.
+    msrc = "".join(a for a, _ in multi)
+    expanded = out
     for a, b in multi:
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return out
+        expanded = F.replace(expanded, F.lit(a), F.lit(b))
+    has_multi = F.length(F.translate(out, msrc, "")) < F.length(out)
+    return F.when(has_multi, expanded).otherwise(out)
+
+
+# Python's ``str.isspace`` set, built by rule: ``str.strip()`` removes these.
+PY_WHITESPACE = "".join(chr(cp) for cp in range(0x3001) if chr(cp).isspace())
 
 
 def strip_unicode_space(c: ColumnOrName) -> Column:
-    """Python ``str.strip()``: remove leading/trailing whitespace."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: remove leading/trailing whitespace (a
+    character-set ``trim``, no regex scan)."""
+    return F.trim(col(c), F.lit(PY_WHITESPACE))
 
 
 def remove_accents(c: ColumnOrName) -> Column:
