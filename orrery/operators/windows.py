@@ -50,7 +50,7 @@ def impute_hierarchical(df: DataFrame, value: str | Sequence[str], levels: Seque
     aggs = [F.count(F.lit(1)).alias("__n")]
     for j, v in enumerate(values):
         x = F.col(v).cast("double")
-        aggs += [F.sum(x).alias(f"__fs{j}"), F.count(x).alias(f"__fc{j}")]
+        aggs += [F.coalesce(F.sum(x), F.lit(0.0)).alias(f"__fs{j}"), F.count(x).alias(f"__fc{j}")]
     table = df.groupBy(*finest).agg(*aggs)
     fill_cols: dict[int, list[str]] = {j: [] for j in range(len(values))}
     for i, keys in enumerate(levels):
