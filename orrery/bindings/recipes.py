@@ -243,12 +243,13 @@ SELECT route, COUNT(*) AS n_trips, COUNT(DISTINCT operator) AS n_operators, {r2(
 FROM ({_ROUTES_SQL}) r GROUP BY route""", ["M22", "S12", "S14", "A19"])
 def m22(t: Tables):
     from ..functions.common import round_half_up
+    from ..operators.quantiles import with_quantiles
     r = _routes(t)
-    return r.groupBy("route").agg(F.count(F.lit(1)).alias("n_trips"), F.countDistinct("operator").alias("n_operators"),
-                                  round_half_up(F.avg("price")).alias("avg_price"),
-                                  round_half_up(F.median("price")).alias("median_price"),
-                                  round_half_up(F.min("price")).alias("min_price"),
-                                  round_half_up(F.max("price")).alias("max_price"))
+    g = r.groupBy("route").agg(F.count(F.lit(1)).alias("n_trips"), F.countDistinct("operator").alias("n_operators"),
+                               round_half_up(F.avg("price")).alias("avg_price"),
+                               round_half_up(F.min("price")).alias("min_price"),
+                               round_half_up(F.max("price")).alias("max_price"))
+    return with_quantiles(g, r, "price", {"median_price": 0.5}, ["route"], 2)
 
 
 @register("m22_operator_share_by_route", f"""

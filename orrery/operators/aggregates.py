@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import ColumnOrName, col, pct, round_half_up, safe_div
 from .joins import one_row
+from .quantiles import quantiles, with_quantiles
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -143,33 +144,27 @@ def first_by_order(df: DataFrame, keys: Sequence[str], value: str, order: Sequen
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: Mapping[str, float],
-                    scale: int | None = 2, approx: bool = False, accuracy: int = 10000) -> DataFrame:
+                    scale: int | None = 2, method: str = "sort", accuracy: int = 10000) -> DataFrame:
     """Exact (linear interpolation) quantiles per group, one named
-    column each. ``approx`` switches to ``percentile_approx`` for very large
-    single groups."""
-    def q(p: float) -> Column:
-        v = F.percentile_approx(column, p, accuracy) if approx else F.percentile(column, p)
-        return round_half_up(v, scale) if scale is not None else v
-    return df.groupBy(*keys).agg(*[q(p).alias(name) for name, p in probs.items()])
+    column each. ``method='sort'`` (default) is exact and skew-safe;
+    'map' uses Spark's ``percentile``; 'approx' uses ``percentile_approx``."""
+    return quantiles(df, column, probs, keys, method=method, scale=scale, accuracy=accuracy)
 
 
 def global_quantiles(df: DataFrame, column: str, probs: Sequence[float], scale: int | None = 2,
                      prob_col: str = "prob", value_col: str = "value") -> DataFrame:
-    """Quantile table (one row per probability) from one aggregate."""
-    arr = F.percentile(column, F.array(*[F.lit(float(p)) for p in probs]))
-    one = df.agg(arr.alias("__q"))
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    z = one.select(F.posexplode(F.arrays_zip(probs_arr.alias("p"), F.col("__q").alias("v"))).alias("i", "pv"))
-    v = F.col("pv.v")
-    return z.select(F.col("pv.p").alias(prob_col),
-                    (round_half_up(v, scale) if scale is not None else v).alias(value_col))
+    """Quantile table (one row per probability)."""
+    named = {f"__q{i}": float(p) for i, p in enumerate(probs)}
+    one = quantiles(df, column, named, scale=scale)
+    rows = [F.struct(F.lit(p).alias(prob_col), F.col(n).alias(value_col)) for n, p in named.items()]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def two_stage_median(df: DataFrame, inner_keys: Sequence[str], outer_keys: Sequence[str], column: str,
                      out: str = "median_of_medians", scale: int = 2) -> DataFrame:
     """Median per inner group, then the median of those per outer group."""
-    inner = df.groupBy(*inner_keys).agg(F.median(column).alias("__m"))
-    return inner.groupBy(*outer_keys).agg(round_half_up(F.median("__m"), scale).alias(out))
+    inner = quantiles(df, column, {"__m": 0.5}, inner_keys)
+    return quantiles(inner, "__m", {out: 0.5}, outer_keys, scale=scale)
 
 
 def numeric_profile(df: DataFrame, column: str, keys: Sequence[str] = (), scale: int = 2) -> DataFrame:
@@ -180,12 +175,11 @@ def numeric_profile(df: DataFrame, column: str, keys: Sequence[str] = (), scale:
         round_half_up(F.avg(c), scale).alias("mean"),
         round_half_up(F.stddev_samp(c), scale).alias("std"),
         round_half_up(F.min(c), scale).alias("min"),
-        round_half_up(F.percentile(c, 0.25), scale).alias("p25"),
-        round_half_up(F.percentile(c, 0.5), scale).alias("p50"),
-        round_half_up(F.percentile(c, 0.75), scale).alias("p75"),
         round_half_up(F.max(c), scale).alias("max"),
     ]
-    return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    base = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    out = with_quantiles(base, df, column, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, keys, scale)
+    return out.select(*keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def correlation(df: DataFrame, x: str, y: str, keys: Sequence[str] = (), out: str = "pearson_r",

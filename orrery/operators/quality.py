@@ -12,6 +12,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from ..functions.common import ColumnOrName, col, pct, round_half_up
 from .joins import anti_join, one_row
+from .quantiles import quantiles
 
 
 class QualityError(AssertionError):
@@ -118,8 +119,7 @@ def functional_dependency_violations(df: DataFrame, determinant: Sequence[str],
 
 def iqr_bounds(df: DataFrame, column: str, k: float = 1.5, keys: Sequence[str] = ()) -> DataFrame:
     """Q13: Q1, Q3, IQR and the k*IQR fences (global or per group)."""
-    aggs = [F.percentile(column, 0.25).alias("q1"), F.percentile(column, 0.75).alias("q3")]
-    b = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    b = quantiles(df, column, {"q1": 0.25, "q3": 0.75}, keys)
     return (b.withColumn("iqr", F.col("q3") - F.col("q1"))
             .withColumn("lower_fence", F.col("q1") - k * F.col("iqr"))
             .withColumn("upper_fence", F.col("q3") + k * F.col("iqr")))
@@ -127,10 +127,11 @@ def iqr_bounds(df: DataFrame, column: str, k: float = 1.5, keys: Sequence[str] =
 
 def iqr_flags(df: DataFrame, columns: Sequence[str], k: float = 1.5, any_col: str = "is_outlier") -> DataFrame:
     """Q13: per-row outlier flag for each column (``<col>_outlier``) and any."""
-    aggs = []
+    bounds = None
     for c in columns:
-        aggs += [F.percentile(c, 0.25).alias(f"__{c}_q1"), F.percentile(c, 0.75).alias(f"__{c}_q3")]
-    bounds = one_row(df.agg(*aggs))
+        q = quantiles(df, c, {f"__{c}_q1": 0.25, f"__{c}_q3": 0.75})
+        bounds = q if bounds is None else bounds.crossJoin(q)
+    bounds = one_row(bounds)
     j = df.crossJoin(bounds)
     any_expr = F.lit(False)
     for c in columns:

@@ -94,3 +94,23 @@ def quantiles(df: DataFrame, value: str | Column, probs: Mapping[str, float], ke
         empty = df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(name) for name, _ in plist])
         out = out.unionByName(empty).agg(*[F.max(name).alias(name) for name, _ in plist])
     return out
+
+
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join two per-group results on their (possibly null) group keys."""
+    if not keys:
+        return left.crossJoin(F.broadcast(right))
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        e = left[k].eqNullSafe(r[f"__r_{k}"])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
+
+
+def with_quantiles(agg: DataFrame, df: DataFrame, value: str | Column, probs: Mapping[str, float],
+                   keys: Sequence[str] = (), scale: int | None = None, method: str = "sort") -> DataFrame:
+    """Attach quantile columns to an aggregate that has one row per group
+    (or a single row)."""
+    q = quantiles(df, value, probs, keys, method=method, scale=scale)
+    return join_keys(agg, q, list(keys), "left")

@@ -176,7 +176,8 @@ def winsorized_normalize(df: DataFrame, value: str, lower: float = 0.05, upper:
     """Clip to the [lower, upper] quantiles, then min-max scale to [0,1]
     by those bounds."""
     out = out or f"{value}_wnorm"
-    q = one_row(df.agg(F.percentile(value, lower).alias("__lo"), F.percentile(value, upper).alias("__hi")))
+    from .quantiles import quantiles
+    q = one_row(quantiles(df, value, {"__lo": lower, "__hi": upper}))
     j = df.crossJoin(q)
     clipped = F.least(F.greatest(F.col(value), F.col("__lo")), F.col("__hi"))
     scaled = safe_div(clipped - F.col("__lo"), F.when(F.col("__hi") != F.col("__lo"), F.col("__hi") - F.col("__lo")))

@@ -11,6 +11,7 @@ from ..functions.common import ColumnOrName, col, pct, round_half_up, safe_div
 from ..functions.numeric import bins_from_edges, fixed_bins, pct_change, row_mean
 from ..operators.aggregates import group_quantiles
 from ..operators.joins import one_row
+from ..operators.quantiles import quantiles, with_quantiles
 from ..operators.windows import minmax_normalize, winsorized_normalize
 
 # Category text (lower, trimmed) -> cost group, and the
@@ -70,11 +71,10 @@ def quantile_bins(df: DataFrame, value: str, n_bins: int = 4, out: str = "quanti
     closed, lowest included), not ``ntile`` (which splits ties). The edges
     are one broadcast row."""
     labels = list(labels) if labels else [f"Q{i + 1}" for i in range(n_bins)]
-    probs = [i / n_bins for i in range(n_bins + 1)]
-    edges = one_row(df.agg(F.percentile(value, F.array(*[F.lit(p) for p in probs])).alias("__e")))
+    probs = {f"__e{i}": i / n_bins for i in range(n_bins + 1)}
+    edges = one_row(quantiles(df, value, probs))
     j = df.crossJoin(edges)
-    cols = [F.element_at("__e", i + 1) for i in range(n_bins + 1)]
-    return j.withColumn(out, bins_from_edges(value, cols, labels)).drop("__e")
+    return j.withColumn(out, bins_from_edges(value, [F.col(c) for c in probs], labels)).drop(*probs)
 
 
 def weekend_premium(fact: DataFrame, weekday: str = "weekday_price", weekend: str = "weekend_price",
@@ -85,24 +85,27 @@ def weekend_premium(fact: DataFrame, weekday: str = "weekday_price", weekend: st
     pairs = fact.filter(F.col(weekday).isNotNull() & F.col(weekend).isNotNull())
     if exclude_flag:
         pairs = pairs.filter(~F.coalesce(F.col(exclude_flag), F.lit(False)))
-    prem = pct_change(weekday, weekend)
+    pairs = pairs.withColumn("__prem", pct_change(weekday, weekend))
+    prem = F.col("__prem")
     wd, we = F.col(weekday), F.col(weekend)
+    med = quantiles(pairs, "__prem", {"median_premium_pct": 0.5}, scale=scale)
     return pairs.agg(
         F.count(F.lit(1)).alias("n_pairs"),
         round_half_up(F.avg((we > wd).cast("int")) * 100, scale).alias("share_higher_pct"),
         round_half_up(F.avg((we < wd).cast("int")) * 100, scale).alias("share_lower_pct"),
         round_half_up(F.avg((we == wd).cast("int")) * 100, scale).alias("share_equal_pct"),
         round_half_up(F.avg(prem), scale).alias("mean_premium_pct"),
-        round_half_up(F.median(prem), scale).alias("median_premium_pct"),
-    )
+    ).crossJoin(one_row(med))
 
 
 def monthly_seasonality(fact: DataFrame, month: str, value: str, stat: str = "median",
                         scale: int = 2) -> DataFrame:
     """M8: median (or mean) per month, with peak / low flags and the
     amplitude (months are few: the extremes are one broadcast row)."""
-    agg = F.median(value) if stat == "median" else F.avg(value)
-    m = fact.groupBy(month).agg(agg.alias("stat"))
+    if stat == "median":
+        m = quantiles(fact, value, {"stat": 0.5}, [month])
+    else:
+        m = fact.groupBy(month).agg(F.avg(value).alias("stat"))
     ext = one_row(m.agg(F.max("stat").alias("__hi"), F.min("stat").alias("__lo")))
     j = m.crossJoin(ext)
     return j.select(month, round_half_up("stat", scale).alias(f"{stat}_value"),
@@ -114,8 +117,9 @@ def category_segmentation(fact: DataFrame, category: str, weekday: str = "weekda
                           weekend: str = "weekend_price", scale: int = 2) -> DataFrame:
     """M9: per category medians of both prices and the premium of the
     weekend median over the weekday median."""
-    g = fact.groupBy(category).agg(F.median(weekday).alias("__wd"), F.median(weekend).alias("__we"),
-                                   F.count(F.lit(1)).alias("n_rows"))
+    g = fact.groupBy(category).agg(F.count(F.lit(1)).alias("n_rows"))
+    g = with_quantiles(g, fact, weekday, {"__wd": 0.5}, [category])
+    g = with_quantiles(g, fact, weekend, {"__we": 0.5}, [category])
     return g.select(category, "n_rows", round_half_up("__wd", scale).alias("median_weekday"),
                     round_half_up("__we", scale).alias("median_weekend"),
                     round_half_up(pct_change("__wd", "__we"), scale).alias("premium_pct"))
@@ -126,9 +130,9 @@ def region_ranking(fact: DataFrame, region: str, value: str, scale: int = 2) ->
     median (=100), ranked by median (rank computed on the small per-region
     table)."""
     from pyspark.sql import Window
-    g = fact.groupBy(region).agg(F.median(value).alias("__med"), F.percentile(value, 0.25).alias("__p25"),
-                                 F.percentile(value, 0.75).alias("__p75"), F.count(F.lit(1)).alias("n_rows"))
-    nat = one_row(fact.agg(F.median(value).alias("__nat")))
+    g = fact.groupBy(region).agg(F.count(F.lit(1)).alias("n_rows"))
+    g = with_quantiles(g, fact, value, {"__med": 0.5, "__p25": 0.25, "__p75": 0.75}, [region])
+    nat = one_row(quantiles(fact, value, {"__nat": 0.5}))
     j = g.crossJoin(nat)
     w = Window.orderBy(F.col("__med").asc(), F.col(region).asc())
     return j.select(region, "n_rows", round_half_up("__med", scale).alias("median"),
@@ -141,15 +145,15 @@ def region_ranking(fact: DataFrame, region: str, value: str, scale: int = 2) ->
 def price_quality_quartiles(fact: DataFrame, price: str, rating: str, scale: int = 2) -> DataFrame:
     """Price quartile (exact edges) -> rows, median price, median rating."""
     q = quantile_bins(fact.filter(F.col(price).isNotNull()), price, 4, "price_quartile")
-    return q.groupBy("price_quartile").agg(F.count(F.lit(1)).alias("n_rows"),
-                                           round_half_up(F.median(price), scale).alias("median_price"),
-                                           round_half_up(F.median(rating), scale).alias("median_rating"))
+    g = q.groupBy("price_quartile").agg(F.count(F.lit(1)).alias("n_rows"))
+    g = with_quantiles(g, q, price, {"median_price": 0.5}, ["price_quartile"], scale)
+    return with_quantiles(g, q, rating, {"median_rating": 0.5}, ["price_quartile"], scale)
 
 
 def overpriced(fact: DataFrame, price: str, rating: str, n: int, order_tiebreak: Sequence[str]) -> DataFrame:
     """Rows priced at or above the p75 price and rated at or below the
     p25 rating; the n dearest (the top-n is the feature)."""
-    b = one_row(fact.agg(F.percentile(price, 0.75).alias("__p75"), F.percentile(rating, 0.25).alias("__r25")))
+    b = one_row(quantiles(fact, price, {"__p75": 0.75}).crossJoin(quantiles(fact, rating, {"__r25": 0.25})))
     j = fact.crossJoin(b).filter((F.col(price) >= F.col("__p75")) & (F.col(rating) <= F.col("__r25")))
     return j.orderBy(F.col(price).desc(), *[F.col(c).asc() for c in order_tiebreak]).limit(n).drop("__p75", "__r25")
 
@@ -166,8 +170,8 @@ def price_value_score(fact: DataFrame, group: str, price: str, rating: str, min_
                       out: str = "value_score") -> DataFrame:
     """Groups with at least ``min_rows`` rows: median price and mean
     rating, min-max scaled (price inverted), 0.5 / 0.5."""
-    g = fact.groupBy(group).agg(F.count(F.lit(1)).alias("n_rows"), F.median(price).alias("median_price"),
-                                F.avg(rating).alias("mean_rating")).filter(F.col("n_rows") >= min_rows)
+    g = fact.groupBy(group).agg(F.count(F.lit(1)).alias("n_rows"), F.avg(rating).alias("mean_rating"))
+    g = with_quantiles(g.filter(F.col("n_rows") >= min_rows), fact, price, {"median_price": 0.5}, [group])
     g = minmax_normalize(g, "median_price", "__p", invert=True)
     g = minmax_normalize(g, "mean_rating", "__r")
     return g.withColumn(out, 0.5 * F.col("__p") + 0.5 * F.col("__r")).drop("__p", "__r")
@@ -184,7 +188,7 @@ def strategic_score(df: DataFrame, price: str, rating: str, location: str, weigh
 
 def potential_saving(fact: DataFrame, keys: Sequence[str], value: str, scale: int = 2) -> DataFrame:
     """(p75 - p25) / p75 per group, in %."""
-    g = fact.groupBy(*keys).agg(F.percentile(value, 0.25).alias("__p25"), F.percentile(value, 0.75).alias("__p75"))
+    g = quantiles(fact, value, {"__p25": 0.25, "__p75": 0.75}, keys)
     return g.select(*keys, round_half_up("__p25", scale).alias("p25"), round_half_up("__p75", scale).alias("p75"),
                     round_half_up(safe_div(F.col("__p75") - F.col("__p25"), "__p75") * 100, scale).alias("saving_pct"))
 
@@ -209,7 +213,7 @@ def rating_coverage(fact: DataFrame, rating: str, metrics: Sequence[str], scale:
 
 def extremes_report(fact: DataFrame, value: str, scale: int = 2) -> DataFrame:
     """p95 and p99 of a value plus how many rows exceed each."""
-    q = one_row(fact.agg(F.percentile(value, 0.95).alias("__p95"), F.percentile(value, 0.99).alias("__p99")))
+    q = one_row(quantiles(fact, value, {"__p95": 0.95, "__p99": 0.99}))
     j = fact.crossJoin(q)
     return j.agg(round_half_up(F.first("__p95"), scale).alias("p95"), round_half_up(F.first("__p99"), scale).alias("p99"),
                  F.count_if(F.col(value) > F.col("__p95")).alias("n_above_p95"),
@@ -220,8 +224,8 @@ def lead_time_mix(fact: DataFrame, month: str, lead_time: str, value: str, scale
     """Share of each lead-time bucket in the month's rows and the
     median value per (month, bucket)."""
     from ..operators.windows import share_within
-    g = fact.groupBy(month, lead_time).agg(F.count(F.lit(1)).alias("n_rows"),
-                                           round_half_up(F.median(value), scale).alias("median_value"))
+    g = fact.groupBy(month, lead_time).agg(F.count(F.lit(1)).alias("n_rows"))
+    g = with_quantiles(g, fact, value, {"median_value": 0.5}, [month, lead_time], scale)
     return share_within(g, [month], "n_rows")
 
 
