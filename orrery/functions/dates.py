@@ -44,6 +44,21 @@ def is_weekend_night(d: ColumnOrName, weekend_days: Sequence[int] = WEEKEND_DAYS
     return F.dayofweek(col(d)).isin(list(weekend_days))
 
 
+def count_weekdays(start: ColumnOrName, n_days: ColumnOrName, days: Sequence[int]) -> Column:
+    """D-2 without a generated series: how many of the ``n_days`` dates
+    from ``start`` fall on the given ``dayofweek`` values (Sunday = 1).
+    For weekday w and r = (w - dayofweek(start)) mod 7, the dates at offsets
+    r, r + 7, ... below n count: floor((n - r + 6) / 7)."""
+    n = F.greatest(col(n_days).cast("int"), F.lit(0))
+    sd = F.dayofweek(col(start))
+    total = None
+    for w in days:
+        r = F.pmod(F.lit(w) - sd, F.lit(7))
+        c = F.floor((n - r + 6) / 7).cast("int")
+        total = c if total is None else total + c
+    return total
+
+
 def days_until(d: ColumnOrName, as_of: ColumnOrName) -> Column:
     """D-3: days remaining until ``d``, floored at 0."""
     return F.greatest(F.datediff(col(d), col(as_of)), F.lit(0))

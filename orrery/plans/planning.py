@@ -33,11 +33,10 @@ COST_COMPONENTS = ("lodging_cost", "food_cost", "activities_cost", "services_cos
 GROUP_COLUMNS = {"actividades": "activities_cost", "servicios": "services_cost", "otros": "other_cost"}
 
 
-def plan_summary(plans: DataFrame, stops: DataFrame, prefs: DataFrame, countries: DataFrame,
-                 provinces: DataFrame) -> DataFrame:
-    """Plan header with both country names (J3), main destination
-    (stop 1) and its name, trip days / nights (D-1) and the ordered
-    preference text ``category (n), ...`` (A13, '' when none)."""
+def plan_core(plans: DataFrame, stops: DataFrame, countries: DataFrame, provinces: DataFrame) -> DataFrame:
+    """The plan rows of P1 without the preference text: both countries
+    (inner joins, as the view), the main destination (stop 1, left join),
+    trip days and nights. Cost components start from this lean table."""
     c = countries.select("country_id", "country_name")
     origin = c.select(F.col("country_id").alias("origin_country_id"), F.col("country_name").alias("origin_country"))
     dest = c.select(F.col("country_id").alias("dest_country_id"), F.col("country_name").alias("dest_country"))
@@ -45,64 +44,100 @@ def plan_summary(plans: DataFrame, stops: DataFrame, prefs: DataFrame, countries
             .join(provinces.select("province_id", "province_name"), "province_id", "inner")
             .select("plan_id", F.col("province_id").alias("dest_province_id"),
                     F.col("province_name").alias("dest_province")))
-    cats = ordered_string_agg(prefs, ["plan_id"], "category", "quantity", out="activity_categories")
-    j = (plans.join(origin, "origin_country_id", "inner").join(dest, "dest_country_id", "inner")
-         .join(main, "plan_id", "left").join(cats, "plan_id", "left"))
+    j = plans.join(origin, "origin_country_id", "inner").join(dest, "dest_country_id", "inner").join(main, "plan_id", "left")
     return j.select(
         "plan_id", "user_id", "origin_country_id", "origin_country", "dest_country_id", "dest_country",
         "dest_province_id", "dest_province", "start_date", "end_date",
         D.trip_days("start_date", "end_date").alias("trip_days"),
         D.trip_nights("start_date", "end_date").alias("trip_nights"),
-        "budget", "trip_type", "lodging_category",
-        F.coalesce(F.col("activity_categories"), F.lit("")).alias("activity_categories"), "created_at",
+        "budget", "trip_type", "lodging_category", "created_at",
     )
 
 
+def plan_summary(plans: DataFrame, stops: DataFrame, prefs: DataFrame, countries: DataFrame,
+                 provinces: DataFrame) -> DataFrame:
+    """Plan header with both country names (J3), main destination
+    (stop 1) and its name, trip days / nights (D-1) and the ordered
+    preference text ``category (n), ...`` (A13, '' when none)."""
+    core = plan_core(plans, stops, countries, provinces)
+    cats = ordered_string_agg(prefs, ["plan_id"], "category", "quantity", out="activity_categories")
+    j = core.join(cats, "plan_id", "left")
+    cols = [c for c in core.columns if c != "created_at"]
+    return j.select(*cols, F.coalesce(F.col("activity_categories"), F.lit("")).alias("activity_categories"),
+                    "created_at")
+
+
+def _nights_cols(start: str = "start_date", nights: str = "trip_nights") -> list[Column]:
+    """Total / weekend / weekday nights computed per row (no series)."""
+    n = F.greatest(F.col(nights), F.lit(0))
+    we = D.count_weekdays(start, n, D.WEEKEND_DAYS)
+    return [n.cast("int").alias("nights_total"), we.alias("nights_weekend"), (n - we).cast("int").alias("nights_weekday")]
+
+
 def nights_by_day_type(summary: DataFrame) -> DataFrame:
     """One row per plan with at least one night: total, weekend
-    (Friday and Saturday nights) and weekday nights."""
-    nights = summary.select("plan_id", F.explode(D.night_dates("start_date", "end_date")).alias("night"))
-    we = D.is_weekend_night("night")
-    return nights.groupBy("plan_id").agg(
-        F.count(F.lit(1)).cast("int").alias("nights_total"),
-        F.count_if(we).cast("int").alias("nights_weekend"),
-        F.count_if(~we).cast("int").alias("nights_weekday"),
-    )
+    (Friday and Saturday nights) and weekday nights. Computed from the
+    start weekday and the night count, so it is a narrow projection (the
+    generated day series of the reference, ``night_dates``, is not needed)."""
+    return summary.filter(F.col("trip_nights") > 0).select("plan_id", *_nights_cols())
+
+
+def _lodging_rec(lodging_rec: DataFrame, category_col: str = "category") -> DataFrame:
+    return lodging_rec.select(F.col("country_id").alias("dest_country_id"),
+                              F.col("province_id").alias("dest_province_id"),
+                              F.col(category_col).alias("lodging_category"),
+                              F.col("avg_weekday").alias("night_price_weekday"),
+                              F.col("avg_weekend").alias("night_price_weekend"))
+
+
+def _with_lodging(core: DataFrame, lodging_rec: DataFrame, category_col: str = "category") -> DataFrame:
+    """Nights by type and the lodging estimate as columns of the plan rows
+    (the reference table is a small aggregate)."""
+    has = F.col("trip_nights") > 0
+    j = core.join(_lodging_rec(lodging_rec, category_col), ["dest_country_id", "dest_province_id", "lodging_category"], "left")
+    n = F.greatest(F.col("trip_nights"), F.lit(0))
+    we = D.count_weekdays("start_date", n, D.WEEKEND_DAYS)
+    # The reference's per-plan night counts exist only for plans with nights.
+    j = j.select("*", F.when(has, n.cast("int")).alias("nights_total"), F.when(has, we).alias("nights_weekend"),
+                 F.when(has, (n - we).cast("int")).alias("nights_weekday"))
+    z = lambda c: F.coalesce(F.col(c), F.lit(0))
+    est = z("night_price_weekday") * z("nights_weekday") + z("night_price_weekend") * z("nights_weekend")
+    return j.withColumn("lodging_cost", round_half_up(est))
 
 
-def lodging_cost(summary: DataFrame, nights: DataFrame, lodging_rec: DataFrame,
+def lodging_cost(summary: DataFrame, nights: DataFrame | None, lodging_rec: DataFrame,
                  category_col: str = "category") -> DataFrame:
     """Weekday nights x weekday price + weekend nights x weekend price
-    for the destination and lodging category; unknown parts count 0."""
-    rec = lodging_rec.select(F.col("country_id").alias("dest_country_id"),
-                             F.col("province_id").alias("dest_province_id"),
-                             F.col(category_col).alias("lodging_category"),
-                             F.col("avg_weekday").alias("night_price_weekday"),
-                             F.col("avg_weekend").alias("night_price_weekend"))
-    j = (summary.select("plan_id", "trip_nights", "dest_country_id", "dest_province_id", "lodging_category")
-         .join(nights, "plan_id", "left")
-         .join(rec, ["dest_country_id", "dest_province_id", "lodging_category"], "left"))
-    z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    est = z("night_price_weekday") * z("nights_weekday") + z("night_price_weekend") * z("nights_weekend")
+    for the destination and lodging category; unknown parts count 0.
+    (``nights`` is accepted for API symmetry; the night split is computed
+    on the plan rows.)"""
+    j = _with_lodging(summary, lodging_rec, category_col)
     return j.select("plan_id", "trip_nights", "nights_weekday", "nights_weekend", "lodging_category",
-                    "night_price_weekday", "night_price_weekend", round_half_up(est).alias("lodging_cost"))
+                    "night_price_weekday", "night_price_weekend", "lodging_cost")
+
+
+def _food_reference(activity_rec: DataFrame, food_category: str) -> DataFrame:
+    rec = activity_rec.filter(F.lower(F.trim("category")) == food_category.strip().lower())
+    return rec.groupBy(F.col("country_id").alias("dest_country_id"), F.col("province_id").alias("dest_province_id")).agg(
+        round_half_up(F.avg("avg_entry_price")).alias("food_reference"))
+
+
+def _with_food(core: DataFrame, activity_rec: DataFrame, food_category: str, daily_factor: float) -> DataFrame:
+    """Food estimate as columns of the plan rows. The per-plan mean of the
+    destination's food rows equals the mean per destination, so the
+    reference is aggregated per destination (small) and joined."""
+    j = core.join(_food_reference(activity_rec, food_category), ["dest_country_id", "dest_province_id"], "left")
+    ref = F.coalesce(F.col("food_reference"), F.lit(0.0))
+    return (j.withColumn("food_daily", round_half_up(ref * daily_factor))
+            .withColumn("food_cost", round_half_up(ref * daily_factor * F.col("trip_days"))))
 
 
 def food_cost(summary: DataFrame, activity_rec: DataFrame, food_category: str = FOOD_CATEGORY,
               daily_factor: float = FOOD_DAILY_FACTOR) -> DataFrame:
     """Rounded mean entry price of the food category at the
     destination, x factor per day, x days."""
-    rec = activity_rec.filter(F.lower(F.trim("category")) == food_category.strip().lower())
-    base = (summary.select("plan_id", "dest_country_id", "dest_province_id")
-            .join(rec.select(F.col("country_id").alias("dest_country_id"),
-                             F.col("province_id").alias("dest_province_id"), "avg_entry_price"),
-                  ["dest_country_id", "dest_province_id"], "inner")
-            .groupBy("plan_id").agg(round_half_up(F.avg("avg_entry_price")).alias("food_reference")))
-    j = summary.select("plan_id", "trip_days").join(base, "plan_id", "left")
-    ref = F.coalesce(F.col("food_reference"), F.lit(0.0))
-    return j.select("plan_id", "trip_days", "food_reference",
-                    round_half_up(ref * daily_factor).alias("food_daily"),
-                    round_half_up(ref * daily_factor * F.col("trip_days")).alias("food_cost"))
+    j = _with_food(summary, activity_rec, food_category, daily_factor)
+    return j.select("plan_id", "trip_days", "food_reference", "food_daily", "food_cost")
 
 
 def group_costs(summary: DataFrame, prefs: DataFrame, activity_rec: DataFrame,
@@ -110,20 +145,19 @@ def group_costs(summary: DataFrame, prefs: DataFrame, activity_rec: DataFrame,
                 group_columns: Mapping[str, str] = GROUP_COLUMNS) -> DataFrame:
     """P5: for each preferred category of a cost group: rounded mean entry
     price at the destination x quantity, summed per plan and group; the
-    three groups in one pass (pivot on the cost group). Plans with no
-    priced preference in a group get null for it (as the views)."""
+    three groups in one pass. Plans with no priced preference in a group
+    get null for it (as the views)."""
     rec = (activity_rec.withColumn("cost_group", cost_group("category", rules, default))
            .filter(F.col("cost_group").isin(list(group_columns)))
-           .select(F.col("country_id").alias("dest_country_id"), F.col("province_id").alias("dest_province_id"),
-                   "category", "cost_group", "avg_entry_price"))
+           .groupBy(F.col("country_id").alias("dest_country_id"), F.col("province_id").alias("dest_province_id"),
+                    "category", "cost_group")
+           .agg(round_half_up(F.avg("avg_entry_price")).alias("category_price")))
     j = (summary.select("plan_id", "dest_country_id", "dest_province_id")
          .join(prefs.select("plan_id", "category", "quantity"), "plan_id", "inner")
          .join(rec, ["dest_country_id", "dest_province_id", "category"], "inner"))
-    per_cat = j.groupBy("plan_id", "cost_group", "category", "quantity").agg(
-        round_half_up(F.avg("avg_entry_price")).alias("category_price"))
-    per_group = per_cat.groupBy("plan_id").pivot("cost_group", list(group_columns)).agg(
-        round_half_up(F.sum(F.col("category_price") * F.col("quantity"))))
-    return per_group.select("plan_id", *[F.col(g).alias(c) for g, c in group_columns.items()])
+    aggs = [round_half_up(F.sum(F.when(F.col("cost_group") == g, F.col("category_price") * F.col("quantity")))).alias(c)
+            for g, c in group_columns.items()]
+    return j.groupBy("plan_id").agg(*aggs)
 
 
 def transport_cost(parts: DataFrame, factor: float = TRANSPORT_FACTOR) -> DataFrame:
@@ -135,11 +169,16 @@ def transport_cost(parts: DataFrame, factor: float = TRANSPORT_FACTOR) -> DataFr
 
 def cost_estimate(summary: DataFrame, lodging: DataFrame, food: DataFrame, groups: DataFrame,
                   transport_factor: float = TRANSPORT_FACTOR) -> DataFrame:
-    """Every component zero-filled and the rounded total."""
+    """P7 from separately built components: every component zero-filled
+    and the rounded total."""
     j = (summary.select("plan_id", "trip_days", "trip_nights")
          .join(lodging.select("plan_id", "lodging_cost"), "plan_id", "left")
          .join(food.select("plan_id", "food_cost"), "plan_id", "left")
          .join(groups, "plan_id", "left"))
+    return _finish_estimate(j, transport_factor)
+
+
+def _finish_estimate(j: DataFrame, transport_factor: float) -> DataFrame:
     z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     transport = round_half_up((z("lodging_cost") + z("food_cost") + z("activities_cost") + z("services_cost"))
                               * transport_factor)
@@ -153,14 +192,18 @@ def cost_estimate(summary: DataFrame, lodging: DataFrame, food: DataFrame, group
 
 def estimate_all(plans: DataFrame, stops: DataFrame, prefs: DataFrame, countries: DataFrame,
                  provinces: DataFrame, lodging_rec: DataFrame, activity_rec: DataFrame,
-                 food_category: str = FOOD_CATEGORY, rules: Mapping[str, str] = COST_GROUP_RULES) -> DataFrame:
-    """P1-P7 in one plan: the summary is built once and shared."""
-    summary = plan_summary(plans, stops, prefs, countries, provinces)
-    nights = nights_by_day_type(summary)
-    lodging = lodging_cost(summary, nights, lodging_rec)
-    food = food_cost(summary, activity_rec, food_category)
-    groups = group_costs(summary, prefs, activity_rec, rules)
-    return cost_estimate(summary, lodging, food, groups)
+                 food_category: str = FOOD_CATEGORY, rules: Mapping[str, str] = COST_GROUP_RULES,
+                 daily_factor: float = FOOD_DAILY_FACTOR, transport_factor: float = TRANSPORT_FACTOR) -> DataFrame:
+    """P1-P7 in one plan. The lean plan core is built once; nights, lodging
+    and food are columns added to it through joins with small reference
+    aggregates (no shuffle of the plans beyond the core itself); only the
+    preference-based group costs are an aggregate by ``plan_id`` joined back.
+    """
+    core = plan_core(plans, stops, countries, provinces)
+    rows = _with_food(_with_lodging(core, lodging_rec), activity_rec, food_category, daily_factor)
+    groups = group_costs(core, prefs, activity_rec, rules)
+    j = rows.select("plan_id", "trip_days", "trip_nights", "lodging_cost", "food_cost").join(groups, "plan_id", "left")
+    return _finish_estimate(j, transport_factor)
 
 
 def budget_page(summary: DataFrame, estimate: DataFrame, as_of: ColumnOrName,
