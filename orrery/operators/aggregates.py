@@ -132,8 +132,14 @@ def ordered_string_agg(df: DataFrame, keys: Sequence[str], label: str, count: st
 
 
 def group_mode(df: DataFrame, keys: Sequence[str], column: str, out: str | None = None) -> DataFrame:
-    """Most frequent value, ties to the smallest, null if none."""
-    return df.groupBy(*keys).agg(F.mode(column, deterministic=True).alias(out or f"mode_{column}"))
+    """Most frequent value, ties to the smallest, null if the group
+    has no value. Two aggregates (count per value, then ``min_by`` over
+    (-count, value) per group), so no task holds a whole group's values."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("__c"))
+    best = counts.groupBy(*keys).agg(
+        F.min_by(F.col(column), F.struct((-F.col("__c")).alias("a"), F.col(column).alias("b"))).alias(out or f"mode_{column}"))
+    groups = df.select(*keys).distinct()
+    return groups.join(best, list(keys), "left") if keys else best
 
 
 def first_by_order(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[ColumnOrName],

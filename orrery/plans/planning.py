@@ -268,22 +268,26 @@ FREE_DAY_TEXT = "tiempo libre"
 def itinerary(summary: DataFrame, prefs: DataFrame) -> DataFrame:
     """One row per trip day. Activities are the preferred categories
     repeated by quantity, in category order, one per day; days beyond them
-    get the first-day, last-day or free-day default."""
-    acts = (prefs.groupBy("plan_id").agg(
-        F.array_sort(F.collect_list(F.struct("category", "quantity"))).alias("__p"))
-        .select("plan_id", F.flatten(F.transform("__p", lambda s: F.array_repeat(s["category"], s["quantity"].cast("int"))))
-                .alias("__acts")))
-    days = summary.select("plan_id", "start_date", "trip_days").join(acts, "plan_id", "left")
-    days = days.select("plan_id", "start_date", "trip_days", "__acts",
-                       F.explode(F.sequence(F.lit(0), F.col("trip_days") - 1)).alias("__i"))
-    act = F.element_at(F.col("__acts"), F.col("__i") + 1)
-    n_acts = F.coalesce(F.size("__acts"), F.lit(0))
-    txt = (F.when(F.col("__i") < n_acts, F.concat(F.lit(f"{MEALS_TEXT} + {ACTIVITY_TEXT} "), act))
+    get the first-day, last-day or free-day default.
+
+    Each preference covers the day positions [cum - quantity, cum) of the
+    running total of quantities in category order (a window over one plan's
+    few preferences); day rows join their preference on ``plan_id`` with that
+    range, so no per-plan list is materialised."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("plan_id").orderBy("category").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = (prefs.select("plan_id", "category", F.col("quantity").cast("long").alias("q"))
+              .withColumn("__end", F.sum("q").over(w)).withColumn("__start", F.col("__end") - F.col("q"))
+              .select(F.col("plan_id").alias("__pid"), F.col("category").alias("__cat"), "__start", "__end"))
+    days = summary.select("plan_id", "start_date", "trip_days",
+                          F.explode(F.sequence(F.lit(0), F.col("trip_days") - 1)).alias("__i"))
+    j = days.join(ranges, (days.plan_id == ranges.__pid) & (days.__i >= ranges.__start) & (days.__i < ranges.__end), "left")
+    txt = (F.when(F.col("__cat").isNotNull(), F.concat(F.lit(f"{MEALS_TEXT} + {ACTIVITY_TEXT} "), F.col("__cat")))
            .when(F.col("__i") == 0, F.lit(f"{MEALS_TEXT} + {FIRST_DAY_TEXT}"))
            .when(F.col("__i") == F.col("trip_days") - 1, F.lit(f"{MEALS_TEXT} + {LAST_DAY_TEXT}"))
            .otherwise(F.lit(f"{MEALS_TEXT} + {FREE_DAY_TEXT}")))
-    return days.select("plan_id", (F.col("__i") + 1).alias("day_no"),
-                       F.date_add("start_date", F.col("__i")).alias("day_date"), txt.alias("suggestion"))
+    return j.select("plan_id", (F.col("__i") + 1).alias("day_no"),
+                    F.date_add("start_date", F.col("__i")).alias("day_date"), txt.alias("suggestion"))
 
 
 # The packing checklist. (section, item, quantity rule);
