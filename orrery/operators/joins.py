@@ -190,3 +190,16 @@ def counts_per_parent(parent: DataFrame, parent_key: str, children: Mapping[str,
     for name in children:
         out = out.withColumn(name, F.coalesce(F.col(name), F.lit(0)).cast("bigint"))
     return out
+
+
+def map_distinct(df: DataFrame, column: str, fn, outputs: Sequence[str] | str) -> DataFrame:
+    """Apply an expensive column function once per distinct value instead of
+    once per row: distinct values (an aggregate that combines map-side) ->
+    ``fn`` (a function DataFrame -> DataFrame adding ``outputs``) -> join back
+    on the value (null-safe). For low-cardinality text such as place names
+    the work grows with the number of names, not rows."""
+    outs = [outputs] if isinstance(outputs, str) else list(outputs)
+    d = df.select(F.col(column).alias("__dv")).distinct()
+    mapped = fn(d).select("__dv", *outs)
+    j = df.join(mapped, df[column].eqNullSafe(mapped["__dv"]), "left")
+    return j.drop("__dv")

@@ -82,15 +82,27 @@ def key_intersection(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def surrogate_key(df: DataFrame, order: Sequence[ColumnOrName], name: str = "id",
-                  num_partitions: int | None = None) -> DataFrame:
-    """1-based position of each row in a total order, computed without
-    moving all rows to one task: range-partition and sort by the order,
-    number rows inside each partition, then add the row count of all earlier
-    partitions (one small row per partition, broadcast back).
+                  num_partitions: int | None = None, materialize: bool = True,
+                  small_rows: int = 200_000) -> DataFrame:
+    """1-based position of each row in a total order.
+
+    With ``materialize`` the input is first written as a reliable checkpoint
+    in the shared checkpoint folder (one pass of the upstream; the numbering
+    then reads the written table instead of recomputing it). A table of at
+    most ``small_rows`` rows (bounded check) is numbered in one task. Larger
+    tables are never moved to one task: range-partition and sort by the
+    order, number rows inside each partition, and add the row count of all
+    earlier partitions (one small row per partition, broadcast back).
 
     ``order`` must be unique for the ids to be stable across runs."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    from ..session import cut_lineage
+    from .joins import row_count_at_most
     order_cols = [col(c) for c in order]
+    if materialize:
+        df = cut_lineage(df)
+        if row_count_at_most(df, small_rows):
+            return df.withColumn(name, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mono", F.monotonically_increasing_id()))

@@ -255,11 +255,15 @@ def build_lodging_fact(raw: DataFrame, provinces: DataFrame, ratings: DataFrame,
     from ..functions.text import normalize_text
     from ..operators.keys import surrogate_key
     from ..operators.windows import impute_hierarchical
-    r = raw.select(normalize_text("province_text").alias("province_key"), "month", "category",
+    from ..operators.joins import map_distinct
+    r = raw.select("province_text", "month", "category",
                    parse_spanish_number("weekday_text").alias("weekday_price"),
                    parse_spanish_number("weekend_text").alias("weekend_price"))
     dim = provinces.select(normalize_text("province_name").alias("province_key"), "province_id", "country_id")
-    r = r.join(dim, "province_key", "left")
+    # Names are few: normalise and map each distinct name once (S1 + J1).
+    r = map_distinct(r, "province_text",
+                     lambda d: d.withColumn("province_key", normalize_text("__dv")).join(dim, "province_key", "left"),
+                     ["province_id", "country_id"]).drop("province_text")
     levels = [["country_id", "province_id", "month", "category"], ["country_id", "province_id", "category"],
               ["country_id", "category"]]
     r = impute_hierarchical(r, ["weekday_price", "weekend_price"], levels)

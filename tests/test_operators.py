@@ -53,8 +53,10 @@ def test_keep_first_matches_window(tables):
     assert a.exceptAll(b.select(*a.columns)).isEmpty() and b.select(*a.columns).exceptAll(a).isEmpty()
 
 
-def test_surrogate_key_is_dense_and_ordered(tables):
-    o = K.surrogate_key(tables.orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"])
+@pytest.mark.parametrize("small_rows", [0, 10_000_000])
+def test_surrogate_key_is_dense_and_ordered(tables, small_rows):
+    o = K.surrogate_key(tables.orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"],
+                        small_rows=small_rows)
     rows = o.orderBy("id").collect()
     assert [r.id for r in rows] == list(range(1, len(rows) + 1))
     keys = [(r.o_orderdate, r.o_orderkey) for r in rows]
