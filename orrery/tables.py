@@ -15,10 +15,22 @@ TABLES = (
 )
 
 
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lazy scan of one table. The scan DataFrame (file listing and parquet
+    footer already resolved) is reused per session and path, so a query that
+    refers to a table many times lists its files once."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
+    return df
 
 
 class Tables:
