@@ -57,8 +57,8 @@ def a5(t: Tables):
 
 
 @register("a7_order_coverage", f"""
-SELECT c.c_nationkey, COUNT(*) AS total, SUM(CASE WHEN o.c IS NOT NULL THEN 1 ELSE 0 END) AS with_match,
-       SUM(CASE WHEN o.c IS NULL THEN 1 ELSE 0 END) AS without_match,
+SELECT c.c_nationkey, COUNT(*) AS total, CAST(SUM(CASE WHEN o.c IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS with_match,
+       CAST(SUM(CASE WHEN o.c IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS without_match,
        {r2('100.0 * SUM(CASE WHEN o.c IS NOT NULL THEN 1 ELSE 0 END) / NULLIF(COUNT(*), 0)')} AS coverage_pct
 FROM customer c LEFT JOIN (SELECT DISTINCT o_custkey AS c FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01') o
   ON c.c_custkey = o.c
