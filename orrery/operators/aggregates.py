@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import ColumnOrName, col, pct, round_half_up, safe_div
-from .joins import one_row
+from .joins import attach_scalars, one_row  # noqa: F401
 from .quantiles import quantiles, with_quantiles
 
 
@@ -41,19 +41,17 @@ def frequency(df: DataFrame, keys: str | Sequence[str], count_col: str = "n",
     counts = df.groupBy(*ks).agg(F.count(F.lit(1)).alias(count_col))
     if not share_col:
         return counts
-    total = one_row(counts.agg(F.sum(count_col).alias("__total")))
-    return (counts.crossJoin(total)
+    return (attach_scalars(counts, counts.agg(F.sum(count_col).alias("__total")))
             .withColumn(share_col, round_half_up(pct(count_col, "__total"), scale)).drop("__total"))
 
 
 def global_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """A3: one row with the row count of each table (one-row aggregates
     cross-joined)."""
-    out = None
-    for name, df in tables.items():
-        one = df.agg(F.count(F.lit(1)).alias(name))
-        out = one if out is None else out.crossJoin(one)
-    return out
+    items = list(tables.items())
+    first_name, first = items[0]
+    base = first.agg(F.count(F.lit(1)).alias(first_name))
+    return attach_scalars(base, *[df.agg(F.count(F.lit(1)).alias(name)) for name, df in items[1:]])
 
 
 def table_counts(tables: Mapping[str, DataFrame], name_col: str = "table_name",

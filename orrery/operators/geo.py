@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import ColumnOrName, col, round_half_up
 from ..functions.geo import haversine_km, planar_distance
-from .joins import one_row
+from .joins import attach_scalars, one_row  # noqa: F401
 
 
 def centroids(df: DataFrame, keys: Sequence[str], lat: str = "lat", lon: str = "lon",
@@ -46,8 +46,8 @@ def dispersion(df: DataFrame, child_keys: Sequence[str], parent_keys: Sequence[s
 def distance_to_reference(df: DataFrame, ref: DataFrame, lat: str = "lat", lon: str = "lon",
                           ref_lat: str = "ref_lat", ref_lon: str = "ref_lon", out: str = "dist_km") -> DataFrame:
     """Distance of every row to a one-row reference place (broadcast)."""
-    r = one_row(ref.select(F.col(ref_lat).alias("__rlat"), F.col(ref_lon).alias("__rlon")))
-    return df.crossJoin(r).withColumn(out, haversine_km(lat, lon, "__rlat", "__rlon")).drop("__rlat", "__rlon")
+    r = ref.select(F.col(ref_lat).alias("__rlat"), F.col(ref_lon).alias("__rlon"))
+    return attach_scalars(df, r).withColumn(out, haversine_km(lat, lon, "__rlat", "__rlon")).drop("__rlat", "__rlon")
 
 
 def most_central(df: DataFrame, keys: Sequence[str], member: str, lat: str = "lat", lon: str = "lon") -> DataFrame:
@@ -61,10 +61,9 @@ def most_central(df: DataFrame, keys: Sequence[str], member: str, lat: str = "la
 def location_score(df: DataFrame, x: str, y: str, out: str = "location_score") -> DataFrame:
     """Planar distance to the overall centroid, min-max scaled and
     inverted (near the centre = 1)."""
-    c = one_row(df.agg(F.avg(x).alias("__cx"), F.avg(y).alias("__cy")))
-    d = df.crossJoin(c).withColumn("__d", planar_distance(x, y, "__cx", "__cy"))
-    mm = one_row(d.agg(F.min("__d").alias("__lo"), F.max("__d").alias("__hi")))
-    d = d.crossJoin(mm)
+    d = attach_scalars(df, df.agg(F.avg(x).alias("__cx"), F.avg(y).alias("__cy")))
+    d = d.withColumn("__d", planar_distance(x, y, "__cx", "__cy"))
+    d = attach_scalars(d, d.agg(F.min("__d").alias("__lo"), F.max("__d").alias("__hi")))
     rng = F.col("__hi") - F.col("__lo")
     score = F.lit(1.0) - F.try_divide(F.col("__d") - F.col("__lo"), F.when(rng != 0, rng))
     return d.withColumn(out, score).drop("__cx", "__cy", "__d", "__lo", "__hi")

@@ -36,6 +36,23 @@ def one_row(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
+def scalars(stats: DataFrame) -> dict[str, Column]:
+    """The columns of a one-row aggregate as scalar subqueries. Catalyst
+    merges the subqueries of one aggregate, runs it once and inlines the
+    values into the consuming projection (no join at all)."""
+    return {c: stats.select(F.col(f"`{c}`")).scalar() for c in stats.columns}
+
+
+def attach_scalars(df: DataFrame, *stats: DataFrame) -> DataFrame:
+    """Add every column of one or more one-row aggregates (global statistics
+    such as min / max, quantile bounds, totals, centroids) to each row of
+    ``df`` as constants computed once. Used instead of a cross join."""
+    cols = []
+    for st in stats:
+        cols += [v.alias(k) for k, v in scalars(st).items()]
+    return df.select("*", *cols)
+
+
 def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,
                 how: str = "left", max_broadcast_rows: int | None = None) -> DataFrame:
     """Fact-to-dimension equi-join (single or composite key).
@@ -174,7 +191,10 @@ def explode_series(df: DataFrame, array_col: Column, name: str, outer: bool = Fa
 
 
 def cross_small(left: DataFrame, right: DataFrame, max_right_rows: int = 10_000) -> DataFrame:
-    """Cross join with a right side of checked, bounded size."""
+    """The product of two small relations (e.g. years x months), with
+    the right side's size checked against a fixed bound before the cross
+    join; never used on data-sized relations (generated series are built
+    with ``explode`` instead)."""
     if not row_count_at_most(right, max_right_rows):
         raise ValueError(f"cross join side exceeds {max_right_rows} rows")
     return left.crossJoin(F.broadcast(right))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from ..functions.common import ColumnOrName, col, pct, round_half_up
-from .joins import anti_join, one_row
+from .joins import anti_join, attach_scalars, one_row  # noqa: F401
 from .quantiles import quantiles
 
 
@@ -68,14 +68,14 @@ def key_summary(df: DataFrame, key: str) -> DataFrame:
     k = F.col(key)
     blank = F.trim(k.cast("string")) == ""
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    dups = one_row(per_key.agg(F.count_if(F.col(key).isNotNull() & (F.col("__n") > 1)).alias("duplicated_values")))
+    dups = per_key.agg(F.count_if(F.col(key).isNotNull() & (F.col("__n") > 1)).alias("duplicated_values"))
     base = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(k.isNull()).alias("n_null"),
         F.count_if(F.coalesce(blank, F.lit(False))).alias("n_blank"),
         F.countDistinct(k).alias("n_distinct"),
     )
-    return base.crossJoin(dups)
+    return attach_scalars(base, dups)
 
 
 def column_profile(df: DataFrame, scale: int = 2) -> DataFrame:
@@ -127,12 +127,7 @@ def iqr_bounds(df: DataFrame, column: str, k: float = 1.5, keys: Sequence[str] =
 
 def iqr_flags(df: DataFrame, columns: Sequence[str], k: float = 1.5, any_col: str = "is_outlier") -> DataFrame:
     """Q13: per-row outlier flag for each column (``<col>_outlier``) and any."""
-    bounds = None
-    for c in columns:
-        q = quantiles(df, c, {f"__{c}_q1": 0.25, f"__{c}_q3": 0.75})
-        bounds = q if bounds is None else bounds.crossJoin(q)
-    bounds = one_row(bounds)
-    j = df.crossJoin(bounds)
+    j = attach_scalars(df, *[quantiles(df, c, {f"__{c}_q1": 0.25, f"__{c}_q3": 0.75}) for c in columns])
     any_expr = F.lit(False)
     for c in columns:
         q1, q3 = F.col(f"__{c}_q1"), F.col(f"__{c}_q3")
@@ -146,8 +141,7 @@ def iqr_flags(df: DataFrame, columns: Sequence[str], k: float = 1.5, any_col: st
 
 def iqr_summary(df: DataFrame, column: str, k: float = 1.5, scale: int = 2) -> DataFrame:
     """Q13: bounds plus outlier count and percentage."""
-    b = one_row(iqr_bounds(df, column, k))
-    j = df.select(column).crossJoin(b)
+    j = attach_scalars(df.select(column), iqr_bounds(df, column, k))
     is_out = (F.col(column) < F.col("lower_fence")) | (F.col(column) > F.col("upper_fence"))
     return j.agg(
         round_half_up(F.first("q1"), scale).alias("q1"), round_half_up(F.first("q3"), scale).alias("q3"),

@@ -99,7 +99,8 @@ def quantiles(df: DataFrame, value: str | Column, probs: Mapping[str, float], ke
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join two per-group results on their (possibly null) group keys."""
     if not keys:
-        return left.crossJoin(F.broadcast(right))
+        from .joins import attach_scalars
+        return attach_scalars(left, right)
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = None
     for k in keys:

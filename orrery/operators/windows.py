@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import ColumnOrName, col, pct, round_half_up, safe_div
-from .joins import one_row
+from .joins import attach_scalars, one_row  # noqa: F401
 
 
 def impute_hierarchical(df: DataFrame, value: str | Sequence[str], levels: Sequence[Sequence[str]],
@@ -69,9 +69,9 @@ def impute_hierarchical(df: DataFrame, value: str | Sequence[str], levels: Seque
                      .withColumn(f"__fc{j}", F.when(has_mean, F.col("__n")).otherwise(F.col(f"__fc{j}"))))
             fill_cols[j].append(f"__m{i}_{j}")
     if global_fallback:
-        g = one_row(table.agg(*[F.try_divide(F.sum(f"__fs{j}"), F.sum(f"__fc{j}").cast("double")).alias(f"__mg_{j}")
-                                for j in range(len(values))]))
-        table = table.crossJoin(g)
+        g = table.agg(*[F.try_divide(F.sum(f"__fs{j}"), F.sum(f"__fc{j}").cast("double")).alias(f"__mg_{j}")
+                        for j in range(len(values))])
+        table = attach_scalars(table, g)
         for j in range(len(values)):
             fill_cols[j].append(f"__mg_{j}")
     all_fill = [c for j in range(len(values)) for c in fill_cols[j]]
@@ -101,7 +101,7 @@ def share_within(df: DataFrame, parent: Sequence[str], value: str, out: str = "s
     """Value / sum(value) of its parent * 100. Written as an
     aggregate joined back (a window would sort each parent in one task)."""
     totals = df.groupBy(*parent).agg(F.sum(value).alias("__tot"))
-    j = df.join(totals, list(parent), "left") if parent else df.crossJoin(one_row(totals))
+    j = df.join(totals, list(parent), "left") if parent else attach_scalars(df, totals)
     s = pct(value, "__tot")
     return j.withColumn(out, round_half_up(s, scale) if scale is not None else s).drop("__tot")
 
@@ -161,7 +161,7 @@ def minmax_normalize(df: DataFrame, value: str, out: str | None = None, invert:
     per-group aggregate joined back when ``keys`` are given)."""
     out = out or f"{value}_norm"
     stats = df.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-    j = df.join(stats, list(keys), "left") if keys else df.crossJoin(one_row(stats))
+    j = df.join(stats, list(keys), "left") if keys else attach_scalars(df, stats)
     rng = F.col("__hi") - F.col("__lo")
     scaled = safe_div(F.col(value) - F.col("__lo"), F.when(rng != 0, rng))
     if constant == "zero":
@@ -177,8 +177,7 @@ def winsorized_normalize(df: DataFrame, value: str, lower: float = 0.05, upper:
     by those bounds."""
     out = out or f"{value}_wnorm"
     from .quantiles import quantiles
-    q = one_row(quantiles(df, value, {"__lo": lower, "__hi": upper}))
-    j = df.crossJoin(q)
+    j = attach_scalars(df, quantiles(df, value, {"__lo": lower, "__hi": upper}))
     clipped = F.least(F.greatest(F.col(value), F.col("__lo")), F.col("__hi"))
     scaled = safe_div(clipped - F.col("__lo"), F.when(F.col("__hi") != F.col("__lo"), F.col("__hi") - F.col("__lo")))
     if invert:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.common import ColumnOrName, col, pct, round_half_up, safe_div
 from ..functions.numeric import bins_from_edges, fixed_bins, pct_change, row_mean
 from ..operators.aggregates import group_quantiles
-from ..operators.joins import one_row
+from ..operators.joins import attach_scalars, one_row, scalars  # noqa: F401
 from ..operators.quantiles import quantiles, with_quantiles
 from ..operators.windows import minmax_normalize, winsorized_normalize
 
@@ -72,8 +72,7 @@ def quantile_bins(df: DataFrame, value: str, n_bins: int = 4, out: str = "quanti
     are one broadcast row."""
     labels = list(labels) if labels else [f"Q{i + 1}" for i in range(n_bins)]
     probs = {f"__e{i}": i / n_bins for i in range(n_bins + 1)}
-    edges = one_row(quantiles(df, value, probs))
-    j = df.crossJoin(edges)
+    j = attach_scalars(df, quantiles(df, value, probs))
     return j.withColumn(out, bins_from_edges(value, [F.col(c) for c in probs], labels)).drop(*probs)
 
 
@@ -95,7 +94,7 @@ def weekend_premium(fact: DataFrame, weekday: str = "weekday_price", weekend: st
         round_half_up(F.avg((we < wd).cast("int")) * 100, scale).alias("share_lower_pct"),
         round_half_up(F.avg((we == wd).cast("int")) * 100, scale).alias("share_equal_pct"),
         round_half_up(F.avg(prem), scale).alias("mean_premium_pct"),
-    ).crossJoin(one_row(med))
+    ).select("*", *[v.alias(k) for k, v in scalars(med).items()])
 
 
 def monthly_seasonality(fact: DataFrame, month: str, value: str, stat: str = "median",
@@ -106,8 +105,7 @@ def monthly_seasonality(fact: DataFrame, month: str, value: str, stat: str = "me
         m = quantiles(fact, value, {"stat": 0.5}, [month])
     else:
         m = fact.groupBy(month).agg(F.avg(value).alias("stat"))
-    ext = one_row(m.agg(F.max("stat").alias("__hi"), F.min("stat").alias("__lo")))
-    j = m.crossJoin(ext)
+    j = attach_scalars(m, m.agg(F.max("stat").alias("__hi"), F.min("stat").alias("__lo")))
     return j.select(month, round_half_up("stat", scale).alias(f"{stat}_value"),
                     (F.col("stat") == F.col("__hi")).alias("is_peak"), (F.col("stat") == F.col("__lo")).alias("is_low"),
                     round_half_up(F.col("__hi") - F.col("__lo"), scale).alias("amplitude"))
@@ -132,8 +130,7 @@ def region_ranking(fact: DataFrame, region: str, value: str, scale: int = 2) ->
     from pyspark.sql import Window
     g = fact.groupBy(region).agg(F.count(F.lit(1)).alias("n_rows"))
     g = with_quantiles(g, fact, value, {"__med": 0.5, "__p25": 0.25, "__p75": 0.75}, [region])
-    nat = one_row(quantiles(fact, value, {"__nat": 0.5}))
-    j = g.crossJoin(nat)
+    j = attach_scalars(g, quantiles(fact, value, {"__nat": 0.5}))
     w = Window.orderBy(F.col("__med").asc(), F.col(region).asc())
     return j.select(region, "n_rows", round_half_up("__med", scale).alias("median"),
                     round_half_up("__p25", scale).alias("p25"), round_half_up("__p75", scale).alias("p75"),
@@ -153,8 +150,8 @@ def price_quality_quartiles(fact: DataFrame, price: str, rating: str, scale: int
 def overpriced(fact: DataFrame, price: str, rating: str, n: int, order_tiebreak: Sequence[str]) -> DataFrame:
     """Rows priced at or above the p75 price and rated at or below the
     p25 rating; the n dearest (the top-n is the feature)."""
-    b = one_row(quantiles(fact, price, {"__p75": 0.75}).crossJoin(quantiles(fact, rating, {"__r25": 0.25})))
-    j = fact.crossJoin(b).filter((F.col(price) >= F.col("__p75")) & (F.col(rating) <= F.col("__r25")))
+    j = attach_scalars(fact, quantiles(fact, price, {"__p75": 0.75}), quantiles(fact, rating, {"__r25": 0.25}))
+    j = j.filter((F.col(price) >= F.col("__p75")) & (F.col(rating) <= F.col("__r25")))
     return j.orderBy(F.col(price).desc(), *[F.col(c).asc() for c in order_tiebreak]).limit(n).drop("__p75", "__r25")
 
 
@@ -207,14 +204,12 @@ def rating_coverage(fact: DataFrame, rating: str, metrics: Sequence[str], scale:
     f = fact.withColumn("has_rating", F.col(rating).isNotNull())
     g = f.groupBy("has_rating").agg(F.count(F.lit(1)).alias("n_rows"),
                                     *[round_half_up(F.avg(m), scale).alias(f"avg_{m}") for m in metrics])
-    tot = one_row(g.agg(F.sum("n_rows").alias("__t")))
-    return g.crossJoin(tot).withColumn("share_pct", round_half_up(pct("n_rows", "__t"), scale)).drop("__t")
+    return attach_scalars(g, g.agg(F.sum("n_rows").alias("__t"))).withColumn("share_pct", round_half_up(pct("n_rows", "__t"), scale)).drop("__t")
 
 
 def extremes_report(fact: DataFrame, value: str, scale: int = 2) -> DataFrame:
     """p95 and p99 of a value plus how many rows exceed each."""
-    q = one_row(quantiles(fact, value, {"__p95": 0.95, "__p99": 0.99}))
-    j = fact.crossJoin(q)
+    j = attach_scalars(fact, quantiles(fact, value, {"__p95": 0.95, "__p99": 0.99}))
     return j.agg(round_half_up(F.first("__p95"), scale).alias("p95"), round_half_up(F.first("__p99"), scale).alias("p99"),
                  F.count_if(F.col(value) > F.col("__p95")).alias("n_above_p95"),
                  F.count_if(F.col(value) > F.col("__p99")).alias("n_above_p99"))

@@ -12,6 +12,8 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
+TYPE_NAMES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+              "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
 NAMES = sorted(E.oracle_sql())
 
 
@@ -36,3 +38,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert ac == bc
     assert len(a) == len(b)
     assert a == b
+    stypes = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    dtypes = {d[0]: str(t) for d, t in zip(cur.description, duck.sql(E.oracle_sql()[name]).types)}
+    assert stypes == dtypes
