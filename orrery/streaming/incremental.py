@@ -12,29 +12,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.keys import keep_last_per_key
 
 
-def _latest_version(spark: SparkSession, target: str) -> str | None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(target)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return None
-    versions = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            versions.append(int(name[2:]))
-    return f"{target}/v={max(versions)}" if versions else None
-
-
 def read_latest(spark: SparkSession, target: str) -> DataFrame | None:
-    v = _latest_version(spark, target)
-    return spark.read.parquet(v) if v else None
+    """The newest committed version of the table: the version folders are
+    partitions ``v=<batch id>`` of ``target``; partition discovery gives the
+    largest id (one number to the driver), then that folder is read."""
+    from pyspark.errors import AnalysisException
+    try:
+        versions = spark.read.parquet(target)
+    except AnalysisException:
+        return None
+    latest = versions.agg(F.max("v").alias("v")).first()["v"]
+    return None if latest is None else spark.read.parquet(f"{target}/v={latest}")
 
 
 def upsert_latest_stream(spark: SparkSession, source_dir: str, schema: StructType, target: str,
