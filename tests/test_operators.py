@@ -133,3 +133,15 @@ def test_cells_to_table_and_incremental(spark):
     out = IO.incremental_merge(prev, cand, ["k"], lambda new: new.withColumn("v", F.lit("new")).withColumn(
         "load_order", F.lit(1)), "load_order").orderBy("k").collect()
     assert [(r.k, r.v) for r in out] == [(1, "a"), (2, "new")]
+
+
+def test_salted_top_k_matches_plain_window(spark):
+    from pyspark.sql import Window
+    rnd = random.Random(3)
+    rows = [("hot" if i % 3 else f"g{i % 5}", rnd.randint(0, 50), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, v int, id int")
+    order = [F.col("v").desc(), F.col("id").asc()]
+    a = W.top_per_group(df, ["g"], order, k=5, rank_col="r", salts=7)
+    w = Window.partitionBy("g").orderBy(*order)
+    b = df.withColumn("r", F.row_number().over(w)).filter("r <= 5")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
