@@ -37,20 +37,25 @@ def one_row(df: DataFrame) -> DataFrame:
 
 
 def scalars(stats: DataFrame) -> dict[str, Column]:
-    """The columns of a one-row aggregate as scalar subqueries. Catalyst
-    merges the subqueries of one aggregate, runs it once and inlines the
-    values into the consuming projection (no join at all)."""
-    return {c: stats.select(F.col(f"`{c}`")).scalar() for c in stats.columns}
+    """The columns of a one-row aggregate as fields of one scalar subquery
+    (computed once, even when its plan is not deterministic)."""
+    sub = stats.select(F.struct(*[F.col(f"`{c}`") for c in stats.columns]).alias("__s")).scalar()
+    return {c: sub.getField(c) for c in stats.columns}
 
 
 def attach_scalars(df: DataFrame, *stats: DataFrame) -> DataFrame:
     """Add every column of one or more one-row aggregates (global statistics
     such as min / max, quantile bounds, totals, centroids) to each row of
-    ``df`` as constants computed once. Used instead of a cross join."""
-    cols = []
-    for st in stats:
-        cols += [v.alias(k) for k, v in scalars(st).items()]
-    return df.select("*", *cols)
+    ``df`` as constants. Each aggregate becomes one scalar subquery, run
+    once; no join is planned."""
+    out = df
+    names = []
+    for i, st in enumerate(stats):
+        sub = st.select(F.struct(*[F.col(f"`{c}`") for c in st.columns]).alias("__s")).scalar()
+        out = out.select("*", sub.alias(f"__scalar{i}"))
+        names.append((f"__scalar{i}", st.columns))
+    fields = [F.col(f"{s_}.`{c}`").alias(c) for s_, cols in names for c in cols]
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *fields)
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,

@@ -50,50 +50,46 @@ def quantiles(df: DataFrame, value: str | Column, probs: Mapping[str, float], ke
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranked = (d.repartitionByRange(n, *kc, "__v").sortWithinPartitions(*kc, "__v")
               .withColumn("__pid", F.spark_partition_id()).withColumn("__mono", F.monotonically_increasing_id()))
-    # Rows per (partition, group) and where the group starts in the partition.
+    # Rows per (partition, group) and where the group starts in the partition;
+    # one window over these few rows gives each piece's offset in its group
+    # and the group size.
     pc = ranked.groupBy("__pid", *kc).agg(F.count(F.lit(1)).alias("__c"), F.min("__mono").alias("__m0"))
-    w = Window.partitionBy(*kc).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    pc = pc.withColumn("__off", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-    totals = pc.groupBy(*kc).agg(F.sum("__c").alias("__n"))
+    wg = Window.partitionBy(*kc)
+    pc = (pc.withColumn("__off", F.coalesce(F.sum("__c").over(wg.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
+                                            F.lit(0)))
+          .withColumn("__n", F.sum("__c").over(wg)))
     plist = list(probs.items())
-    targets = totals.select(*kc, "__n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p")) for i, (_, p) in enumerate(plist)])).alias("t"))
+    # One target row per (group, probability, side): the ranks to read.
+    first = pc.filter(F.col("__off") == 0).select(*kc, "__n")
+    t = first.select(*kc, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p")) for i, (_, p) in enumerate(plist)])).alias("t"), "__n")
     pos = F.col("t.p") * (F.col("__n") - 1)
-    targets = targets.select(*kc, F.col("t.qi").alias("qi"), F.floor(pos).cast("long").alias("__lo"),
-                             F.ceil(pos).cast("long").alias("__hi"), (pos - F.floor(pos)).alias("__frac"))
-    needed = targets.select(*kc, F.explode(F.array("__lo", "__hi")).alias("__rank")).distinct()
-    r = ranked.join(pc.select("__pid", *kc, "__off", "__m0"), ["__pid"] + [], "inner") if not kc else None
-    if kc:
-        pcs = pc.select(F.col("__pid").alias("__pid2"), *[F.col(c).alias(c + "_2") for c in kc], "__off", "__m0")
-        cond = ranked["__pid"] == pcs["__pid2"]
-        for c in kc:
-            cond = cond & ranked[c].eqNullSafe(pcs[c + "_2"])
-        r = ranked.join(pcs, cond, "inner").drop("__pid2", *[c + "_2" for c in kc])
-    r = r.withColumn("__rank", F.col("__off") + F.col("__mono") - F.col("__m0"))
-    hit = r.select(*kc, "__rank", "__v").join(needed, _null_safe_cond(r, needed, kc) & (r["__rank"] == needed["__rank"]),
-                                              "left_semi") if kc else r.select("__rank", "__v").join(needed, "__rank", "left_semi")
-    lo = hit.select(*[F.col(c).alias(c + "_l") for c in kc], F.col("__rank").alias("__rl"), F.col("__v").alias("__vl"))
-    hi = hit.select(*[F.col(c).alias(c + "_h") for c in kc], F.col("__rank").alias("__rh"), F.col("__v").alias("__vh"))
-    c1 = targets["__lo"] == lo["__rl"]
+    t = t.select(*kc, F.col("t.qi").alias("__qi"), (pos - F.floor(pos)).alias("__frac"),
+                 F.explode(F.array(F.struct(F.lit(0).alias("side"), F.floor(pos).cast("long").alias("rank")),
+                                   F.struct(F.lit(1).alias("side"), F.ceil(pos).cast("long").alias("rank")))).alias("s"))
+    t = t.select(*[F.col(c).alias(c + "_t") for c in kc], "__qi", "__frac", F.col("s.side").alias("__side"),
+                 F.col("s.rank").alias("__trank"))
+    pcs = pc.select(F.col("__pid").alias("__pid2"), *[F.col(c).alias(c + "_2") for c in kc], "__off", "__m0")
+    cond = ranked["__pid"] == pcs["__pid2"]
     for c in kc:
-        c1 = c1 & targets[c].eqNullSafe(lo[c + "_l"])
-    t1 = targets.join(lo, c1, "left")
-    c2 = t1["__hi"] == hi["__rh"]
+        cond = cond & ranked[c].eqNullSafe(pcs[c + "_2"])
+    r = ranked.join(pcs, cond, "inner").select(*kc, "__v", (F.col("__off") + F.col("__mono") - F.col("__m0")).alias("__rank"))
+    cond = r["__rank"] == t["__trank"]
     for c in kc:
-        c2 = c2 & t1[c].eqNullSafe(hi[c + "_h"])
-    t2 = t1.join(hi, c2, "left")
-    val = F.col("__vl") + F.col("__frac") * (F.col("__vh") - F.col("__vl"))
-    if scale is not None:
-        val = round_half_up(val, scale)
-    long = t2.select(*kc, "qi", val.alias("__q"))
-    wide = long.groupBy(*kc).pivot("qi", list(range(len(plist)))).agg(F.first("__q"))
-    out = wide.select(*[F.col(c).alias(k) for c, k in zip(kc, keys)],
-                      *[F.col(f"`{i}`").alias(name) for i, (name, _) in enumerate(plist)])
+        cond = cond & r[c].eqNullSafe(t[c + "_t"])
+    hit = r.join(t, cond, "inner")
+    aggs = []
+    for i, (name, _) in enumerate(plist):
+        lo = F.max(F.when((F.col("__qi") == i) & (F.col("__side") == 0), F.col("__v")))
+        hi = F.max(F.when((F.col("__qi") == i) & (F.col("__side") == 1), F.col("__v")))
+        fr = F.max(F.when(F.col("__qi") == i, F.col("__frac")))
+        val = lo + fr * (hi - lo)
+        aggs.append((round_half_up(val, scale) if scale is not None else val).alias(name))
     if not keys:
-        # An empty input still yields one row of nulls, like an aggregate.
-        empty = df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(name) for name, _ in plist])
-        out = out.unionByName(empty).agg(*[F.max(name).alias(name) for name, _ in plist])
-    return out
+        # A global quantile is one row even on empty input, like an aggregate.
+        return hit.agg(*aggs)
+    out = hit.groupBy(*kc).agg(*aggs)
+    return out.select(*[F.col(c).alias(k) for c, k in zip(kc, keys)], *[name for name, _ in plist])
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
