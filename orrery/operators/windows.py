@@ -159,7 +159,9 @@ def period_change(df: DataFrame, series: Sequence[str], period: str, value: str,
 
 def running_diff(df: DataFrame, order: str, value: str, out: str | None = None,
                  series: Sequence[str] = ()) -> DataFrame:
-    """Value minus the previous row's value (``diff``)."""
+    """Value minus the previous row's value (``diff``). Meant for
+    aggregated series (scenario rows, yearly totals): without ``series`` the
+    window is unpartitioned, so pass ``series`` for anything data-sized."""
     w = Window.partitionBy(*series).orderBy(order) if series else Window.orderBy(order)
     return df.withColumn(out or f"diff_{value}", F.col(value) - F.lag(value).over(w))
 
