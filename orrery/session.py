@@ -7,7 +7,7 @@ configuration (shuffle partitions, checkpoint dir, AQE) always wins.
 
 from __future__ import annotations
 
-import os
+
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -28,18 +28,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "orrery") -> SparkSession:
     """Return the active session or build a local one.
 
-    ``master`` defaults to ``local[$BENCH_CPUS]`` (or ``local[*]``).
+    ``master`` defaults to ``local[*]``.
     """
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
-    cpus = os.environ.get("BENCH_CPUS", "*")
-    builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app_name)
+    builder = SparkSession.builder.master(master or "local[*]").appName(app_name)
     for key, value in _LOCAL_DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("ORRERY_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -49,16 +47,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (a local test) is a scratch folder chosen. The
-    folder is also registered with the SparkContext so ``DataFrame.checkpoint``
-    writes there (a reliable checkpoint survives executor loss; a local
-    checkpoint does not and is never used).
+    Only on a local master (tests) is a scratch folder chosen when the setting
+    is absent; on a cluster a missing setting is an error, since a folder of
+    the driver's own machine would be unseen by the executors. The folder is
+    registered with the SparkContext, so ``DataFrame.checkpoint`` writes there
+    (a reliable checkpoint survives executor loss).
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="orrery-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
