@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import licenses, mixing, packing, repetition, urls
+from . import classifier, language, lattice, licenses, mixing, neardup, packing, repetition, urls
 
 QUERIES = {
     "op1_source_mixing": mixing.op1,
     "op2_quality_rules": repetition.op2,
+    "op4_language_id": language.op4,
     "op5_packing": packing.op5,
+    "op6_quality_classifier": classifier.op6,
+    "op7_near_dedup": neardup.op7,
     "op8_url_filter": urls.op8,
+    "op9_vector_near_dedup": lattice.op9,
     "op10_license_scan": licenses.op10,
 }
 
