@@ -24,15 +24,23 @@ def shared_folder(spark: SparkSession, what: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, what: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the
-    lineage, survives lost executors and is computed once."""
-    path = shared_folder(df.sparkSession, what)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lineage, survives lost executors and is computed once. The shuffle files
+    of the write are removed with it, since only the table is read afterwards."""
+    spark = df.sparkSession
+    path = shared_folder(spark, what)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        writer.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remove(df_or_path, spark: SparkSession | None = None) -> None:

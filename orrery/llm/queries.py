@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import classifier, language, lattice, licenses, mixing, neardup, packing, repetition, urls
+from . import classifier, katz, language, lattice, licenses, mixing, neardup, packing, repetition, urls
 
 QUERIES = {
     "op1_source_mixing": mixing.op1,
     "op2_quality_rules": repetition.op2,
+    "op3_katz_scoring": katz.op3,
     "op4_language_id": language.op4,
     "op5_packing": packing.op5,
     "op6_quality_classifier": classifier.op6,
