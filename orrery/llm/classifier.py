@@ -229,12 +229,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 12_000, folds: in
 
 
 def classify(docs: DataFrame, model: dict) -> DataFrame:
-    """Adds quality_score, toxic_score (0 to 1) and kept to the rows.
+    """Adds quality_score, toxic_score (0 to 1) and kept to the rows, in place of columns of these names.
 
     A document is kept if its quality score is at least 0.5 and its toxic
     score below 0.5. Null and empty texts have no words and are scored by
     their votes alone; documents of no words are never kept.
     """
+    docs = docs.drop("quality_score", "toxic_score", "kept")
     shared = docs.sparkSession.sparkContext.broadcast({k: (w.astype(np.float32), b) for k, (w, b) in model.items()})
     place = docs.columns.index("text")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]

@@ -58,7 +58,7 @@ class Model:
             first = sum(map(len, rows))
             self.index[int(kind)] = {g: first + i for g, i in place.items()}
             rows.append(log - log.mean(axis=1, keepdims=True))
-        self.table = np.concatenate(rows).astype(np.float32) if rows else np.zeros((0, 0), np.float32)
+        self.table = np.concatenate(rows).astype(np.float32) if rows else np.zeros((0, len(self.languages)), np.float32)
 
     def unseen(self, word: str) -> np.ndarray | None:
         for order in _ORDERS:
@@ -113,12 +113,13 @@ def fit(docs: DataFrame, docs_per_language: int = 4000, words_per_language: int
 
 
 def predict(docs: DataFrame, model: Model, remember: int = 300_000) -> DataFrame:
-    """Adds lang_pred and score to the rows (a null text or one without
+    """Adds lang_pred and score to the rows, in place of columns of these names (a null text or one without
     letters is ``und`` with score 0; with nothing learned, all are).
 
     The score is the posterior of the best language, the evidence of at most
     50 words' weight counted; ties go to the first language by code point.
     """
+    docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
     place = docs.columns.index("text")
@@ -149,7 +150,7 @@ def predict(docs: DataFrame, model: Model, remember: int = 300_000) -> DataFrame
                     rows.clear()
                     extra.clear()
                 at = np.fromiter((rows[w] for ws in words for w in ws), np.int64, int(counts.sum()))
-                table = np.concatenate([m.table, np.array(extra, np.float32).reshape(-1, n_lang)])
+                table = np.concatenate([m.table, np.array(extra, np.float32).reshape(len(extra), n_lang)])
                 doc = np.repeat(np.arange(z - a), counts)
                 total = np.stack([np.bincount(doc, table[at, j], z - a) for j in range(n_lang)], 1) if n_lang else np.zeros((z - a, 0))
                 mean = total / np.maximum(counts, 1)[:, None] * np.minimum(counts, 50)[:, None]

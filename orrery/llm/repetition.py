@@ -19,65 +19,63 @@ from .common import WHITE, Ids, binary_texts, chunks
 SYMBOLS = b"#*$%&|<>"
 
 
-def _dense(keys: np.ndarray) -> np.ndarray:
-    """0, 1, 2, ... by rising key, equal keys alike."""
-    order = np.argsort(keys)
-    k = keys[order]
-    new = np.empty(len(k), np.int64)
-    if len(k):
-        new[0] = 0
-        np.cumsum(k[1:] != k[:-1], out=new[1:])
-    out = np.empty(len(k), np.int64)
-    out[order] = new
-    return out
-
-
-def _shared(ranks: np.ndarray, n_ranks: int) -> np.ndarray:
-    """Which positions share their rank with another one."""
-    return np.bincount(ranks, minlength=n_ranks)[ranks] > 1
-
-
-class Levels:
-    """Prefix doubling over several documents at once.
-
-    ``level(k)``: for every position the rank of its window of 2 ** k symbols
-    among all positions, -1 where no other position of the same document has
-    an equal window, or where the window passes the end of the document.
+class SuffixRanks:
+    """Suffix order by prefix doubling, over several documents at once.
+
+    ``levels[k]`` ranks every position by its window of 2 ** k symbols, cut at
+    the end of its document; the rank is the place in the suffix array at
+    which the positions with that window begin. Documents never share a
+    window. Each doubling sorts only the positions that are not alone yet.
     """
 
     def __init__(self, symbols: np.ndarray, doc: np.ndarray):
-        n = len(symbols)
-        self.n, self.ranks = n, []
-        r = _dense(doc * (int(symbols.max()) + 1) + symbols) if n else np.empty(0, np.int64)
-        alone = ~_shared(r, n + 1) if n else np.empty(0, bool)
-        self.ranks.append(np.where(alone, -1, r))
-
-    def level(self, k: int) -> np.ndarray:
-        while len(self.ranks) <= k:
-            last, step = self.ranks[-1], 1 << (len(self.ranks) - 1)
-            out = np.full(self.n, -1, np.int64)
-            at = np.flatnonzero(last[:max(0, self.n - step)] >= 0)
-            at = at[last[at + step] >= 0]
-            if len(at):
-                r = _dense(last[at] * self.n + last[at + step])
-                keep = _shared(r, len(r) + 1)
-                out[at[keep]] = r[keep]
-            self.ranks.append(out)
-        return self.ranks[k]
-
-
-def window_repeats(levels: Levels, width: int) -> np.ndarray:
+        n = self.n = len(symbols)
+        self.end = np.searchsorted(doc, doc, side="right")
+        key = doc * (int(symbols.max()) + 1) + symbols if n else np.empty(0, np.int64)
+        self.levels, self.shared = [], []
+        self._sort(np.arange(n), np.zeros(n, np.int64), key)
+
+    def _sort(self, at: np.ndarray, rank: np.ndarray, key: np.ndarray) -> None:
+        """Split the groups of equal rank of the positions ``at`` by ``key`` (rank first)."""
+        order = np.argsort(key)
+        k, at = key[order], at[order]
+        old, i = rank[at], np.arange(len(at))
+        changes = lambda x: np.concatenate([np.ones(min(1, len(x)), bool), x[1:] != x[:-1]])
+        new = changes(k)
+        first = np.maximum.accumulate(np.where(new, i, 0))
+        begin = np.maximum.accumulate(np.where(changes(old), i, 0))
+        rank[at] = old + first - begin
+        alone = new & np.concatenate([new[1:], np.ones(min(1, len(at)), bool)])
+        self.levels.append(rank)
+        self.shared.append(np.sort(at[~alone]))
+
+    def _double(self) -> None:
+        at, rank, step = self.shared[-1], self.levels[-1].copy(), 1 << (len(self.levels) - 1)
+        after = np.where(at + step < self.end[at], rank[np.minimum(at + step, self.n - 1)], -1)
+        self._sort(at, rank, rank[at] * (self.n + 1) + after + 1)
+
+    def reach(self, k: int) -> None:
+        """Have level k, unless all positions are alone before."""
+        while len(self.levels) <= k and len(self.shared[-1]):
+            self._double()
+
+    def finish(self) -> None:
+        while len(self.shared[-1]):
+            self._double()
+
+
+def window_repeats(ranks: SuffixRanks, width: int) -> np.ndarray:
     """Positions whose window of ``width`` symbols occurs again in the document."""
     k = width.bit_length() - 1
-    r, rest = levels.level(k), width - (1 << k)
-    if not rest or not levels.n:
-        return np.flatnonzero(r >= 0)
-    at = np.flatnonzero(r[:max(0, levels.n - rest)] >= 0)
-    at = at[r[at + rest] >= 0]
-    if not len(at):
-        return at
-    same = _dense(r[at] * levels.n + r[at + rest])
-    return at[_shared(same, len(same) + 1)]
+    rest = width - (1 << k)
+    ranks.reach(k)
+    if len(ranks.shared) <= k:
+        return np.empty(0, np.int64)
+    at, level = ranks.shared[k], ranks.levels[k]
+    at = at[at + width <= ranks.end[at]]
+    key = level[at] * (ranks.n + 1) + level[np.minimum(at + rest, ranks.n - 1)]
+    _, where, count = np.unique(key, return_inverse=True, return_counts=True)
+    return at[count[where] > 1]
 
 
 def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
@@ -88,44 +86,32 @@ def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def maximal_repeats(levels: Levels, least: int) -> tuple[np.ndarray, np.ndarray]:
+def maximal_repeats(ranks: SuffixRanks, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(start, length) of every occurrence of a maximal repeat of ``least``
     symbols or more: the longest repeated prefix of each suffix that cannot
     be lengthened to the left.
 
-    Only suffixes that share a window of 2 ** k <= least symbols are sorted:
-    all others have shorter common prefixes. The common prefix of neighbours
-    is read off the doubling levels, longest window first.
+    A suffix's longest repeated prefix is the larger of its common prefixes
+    with its two neighbours in the suffix array, read off the doubling levels,
+    longest window first. Suffixes alone with their window of 2 ** k <= least
+    symbols have none that long and are left out.
     """
+    ranks.finish()
     k = least.bit_length() - 1
-    top = k
-    while (levels.level(top) >= 0).any():
-        top += 1
-    at = np.flatnonzero(levels.level(k) >= 0)
-    if not len(at):
-        return at, at
-    # Suffix order: by the windows of 2 ** k symbols in turn, resolved by doubling.
-    order, step = levels.level(k)[at], 1 << k
-    rank = np.full(levels.n + 1, -1, np.int64)
-    while True:
-        rank[at] = order
-        after = rank[np.minimum(at + step, levels.n)]
-        new = _dense(order * (levels.n + 2) + after + 1)
-        if step >= levels.n or new.max() == order.max() and len(np.unique(new)) == len(np.unique(order)):
-            order = new
-            break
-        order, step = new, 2 * step
-    sa = at[np.argsort(order, kind="stable")]
+    at = ranks.shared[k] if k < len(ranks.shared) else np.empty(0, np.int64)
+    sa = at[np.argsort(ranks.levels[-1][at])]
+    if len(sa) < 2:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     a, b = sa[:-1].copy(), sa[1:].copy()
+    end_a, end_b = ranks.end[a], ranks.end[b]
     lcp = np.zeros(len(a), np.int64)
-    for j in range(top - 1, -1, -1):
-        r = levels.level(j)
-        ra, rb = r[np.minimum(a, levels.n - 1)], r[np.minimum(b, levels.n - 1)]
-        same = (ra == rb) & (ra >= 0) & (a < levels.n) & (b < levels.n)
+    for j in range(len(ranks.levels) - 1, -1, -1):
+        level = ranks.levels[j]
+        same = (a < end_a) & (b < end_b) & (level[np.minimum(a, ranks.n - 1)] == level[np.minimum(b, ranks.n - 1)])
         a[same] += 1 << j
         b[same] += 1 << j
         lcp[same] += 1 << j
-    longest = np.zeros(levels.n, np.int64)
+    longest = np.zeros(ranks.n, np.int64)
     both = np.zeros(len(sa), np.int64)
     both[1:] = lcp
     both[:-1] = np.maximum(both[:-1], lcp)
@@ -157,8 +143,8 @@ def analyse(texts: list[bytes], least: int, long_word: int) -> dict[str, np.ndar
     flat = [w for ws in words for w in ws]
     number = np.fromiter(map(ids.__getitem__, flat), np.int64, len(flat))
     doc = np.repeat(np.arange(n), counts)
-    levels = Levels(number, doc)
-    at = window_repeats(levels, 5)
+    ranks = SuffixRanks(number, doc)
+    at = window_repeats(ranks, 5)
     repeated = covered(at, at + 5, len(flat))
     # Symbols of the suffix array: words, or single characters of overlong words.
     weight = np.array([len(w) for w in ids], np.int64)
@@ -168,9 +154,9 @@ def analyse(texts: list[bytes], least: int, long_word: int) -> dict[str, np.ndar
         flat = [p for ps in parts for p in ps]
         number = np.fromiter(map(ids.__getitem__, flat), np.int64, len(flat))
         doc = np.repeat(doc, size)
-        levels = Levels(number, doc)
+        ranks = SuffixRanks(number, doc)
         weight = np.array([len(w) for w in ids], np.int64)
-    start, length = maximal_repeats(levels, least)
+    start, length = maximal_repeats(ranks, least)
     weights = weight[number] if len(number) else np.zeros(0, np.int64)
     inside = covered(start, start + length, len(flat))
     total = np.bincount(doc, weights, n)

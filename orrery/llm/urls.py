@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, written
+from .common import ascii_lower, mix64, written
 
 _WORDS = 8  # one block: 8 words of 64 bits
 _PROBES = 8
@@ -32,7 +32,7 @@ def _block_and_mask(h: np.ndarray, n_blocks: int) -> tuple[np.ndarray, np.ndarra
     """Block of every hash and the (n, 8) words whose bits it sets: one bit in each word."""
     u = h.astype(np.int64).view(np.uint64)
     block = ((u >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)
-    salt = (2 * np.arange(_PROBES, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    salt = mix64(np.arange(1, _PROBES + 1)) | np.uint64(1)
     bit = ((u & np.uint64(0xFFFFFFFF))[:, None] * salt[None, :]) >> np.uint64(58)
     return block.astype(np.int64), np.uint64(1) << bit
 
