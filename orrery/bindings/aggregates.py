@@ -222,7 +222,7 @@ def a24(t: Tables):
     li = _lines(t)
     sc = A.scenario_compare(li, {"all_rows": F.lit(True), "without_returns": F.col("l_returnflag") != "R"},
                             {"avg_price": "l_extendedprice", "avg_discount": "l_discount"})
-    return running_diff(sc, "scenario_pos", "avg_price")
+    return running_diff(sc.withColumn("series", F.lit(1)), "scenario_pos", "avg_price", ["series"]).drop("series")
 
 
 @register("a25_ledger_totals", f"""

@@ -27,8 +27,7 @@ def j1(t: Tables):
     s = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
     n = t.nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "n_regionkey")
     r = t.region.select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    return (J.lookup_join(J.lookup_join(s, n, "s_nationkey", max_broadcast_rows=100_000), r, "n_regionkey",
-                          max_broadcast_rows=100_000)
+    return (J.lookup_join(J.lookup_join(s, n, "s_nationkey"), r, "n_regionkey")
             .select("s_suppkey", "s_name", "n_name", "r_name"))
 
 

@@ -236,6 +236,25 @@ def budget_margin(t: Tables):
     return j.select("plan_id", m.alias("margin"), st.alias("margin_status"))
 
 
+@register("p10_budget_page_margin", _ctes(*COST_CTES, ("page", PAGE_SQL)) + """
+SELECT plan_id, page_total, difference AS margin, CASE WHEN difference >= 0 THEN 'within' ELSE 'over' END AS margin_status FROM page
+""", ["P10"])
+def budget_page_margin(t: Tables):
+    return _page(t).select("plan_id", "page_total", F.col("difference").alias("margin"),
+                           F.when(F.col("difference") >= 0, F.lit("within")).otherwise(F.lit("over")).alias("margin_status"))
+
+
+@register("p10_checklist_margin", _ctes(*COST_CTES) + f"""
+SELECT plan_id, {r2('total')} AS total, {r2('budget - total')} AS margin,
+       CASE WHEN total > 0 THEN CASE WHEN {r2('budget - total')} >= 0 THEN 'within' ELSE 'over' END END AS margin_status
+FROM (SELECT s.plan_id, s.budget, COALESCE(e.lodging_cost, 0.0) + COALESCE(e.activities_cost, 0.0) + COALESCE(e.transport_cost, 0.0)
+             + {r2('(COALESCE(e.lodging_cost, 0.0) + COALESCE(e.activities_cost, 0.0)) * 0.10')} AS total
+      FROM summary s LEFT JOIN estimate e ON s.plan_id = e.plan_id) x
+""", ["P10"])
+def checklist_margin(t: Tables):
+    return P.checklist_margin(_summary(t), estimate(t))
+
+
 ITINERARY_SQL = _ctes() + f"""
 , acts AS (
   SELECT plan_id, LIST(category ORDER BY category, k) AS acts

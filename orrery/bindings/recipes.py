@@ -307,7 +307,7 @@ from .sqlutil import spanish_text as _es_sql  # noqa: E402
 def _lodging_raw(t: Tables):
     from ..functions.dates import is_weekend_night
     from ..functions.text import format_money
-    li = t.lineitem.select("l_orderkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_extendedprice")
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_returnflag", "l_extendedprice")
     s = t.supplier.select("s_suppkey", "s_nationkey")
     n = t.nation.select("n_nationkey", "n_name")
     j = li.join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -317,24 +317,33 @@ def _lodging_raw(t: Tables):
         F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")))
     return j.select(prov.alias("province_text"), F.month("l_shipdate").alias("month"),
                     F.col("l_returnflag").alias("category"),
+                    F.when(F.col("l_linenumber") % 2 == 0, " 1 Mes").when(F.col("l_linenumber") < 7, "2-3 MESES ").alias("lead_text"),
                     F.when(~we, txt).alias("weekday_text"), F.when(we, txt).alias("weekend_text"))
 
 
 def _lodging_ratings(t: Tables):
-    li = t.lineitem.filter(F.col("l_returnflag") != "N").select("l_suppkey", "l_returnflag", "l_discount")
+    li = t.lineitem.filter(F.col("l_returnflag") != "N").select("l_suppkey", "l_shipdate", "l_returnflag", "l_discount")
     s = t.supplier.select("s_suppkey", "s_nationkey")
-    return (li.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
-            .groupBy(F.col("s_nationkey").alias("province_id"), F.col("l_returnflag").alias("category"))
-            .agg((F.avg("l_discount") * 1000).alias("rating_0_100")))
+    n = t.nation.select("n_nationkey", "n_regionkey")
+    return (li.join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+            .select(F.col("n_regionkey").alias("country_id"), F.col("s_nationkey").alias("province_id"),
+                    F.month("l_shipdate").alias("month"), F.col("l_returnflag").alias("category"),
+                    (F.col("l_discount") * 1000).alias("rating_0_100")))
 
 
 def _rentals(t: Tables):
-    o = t.orders.select("o_custkey", "o_totalprice", "o_orderdate")
-    c = t.customer.select("c_custkey", "c_nationkey")
+    """Region-grain rows: type = the order's priority; the last type has no rating."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    c = t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
     n = t.nation.select("n_nationkey", "n_regionkey")
+    low = F.col("o_orderpriority").startswith("5")
     return (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(F.col("n_regionkey").alias("country_id"), F.month("o_orderdate").alias("month"),
-                    (F.col("o_totalprice") / 100).alias("price")))
+            .groupBy(F.col("n_regionkey").alias("country_id"), F.month("o_orderdate").alias("month"),
+                     F.col("o_orderpriority").alias("category"),
+                     F.when(F.col("o_orderkey") % 2 == 0, "1 mes").otherwise("2-3 meses").alias("lead_time"))
+            .agg(round_half_up(F.avg(F.col("o_totalprice") / 100)).alias("weekday_price"),
+                 round_half_up(F.avg(F.col("o_totalprice") / 80)).alias("weekend_price"),
+                 round_half_up(F.avg(F.when(~low, F.col("c_acctbal") / 2000))).alias("rating")))
 
 
 def lodging_fact_build(t: Tables):
@@ -343,8 +352,8 @@ def lodging_fact_build(t: Tables):
 
 
 def _impute_sql(src: str, col: str, out: str) -> str:
-    lv = [["country_id", "province_id", "month", "category"], ["country_id", "province_id", "category"],
-          ["country_id", "category"]]
+    lv = [["country_id", "province_id", "month", "category", "lead_time"], ["country_id", "province_id", "month", "category"],
+          ["country_id", "month", "category"]]
     steps, prev = [], col
     for i, keys in enumerate(lv):
         ok = " AND ".join(f"{k} IS NOT NULL" for k in keys)
@@ -360,6 +369,7 @@ def _m4_sql() -> str:
     txt = f"CASE WHEN l_orderkey % 7 = 0 THEN '-' ELSE {_es_sql('l_extendedprice')} END"
     prov = "CASE WHEN s_suppkey % 11 = 0 THEN 'Unknown Place' ELSE '  ' || lower(n_name) || ' ' END"
     raw = f"""SELECT {_norm_sql(prov)} AS province_key, CAST(month(l_shipdate) AS INTEGER) AS month, l_returnflag AS category,
+      CASE WHEN l_linenumber % 2 = 0 THEN '1 mes' WHEN l_linenumber < 7 THEN '2-3 meses' END AS lead_time,
       {_parse_sql(f"CASE WHEN dayofweek(l_shipdate) NOT IN (5, 6) THEN {txt} END")} AS weekday_price,
       {_parse_sql(f"CASE WHEN dayofweek(l_shipdate) IN (5, 6) THEN {txt} END")} AS weekend_price
       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"""
@@ -368,24 +378,27 @@ def _m4_sql() -> str:
     imp = _impute_sql(_impute_sql(r, "weekday_price", "wd"), "weekend_price", "we")
     return f"""
 WITH imp AS ({imp}),
-g AS (SELECT country_id, province_id, month, category, {r2('AVG(wd)')} AS weekday_price, {r2('AVG(we)')} AS weekend_price
+g AS (SELECT country_id, province_id, month, category, lead_time, {r2('AVG(wd)')} AS weekday_price, {r2('AVG(we)')} AS weekend_price
       FROM imp WHERE country_id IS NOT NULL AND province_id IS NOT NULL AND month IS NOT NULL AND category IS NOT NULL
-      GROUP BY 1, 2, 3, 4),
-rt AS (SELECT s_nationkey AS province_id, l_returnflag AS category, {r2('AVG(l_discount) * 1000 / 20.0')} AS rating
-       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag <> 'N' GROUP BY 1, 2),
-hotels AS (SELECT g.country_id, g.province_id, g.month, g.category, g.weekday_price, g.weekend_price, rt.rating,
-                  rt.rating IS NOT NULL AS has_rating, 'hotel' AS source, 'province' AS origin_grain, FALSE AS is_replicated,
-                  'province' AS geo_level
-           FROM g LEFT JOIN rt ON g.province_id = rt.province_id AND g.category = rt.category),
-reg AS (SELECT n_regionkey AS country_id, CAST(month(o_orderdate) AS INTEGER) AS month, {r2('AVG(o_totalprice / 100)')} AS price
-        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
-rentals AS (SELECT reg.country_id, b.province_id, reg.month, 'V' AS category, reg.price AS weekday_price, reg.price AS weekend_price,
-                   CAST(NULL AS DOUBLE) AS rating, FALSE AS has_rating, 'rentals' AS source, 'region' AS origin_grain,
-                   TRUE AS is_replicated, 'province' AS geo_level
-            FROM reg JOIN (SELECT DISTINCT n_regionkey AS country_id, n_nationkey AS province_id FROM nation) b
-              ON reg.country_id = b.country_id),
-u AS (SELECT * FROM hotels UNION ALL SELECT * FROM rentals)
-SELECT *, ROW_NUMBER() OVER (ORDER BY country_id, province_id, month, category, source) AS lodging_id FROM u"""
+        AND lead_time IS NOT NULL GROUP BY 1, 2, 3, 4, 5),
+rt AS (SELECT n_regionkey AS country_id, s_nationkey AS province_id, CAST(month(l_shipdate) AS INTEGER) AS month,
+              l_returnflag AS category, {r2('AVG(l_discount * 1000) / 20.0')} AS rating
+       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+       WHERE l_returnflag <> 'N' GROUP BY 1, 2, 3, 4),
+hotels AS (SELECT g.*, rt.rating, 'hotel' AS source, 'province' AS origin_grain, FALSE AS is_replicated
+           FROM g LEFT JOIN rt USING (country_id, province_id, month, category)),
+reg AS (SELECT n_regionkey AS country_id, CAST(month(o_orderdate) AS INTEGER) AS month, o_orderpriority AS category,
+               CASE WHEN o_orderkey % 2 = 0 THEN '1 mes' ELSE '2-3 meses' END AS lead_time,
+               {r2('AVG(o_totalprice / 100)')} AS weekday_price, {r2('AVG(o_totalprice / 80)')} AS weekend_price,
+               {r2("AVG(CASE WHEN o_orderpriority NOT LIKE '5%' THEN c_acctbal / 2000 END)")} AS rating
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2, 3, 4),
+rentals AS (SELECT reg.country_id, n_nationkey AS province_id, month, category, lead_time, weekday_price, weekend_price, rating,
+                   'rentals' AS source, 'region' AS origin_grain, TRUE AS is_replicated
+            FROM reg LEFT JOIN nation ON country_id = n_regionkey),
+u AS (SELECT country_id, province_id, month, category, lead_time, weekday_price, weekend_price, rating, source, origin_grain,
+             is_replicated FROM hotels UNION ALL SELECT * FROM rentals)
+SELECT *, rating IS NOT NULL AS has_rating, 'province' AS geo_level,
+       ROW_NUMBER() OVER (ORDER BY country_id, province_id, month, category, lead_time, source) AS lodging_id FROM u"""
 
 
 M4_SQL = _m4_sql()
@@ -419,7 +432,7 @@ _CAT_SQL = ("CASE p_type WHEN 'PROMO' THEN 'comida y bebida' WHEN 'STANDARD' THE
 def activity_fact_build(t: Tables):
     from ..functions.text import format_money
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_discount",
-                           "l_returnflag")
+                           "l_quantity", "l_returnflag")
     p = t.part.select("p_partkey", "p_type", "p_brand", "p_retailprice")
     s = t.supplier.select("s_suppkey", "s_nationkey")
     n = t.nation.select("n_nationkey", "n_regionkey")
@@ -433,8 +446,10 @@ def activity_fact_build(t: Tables):
     from ..operators.joins import map_values
     rated = map_values(j.filter(F.col("l_returnflag") == "R"), "p_type", ACTIVITY_CATEGORY_MAP, mode="replace",
                        output="category")
-    ratings = rated.groupBy(F.col("s_nationkey").alias("province_id"), "category").agg(
-        round_half_up(F.avg("l_discount") * 50).alias("rating"))
+    ratings = rated.groupBy(F.col("n_regionkey").alias("country_id"), F.col("s_nationkey").alias("province_id"), "category").agg(
+        round_half_up(F.avg("l_discount") * 50).alias("category_rating"),
+        round_half_up(F.avg(F.when(F.col("l_quantity") > 10, F.col("l_discount"))) * 50).alias("general_rating"),
+        round_half_up(F.avg("l_quantity")).alias("opinions"))
     return M.build_activity_fact(raw, ACTIVITY_CATEGORY_MAP, ratings)
 
 
@@ -448,10 +463,12 @@ g AS (SELECT country_id, province_id, month, category, product, {r2('AVG(total_s
              {r2('AVG(entry_price)')} AS entry_price FROM raw GROUP BY 1, 2, 3, 4, 5),
 gm AS (SELECT country_id, province_id, month, CASE category WHEN 'PROMO' THEN 'comida y bebida' WHEN 'STANDARD' THEN 'servicios'
               WHEN 'LARGE' THEN 'otros' ELSE category END AS category, product, total_spend, entry_price FROM g),
-rt AS (SELECT s_nationkey AS province_id, {_CAT_SQL} AS category, {r2('AVG(l_discount) * 50')} AS rating
-       FROM j WHERE l_returnflag = 'R' GROUP BY 1, 2)
-SELECT gm.*, rt.rating, rt.rating IS NOT NULL AS has_rating
-FROM gm LEFT JOIN rt ON gm.province_id = rt.province_id AND gm.category = rt.category""",
+rt AS (SELECT n_regionkey AS country_id, s_nationkey AS province_id, {_CAT_SQL} AS category,
+              {r2('AVG(l_discount) * 50')} AS category_rating,
+              {r2('AVG(CASE WHEN l_quantity > 10 THEN l_discount END) * 50')} AS general_rating, {r2('AVG(l_quantity)')} AS opinions
+       FROM j WHERE l_returnflag = 'R' GROUP BY 1, 2, 3)
+SELECT gm.*, category_rating, general_rating, opinions, general_rating IS NOT NULL AS has_rating
+FROM gm LEFT JOIN rt USING (country_id, province_id, category)""",
           ["M5", "N1", "A1", "J10", "J1", "F12"])
 def m5(t: Tables):
     return activity_fact_build(t)

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import attach_scalars
 from ..operators.keys import keep_last_per_key
 from ..sources import io as IO
 from ..tables import Tables
@@ -41,31 +42,67 @@ def io2(t: Tables):
     return _typed(back.withColumnRenamed(key, "c_custkey"), CUSTOMER_TYPES)
 
 
+@register("io2_late_latin1_line", "SELECT n_nationkey, CASE WHEN n_nationkey = (SELECT MAX(n_nationkey) FROM nation) THEN 'M' || chr(225) || 'laga' "
+          "ELSE n_name END AS n_name FROM nation", ["IO2"])
+def io2_late(t: Tables):
+    """The only line that is not UTF-8 is the last one."""
+    path = IO.scratch_path(t.spark, "io2-late")
+    last = t.nation.agg(F.max("n_nationkey").alias("last"))
+    out = attach_scalars(t.nation, last).orderBy("n_nationkey").select("n_nationkey", F.when(F.col("n_nationkey") == F.col("last"), "M\u00e1laga").otherwise(F.col("n_name")).alias("n_name"))
+    out.coalesce(1).write.option("sep", ";").option("encoding", "ISO-8859-1").option("header", True).csv(path)
+    return _typed(IO.read_sniffed(t.spark, path), {"n_nationkey": "int", "n_name": "string"})
+
+
 @register("io3_literal_na_kept", """
-SELECT n_nationkey, CASE WHEN n_nationkey = 0 THEN 'NA' WHEN n_nationkey = 1 THEN 'null' ELSE n_name END AS n_name,
+SELECT n_nationkey, CASE WHEN n_nationkey = 0 THEN 'NA' WHEN n_nationkey = 1 THEN 'null' WHEN n_nationkey = 2 THEN '' ELSE n_name END AS n_name,
        n_regionkey FROM nation""", ["IO3"])
 def io3(t: Tables):
     path = IO.scratch_path(t.spark, "io3")
     n = t.nation.select("n_nationkey", F.when(F.col("n_nationkey") == 0, "NA").when(F.col("n_nationkey") == 1, "null")
-                        .otherwise(F.col("n_name")).alias("n_name"), "n_regionkey")
+                        .when(F.col("n_nationkey") == 2, "").otherwise(F.col("n_name")).alias("n_name"), "n_regionkey")
     IO.write_csv(n, path)
     back = IO.read_delimited(t.spark, path, sep=",", encoding="UTF-8", keep_literal_nulls=True)
     return _typed(back, {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"})
 
 
 @register("io5_many_files_key_from_name", f"""
-SELECT user_id, strftime(ts, '%Y-%m-%d') AS period, {r2('AVG(value)')} AS avg_value, {r2('SUM(value)')} AS sum_value
+SELECT user_id % 8 AS part, strftime(ts, '%Y-%m-%d') AS period, {r2('AVG(value)')} AS avg_value, {r2('SUM(value)')} AS sum_value
 FROM events GROUP BY 1, 2""", ["IO5", "A22"])
 def io5(t: Tables):
     from ..operators.aggregates import period_rollup
     path = IO.scratch_path(t.spark, "io5")
-    e = t.events.select(F.col("user_id").alias("prov"), "ts", "value")
-    e.write.mode("overwrite").partitionBy("prov").option("header", True).csv(path)
-    back = IO.read_many_with_key(t.spark, f"{path}/*/*.csv", r"prov=(\d+)", key_col="user_id", header=True,
+    e = t.events.select((F.col("user_id") % 8).alias("part"), "ts", "value")
+    # A bounded key: eight sets of files whatever the number of users.
+    e.write.partitionBy("part").option("header", True).csv(path)
+    back = IO.read_many_with_key(t.spark, f"{path}/*/*.csv", r"part=(\d+)/[^/]*$", key_col="part", header=True,
                                  recursiveFileLookup=False)
-    back = back.select(F.col("user_id").cast("bigint").alias("user_id"), F.col("ts").try_cast("timestamp_ntz").alias("ts"),
+    back = back.select(F.col("part").cast("bigint").alias("part"), F.col("ts").try_cast("timestamp_ntz").alias("ts"),
                        F.col("value").try_cast("double").alias("value"))
-    return period_rollup(back, ["user_id"], "ts", "yyyy-MM-dd", means=["value"], sums=["value"])
+    return period_rollup(back, ["part"], "ts", "yyyy-MM-dd", means=["value"], sums=["value"])
+
+
+@register("q14_io12_reports", """
+SELECT 'nations without region' AS report, COUNT(*) AS n_rows, COUNT(*) > 0 AS written FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region)
+UNION ALL
+SELECT 'customers in debt', COUNT(*), COUNT(*) > 0 FROM customer WHERE c_acctbal < 0""", ["Q14", "IO12"])
+def q14(t: Tables):
+    """Reports are written if they have rows; the blocking check passes on an empty one and raises on the other."""
+    from ..operators.quality import QualityError, assert_empty
+    orphans = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left_anti").select(F.col("n_nationkey").alias("k"))
+    debt = t.customer.filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("k"))
+    out = None
+    for name, report in (("nations without region", orphans), ("customers in debt", debt)):
+        path = IO.scratch_path(t.spark, "io12")
+        done = IO.write_if_not_empty(report, path)
+        try:
+            assert_empty(report, name)
+            clean = True
+        except QualityError:
+            clean = False
+        found = t.spark.read.option("header", True).csv(path) if done else report.limit(0)
+        row = found.agg(F.lit(name).alias("report"), F.count(F.lit(1)).alias("n_rows"), F.lit(done and not clean).alias("written"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def _cells(t: Tables):

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import ColumnOrName, col, pct, round_half_up, safe_div
-from .joins import attach_scalars, one_row  # noqa: F401
+from .joins import attach_scalars, null_safe_join
 from .quantiles import quantiles, with_quantiles
 
 
@@ -137,7 +137,7 @@ def group_mode(df: DataFrame, keys: Sequence[str], column: str, out: str | None
     best = counts.groupBy(*keys).agg(
         F.min_by(F.col(column), F.struct((-F.col("__c")).alias("a"), F.col(column).alias("b"))).alias(out or f"mode_{column}"))
     groups = df.select(*keys).distinct()
-    return groups.join(best, list(keys), "left") if keys else best
+    return null_safe_join(groups, best, keys) if keys else best
 
 
 def first_by_order(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[ColumnOrName],
@@ -148,9 +148,9 @@ def first_by_order(df: DataFrame, keys: Sequence[str], value: str, order: Sequen
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: Mapping[str, float],
-                    scale: int | None = 2, method: str = "sort", accuracy: int = 10000) -> DataFrame:
+                    scale: int | None = 2, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Exact (linear interpolation) quantiles per group, one named
-    column each. ``method='sort'`` (default) is exact and skew-safe;
+    column each. ``method='exact'`` (default) is skew-safe;
     'map' uses Spark's ``percentile``; 'approx' uses ``percentile_approx``."""
     return quantiles(df, column, probs, keys, method=method, scale=scale, accuracy=accuracy)
 
@@ -261,7 +261,3 @@ def null_share(df: DataFrame, keys: Sequence[str], column: str, out: str | None
     """Percentage of null values per group."""
     return df.groupBy(*keys).agg(
         round_half_up(F.avg(F.col(column).isNull().cast("int")) * 100, scale).alias(out or f"null_pct_{column}"))
-
-
-def safe_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
-    return safe_div(num, den)

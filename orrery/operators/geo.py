@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.common import ColumnOrName, col, round_half_up
 from ..functions.geo import haversine_km, planar_distance
-from .joins import attach_scalars, one_row  # noqa: F401
+from .joins import attach_scalars, null_safe_join
 
 
 def centroids(df: DataFrame, keys: Sequence[str], lat: str = "lat", lon: str = "lon",
@@ -26,8 +26,7 @@ def distance_to_centroid(df: DataFrame, keys: Sequence[str], lat: str = "lat", l
                          out: str = "dist_km") -> DataFrame:
     """Each member's great-circle distance to its group centroid (the
     centroid is an aggregate joined back, not a window)."""
-    c = centroids(df, keys, lat, lon)
-    j = df.join(c, list(keys), "left")
+    j = null_safe_join(df, centroids(df, keys, lat, lon), keys)
     return j.withColumn(out, haversine_km(lat, lon, f"{lat}_centroid", f"{lon}_centroid"))
 
 

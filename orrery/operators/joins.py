@@ -1,11 +1,8 @@
 """Joins J1-J15.
 
-Broadcast policy: a side is broadcast only when its size is proven, either
-by construction (a one-row aggregate) or by a bounded check
-(``broadcast_if_small``: counts at most ``max_rows + 1`` rows). Otherwise the
-plan is left to Catalyst, whose size statistics and AQE pick broadcast or
-sort-merge at run time; AQE's skew-join split handles a hot key on the
-sort-merge path.
+No join carries a broadcast hint: Catalyst's size statistics and AQE pick
+broadcast or sort-merge at run time, and AQE's skew-join split handles a hot
+key on the sort-merge path. One-row aggregates come in as scalar subqueries.
 """
 
 from __future__ import annotations
@@ -15,27 +12,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a size check; larger sides keep the
-    shuffle join."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def one_row(df: DataFrame) -> DataFrame:
-    """Mark a global (no grouping key) aggregate for broadcast: its size is
-    one row by construction."""
-    return F.broadcast(df)
-
-
 def scalars(stats: DataFrame) -> dict[str, Column]:
     """The columns of a one-row aggregate as fields of one scalar subquery
     (computed once, even when its plan is not deterministic)."""
@@ -59,11 +35,8 @@ def attach_scalars(df: DataFrame, *stats: DataFrame) -> DataFrame:
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,
-                how: str = "left", max_broadcast_rows: int | None = None) -> DataFrame:
-    """Fact-to-dimension equi-join (single or composite key).
-    ``max_broadcast_rows`` enables the checked broadcast of the dimension."""
-    if max_broadcast_rows is not None:
-        dim = broadcast_if_small(dim, max_broadcast_rows)
+                how: str = "left") -> DataFrame:
+    """Fact-to-dimension equi-join (single or composite key)."""
     return fact.join(dim, on, how)
 
 
@@ -96,12 +69,6 @@ def anti_join(df: DataFrame, ref: DataFrame, left_on: str | Sequence[str],
     return base.join(r, cond, "left_anti")
 
 
-def semi_join(df: DataFrame, ref: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows of ``df`` with a match in ``ref`` (cascade keep, P17)."""
-    keys = [on] if isinstance(on, str) else list(on)
-    return df.join(ref.select(*keys).distinct(), keys, "left_semi")
-
-
 def reconcile_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Two-sided key reconciliation in one full outer join of the
     distinct keys: ``side`` is 'both', 'left_only' or 'right_only'."""
@@ -148,14 +115,15 @@ def map_values(df: DataFrame, column: str, mapping: DataFrame | Mapping, key_col
     """Dictionary lookup through a join with a mapping table.
     ``mode='map'``: unmapped -> null; ``mode='replace'``: unmapped keep
     their value. A Python dict becomes a literal map expression (no join);
-    a DataFrame mapping is joined (Catalyst broadcasts it by size)."""
+    a DataFrame mapping is joined (Catalyst broadcasts it by size); a key it
+    repeats maps to the smallest of its values, nulls last."""
     out_col = output or column
     if isinstance(mapping, Mapping):
         m = F.create_map(*[F.lit(v) for kv in mapping.items() for v in kv])
         looked = F.element_at(m, F.col(column)) if mapping else F.lit(None)
         val = looked if mode == "map" else F.coalesce(looked, F.col(column))
         return df.withColumn(out_col, val)
-    mt = mapping.select(F.col(key_col).alias("__mk"), F.col(value_col).alias("__mv")).dropDuplicates(["__mk"])
+    mt = mapping.groupBy(F.col(key_col).alias("__mk")).agg(F.min(value_col).alias("__mv"))
     j = df.join(mt, df[column] == mt["__mk"], "left")
     val = F.col("__mv") if mode == "map" else F.coalesce(F.col("__mv"), F.col(column))
     return j.withColumn(out_col, val).drop("__mk", "__mv")
@@ -190,19 +158,13 @@ def left_join_chain(base: DataFrame, parts: Sequence[DataFrame], key: str | Sequ
     return out
 
 
-def explode_series(df: DataFrame, array_col: Column, name: str, outer: bool = False) -> DataFrame:
-    """Lateral join to a generated series (explode of an array column)."""
-    return df.withColumn(name, F.explode_outer(array_col) if outer else F.explode(array_col))
-
-
-def cross_small(left: DataFrame, right: DataFrame, max_right_rows: int = 10_000) -> DataFrame:
-    """The product of two small relations (e.g. years x months), with
-    the right side's size checked against a fixed bound before the cross
-    join; never used on data-sized relations (generated series are built
-    with ``explode`` instead)."""
-    if not row_count_at_most(right, max_right_rows):
-        raise ValueError(f"cross join side exceeds {max_right_rows} rows")
-    return left.crossJoin(F.broadcast(right))
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join one-row-per-group results back on keys that may be null."""
+    r = right.select(*[F.col(k).alias(f"__n_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(r[f"__n_{k}"])
+    return left.join(r, cond, how).drop(*[f"__n_{k}" for k in keys])
 
 
 def counts_per_parent(parent: DataFrame, parent_key: str, children: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -82,36 +82,29 @@ def key_intersection(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def surrogate_key(df: DataFrame, order: Sequence[ColumnOrName], name: str = "id",
-                  num_partitions: int | None = None, materialize: bool = True,
-                  small_rows: int = 200_000) -> DataFrame:
+                  num_partitions: int | None = None) -> DataFrame:
     """1-based position of each row in a total order.
 
-    With ``materialize`` the input is first written as a reliable checkpoint
-    in the shared checkpoint folder (one pass of the upstream; the numbering
-    then reads the written table instead of recomputing it). A table of at
-    most ``small_rows`` rows (bounded check) is numbered in one task. Larger
-    tables are never moved to one task: range-partition and sort by the
-    order, number rows inside each partition, and add the row count of all
-    earlier partitions (one small row per partition, broadcast back).
+    The rows are range-partitioned and sorted by the order, and written once
+    as a reliable checkpoint together with their partition and their place in
+    it; both the counts of earlier partitions (one small row per partition,
+    broadcast back) and the rows are then read from that one written table.
+    Spark removes the checkpoint when nothing refers to it any more
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``).
 
     ``order`` must be unique for the ids to be stable across runs."""
     from ..session import cut_lineage
-    from .joins import row_count_at_most
     order_cols = [col(c) for c in order]
-    if materialize:
-        df = cut_lineage(df)
-        if row_count_at_most(df, small_rows):
-            return df.withColumn(name, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mono", F.monotonically_increasing_id()))
+    ranged = cut_lineage(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                         .withColumn("__pid", F.spark_partition_id())
+                         .withColumn("__mono", F.monotonically_increasing_id()))
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mono").alias("__m0"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
     out = ranged.join(F.broadcast(offsets.select("__pid", "__off", "__m0")), "__pid")
     out = out.withColumn(name, (F.col("__off") + F.col("__mono") - F.col("__m0") + 1).cast("bigint"))
-    return out.drop("__pid", "__mono", "__off", "__m0")
+    return out.drop("__pid", "__mono", "__n", "__off", "__m0")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts: ColumnOrName, tiebreak: ColumnOrName) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from ..functions.common import ColumnOrName, col, pct, round_half_up
-from .joins import anti_join, attach_scalars, one_row  # noqa: F401
-from .quantiles import quantiles
+from .joins import anti_join, attach_scalars
+from .quantiles import quantiles, quantiles_of
 
 
 class QualityError(AssertionError):
@@ -90,7 +90,8 @@ def column_profile(df: DataFrame, scale: int = 2) -> DataFrame:
         kind = "numeric" if isinstance(f.dataType, NumericType) else (
             "text" if isinstance(f.dataType, StringType) else f.dataType.simpleString())
         kinds[f.name] = kind
-        decimals = F.length(F.regexp_extract(s, r"\.(\d*?)0*$", 1)) if kind == "numeric" else F.lit(None)
+        # Through decimal, as the text of a small or large double is in powers of ten.
+        decimals = F.length(F.regexp_extract(F.coalesce(c.try_cast("decimal(38,18)").cast("string"), s), r"\.(\d*?)0*$", 1)) if kind == "numeric" else F.lit(None)
         aggs += [
             F.count_if(c.isNull()).alias(f"{f.name}__nulls"),
             F.max(F.length(s)).alias(f"{f.name}__maxlen"),
@@ -127,7 +128,7 @@ def iqr_bounds(df: DataFrame, column: str, k: float = 1.5, keys: Sequence[str] =
 
 def iqr_flags(df: DataFrame, columns: Sequence[str], k: float = 1.5, any_col: str = "is_outlier") -> DataFrame:
     """Q13: per-row outlier flag for each column (``<col>_outlier``) and any."""
-    j = attach_scalars(df, *[quantiles(df, c, {f"__{c}_q1": 0.25, f"__{c}_q3": 0.75}) for c in columns])
+    j = attach_scalars(df, quantiles_of(df, {f"__{c}_{q}": (c, p) for c in columns for q, p in (("q1", 0.25), ("q3", 0.75))}))
     any_expr = F.lit(False)
     for c in columns:
         q1, q3 = F.col(f"__{c}_q1"), F.col(f"__{c}_q3")

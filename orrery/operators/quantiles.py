@@ -1,14 +1,17 @@
 """Exact quantiles (linear interpolation, as pandas / ``quantile_cont``)
-computed without holding a group's values in one task.
+computed without holding a group's rows in one task.
 
-``method='sort'`` (default): range-partition and sort the (group, value)
-pairs, number the rows of every group with per-partition offsets (one small
-row per partition and group), and keep only the rows at the ranks the
-requested probabilities need. A group that holds a third of the rows is
-spread over many range partitions, so no task sees more than its share.
+1. Count the distinct values of every group (combined on the map side, so a
+   value or group that holds a third of the rows is one row a task).
+2. Cut the number line into buckets by the leading bits of a double, a pure
+   function of the value. Counts by bucket are small; a running sum over them
+   says which bucket holds each wanted rank.
+3. Only the wanted buckets go on: once more by further bits, then by value.
 
-``method='map'``: Spark's ``percentile`` (one value -> count map per group;
-fast when groups have few distinct values). ``method='approx'``:
+No step depends on partitions, samples or the reuse of an exchange. Several
+value columns share all steps.
+
+``method='map'``: Spark's ``percentile``; ``method='approx'``:
 ``percentile_approx`` (bounded memory, approximate).
 """
 
@@ -21,75 +24,99 @@ from pyspark.sql import functions as F
 
 from ..functions.common import round_half_up
 
+_FINE_BITS = 28
+_COARSE_SHIFT = 16  # the coarse bucket has 12 bits of each binade
 
-def _null_safe_cond(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
 
+def _bucket(v: Column) -> Column:
+    """A rising function of a double: its binade and ``_FINE_BITS`` bits more."""
+    a = F.abs(v)
+    e = F.floor(F.log2(a))
+    fraction = F.floor(a / F.pow(F.lit(2.0), e) * float(1 << _FINE_BITS)) - (1 << _FINE_BITS)
+    size = (e + 1100) * (1 << _FINE_BITS) + fraction
+    big = F.lit(1 << 60)
+    size = F.when(a == float("inf"), big).when(a == 0, F.lit(0).cast("long")).otherwise(size)
+    return F.when(F.isnan(v), big + 1).when(v < 0, -size).otherwise(size)
 
-def quantiles(df: DataFrame, value: str | Column, probs: Mapping[str, float], keys: Sequence[str] = (),
-              method: str = "sort", scale: int | None = None, num_partitions: int | None = None,
-              accuracy: int = 10000) -> DataFrame:
-    """One row per group (or one row) with a column per named probability."""
-    v = F.col(value) if isinstance(value, str) else value
+
+def quantiles_of(df: DataFrame, specs: Mapping[str, tuple[str | Column, float]], keys: Sequence[str] = (),
+                 scale: int | None = None) -> DataFrame:
+    """One row per group (or one row) with a column per name of ``specs``
+    ({name: (value column, probability)}). Null values do not count; a group
+    without values of any of the columns has no row."""
     keys = list(keys)
-    if method in ("map", "approx"):
-        def q(p):
-            e = F.percentile_approx(v, p, accuracy) if method == "approx" else F.percentile(v, p)
-            return round_half_up(e, scale) if scale is not None else e
-        aggs = [q(p).alias(n) for n, p in probs.items()]
-        return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
-    if method != "sort":
-        raise ValueError(method)
+    columns: list = []
+    wanted: list[tuple[int, float]] = []
+    for value, p in specs.values():
+        at = next((i for i, c in enumerate(columns) if c is value or isinstance(value, str) and c == value), None)
+        if at is None:
+            columns.append(value)
+            at = len(columns) - 1
+        wanted.append((at, float(p)))
     kc = [f"__k{i}" for i in range(len(keys))]
-    d = df.select(*[F.col(k).alias(c) for k, c in zip(keys, kc)], v.cast("double").alias("__v")).filter(
-        F.col("__v").isNotNull())
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (d.repartitionByRange(n, *kc, "__v").sortWithinPartitions(*kc, "__v")
-              .withColumn("__pid", F.spark_partition_id()).withColumn("__mono", F.monotonically_increasing_id()))
-    # Rows per (partition, group) and where the group starts in the partition;
-    # one window over these few rows gives each piece's offset in its group
-    # and the group size.
-    pc = ranked.groupBy("__pid", *kc).agg(F.count(F.lit(1)).alias("__c"), F.min("__mono").alias("__m0"))
-    wg = Window.partitionBy(*kc)
-    pc = (pc.withColumn("__off", F.coalesce(F.sum("__c").over(wg.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
-                                            F.lit(0)))
-          .withColumn("__n", F.sum("__c").over(wg)))
-    plist = list(probs.items())
-    # One target row per (group, probability, side): the ranks to read.
-    first = pc.filter(F.col("__off") == 0).select(*kc, "__n")
-    t = first.select(*kc, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p")) for i, (_, p) in enumerate(plist)])).alias("t"), "__n")
-    pos = F.col("t.p") * (F.col("__n") - 1)
-    t = t.select(*kc, F.col("t.qi").alias("__qi"), (pos - F.floor(pos)).alias("__frac"),
-                 F.explode(F.array(F.struct(F.lit(0).alias("side"), F.floor(pos).cast("long").alias("rank")),
-                                   F.struct(F.lit(1).alias("side"), F.ceil(pos).cast("long").alias("rank")))).alias("s"))
-    t = t.select(*[F.col(c).alias(c + "_t") for c in kc], "__qi", "__frac", F.col("s.side").alias("__side"),
-                 F.col("s.rank").alias("__trank"))
-    pcs = pc.select(F.col("__pid").alias("__pid2"), *[F.col(c).alias(c + "_2") for c in kc], "__off", "__m0")
-    cond = ranked["__pid"] == pcs["__pid2"]
-    for c in kc:
-        cond = cond & ranked[c].eqNullSafe(pcs[c + "_2"])
-    r = ranked.join(pcs, cond, "inner").select(*kc, "__v", (F.col("__off") + F.col("__mono") - F.col("__m0")).alias("__rank"))
-    cond = r["__rank"] == t["__trank"]
-    for c in kc:
-        cond = cond & r[c].eqNullSafe(t[c + "_t"])
-    hit = r.join(t, cond, "inner")
+    group = [*kc, "__c"]
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), (F.col(v) if isinstance(v, str) else v).cast("double").alias("v"))
+                                for i, v in enumerate(columns)]))
+    long = df.select(*[F.col(k).alias(c) for k, c in zip(keys, kc)], pairs.alias("__p"))
+    counts = long.select(*kc, F.col("__p.c").alias("__c"), F.col("__p.v").alias("__v")).filter(F.col("__v").isNotNull())
+    counts = counts.groupBy(*group, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.withColumn("__fine", _bucket(F.col("__v"))).withColumn("__coarse", F.shiftright("__fine", _COARSE_SHIFT))
+
+    def running(table: DataFrame, inside: Sequence[str], by: str) -> DataFrame:
+        """Adds __from: how many values of the group ``inside`` stand before."""
+        w = Window.partitionBy(*inside).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return table.withColumn("__from", F.coalesce(F.sum("__n").over(w), F.lit(0)))
+
+    def join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+        r = right.select(*[F.col(c).alias(f"{c}_r") if c in on else F.col(c) for c in right.columns])
+        cond = F.lit(True)
+        for c in on:
+            cond = cond & (F.col(c).eqNullSafe(F.col(f"{c}_r")) if c in kc else F.col(c) == F.col(f"{c}_r"))
+        return left.join(r, cond).drop(*[f"{c}_r" for c in on])
+
+    holds = (F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__from") + F.col("__n"))
+    # Coarse buckets, and in each the ranks (both sides of every probability) that it holds.
+    coarse = running(counts.groupBy(*group, "__coarse").agg(F.sum("__n").alias("__n")), group, "__coarse")
+    coarse = coarse.withColumn("__all", F.sum("__n").over(Window.partitionBy(*group)))
+    asked = F.explode(F.filter(F.array(*[F.struct(F.lit(i).alias("q"), F.lit(c).alias("c"), F.lit(p).alias("p"), F.lit(side).alias("side"))
+                                         for i, (c, p) in enumerate(wanted) for side in (0, 1)]), lambda x: x["c"] == F.col("__c")))
+    pos = F.col("__a.p") * (F.col("__all") - 1)
+    ranks = coarse.withColumn("__a", asked).withColumn("__rank", F.when(F.col("__a.side") == 0, F.floor(pos)).otherwise(F.ceil(pos)))
+    ranks = ranks.filter(holds).select(*group, "__coarse", F.col("__a.q").alias("__q"), F.col("__a.side").alias("__side"),
+                                       (pos - F.floor(pos)).alias("__frac"), (F.col("__rank") - F.col("__from")).alias("__rank"))
+    # The fine buckets of the wanted coarse ones, then the values of the wanted fine ones.
+    for at, by in (("__coarse", "__fine"), ("__fine", "__v")):
+        inside = [*group, at]
+        part = join(counts, ranks.select(*inside).distinct(), inside)
+        part = running(part.groupBy(*inside, by).agg(F.sum("__n").alias("__n")), inside, by)
+        ranks = join(ranks, part, inside).filter(holds).select(*group, by, "__q", "__side", "__frac", (F.col("__rank") - F.col("__from")).alias("__rank"))
     aggs = []
-    for i, (name, _) in enumerate(plist):
-        lo = F.max(F.when((F.col("__qi") == i) & (F.col("__side") == 0), F.col("__v")))
-        hi = F.max(F.when((F.col("__qi") == i) & (F.col("__side") == 1), F.col("__v")))
-        fr = F.max(F.when(F.col("__qi") == i, F.col("__frac")))
-        val = lo + fr * (hi - lo)
+    for i, name in enumerate(specs):
+        side = lambda s: F.max(F.when((F.col("__q") == i) & (F.col("__side") == s), F.col("__v")))  # noqa: E731, B023
+        low, high, share = side(0), side(1), F.max(F.when(F.col("__q") == i, F.col("__frac")))
+        val = F.when(low == high, low).otherwise(low + share * (high - low))
         aggs.append((round_half_up(val, scale) if scale is not None else val).alias(name))
     if not keys:
         # A global quantile is one row even on empty input, like an aggregate.
-        return hit.agg(*aggs)
-    out = hit.groupBy(*kc).agg(*aggs)
-    return out.select(*[F.col(c).alias(k) for c, k in zip(kc, keys)], *[name for name, _ in plist])
+        return ranks.agg(*aggs)
+    out = ranks.groupBy(*kc).agg(*aggs)
+    return out.select(*[F.col(c).alias(k) for c, k in zip(kc, keys)], *specs)
+
+
+def quantiles(df: DataFrame, value: str | Column, probs: Mapping[str, float], keys: Sequence[str] = (),
+              method: str = "exact", scale: int | None = None, accuracy: int = 10000) -> DataFrame:
+    """One row per group (or one row) with a column per named probability."""
+    if method == "exact":
+        return quantiles_of(df, {name: (value, p) for name, p in probs.items()}, keys, scale)
+    if method not in ("map", "approx"):
+        raise ValueError(method)
+    v = F.col(value) if isinstance(value, str) else value
+
+    def q(p):
+        e = F.percentile_approx(v, p, accuracy) if method == "approx" else F.percentile(v, p)
+        return round_half_up(e, scale) if scale is not None else e
+    aggs = [q(p).alias(n) for n, p in probs.items()]
+    return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -106,7 +133,7 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
 
 
 def with_quantiles(agg: DataFrame, df: DataFrame, value: str | Column, probs: Mapping[str, float],
-                   keys: Sequence[str] = (), scale: int | None = None, method: str = "sort") -> DataFrame:
+                   keys: Sequence[str] = (), scale: int | None = None, method: str = "exact") -> DataFrame:
     """Attach quantile columns to an aggregate that has one row per group
     (or a single row)."""
     q = quantiles(df, value, probs, keys, method=method, scale=scale)

@@ -10,11 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def order_by(df: DataFrame, order: Sequence[Column], tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Mixed-direction order plus a unique tie-break."""
-    return df.orderBy(*order, *[F.col(c).asc() for c in tiebreak])
-
-
 def top_n(df: DataFrame, order: Sequence[Column], n: int, tiebreak: Sequence[str] = ()) -> DataFrame:
     """The first n rows of an order (the limit is the
     feature: a top-n report or a capped listing)."""

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import ColumnOrName, col, pct, round_half_up, safe_div
-from .joins import attach_scalars, one_row  # noqa: F401
+from .joins import attach_scalars, null_safe_join
 
 
 def impute_hierarchical(df: DataFrame, value: str | Sequence[str], levels: Sequence[Sequence[str]],
@@ -31,8 +31,8 @@ def impute_hierarchical(df: DataFrame, value: str | Sequence[str], levels: Seque
 
       1. one aggregate of the fact (partial, map-side; a hot key is
          combined before the shuffle),
-      2. per level, a window over that small statistics table (one shuffle of
-         groups, not rows) updates the filled sums and counts,
+      2. per level, an aggregate of that small statistics table joined back
+         to it updates the filled sums and counts,
       3. one join back on the finest keys (null-safe).
 
     A row whose key at a level is null gets no fill from that level (pandas
@@ -57,10 +57,13 @@ def impute_hierarchical(df: DataFrame, value: str | Sequence[str], levels: Seque
         key_ok = F.lit(True)
         for k in keys:
             key_ok = key_ok & F.col(k).isNotNull()
-        w = Window.partitionBy(*keys)
+        if i:  # the finest level's groups are the rows of the table
+            sums = table.groupBy(*keys).agg(*[F.sum(f"__f{x}{j}").alias(f"__l{x}{j}") for x in "sc" for j in range(len(values))])
+            table = null_safe_join(table, sums, keys)
         for j in range(len(values)):
-            mean = F.try_divide(F.sum(f"__fs{j}").over(w), F.sum(f"__fc{j}").over(w).cast("double"))
-            table = table.withColumn(f"__m{i}_{j}", F.when(key_ok, mean))
+            total, count = (F.col(f"__{'l' if i else 'f'}{x}{j}") for x in "sc")
+            table = table.withColumn(f"__m{i}_{j}", F.when(key_ok, F.try_divide(total, count.cast("double"))))
+        table = table.drop(*[f"__l{x}{j}" for x in "sc" for j in range(len(values))])
         for j in range(len(values)):
             gap = F.col("__n") - F.col(f"__fc{j}")
             has_mean = F.col(f"__m{i}_{j}").isNotNull() & (gap > 0)
@@ -101,28 +104,22 @@ def share_within(df: DataFrame, parent: Sequence[str], value: str, out: str = "s
     """Value / sum(value) of its parent * 100. Written as an
     aggregate joined back (a window would sort each parent in one task)."""
     totals = df.groupBy(*parent).agg(F.sum(value).alias("__tot"))
-    j = df.join(totals, list(parent), "left") if parent else attach_scalars(df, totals)
+    j = null_safe_join(df, totals, parent) if parent else attach_scalars(df, totals)
     s = pct(value, "__tot")
     return j.withColumn(out, round_half_up(s, scale) if scale is not None else s).drop("__tot")
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int = 1,
-                  rank_col: str | None = None, salts: int = 32) -> DataFrame:
+                  rank_col: str | None = None) -> DataFrame:
     """W3 top-k per group (``row_number``, method=first); ``order`` must
     end in a unique tie-break for a deterministic result.
 
-    Two phases so that a group holding a third of the rows is never sorted
-    in one task: the rows are spread over ``salts`` buckets per group (hash
-    of the row), each bucket keeps its own top k, and the final top k is
-    taken over those at most k x salts candidates. The result is exact: a
-    row in the group's top k is in its bucket's top k. For k = 1 prefer
+    Catalyst keeps only each task's first k rows of a group before the
+    shuffle (a partial window group limit), so a group holding a third of the
+    rows is never sorted in one task. For k = 1 prefer
     ``first_row_per_group`` (a plain aggregate)."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
-    w1 = Window.partitionBy(*keys, "__salt").orderBy(*order)
-    cand = (df.withColumn("__salt", salt).withColumn("__rn", F.row_number().over(w1))
-            .filter(F.col("__rn") <= k).drop("__rn", "__salt"))
-    w2 = Window.partitionBy(*keys).orderBy(*order)
-    out = cand.withColumn("__rn", F.row_number().over(w2)).filter(F.col("__rn") <= k)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    out = df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k)
     return out.withColumnRenamed("__rn", rank_col) if rank_col else out.drop("__rn")
 
 
@@ -157,12 +154,10 @@ def period_change(df: DataFrame, series: Sequence[str], period: str, value: str,
     return df.withColumn(out, round_half_up(F.try_multiply(safe_div(F.col(value) - prev, prev), F.lit(100.0)), scale))
 
 
-def running_diff(df: DataFrame, order: str, value: str, out: str | None = None,
-                 series: Sequence[str] = ()) -> DataFrame:
-    """Value minus the previous row's value (``diff``). Meant for
-    aggregated series (scenario rows, yearly totals): without ``series`` the
-    window is unpartitioned, so pass ``series`` for anything data-sized."""
-    w = Window.partitionBy(*series).orderBy(order) if series else Window.orderBy(order)
+def running_diff(df: DataFrame, order: str, value: str, series: Sequence[str], out: str | None = None) -> DataFrame:
+    """Value minus the previous row's value (``diff``) of the same
+    series. Meant for aggregated series (scenario rows, yearly totals)."""
+    w = Window.partitionBy(*series).orderBy(order)
     return df.withColumn(out or f"diff_{value}", F.col(value) - F.lag(value).over(w))
 
 
@@ -174,7 +169,7 @@ def minmax_normalize(df: DataFrame, value: str, out: str | None = None, invert:
     per-group aggregate joined back when ``keys`` are given)."""
     out = out or f"{value}_norm"
     stats = df.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-    j = df.join(stats, list(keys), "left") if keys else attach_scalars(df, stats)
+    j = null_safe_join(df, stats, keys) if keys else attach_scalars(df, stats)
     rng = F.col("__hi") - F.col("__lo")
     scaled = safe_div(F.col(value) - F.col("__lo"), F.when(rng != 0, rng))
     if constant == "zero":

@@ -167,17 +167,6 @@ def transport_cost(parts: DataFrame, factor: float = TRANSPORT_FACTOR) -> DataFr
     return parts.select("plan_id", round_half_up(base * factor).alias("transport_cost"))
 
 
-def cost_estimate(summary: DataFrame, lodging: DataFrame, food: DataFrame, groups: DataFrame,
-                  transport_factor: float = TRANSPORT_FACTOR) -> DataFrame:
-    """P7 from separately built components: every component zero-filled
-    and the rounded total."""
-    j = (summary.select("plan_id", "trip_days", "trip_nights")
-         .join(lodging.select("plan_id", "lodging_cost"), "plan_id", "left")
-         .join(food.select("plan_id", "food_cost"), "plan_id", "left")
-         .join(groups, "plan_id", "left"))
-    return _finish_estimate(j, transport_factor)
-
-
 def _finish_estimate(j: DataFrame, transport_factor: float) -> DataFrame:
     z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     transport = round_half_up((z("lodging_cost") + z("food_cost") + z("activities_cost") + z("services_cost"))
@@ -251,6 +240,19 @@ def approved_budget(estimate: DataFrame, spend_totals: DataFrame, other_factor:
                     status.alias("status"))
 
 
+def checklist_margin(summary: DataFrame, estimate: DataFrame, other_factor: float = OTHER_FACTOR) -> DataFrame:
+    """P10, third basis: budget minus (lodging + activities + the estimate's
+    transport + factor x (lodging + activities)); the label is given only to
+    plans that cost something."""
+    j = summary.select("plan_id", "budget").join(
+        estimate.select("plan_id", "lodging_cost", "activities_cost", "transport_cost"), "plan_id", "left")
+    z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    both = z("lodging_cost") + z("activities_cost")
+    total = both + z("transport_cost") + round_half_up(both * other_factor)
+    margin, status = budget_margin("budget", total)
+    return j.select("plan_id", round_half_up(total).alias("total"), margin.alias("margin"), F.when(total > 0, status).alias("margin_status"))
+
+
 def budget_margin(budget: ColumnOrName, total: ColumnOrName) -> tuple[Column, Column]:
     """P10: margin = budget - total, and 'within' / 'over'."""
     m = round_half_up(col(budget) - col(total))

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.common import ColumnOrName, col, pct, round_half_up, safe_div
 from ..functions.numeric import bins_from_edges, fixed_bins, pct_change, row_mean
 from ..operators.aggregates import group_quantiles
-from ..operators.joins import attach_scalars, one_row, scalars  # noqa: F401
-from ..operators.quantiles import quantiles, with_quantiles
+from ..operators.joins import attach_scalars, scalars
+from ..operators.quantiles import join_keys, quantiles, quantiles_of, with_quantiles
 from ..operators.windows import minmax_normalize, winsorized_normalize
 
 # Category text (lower, trimmed) -> cost group, and the
@@ -116,8 +116,7 @@ def category_segmentation(fact: DataFrame, category: str, weekday: str = "weekda
     """M9: per category medians of both prices and the premium of the
     weekend median over the weekday median."""
     g = fact.groupBy(category).agg(F.count(F.lit(1)).alias("n_rows"))
-    g = with_quantiles(g, fact, weekday, {"__wd": 0.5}, [category])
-    g = with_quantiles(g, fact, weekend, {"__we": 0.5}, [category])
+    g = join_keys(g, quantiles_of(fact, {"__wd": (weekday, 0.5), "__we": (weekend, 0.5)}, [category]), [category], "left")
     return g.select(category, "n_rows", round_half_up("__wd", scale).alias("median_weekday"),
                     round_half_up("__we", scale).alias("median_weekend"),
                     round_half_up(pct_change("__wd", "__we"), scale).alias("premium_pct"))
@@ -143,14 +142,14 @@ def price_quality_quartiles(fact: DataFrame, price: str, rating: str, scale: int
     """Price quartile (exact edges) -> rows, median price, median rating."""
     q = quantile_bins(fact.filter(F.col(price).isNotNull()), price, 4, "price_quartile")
     g = q.groupBy("price_quartile").agg(F.count(F.lit(1)).alias("n_rows"))
-    g = with_quantiles(g, q, price, {"median_price": 0.5}, ["price_quartile"], scale)
-    return with_quantiles(g, q, rating, {"median_rating": 0.5}, ["price_quartile"], scale)
+    return join_keys(g, quantiles_of(q, {"median_price": (price, 0.5), "median_rating": (rating, 0.5)}, ["price_quartile"], scale),
+                     ["price_quartile"], "left")
 
 
 def overpriced(fact: DataFrame, price: str, rating: str, n: int, order_tiebreak: Sequence[str]) -> DataFrame:
     """Rows priced at or above the p75 price and rated at or below the
     p25 rating; the n dearest (the top-n is the feature)."""
-    j = attach_scalars(fact, quantiles(fact, price, {"__p75": 0.75}), quantiles(fact, rating, {"__r25": 0.25}))
+    j = attach_scalars(fact, quantiles_of(fact, {"__p75": (price, 0.75), "__r25": (rating, 0.25)}))
     j = j.filter((F.col(price) >= F.col("__p75")) & (F.col(rating) <= F.col("__r25")))
     return j.orderBy(F.col(price).desc(), *[F.col(c).asc() for c in order_tiebreak]).limit(n).drop("__p75", "__r25")
 
@@ -208,7 +207,8 @@ def rating_coverage(fact: DataFrame, rating: str, metrics: Sequence[str], scale:
 
 
 def extremes_report(fact: DataFrame, value: str, scale: int = 2) -> DataFrame:
-    """p95 and p99 of a value plus how many rows exceed each."""
+    """p95 and p99 of a value plus how many rows exceed each (the dearest
+    rows themselves: ``topk.top_n``)."""
     j = attach_scalars(fact, quantiles(fact, value, {"__p95": 0.95, "__p99": 0.99}))
     return j.agg(round_half_up(F.first("__p95"), scale).alias("p95"), round_half_up(F.first("__p99"), scale).alias("p99"),
                  F.count_if(F.col(value) > F.col("__p95")).alias("n_above_p95"),
@@ -230,28 +230,34 @@ def source_comparison(fact: DataFrame, source: str, flag: str, metrics: Sequence
                                           *[round_half_up(F.avg(m), scale).alias(f"avg_{m}") for m in metrics])
 
 
+LODGING_KEY = ("country_id", "province_id", "month", "category", "lead_time")
+
+
 def build_lodging_fact(raw: DataFrame, provinces: DataFrame, ratings: DataFrame, rentals: DataFrame,
-                       bridge: DataFrame, rating_divisor: float = 20.0, rental_category: str = "V") -> DataFrame:
+                       bridge: DataFrame, rating_divisor: float = 20.0) -> DataFrame:
     """M4: lodging fact from raw text rows.
 
-    ``raw``: (province_text, month, category, weekday_text, weekend_text)
-    with Spanish-formatted numbers; ``provinces``: (province_id,
-    province_name, country_id); ``ratings``: (province_id, category,
-    rating_0_100); ``rentals``: region-grain rows (country_id, month, price);
-    ``bridge``: (country_id, province_id).
-
-    Steps: parse numbers (N1), normalise names (S1) and map them to ids
-    (J1), impute both prices by province/month/category -> province/category
-    -> country/category -> all (W1), aggregate to the natural key (A1, null
-    keys dropped), join ratings rescaled to 0-5 (J1, N6, F12), expand the
-    region rows to every province (J8) as replicated copies, union (U1) with
-    lineage columns (F11) and number the rows (W10)."""
+    ``raw``: (province_text, month, category, lead_text, weekday_text,
+    weekend_text) with Spanish-formatted numbers; ``provinces``: (province_id,
+    province_name, country_id); ``ratings``: (country_id, province_id, month,
+    category, rating_0_100), several rows a key allowed; ``rentals``:
+    region-grain rows (country_id, month, category, lead_time, weekday_price,
+    weekend_price, rating) kept as they are; ``bridge``: (country_id,
+    province_id).
+
+    Steps: parse numbers (N1), normalise lead times and names (S1) and map the
+    names to ids (J1), impute both prices by the full key, then place, month
+    and category, then country, month and category, then all (W1), aggregate
+    to the full key (A1, null keys dropped), join the key's mean rating of the
+    month rescaled to 0-5 (J1, N6, F12), expand the region rows to every
+    province (J8) as replicated copies with their own category, lead time and
+    rating, union (U1) with lineage columns (F11) and number the rows (W10)."""
     from ..functions.numeric import parse_spanish_number
-    from ..functions.text import normalize_text
+    from ..functions.text import normalize_lead_time, normalize_text
     from ..operators.keys import surrogate_key
     from ..operators.windows import impute_hierarchical
     from ..operators.joins import map_distinct
-    r = raw.select("province_text", "month", "category",
+    r = raw.select("province_text", "month", "category", normalize_lead_time("lead_text").alias("lead_time"),
                    parse_spanish_number("weekday_text").alias("weekday_price"),
                    parse_spanish_number("weekend_text").alias("weekend_price"))
     dim = provinces.select(normalize_text("province_name").alias("province_key"), "province_id", "country_id")
@@ -259,37 +265,31 @@ def build_lodging_fact(raw: DataFrame, provinces: DataFrame, ratings: DataFrame,
     r = map_distinct(r, "province_text",
                      lambda d: d.withColumn("province_key", normalize_text("__dv")).join(dim, "province_key", "left"),
                      ["province_id", "country_id"]).drop("province_text")
-    levels = [["country_id", "province_id", "month", "category"], ["country_id", "province_id", "category"],
-              ["country_id", "category"]]
+    keys = list(LODGING_KEY)
+    levels = [keys, ["country_id", "province_id", "month", "category"], ["country_id", "month", "category"]]
     r = impute_hierarchical(r, ["weekday_price", "weekend_price"], levels)
-    keys = ["country_id", "province_id", "month", "category"]
     g = r.dropna(subset=keys).groupBy(*keys).agg(
         round_half_up(F.avg("weekday_price")).alias("weekday_price"),
         round_half_up(F.avg("weekend_price")).alias("weekend_price"))
-    rt = ratings.select("province_id", "category", round_half_up(F.col("rating_0_100") / rating_divisor).alias("rating"))
-    hotels = (g.join(rt, ["province_id", "category"], "left")
-              .withColumn("has_rating", F.col("rating").isNotNull())
-              .withColumn("source", F.lit("hotel")).withColumn("origin_grain", F.lit("province"))
-              .withColumn("is_replicated", F.lit(False)).withColumn("geo_level", F.lit("province")))
-    reg = rentals.groupBy("country_id", "month").agg(round_half_up(F.avg("price")).alias("weekday_price"))
-    expanded = (reg.join(bridge.select("country_id", "province_id").distinct(), "country_id", "inner")
-                .select("country_id", "province_id", "month", F.lit(rental_category).alias("category"),
-                        "weekday_price", F.col("weekday_price").alias("weekend_price"),
-                        F.lit(None).cast("double").alias("rating"), F.lit(False).alias("has_rating"),
-                        F.lit("rentals").alias("source"), F.lit("region").alias("origin_grain"),
-                        F.lit(True).alias("is_replicated"), F.lit("province").alias("geo_level")))
-    cols = ["country_id", "province_id", "month", "category", "weekday_price", "weekend_price", "rating",
-            "has_rating", "source", "origin_grain", "is_replicated", "geo_level"]
-    u = hotels.select(*cols).unionByName(expanded.select(*cols))
-    return surrogate_key(u, ["country_id", "province_id", "month", "category", "source"], name="lodging_id")
+    rated = ["country_id", "province_id", "month", "category"]
+    rt = ratings.groupBy(*rated).agg(round_half_up(F.avg("rating_0_100") / rating_divisor).alias("rating"))
+    hotels = g.join(rt, rated, "left").select("*", F.lit("hotel").alias("source"), F.lit("province").alias("origin_grain"),
+                                              F.lit(False).alias("is_replicated"))
+    copies = rentals.join(bridge.select("country_id", "province_id").distinct(), "country_id", "left").select(
+        *keys, "weekday_price", "weekend_price", "rating", F.lit("rentals").alias("source"),
+        F.lit("region").alias("origin_grain"), F.lit(True).alias("is_replicated"))
+    u = hotels.select(*copies.columns).unionByName(copies)
+    u = u.withColumn("has_rating", F.col("rating").isNotNull()).withColumn("geo_level", F.lit("province"))
+    return surrogate_key(u, [*keys, "source"], name="lodging_id")
 
 
 def build_activity_fact(raw: DataFrame, category_map: Mapping[str, str], ratings: DataFrame,
                         zero_fill_ratings: bool = False) -> DataFrame:
     """M5: activity fact: parse text numbers (N1), mean per natural key
     (A1), map the category through a dictionary keeping unknown ones (J10
-    replace mode), join ratings per (province, category) with a presence
-    flag (J1, F12); optional zero fill of absent ratings (F13, off by
+    replace mode), join the ratings of (country, province, category): of the
+    category, in general, and how many opinions, with a flag for the general
+    one (J1, F12); optional zero fill of absent ratings (F13, off by
     default)."""
     from ..functions.numeric import parse_spanish_number
     from ..operators.joins import map_values
@@ -300,10 +300,12 @@ def build_activity_fact(raw: DataFrame, category_map: Mapping[str, str], ratings
     g = r.dropna(subset=keys).groupBy(*keys).agg(
         round_half_up(F.avg("total_spend")).alias("total_spend"), round_half_up(F.avg("entry_price")).alias("entry_price"))
     g = map_values(g, "category", dict(category_map), mode="replace")
-    j = g.join(ratings.select("province_id", "category", "rating"), ["province_id", "category"], "left")
-    j = j.withColumn("has_rating", F.col("rating").isNotNull())
+    rated = ["category_rating", "general_rating", "opinions"]
+    j = g.join(ratings.select("country_id", "province_id", "category", *rated), ["country_id", "province_id", "category"], "left")
+    j = j.withColumn("has_rating", F.col("general_rating").isNotNull())
     if zero_fill_ratings:
-        j = j.withColumn("rating", F.when(~F.col("has_rating"), F.lit(0.0)).otherwise(F.col("rating")))
+        for c in rated:
+            j = j.withColumn(c, F.coalesce(F.col(c), F.lit(0.0)))
     return j
 
 

@@ -1,9 +1,8 @@
 """Scans, sources and sinks IO1-IO15.
 
 Files are read as text columns (no schema inference) and typed afterwards
-with ``try_cast``. Every reader is a lazy ``spark.read`` scan; only the
-separator / encoding sniffing (IO2) looks at a bounded sample of lines on
-the driver.
+with ``try_cast``. Every reader is a lazy ``spark.read`` scan; the separator
+and encoding of IO2 come from one aggregate over all lines.
 """
 
 from __future__ import annotations
@@ -45,21 +44,18 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
 _SEPARATORS = (";", ",", "\t", "|")
 
 
-def sniff_options(spark: SparkSession, path: str, sample_lines: int = 20) -> dict:
-    """IO2: choose the separator (most frequent candidate, consistent across
-    the sampled lines) and the encoding (UTF-8 unless the sample shows
-    replacement characters, then Latin-1) from a bounded sample."""
-    sample = [r.value for r in spark.read.option("encoding", "UTF-8").text(path).limit(sample_lines).collect()]
-    encoding = "ISO-8859-1" if any("�" in line for line in sample) else "UTF-8"
-    best, best_score = ",", -1
-    for sep in _SEPARATORS:
-        counts = [line.count(sep) for line in sample if line.strip()]
-        if not counts or counts[0] == 0:
-            continue
-        score = counts[0] * 10 + sum(1 for c in counts if c == counts[0])
-        if score > best_score:
-            best, best_score = sep, score
-    return {"sep": best, "encoding": encoding}
+def sniff_options(spark: SparkSession, path: str) -> dict:
+    """IO2: separator and encoding from one pass over all lines (one row to
+    the driver): UTF-8 unless any line is not valid UTF-8, then Latin-1; the
+    candidate that stands in the most lines, the most frequent one among
+    equals, a comma if there is none."""
+    line = F.col("value")
+    n = {i: F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit(""))) for i, sep in enumerate(_SEPARATORS)}
+    r = spark.read.text(path).agg(
+        F.bool_and(F.is_valid_utf8(line)).alias("utf8"),
+        *[F.count_if(c > 0).alias(f"lines{i}") for i, c in n.items()], *[F.sum(c).alias(f"all{i}") for i, c in n.items()]).first()
+    best = max(range(len(_SEPARATORS)), key=lambda i: (r[f"lines{i}"], r[f"all{i}"] or 0, -i))
+    return {"sep": _SEPARATORS[best] if r[f"lines{best}"] else ",", "encoding": "ISO-8859-1" if r["utf8"] is False else "UTF-8"}
 
 
 def read_sniffed(spark: SparkSession, path: str, **kwargs) -> DataFrame:
@@ -137,14 +133,11 @@ def replace_table(df: DataFrame, path_or_table: str, partition_by: Sequence[str]
 
 
 def incremental_merge(previous: DataFrame, candidates: DataFrame, keys: Sequence[str], process,
-                      load_order: str, batch_size: int | None = None) -> DataFrame:
+                      load_order: str) -> DataFrame:
     """IO11: incremental cache: keys of ``candidates`` not yet in
     ``previous`` are processed by ``process`` (a DataFrame -> DataFrame
-    function), appended, and the last row per key wins. ``batch_size``
-    optionally processes only that many new keys per run (in key order)."""
+    function), appended, and the last row per key wins."""
     new = candidates.join(previous.select(*keys).distinct(), list(keys), "left_anti")
-    if batch_size is not None:
-        new = new.orderBy(*keys).limit(batch_size)
     merged = previous.unionByName(process(new), allowMissingColumns=True)
     return keep_last_per_key(merged, keys, [load_order])
 
