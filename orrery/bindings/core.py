@@ -79,10 +79,11 @@ LEFT JOIN (SELECT l_orderkey AS o_orderkey, COUNT(*) AS n_returns FROM lineitem
   ON o.o_orderkey = c.o_orderkey""", ["J12"])
 def j12(t: Tables):
     li = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice", "l_discount", "l_returnflag")
-    a = li.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    b = li.groupBy("o_orderkey").agg(round_half_up(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("revenue"))
-    c = li.filter(F.col("l_returnflag") == "R").groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n_returns"))
-    out = J.left_join_chain(t.orders.select("o_orderkey"), [a, b, c], "o_orderkey", zero_fill=["n_lines", "n_returns"])
+    # The parts have one key and one source: one conditional aggregate.
+    part = li.groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), round_half_up(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")))).alias("revenue"),
+        F.count_if(F.col("l_returnflag") == "R").alias("n_returns"))
+    out = J.left_join_chain(t.orders.select("o_orderkey"), [part], "o_orderkey", zero_fill=["n_lines", "n_returns"])
     return out.withColumn("revenue", F.coalesce(F.col("revenue"), F.lit(0.0)))
 
 

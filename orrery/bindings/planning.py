@@ -145,7 +145,7 @@ def nights(t: Tables):
 @register("p3_lodging_cost", _ctes() + LODGING_COST_SQL, ["P3", "J12"])
 def lodging_cost(t: Tables):
     s = _summary(t)
-    return P.lodging_cost(s, P.nights_by_day_type(s), _lodging_rec(t))
+    return P.lodging_cost(s, _lodging_rec(t))
 
 
 @register("p4_food_cost", _ctes() + FOOD_COST_SQL, ["P4"])
@@ -164,9 +164,9 @@ def transport_cost(t: Tables):
 
 
 @register("p7_cost_estimate", _ctes(*COST_CTES) + " SELECT * FROM estimate", ["P7", "J12"])
-def estimate(t: Tables):
+def estimate(t: Tables, *carry: str):
     return P.estimate_all(S.plans(t), S.stops(t), S.prefs(t), S.countries(t), S.provinces(t),
-                          _lodging_rec(t), _activity_rec(t), S.FOOD_CATEGORY, S.COST_GROUPS)
+                          _lodging_rec(t), _activity_rec(t), S.FOOD_CATEGORY, S.COST_GROUPS, carry=carry)
 
 
 PAGE_SQL = f"""
@@ -186,10 +186,7 @@ FROM (
 
 
 def _page(t: Tables):
-    s = _summary(t)
-    e = P.estimate_all(S.plans(t), S.stops(t), S.prefs(t), S.countries(t), S.provinces(t),
-                       _lodging_rec(t), _activity_rec(t), S.FOOD_CATEGORY, S.COST_GROUPS)
-    return P.budget_page(s, e, F.lit(AS_OF))
+    return P.budget_page(estimate(t, "budget", "start_date"), F.lit(AS_OF))
 
 
 @register("p8_budget_page", _ctes(*COST_CTES) + PAGE_SQL, ["P8", "D-3", "P10"])
@@ -230,10 +227,8 @@ SELECT s.plan_id, {r2('s.budget - e.total_cost')} AS margin,
 FROM summary s JOIN estimate e ON s.plan_id = e.plan_id
 """, ["P10"])
 def budget_margin(t: Tables):
-    e = estimate(t)
-    j = _summary(t).select("plan_id", "budget").join(e.select("plan_id", "total_cost"), "plan_id")
     m, st = P.budget_margin("budget", "total_cost")
-    return j.select("plan_id", m.alias("margin"), st.alias("margin_status"))
+    return estimate(t, "budget").select("plan_id", m.alias("margin"), st.alias("margin_status"))
 
 
 @register("p10_budget_page_margin", _ctes(*COST_CTES, ("page", PAGE_SQL)) + """
@@ -252,7 +247,7 @@ FROM (SELECT s.plan_id, s.budget, COALESCE(e.lodging_cost, 0.0) + COALESCE(e.act
       FROM summary s LEFT JOIN estimate e ON s.plan_id = e.plan_id) x
 """, ["P10"])
 def checklist_margin(t: Tables):
-    return P.checklist_margin(_summary(t), estimate(t))
+    return P.checklist_margin(estimate(t, "budget"))
 
 
 ITINERARY_SQL = _ctes() + f"""
@@ -306,6 +301,29 @@ def checklist(t: Tables):
     return P.checklist(_summary(t))
 
 
+_LABELS = (("PROMO", "Turismo cultural"), ("STANDARD", "Naturaleza"), ("LARGE", "Gastronomía"))
+_CATS_SQL = "lower(replace(replace(replace(activity_categories, 'PROMO', 'Turismo cultural'), 'STANDARD', 'Naturaleza'), 'LARGE', 'Gastronomía'))"
+
+
+@register("p12_checklist_extras", _ctes() + f"""
+SELECT plan_id, item, CAST(NULL AS INTEGER) AS quantity FROM summary JOIN (VALUES
+  ('cultura', 'Libreta para apuntes o recuerdos'), ('cultura', 'Calzado cómodo para caminatas urbanas'),
+  ('cultura', 'Espacio libre en celular o cámara'), ('naturaleza', 'Chaqueta ligera'), ('naturaleza', 'Ropa deportiva'),
+  ('naturaleza', 'Botella extra de agua'), ('gastronom', 'Presupuesto extra para comidas'),
+  ('gastronom', 'Ropa casual para restaurantes')) x(word, item) ON contains({_CATS_SQL}, word)
+UNION ALL SELECT plan_id, item, NULL FROM summary, (VALUES ('Recambio adicional de ropa'), ('Bolsa para ropa sucia')) y(item) WHERE trip_days >= 7
+UNION ALL SELECT plan_id, 'Sin recomendaciones adicionales por ahora', NULL FROM summary
+WHERE trip_days < 7 AND NOT (contains({_CATS_SQL}, 'cultura') OR contains({_CATS_SQL}, 'naturaleza') OR contains({_CATS_SQL}, 'gastronom'))
+""", ["P12"])
+def checklist_extras(t: Tables):
+    """The extras by keyword; the oracle spells the items out."""
+    cats = F.col("activity_categories")
+    for old, new in _LABELS:
+        cats = F.replace(cats, F.lit(old), F.lit(new))
+    c = P.checklist(_summary(t).withColumn("activity_categories", cats))
+    return c.filter(F.col("section") == P.EXTRAS_SECTION).select("plan_id", "item", "quantity")
+
+
 def _checklist_state(t: Tables):
     c = P.checklist(_summary(t))
     return c.select("plan_id", "item_pos", ((F.col("plan_id") + F.col("item_pos")) % 3 == 0).alias("done"))
@@ -322,7 +340,7 @@ SELECT q.plan_id, q.n_items, q.n_done, q.progress_pct,
 FROM q LEFT JOIN estimate e ON q.plan_id = e.plan_id LEFT JOIN summary s ON q.plan_id = s.plan_id
 """.replace("WITH summary", "WITH summary", 1), ["P13"])
 def checklist_progress(t: Tables):
-    return P.checklist_progress(_checklist_state(t), estimate(t), _summary(t))
+    return P.checklist_progress(_checklist_state(t), estimate(t, "budget"))
 
 
 # ----------------------------------------------------- batch plan maintenance

@@ -52,6 +52,24 @@ def m8(t: Tables):
     return M.monthly_seasonality(S.lodging_fact(t), "month", "weekday_price")
 
 
+@register("m8_monthly_mean", f"""
+WITH m AS (SELECT month, {r2('AVG(weekday_price)', 6)} AS s FROM {LF} GROUP BY month)
+SELECT month, {r2('s')} AS mean_value, s = (SELECT MAX(s) FROM m) AS is_peak, s = (SELECT MIN(s) FROM m) AS is_low,
+       {r2('(SELECT MAX(s) FROM m) - (SELECT MIN(s) FROM m)')} AS amplitude FROM m""", ["M8", "W5", "A1"])
+def m8_mean(t: Tables):
+    return M.monthly_seasonality(S.lodging_fact(t), "month", "weekday_price", stat="mean")
+
+
+@register("m8_monthly_median_one_lead_time", f"""
+WITH m AS (SELECT month, median(weekday_price) AS s FROM {LF} WHERE month IN (6, 7, 8, 12) GROUP BY month)
+SELECT month, {r2('s')} AS median_value, s = (SELECT MAX(s) FROM m) AS is_peak, s = (SELECT MIN(s) FROM m) AS is_low,
+       {r2('(SELECT MAX(s) FROM m) - (SELECT MIN(s) FROM m)')} AS amplitude FROM m""", ["M8", "D-6", "A16"])
+def m8_lead(t: Tables):
+    from ..functions.dates import lead_time_for_month
+    f = S.lodging_fact(t).withColumn("lead_time", lead_time_for_month("month"))
+    return M.monthly_seasonality(f, "month", "weekday_price", lead_time="lead_time", lead_times=["2-3 meses"])
+
+
 @register("m9_category_segmentation", f"""
 SELECT category, COUNT(*) AS n_rows, {r2('median(weekday_price)')} AS median_weekday, {r2('median(weekend_price)')} AS median_weekend,
   {r2('(median(weekend_price) - median(weekday_price)) / NULLIF(median(weekday_price), 0) * 100')} AS premium_pct
@@ -188,15 +206,20 @@ SELECT category, COUNT(*) AS n_rows, {r2('AVG(total_spend)')} AS avg_total_spend
        {r2('SUM(total_spend)')} AS sum_total_spend
 FROM {AF} GROUP BY category""", ["M19", "A1", "T1"])
 def m19(t: Tables):
-    from ..functions.common import round_half_up
-    f = S.activity_fact(t)
-    return f.groupBy("category").agg(F.count(F.lit(1)).alias("n_rows"),
-                                     round_half_up(F.avg("total_spend")).alias("avg_total_spend"),
-                                     round_half_up(F.avg("entry_price")).alias("avg_entry_price"),
-                                     round_half_up(F.sum("total_spend")).alias("sum_total_spend")).orderBy(
+    return M.group_summary(S.activity_fact(t), ["category"], ["total_spend", "entry_price"], "total_spend").orderBy(
         F.col("sum_total_spend").desc())
 
 
+def _group_sql(key: str) -> str:
+    return f"""SELECT {key}, COUNT(*) AS n_rows, {r2('AVG(total_spend)')} AS avg_total_spend, {r2('AVG(entry_price)')} AS avg_entry_price,
+       {r2('SUM(total_spend)')} AS sum_total_spend FROM {AF} GROUP BY {key}"""
+
+
+for _key, _name in (("product", "product"), ("country_id", "region"), ("province_id", "province")):
+    register(f"m19_{_name}_summary", _group_sql(_key), ["M19", "A1"])(
+        lambda t, k=_key: M.group_summary(S.activity_fact(t), [k], ["total_spend", "entry_price"], "total_spend"))
+
+
 @register("m20_extremes", f"""
 WITH q AS (SELECT quantile_cont(total_spend, 0.95) AS p95, quantile_cont(total_spend, 0.99) AS p99 FROM {AF})
 SELECT {r2('ANY_VALUE(p95)')} AS p95, {r2('ANY_VALUE(p99)')} AS p99, COUNT(*) FILTER (WHERE total_spend > p95) AS n_above_p95,
@@ -205,6 +228,16 @@ def m20(t: Tables):
     return M.extremes_report(S.activity_fact(t), "total_spend")
 
 
+@register("m20_dearest_rows", f"""
+SELECT l_orderkey, l_linenumber, {r2('l_extendedprice')} AS total_spend FROM lineitem
+ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 10""", ["M20", "T2"])
+def m20_top(t: Tables):
+    from ..operators.topk import top_n
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return top_n(li, [F.col("l_extendedprice").desc()], 10, ["l_orderkey", "l_linenumber"]).select(
+        "l_orderkey", "l_linenumber", round_half_up("l_extendedprice").alias("total_spend"))
+
+
 @register("m21_mode_share_and_trend", f"""
 WITH c AS (SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS yr, COUNT(*) AS n FROM orders GROUP BY 1, 2)
 SELECT o_orderpriority, yr, n, {r2('n * 100.0 / SUM(n) OVER (PARTITION BY yr)')} AS share_pct,
@@ -261,6 +294,41 @@ def m22b(t: Tables):
     return share_within(c, ["route"], "n")
 
 
+def _stats_sql(keys: str) -> str:
+    return f"""SELECT {keys}, COUNT(price) AS n_trips, {r2('AVG(price)')} AS avg_price, {r2('MIN(price)')} AS min_price,
+       {r2('MAX(price)')} AS max_price, {r2('median(price)')} AS median_price FROM ({_ROUTES_SQL}) r GROUP BY {keys}"""
+
+
+@register("m22_route_operator_prices", _stats_sql("route, operator"), ["M22", "A19"])
+def m22_operator(t: Tables):
+    return M.price_stats(_routes(t), ["route", "operator"], "price")
+
+
+@register("m22_monthly_route_operator_price", f"""
+SELECT route, operator, month, {r2('AVG(price)')} AS avg_price FROM ({_ROUTES_SQL}) r GROUP BY 1, 2, 3""", ["M22", "A1"])
+def m22_monthly(t: Tables):
+    return _routes(t).groupBy("route", "operator", "month").agg(round_half_up(F.avg("price")).alias("avg_price"))
+
+
+@register("m22_month_extremes", f"""
+WITH m AS (SELECT month, {r2('AVG(price)', 6)} AS p FROM ({_ROUTES_SQL}) r GROUP BY 1)
+SELECT month, {r2('p')} AS avg_price, ROW_NUMBER() OVER (ORDER BY p, month) <= 3 AS is_cheapest,
+       ROW_NUMBER() OVER (ORDER BY p DESC, month) <= 3 AS is_dearest FROM m""", ["M22", "T3", "W5"])
+def m22_months(t: Tables):
+    return M.month_extremes(_routes(t), "month", "price")
+
+
+@register("m22_operator_ranking", f"""
+WITH g AS (SELECT operator, COUNT(*) AS n_trips, {r2('AVG(price)')} AS avg_price, COUNT(DISTINCT route) AS n_routes FROM ({_ROUTES_SQL}) r GROUP BY 1)
+SELECT *, CAST(RANK() OVER (ORDER BY avg_price) AS INTEGER) AS price_rank FROM g""", ["M22", "W10"])
+def m22_ranking(t: Tables):
+    """Operators are as many as suppliers: the rank is taken over one row each."""
+    from pyspark.sql import Window
+    g = _routes(t).groupBy("operator").agg(F.count(F.lit(1)).alias("n_trips"), round_half_up(F.avg("price")).alias("avg_price"),
+                                           F.countDistinct("route").alias("n_routes"))
+    return g.withColumn("price_rank", F.rank().over(Window.orderBy("avg_price")))
+
+
 _DOW = list(range(1, 8))
 
 
@@ -288,6 +356,15 @@ def m23b(t: Tables):
     return p.join(c, "event_type")
 
 
+@register("m23_distribution_by_month", f"""
+SELECT CAST(month(ts) AS INTEGER) AS month, COUNT(value) AS count, {r2('AVG(value)')} AS mean, {r2('STDDEV_SAMP(value)')} AS std,
+       {r2('MIN(value)')} AS min, {r2('quantile_cont(value, 0.25)')} AS p25, {r2('quantile_cont(value, 0.5)')} AS p50,
+       {r2('quantile_cont(value, 0.75)')} AS p75, {r2('MAX(value)')} AS max FROM events GROUP BY 1""", ["M23", "A19"])
+def m23_month(t: Tables):
+    from ..operators.aggregates import numeric_profile
+    return numeric_profile(t.events.select(F.month("ts").alias("month"), "value"), "value", ["month"])
+
+
 @register("m24_lead_time_mix", f"""
 WITH g AS (SELECT month, CASE WHEN month IN (6, 7, 8, 12) THEN '2-3 meses' ELSE '1 mes' END AS lead_time, COUNT(*) AS n_rows,
                   {r2('median(weekday_price)')} AS median_value FROM {LF} GROUP BY 1, 2)
@@ -492,3 +569,37 @@ def m6(t: Tables):
                               F.col("n_regionkey").alias("grandparent_id"))
     grand = t.region.select(F.col("r_regionkey").alias("grandparent_id"), F.col("r_name").alias("grandparent_name"))
     return M.build_geo_dimension(members, parents, grand)
+
+
+# Suppliers of some nations lie on islands: the island is the supplier key's last digit pair.
+_CODE = "lpad(CAST(s_nationkey AS VARCHAR), 2, '0') || lpad(CAST(s_suppkey % 1000 AS VARCHAR), 3, '0') || CAST(s_suppkey % 10 AS VARCHAR)"
+_ISLE = "lpad(CAST(s_nationkey AS VARCHAR), 2, '0') || lpad(CAST(s_suppkey % 4 AS VARCHAR), 2, '0')"
+
+
+def _islands(t: Tables):
+    s = t.supplier.filter(F.col("s_nationkey") < 8).join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = s.select(F.col("s_nationkey").alias("parent_code"), (F.col("s_suppkey") % 1000).alias("local_code"),
+                    (F.col("s_suppkey") % 10).alias("check_digit"), (F.col("s_suppkey") % 4).alias("island_code"),
+                    F.concat(F.lit("Isla "), (F.col("s_suppkey") % 4).cast("string")).alias("island_name"), F.col("n_name").alias("parent_name"))
+    members = m6(t).filter(F.col("member_id") % 5 != 0)  # some members are not in the dimension
+    return M.build_island_tables(rows, members)
+
+
+@register("m6_member_island_bridge", f"""
+WITH d AS (SELECT DISTINCT {_CODE} AS partial_code, lpad(CAST(n_regionkey AS VARCHAR), 2, '0') || {_CODE} AS member_code
+           FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 5 <> 0),
+r AS (SELECT {_CODE} AS partial_code, {_ISLE} AS island_id, 'Isla ' || CAST(s_suppkey % 4 AS VARCHAR) AS island_name
+      FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_nationkey < 8)
+SELECT DISTINCT 'ES' AS country_id, member_code, r.partial_code, island_id, island_name, 'ES-' || island_id AS island_gid,
+       'ES-' || member_code AS member_gid
+FROM r LEFT JOIN d ON r.partial_code = d.partial_code""", ["M6", "J1", "U4"])
+def m6_bridge(t: Tables):
+    return _islands(t)[0]
+
+
+@register("m6_island_dimension", f"""
+SELECT DISTINCT 'ES' AS country_id, {_ISLE} AS island_id, 'Isla ' || CAST(s_suppkey % 4 AS VARCHAR) AS island_name,
+       lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS parent_code, n_name AS parent_name, 'ES-' || {_ISLE} AS island_gid
+FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_nationkey < 8""", ["M6", "U4"])
+def m6_islands(t: Tables):
+    return _islands(t)[1]

@@ -97,8 +97,8 @@ def normalize_text(c: ColumnOrName, null_as_empty: bool = True) -> Column:
     x = col(c).cast("string")
     x = F.lower(strip_unicode_space(x))
     x = F.translate(x, LONG_DASHES, "-" * len(LONG_DASHES))
-    x = _fold(x, _ASCII_MAP)
-    x = F.regexp_replace(x, r"[^\x00-\x7F]", "")
+    # Plain ASCII text, the common case, needs no folding.
+    x = F.when(x.rlike(r"[^\x00-\x7F]"), F.regexp_replace(_fold(x, _ASCII_MAP), r"[^\x00-\x7F]", "")).otherwise(x)
     x = F.regexp_replace(x, r"\s*-\s*", "-")
     x = F.regexp_replace(x, r"\s+", " ")
     if null_as_empty:

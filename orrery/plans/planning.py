@@ -105,12 +105,9 @@ def _with_lodging(core: DataFrame, lodging_rec: DataFrame, category_col: str = "
     return j.withColumn("lodging_cost", round_half_up(est))
 
 
-def lodging_cost(summary: DataFrame, nights: DataFrame | None, lodging_rec: DataFrame,
-                 category_col: str = "category") -> DataFrame:
+def lodging_cost(summary: DataFrame, lodging_rec: DataFrame, category_col: str = "category") -> DataFrame:
     """Weekday nights x weekday price + weekend nights x weekend price
-    for the destination and lodging category; unknown parts count 0.
-    (``nights`` is accepted for API symmetry; the night split is computed
-    on the plan rows.)"""
+    for the destination and lodging category; unknown parts count 0."""
     j = _with_lodging(summary, lodging_rec, category_col)
     return j.select("plan_id", "trip_nights", "nights_weekday", "nights_weekend", "lodging_category",
                     "night_price_weekday", "night_price_weekend", "lodging_cost")
@@ -167,11 +164,11 @@ def transport_cost(parts: DataFrame, factor: float = TRANSPORT_FACTOR) -> DataFr
     return parts.select("plan_id", round_half_up(base * factor).alias("transport_cost"))
 
 
-def _finish_estimate(j: DataFrame, transport_factor: float) -> DataFrame:
+def _finish_estimate(j: DataFrame, transport_factor: float, carry: Sequence[str] = ()) -> DataFrame:
     z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     transport = round_half_up((z("lodging_cost") + z("food_cost") + z("activities_cost") + z("services_cost"))
                               * transport_factor)
-    j = j.select("plan_id", "trip_days", "trip_nights",
+    j = j.select("plan_id", "trip_days", "trip_nights", *carry,
                  *[z(c).alias(c) for c in COST_COMPONENTS[:-1]], transport.alias("transport_cost"))
     total = None
     for c in COST_COMPONENTS:
@@ -182,8 +179,10 @@ def _finish_estimate(j: DataFrame, transport_factor: float) -> DataFrame:
 def estimate_all(plans: DataFrame, stops: DataFrame, prefs: DataFrame, countries: DataFrame,
                  provinces: DataFrame, lodging_rec: DataFrame, activity_rec: DataFrame,
                  food_category: str = FOOD_CATEGORY, rules: Mapping[str, str] = COST_GROUP_RULES,
-                 daily_factor: float = FOOD_DAILY_FACTOR, transport_factor: float = TRANSPORT_FACTOR) -> DataFrame:
-    """P1-P7 in one plan. The lean plan core is built once; nights, lodging
+                 daily_factor: float = FOOD_DAILY_FACTOR, transport_factor: float = TRANSPORT_FACTOR,
+                 carry: Sequence[str] = ()) -> DataFrame:
+    """P1-P7 in one plan; ``carry`` adds columns of the plan core (budget,
+    start date), so that P8-P10 and P13 need no second core. The lean plan core is built once; nights, lodging
     and food are columns added to it through joins with small reference
     aggregates (no shuffle of the plans beyond the core itself); only the
     preference-based group costs are an aggregate by ``plan_id`` joined back.
@@ -191,17 +190,15 @@ def estimate_all(plans: DataFrame, stops: DataFrame, prefs: DataFrame, countries
     core = plan_core(plans, stops, countries, provinces)
     rows = _with_food(_with_lodging(core, lodging_rec), activity_rec, food_category, daily_factor)
     groups = group_costs(core, prefs, activity_rec, rules)
-    j = rows.select("plan_id", "trip_days", "trip_nights", "lodging_cost", "food_cost").join(groups, "plan_id", "left")
-    return _finish_estimate(j, transport_factor)
+    j = rows.select("plan_id", "trip_days", "trip_nights", *carry, "lodging_cost", "food_cost").join(groups, "plan_id", "left")
+    return _finish_estimate(j, transport_factor, carry)
 
 
-def budget_page(summary: DataFrame, estimate: DataFrame, as_of: ColumnOrName,
-                other_factor: float = OTHER_FACTOR) -> DataFrame:
+def budget_page(estimate: DataFrame, as_of: ColumnOrName, other_factor: float = OTHER_FACTOR) -> DataFrame:
     """Budget page: other = factor x (lodging + activities), transport 0,
     cost per day, difference to the user budget, months left and the
-    monthly saving goal."""
-    j = summary.select("plan_id", "budget", "trip_days", "start_date").join(
-        estimate.select("plan_id", "lodging_cost", "activities_cost"), "plan_id", "left")
+    monthly saving goal. ``estimate`` carries budget and start_date."""
+    j = estimate
     lod = F.coalesce(F.col("lodging_cost"), F.lit(0.0))
     act = F.coalesce(F.col("activities_cost"), F.lit(0.0))
     other = round_half_up((lod + act) * other_factor)
@@ -240,12 +237,11 @@ def approved_budget(estimate: DataFrame, spend_totals: DataFrame, other_factor:
                     status.alias("status"))
 
 
-def checklist_margin(summary: DataFrame, estimate: DataFrame, other_factor: float = OTHER_FACTOR) -> DataFrame:
+def checklist_margin(estimate: DataFrame, other_factor: float = OTHER_FACTOR) -> DataFrame:
     """P10, third basis: budget minus (lodging + activities + the estimate's
     transport + factor x (lodging + activities)); the label is given only to
-    plans that cost something."""
-    j = summary.select("plan_id", "budget").join(
-        estimate.select("plan_id", "lodging_cost", "activities_cost", "transport_cost"), "plan_id", "left")
+    plans that cost something. ``estimate`` carries the budget."""
+    j = estimate
     z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     both = z("lodging_cost") + z("activities_cost")
     total = both + z("transport_cost") + round_half_up(both * other_factor)
@@ -401,18 +397,17 @@ def checklist(summary: DataFrame, categories_col: str = "activity_categories") -
     return summary.select("plan_id", F.explode(all_items).alias("it")).select("plan_id", "it.*")
 
 
-def checklist_progress(state: DataFrame, estimate: DataFrame | None = None, budget: DataFrame | None = None) -> DataFrame:
+def checklist_progress(state: DataFrame, estimate: DataFrame | None = None) -> DataFrame:
     """Items, completed, % done and the progress message; with the
-    estimate and budget, also the final plan status."""
+    estimate (carrying the budget), also the final plan status."""
     p = state.groupBy("plan_id").agg(F.count(F.lit(1)).alias("n_items"),
                                      F.count_if(F.col("done")).alias("n_done"))
     pct_done = F.when(F.col("n_items") > 0, round_half_up(safe_div("n_done", "n_items") * 100)).otherwise(F.lit(0.0))
     p = p.withColumn("progress_pct", pct_done).withColumn(
         "progress_status", F.when(F.col("progress_pct") == 100, "complete")
         .when(F.col("progress_pct") >= 50, "advanced").otherwise("pending"))
-    if estimate is not None and budget is not None:
-        j = p.join(estimate.select("plan_id", "total_cost"), "plan_id", "left").join(
-            budget.select("plan_id", "budget"), "plan_id", "left")
+    if estimate is not None:
+        j = p.join(estimate.select("plan_id", "total_cost", "budget"), "plan_id", "left")
         diff = F.col("budget") - F.col("total_cost")
         p = j.withColumn("final_status",
                          F.when((F.col("total_cost") > 0) & (diff >= 0) & (F.col("progress_pct") >= 50), "solid")

@@ -98,13 +98,16 @@ def weekend_premium(fact: DataFrame, weekday: str = "weekday_price", weekend: st
 
 
 def monthly_seasonality(fact: DataFrame, month: str, value: str, stat: str = "median",
-                        scale: int = 2) -> DataFrame:
+                        scale: int = 2, lead_time: str | None = None, lead_times: Sequence[str] = ()) -> DataFrame:
     """M8: median (or mean) per month, with peak / low flags and the
-    amplitude (months are few: the extremes are one broadcast row)."""
+    amplitude (months are few: the extremes are one scalar row). With
+    ``lead_time`` only rows of the given ``lead_times`` count."""
+    if lead_time is not None:
+        fact = fact.filter(F.col(lead_time).isin(list(lead_times)))
     if stat == "median":
         m = quantiles(fact, value, {"stat": 0.5}, [month])
     else:
-        m = fact.groupBy(month).agg(F.avg(value).alias("stat"))
+        m = fact.groupBy(month).agg(round_half_up(F.avg(value), 6).alias("stat"))
     j = attach_scalars(m, m.agg(F.max("stat").alias("__hi"), F.min("stat").alias("__lo")))
     return j.select(month, round_half_up("stat", scale).alias(f"{stat}_value"),
                     (F.col("stat") == F.col("__hi")).alias("is_peak"), (F.col("stat") == F.col("__lo")).alias("is_low"),
@@ -309,6 +312,50 @@ def build_activity_fact(raw: DataFrame, category_map: Mapping[str, str], ratings
     return j
 
 
+def build_island_tables(rows: DataFrame, members: DataFrame, prefix: str = "ES") -> tuple[DataFrame, DataFrame]:
+    """M6, islands: (bridge member - island, island dimension).
+
+    ``rows``: (parent_code, local_code, check_digit, island_code, island_name,
+    parent_name), one per member on an island; ``members``: the geographic
+    dimension (member_code, partial_code). The island id is parent(2) +
+    island(2); a row whose partial code is unknown keeps a null member."""
+    from ..functions.text import join_id, zfill
+    r = rows.select(F.concat(zfill("parent_code", 2), zfill("local_code", 3), F.col("check_digit").cast("string")).alias("partial_code"),
+                    F.concat(zfill("parent_code", 2), zfill("island_code", 2)).alias("island_id"),
+                    zfill("parent_code", 2).alias("parent_code"), "island_name", "parent_name")
+    j = r.join(members.select("partial_code", "member_code").distinct(), "partial_code", "left")
+    bridge = j.select(F.lit(prefix).alias("country_id"), "member_code", "partial_code", "island_id", "island_name",
+                      join_id(F.lit(prefix), "island_id").alias("island_gid"),
+                      F.when(F.col("member_code").isNotNull(), join_id(F.lit(prefix), "member_code")).alias("member_gid")).distinct()
+    islands = r.select(F.lit(prefix).alias("country_id"), "island_id", "island_name", "parent_code", "parent_name",
+                       join_id(F.lit(prefix), "island_id").alias("island_gid")).distinct()
+    return bridge, islands
+
+
+def group_summary(fact: DataFrame, keys: Sequence[str], means: Sequence[str], total: str, scale: int = 2) -> DataFrame:
+    """Rows, mean metrics and the total of one metric per group."""
+    return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"),
+                                   *[round_half_up(F.avg(c), scale).alias(f"avg_{c}") for c in means],
+                                   round_half_up(F.sum(total), scale).alias(f"sum_{total}"))
+
+
+def price_stats(fact: DataFrame, keys: Sequence[str], price: str, scale: int = 2) -> DataFrame:
+    """Rows, mean, median, min and max price per group."""
+    g = fact.groupBy(*keys).agg(F.count(price).alias("n_trips"), round_half_up(F.avg(price), scale).alias("avg_price"),
+                                round_half_up(F.min(price), scale).alias("min_price"), round_half_up(F.max(price), scale).alias("max_price"))
+    return with_quantiles(g, fact, price, {"median_price": 0.5}, keys, scale)
+
+
+def month_extremes(fact: DataFrame, month: str, price: str, n: int = 3, scale: int = 2) -> DataFrame:
+    """Mean price by month over all routes, with the ``n`` cheapest and
+    dearest months marked (ties to the earlier month). Months are twelve."""
+    from pyspark.sql import Window
+    m = fact.groupBy(month).agg(round_half_up(F.avg(price), 6).alias("__p"))
+    cheap = F.row_number().over(Window.orderBy(F.col("__p").asc(), F.col(month).asc()))
+    dear = F.row_number().over(Window.orderBy(F.col("__p").desc(), F.col(month).asc()))
+    return m.select(month, round_half_up("__p", scale).alias("avg_price"), (cheap <= n).alias("is_cheapest"), (dear <= n).alias("is_dearest"))
+
+
 def build_geo_dimension(members: DataFrame, parents: DataFrame, grandparents: DataFrame, prefix: str = "ES") -> DataFrame:
     """M6: member dimension with composite ids: region(2) + province(2) +
     local(3) + check digit(1); partial id without the region; global ids
