@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, Hashes, binary_texts, chunks, crc_bucket, written
+from .common import WHITE, Hashes, binary_texts, crc_bucket, mix64, written
 
-_BITS = 18
+_BITS = 20
 _SYMBOLS = b"#*$%&|<>"
 _ENDS = b".,;:!?"
 _UPPER = bytes(range(65, 91))
@@ -124,7 +124,7 @@ def start_table(votes_bad: float, wrongly: float, none_else: bool, cover: float
     return t
 
 
-def train(rows: list[np.ndarray], target: np.ndarray, least: int = 5, penalty: float = 1e-4, rounds: int = 200) -> tuple[np.ndarray, float]:
+def train(rows: list[np.ndarray], target: np.ndarray, least: int = 10, penalty: float = 3e-4, rounds: int = 150) -> tuple[np.ndarray, float]:
     """Logistic weights by accelerated proximal gradient with an L1 penalty;
     features of fewer than ``least`` rows get none."""
     n = len(rows)
@@ -159,11 +159,18 @@ def train(rows: list[np.ndarray], target: np.ndarray, least: int = 5, penalty: f
     return w * scale, b
 
 
-def lexicon(rows: list[np.ndarray], toxic: np.ndarray, least: int = 3, ratio: float = 8.0,
-            significance: float = 25.0) -> np.ndarray:
+def lexicon(rows: list[np.ndarray], toxic: np.ndarray, least: int = 5, ratio: float = 8.0,
+            significance: float = 40.0) -> np.ndarray:
     """Word features at least ``ratio`` times as frequent in toxic documents
-    as in others, seen in ``least`` toxic ones or more, and not by chance."""
+    as in others, seen in ``least`` toxic ones or more, and not by chance.
+    Documents with the same smallest rare feature under a random order count
+    as copies of each other, once."""
     size = 1 << _BITS
+    df = np.bincount(np.concatenate([np.empty(0, np.int64), *rows]).astype(np.int64), minlength=_size())
+    rare = [r[(r < size) & (df[r] <= 0.005 * len(rows) + 2)] for r in rows]
+    least_feature = [int(mix64(r).min()) if len(r) else i for i, r in enumerate(rare)]
+    _, once = np.unique(least_feature, return_index=True)
+    rows, toxic = [rows[i] for i in once], toxic[once]
     count = lambda keep: np.bincount(np.concatenate([r[r < size] for r, k in zip(rows, keep) if k] or [np.empty(0, np.int64)]).astype(np.int64), minlength=size)
     bad, other = count(toxic), count(~toxic)
     share_bad, share_other = (bad + 0.1) / max(toxic.sum(), 1), (other + 0.5) / max((~toxic).sum(), 1)
