@@ -10,8 +10,8 @@ How the work moves. Documents are gathered into blocks of about
 table once for its distinct keys (a sorted, compressed array a part) and
 sends its own counts along, so counting, storing and looking up take one
 shuffle, and a frequent word or pair is one entry a block however often it
-occurs. The parts answer by block. Bigrams are parted by a hash of both
-words, so a frequent word's bigrams are spread over all parts.
+occurs. The parts answer by block, in the order asked. Bigrams are parted by
+a hash of both words, so a frequent word's bigrams are spread over all parts.
 """
 
 from __future__ import annotations
@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 from .common import Ids, binary_texts, chunks, crc_bucket_col, mix64, written
 
 START, END, UNKNOWN, FIRST = 0, 1, 2, 3
-_ROWS = "kind string, block long, part int, doc_id long, held_out boolean, data binary, counts binary, extra binary"
-_SCHEMA = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("part", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
-                     ("data", pa.binary()), ("counts", pa.binary()), ("extra", pa.binary())])
+_COLUMNS = (("kind", "string"), ("block", "long"), ("part", "int"), ("data", "binary"), ("counts", "binary"), ("extra", "binary"), ("flags", "binary"))
+_ROWS = ", ".join(f"{c} {t}" for c, t in _COLUMNS)
+_ARROW = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+_SCHEMA = pa.schema([(c, _ARROW[t]) for c, t in _COLUMNS])
+_BEGIN = b""  # the start of a text among the words; no word is empty
 
 
 def _squeeze(raw: bytes) -> bytes:
@@ -65,8 +67,19 @@ def _rows(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
 
 
-def _row(kind, block=None, part=None, data=None, counts=None, extra=None, doc_id=None, held_out=None) -> dict:
-    return {"kind": kind, "block": block, "part": part, "doc_id": doc_id, "held_out": held_out, "data": data, "counts": counts, "extra": extra}
+def _row(kind, block=None, part=None, data=None, counts=None, extra=None, flags=None) -> dict:
+    return {"kind": kind, "block": block, "part": part, "data": data, "counts": counts, "extra": extra, "flags": flags}
+
+
+def _word_part(word: bytes, parts: int) -> int:
+    import xxhash
+    return xxhash.xxh3_64_intdigest(word) % parts
+
+
+def _history_part(h: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the vocabulary that numbered a word."""
+    p = (h - np.uint64(FIRST)) % np.uint64(parts)
+    return np.where(h == START, np.uint64(_word_part(_BEGIN, parts)), p).astype(np.int64)
 
 
 def good_turing(of: np.ndarray, most: int) -> np.ndarray:
@@ -101,51 +114,47 @@ class Unigrams:
 
 
 def _tokens(docs: DataFrame, parts: int, block_tokens: int) -> DataFrame:
-    """Rows 'doc' (token numbers inside the block) and 'words' (the block's words of one part, with training counts)."""
+    """A row 'doc' a block (its documents' words as numbers inside the block)
+    and rows 'words' (the block's words of one part, with training counts)."""
     def look(batches):
-        import xxhash
         task, number = TaskContext.get().partitionId(), 0
-        ids, held, size = Ids(), [], 0
+        fresh = lambda: (Ids({_BEGIN: 0}), [], [], [])
+        ids, doc_ids, held, texts_ = fresh()
+        size = 0
 
         def flush():
-            block = (task << 32) | number
-            words = list(ids)
-            part = np.fromiter((xxhash.xxh3_64_intdigest(w) % parts for w in words), np.int64, len(words))
+            block, words = (task << 32) | number, list(ids)
+            part = np.fromiter((_word_part(w, parts) for w in words), np.int64, len(words))
             order = np.argsort(part, kind="stable")
             place = np.empty(len(words), np.uint32)
             place[order] = np.arange(len(words), dtype=np.uint32)
-            counts = np.zeros(len(words), np.uint32)
-            rows = []
-            for doc_id, out, a in held:
-                a = place[a]
-                if not out:
-                    counts += np.bincount(a, minlength=len(words)).astype(np.uint32) if len(a) > len(words) // 8 else 0
-                    if len(a) <= len(words) // 8:
-                        np.add.at(counts, a, 1)
-                rows.append(_row("doc", block, doc_id=doc_id, held_out=out, data=pack(a)))
-                if len(rows) >= 2000:
-                    yield _rows(rows)
-                    rows = []
+            sizes = np.array([len(a) for a in texts_], np.int64)
+            flat = place[np.concatenate(texts_)]
+            train = np.repeat(~np.array(held, bool), sizes)
+            counts = np.bincount(flat[train], minlength=len(words)).astype(np.uint32)
+            flags = np.array([h + 2 * (d is None) for h, d in zip(held, doc_ids)], np.uint8)
+            rows = [_row("doc", block, None, pack(flat), pack(sizes), pack(np.array([d or 0 for d in doc_ids], np.int64)), pack(flags))]
             edge = np.searchsorted(part[order], np.arange(parts + 1))
-            for p in range(parts):
+            for p in np.flatnonzero(np.diff(edge)).tolist():
                 own = order[edge[p]:edge[p + 1]]
-                if len(own):
-                    rows.append(_row("words", block, p, _squeeze(b"\n".join([words[i] for i in own])), pack(counts[edge[p]:edge[p + 1]])))
-            if rows:
-                yield _rows(rows)
+                rows.append(_row("words", block, p, _squeeze(b"\n".join([words[i] for i in own])), pack(counts[edge[p]:edge[p + 1]])))
+            return _rows(rows)
 
         for batch in batches:
-            doc_ids, texts, out = batch.column(0).to_pylist(), binary_texts(batch.column(1)), batch.column(2).to_pylist()
+            batch_ids, texts, out = batch.column(0).to_pylist(), binary_texts(batch.column(1)), batch.column(2).to_pylist()
             for a, z in chunks(texts, 1_000_000):
                 for i in range(a, z):
                     w = texts[i].lower().split() if texts[i] else []
-                    held.append((doc_ids[i], out[i], np.fromiter(map(ids.__getitem__, w), np.uint32, len(w))))
+                    texts_.append(np.fromiter(map(ids.__getitem__, w), np.uint32, len(w)))
+                    doc_ids.append(batch_ids[i])
+                    held.append(out[i])
                     size += len(w) + 1
                 if size >= block_tokens:
-                    yield from flush()
-                    ids, held, size, number = Ids(), [], 0, number + 1
+                    yield flush()
+                    ids, doc_ids, held, texts_ = fresh()
+                    size, number = 0, number + 1
         if held:
-            yield from flush()
+            yield flush()
 
     return docs.mapInArrow(look, _ROWS)
 
@@ -161,17 +170,20 @@ def _vocabulary(parts: int):
         for a, c in zip(asked, table.column("counts").to_pylist()):
             total[a] += unpack(c, np.uint32)
         words = list(ids)
-        learned = sorted((i for i in range(len(words)) if total[i] > 0), key=words.__getitem__)
+        # Frequent words first: their numbers are small and pack well.
+        learned = sorted((i for i in range(len(words)) if total[i] > 0), key=lambda i: (-total[i], words[i]))
         number = np.full(len(words), UNKNOWN, np.uint32)
         number[learned] = FIRST + p + parts * np.arange(len(learned), dtype=np.uint32)
+        if _BEGIN in ids:
+            number[ids[_BEGIN]] = START
         rows = [_row("model", None, p, _squeeze(b"\n".join([words[i] for i in learned])), pack(total[learned]))]
         rows += [_row("answer", b, p, pack(number[a]), pack(total[a])) for b, a in zip(table.column("block").to_pylist(), asked)]
         return pa.Table.from_batches([_rows(rows)])
     return merge
 
 
-def _count_of_counts(model: DataFrame, most: int) -> tuple[int, int, np.ndarray]:
-    """(kinds, sum, kinds seen r times for r = 0 .. most + 1) over the model's count arrays."""
+def _count_of_counts(model: DataFrame, most: int) -> tuple[int, int, np.ndarray, int]:
+    """(kinds, sum, kinds seen r times for r = 0 .. most + 1, kinds of the largest part) over the model's count arrays."""
     def look(batches):
         for batch in batches:
             for c in batch.column(0).to_pylist():
@@ -179,62 +191,59 @@ def _count_of_counts(model: DataFrame, most: int) -> tuple[int, int, np.ndarray]
                 of = np.bincount(np.minimum(c, most + 2), minlength=most + 3)
                 r = [-2, -1, *range(most + 2)]
                 yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array([len(c), int(c.sum()), *of[:most + 2].tolist()], pa.int64())], names=["r", "n"])
-    rows = {r["r"]: r["n"] for r in model.select("counts").mapInArrow(look, "r long, n long").groupBy("r").agg(F.sum("n").alias("n")).collect()}
-    return rows.get(-2, 0), rows.get(-1, 0), np.array([rows.get(r, 0) for r in range(most + 2)], float)
+    found = model.select("counts").mapInArrow(look, "r long, n long").groupBy("r").agg(F.sum("n").alias("n"), F.max("n").alias("most")).collect()
+    rows = {r["r"]: r["n"] for r in found}
+    largest = max([0, *(r["most"] for r in found if r["r"] == -2)])
+    return rows.get(-2, 0), rows.get(-1, 0), np.array([rows.get(r, 0) for r in range(most + 2)], float), largest
 
 
 class _Block:
-    """The documents of one block with model numbers, and its distinct bigrams and histories."""
-
-    def __init__(self, table: pa.Table, parts: int, train_docs: int):
-        kinds = np.array(table.column("kind").to_pylist())
-        data, counts, part = table.column("data").to_pylist(), table.column("counts").to_pylist(), np.array(table.column("part").to_pylist(), float)
-        answers = [i for i in np.argsort(part, kind="stable") if kinds[i] == "answer"]
-        number = np.concatenate([np.empty(0, np.uint32)] + [unpack(data[i], np.uint32) for i in answers])
-        seen = np.concatenate([np.empty(0, np.int64)] + [unpack(counts[i], np.int64) for i in answers])
-        docs = np.flatnonzero(kinds == "doc")
-        local = [unpack(data[i], np.uint32) for i in docs]
-        ids, out = table.column("doc_id"), table.column("held_out")
-        self.doc_id, self.held_out = [ids[int(i)].as_py() for i in docs], [out[int(i)].as_py() for i in docs]
-        size = np.array([len(a) + 1 for a in local], np.int64)
-        self.doc, self.size = np.repeat(np.arange(len(docs)), size), size
-        last = np.cumsum(size) - 1
-        end = END if train_docs else UNKNOWN
-        flat = np.concatenate([np.concatenate([a, [0]]) for a in local]).astype(np.int64) if local else np.empty(0, np.int64)
-        inside = np.ones(len(flat), bool)
+    """The documents of one block with model numbers, and its distinct bigrams."""
+
+    def __init__(self, table: pa.Table, parts: int, train_docs: int, width: int):
+        kinds, part = table.column("kind").to_pylist(), table.column("part").to_pylist()
+        data, counts, extra, flags = (table.column(c).to_pylist() for c in ("data", "counts", "extra", "flags"))
+        by_part = lambda kind: sorted((i for i, k in enumerate(kinds) if k == kind), key=part.__getitem__)
+        joined = lambda column, kind, dtype: np.concatenate([np.empty(0, dtype)] + [unpack(column[i], dtype) for i in by_part(kind)])
+        number, seen = joined(data, "answer", np.uint32), joined(counts, "answer", np.int64)
+        doc = kinds.index("doc")
+        local, sizes = unpack(data[doc], np.uint32), unpack(counts[doc], np.int64)
+        ids, flag = unpack(extra[doc], np.int64).tolist(), unpack(flags[doc], np.uint8)
+        self.held_out, self.doc_id = (flag & 1).astype(bool), [None if f & 2 else i for i, f in zip(ids, flag.tolist())]
+        self.size = sizes + 1
+        self.doc = np.repeat(np.arange(len(sizes)), self.size)
+        last = np.cumsum(self.size) - 1
+        inside = np.ones(len(self.doc), bool)
         inside[last] = False
-        self.word = np.full(len(flat), end, np.uint64)
-        self.count = np.full(len(flat), train_docs, np.int64)
-        self.word[inside], self.count[inside] = number[flat[inside]], seen[flat[inside]]
-        before = np.empty(len(flat), np.uint64)
-        before[1:] = self.word[:-1]
-        before[last - size + 1] = START if train_docs else UNKNOWN
-        self.before = before
-        self.known = np.flatnonzero((before != UNKNOWN) & (self.word != UNKNOWN))
-        self.keys, first, self.key_at = np.unique((before[self.known] << np.uint64(32)) | self.word[self.known], return_index=True, return_inverse=True)
+        end = END if train_docs else UNKNOWN
+        self.word, self.count = np.full(len(inside), end, np.uint64), np.full(len(inside), train_docs, np.int64)
+        self.word[inside], self.count[inside] = number[local], seen[local]
+        # What stands before each token, as a place among the block's words.
+        begin = int(np.flatnonzero(number == START)[0])
+        self.place = np.full(len(inside), begin, np.int64)
+        after = np.flatnonzero(inside) + 1
+        self.place[after] = local
+        self.before = number[self.place].astype(np.uint64)
+        if not train_docs:
+            self.before[:] = UNKNOWN
+        self.known = np.flatnonzero((self.before != UNKNOWN) & (self.word != UNKNOWN))
+        self.keys, first, self.key_at = np.unique(self.before[self.known] * np.uint64(width) + self.word[self.known], return_index=True, return_inverse=True)
         self.key_count = self.count[self.known][first]
         self.key_part = (mix64(self.keys) % np.uint64(parts)).astype(np.int64)
         self.key_order = np.argsort(self.key_part, kind="stable")
-        self.histories, self.history_at = np.unique(before, return_inverse=True)
-        self.history_part = (self.histories % np.uint64(parts)).astype(np.int64)
-        self.history_order = np.argsort(self.history_part, kind="stable")
-        self.answers = {k: [data[i] for i in np.argsort(part, kind="stable") if kinds[i] == k] for k in ("bigrams", "backoff", "divisor")}
+        self.pairs = joined(data, "bigrams", np.int64)
+        self.weight, self.divisor = joined(data, "backoff", np.float64), joined(counts, "backoff", np.int64)
 
 
-def _ask(parts: int, train_docs: int):
-    """A block's questions: its bigrams with training counts, and its histories."""
+def _ask(parts: int, train_docs: int, width: int):
+    """A block's questions: its distinct bigrams, with training counts and the last word's count."""
     def ask(table: pa.Table) -> pa.Table:
-        b, block = _Block(table, parts, train_docs), table.column("block")[0].as_py()
-        train = ~np.array(b.held_out, bool)[b.doc[b.known]]
-        counts = np.bincount(b.key_at, train, len(b.keys)).astype(np.uint32)
-        rows = []
-        edge = np.searchsorted(b.key_part[b.key_order], np.arange(parts + 1))
+        b, block = _Block(table, parts, train_docs, width), table.column("block")[0].as_py()
+        counts = np.bincount(b.key_at, ~b.held_out[b.doc[b.known]], len(b.keys)).astype(np.uint32)
+        rows, edge = [], np.searchsorted(b.key_part[b.key_order], np.arange(parts + 1))
         for p in np.flatnonzero(np.diff(edge)).tolist():
             own = b.key_order[edge[p]:edge[p + 1]]
-            rows.append(_row("bigrams", block, p, pack_sorted(b.keys[own]), pack(counts[own]), pack(b.key_count[own].astype(np.int64))))
-        edge = np.searchsorted(b.history_part[b.history_order], np.arange(parts + 1))
-        for p in np.flatnonzero(np.diff(edge)).tolist():
-            rows.append(_row("histories", block, p, pack_sorted(b.histories[b.history_order[edge[p]:edge[p + 1]]])))
+            rows.append(_row("bigrams", block, p, pack_sorted(b.keys[own]), pack(counts[own]), pack(b.key_count[own])))
         return pa.Table.from_batches([_rows(rows)])
     return ask
 
@@ -253,7 +262,7 @@ def _count_bigrams(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_rows(rows)])
 
 
-def _masses(model: DataFrame, unigram: Unigrams, discounts: np.ndarray, most: int, parts: int) -> DataFrame:
+def _masses(model: DataFrame, unigram: Unigrams, discounts: np.ndarray, most: int, parts: int, width: int) -> DataFrame:
     """For each part of the bigram table and history: what its discounts free,
     the unigram mass of its seen words, and its count."""
     def look(batches):
@@ -262,13 +271,13 @@ def _masses(model: DataFrame, unigram: Unigrams, discounts: np.ndarray, most: in
                 keys, c = unpack_sorted(data), unpack(counts, np.int64)
                 if not len(keys):
                     continue
-                h = keys >> np.uint64(32)
+                h = keys // np.uint64(width)
                 start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
                 freed = np.add.reduceat(np.where(c <= most, (1 - discounts[np.minimum(c, most)]) * c, 0.0), start)
                 mass = np.add.reduceat(unigram(unpack(last, np.int64)), start)
                 size = np.add.reduceat(c, start)
                 h = h[start]
-                part = (h % np.uint64(parts)).astype(np.int64)
+                part = _history_part(h, parts)
                 rows = []
                 for p in np.unique(part).tolist():
                     own = part == p
@@ -290,17 +299,18 @@ def _backoff(table: pa.Table) -> pa.Table:
     freed, seen = np.bincount(at, pairs[0], len(h)), np.bincount(at, pairs[1], len(h))
     # A history whose counts are all too large to be discounted gives up one count's share instead.
     spare = freed > 0
-    divisor = np.where(spare, size, size + 1)
+    divisor = np.where(spare, size, size + 1).astype(np.int64)
     weight = np.where(spare, freed, 1.0) / divisor / np.maximum(1 - seen, 1e-300)
     rows = [_row("model", None, p, pack_sorted(h), pack(divisor), pack(weight))]
     for i, k in enumerate(kinds):
-        if k == "histories":
-            asked = unpack_sorted(data[i])
-            j = np.minimum(np.searchsorted(h, asked), max(len(h) - 1, 0))
-            found = h[j] == asked if len(h) else np.zeros(len(asked), bool)
-            block = table.column("block")[i].as_py()
-            rows.append(_row("backoff", block, p, pack(np.where(found, weight[j], 1.0) if len(h) else np.ones(len(asked)))))
-            rows.append(_row("divisor", block, p, pack(np.where(found, divisor[j], 1.0) if len(h) else np.ones(len(asked)))))
+        if k == "answer":  # the words of a block's part, in its order
+            asked = unpack(data[i], np.uint32).astype(np.uint64)
+            w, d = np.ones(len(asked)), np.ones(len(asked), np.int64)
+            if len(h):
+                j = np.minimum(np.searchsorted(h, asked), len(h) - 1)
+                found = h[j] == asked
+                w, d = np.where(found, weight[j], w), np.where(found, divisor[j], d)
+            rows.append(_row("backoff", table.column("block")[i].as_py(), p, pack(w), pack(d)))
     return pa.Table.from_batches([_rows(rows)])
 
 
@@ -308,19 +318,15 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens",
                   ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def _evaluate(parts: int, train_docs: int, tokens: int, kinds: int, unigram: Unigrams, discounts: np.ndarray, most: int):
+def _evaluate(parts: int, train_docs: int, width: int, tokens: int, kinds: int, unigram: Unigrams, discounts: np.ndarray, most: int):
     def score(table: pa.Table) -> pa.Table:
-        b = _Block(table, parts, train_docs)
+        b = _Block(table, parts, train_docs, width)
         n = len(b.doc_id)
-
-        def gathered(kind, dtype, order):
-            out = np.empty(len(order), dtype)
-            out[order] = np.concatenate([np.empty(0, dtype)] + [unpack(d, dtype) for d in b.answers[kind]])
-            return out
+        found = np.empty(len(b.keys), np.int64)
+        found[b.key_order] = b.pairs
         pair = np.zeros(len(b.word), np.int64)
-        pair[b.known] = gathered("bigrams", np.int64, b.key_order)[b.key_at]
-        weight = gathered("backoff", np.float64, b.history_order)[b.history_at]
-        divisor = gathered("divisor", np.float64, b.history_order)[b.history_at]
+        pair[b.known] = found[b.key_at]
+        weight, divisor = b.weight[b.place], b.divisor[b.place]
         count = b.count
         single = unigram(count)
         seen = pair * np.where(pair <= most, discounts[np.minimum(pair, most)], 1.0) / divisor
@@ -350,26 +356,28 @@ def katz_scores(docs: DataFrame, held_out, most: int = 5, block_tokens: int = 1_
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(max(8, -(-size // (6 * part_keys))))
     docs = docs.select("doc_id", "text", held_out.alias("held_out"))
+    train_docs = docs.filter("not held_out").count()
     kept = written(_tokens(docs, parts, block_tokens), "katz-tokens", "kind")
     text = kept.filter("kind = 'doc'")
-    train_docs = text.filter("not held_out").count()
     words = written(kept.filter("kind = 'words'").groupBy("part").applyInArrow(_vocabulary(parts), _ROWS), "katz-unigrams", "kind")
-    kinds, tokens, of = _count_of_counts(words.filter("kind = 'model'"), most)
+    kinds, tokens, of, most_in_part = _count_of_counts(words.filter("kind = 'model'"), most)
+    width = FIRST + parts * (most_in_part + 1)  # above every word's number
     if train_docs:  # the end is a kind of token too
         kinds, tokens = kinds + 1, tokens + train_docs
         if train_docs <= most + 1:
             of[train_docs] += 1
     unigram = Unigrams(tokens, of, most)
-    known = text.unionByName(words.filter("kind = 'answer'"))
-    asked = written(known.groupBy("block").applyInArrow(_ask(parts, train_docs), _ROWS), "katz-questions", "kind")
-    pairs = written(asked.filter("kind = 'bigrams'").groupBy("part").applyInArrow(_count_bigrams, _ROWS), "katz-bigrams", "kind")
+    numbers = words.filter("kind = 'answer'")
+    known = text.unionByName(numbers)
+    asked = known.groupBy("block").applyInArrow(_ask(parts, train_docs, width), _ROWS)
+    pairs = written(asked.groupBy("part").applyInArrow(_count_bigrams, _ROWS), "katz-bigrams", "kind")
     model = pairs.filter("kind = 'model'")
     discounts = good_turing(_count_of_counts(model, most)[2], most)
-    masses = _masses(model, unigram, discounts, most, parts).unionByName(asked.filter("kind = 'histories'"))
-    backoff = written(masses.groupBy("part").applyInArrow(_backoff, _ROWS), "katz-backoff", "kind")
-    answers = known.unionByName(pairs.filter("kind = 'bigrams'")).unionByName(backoff.filter("kind in ('backoff', 'divisor')"))
+    masses = _masses(model, unigram, discounts, most, parts, width)
+    backoff = written(masses.unionByName(numbers).groupBy("part").applyInArrow(_backoff, _ROWS), "katz-backoff", "kind")
+    answers = known.unionByName(pairs.filter("kind = 'bigrams'")).unionByName(backoff.filter("kind = 'backoff'"))
     return answers.groupBy("block").applyInArrow(
-        _evaluate(parts, train_docs, tokens, kinds, unigram, discounts, most),
+        _evaluate(parts, train_docs, width, tokens, kinds, unigram, discounts, most),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
