@@ -71,7 +71,8 @@ def quantiles_of(df: DataFrame, specs: Mapping[str, tuple[str | Column, float]],
         r = right.select(*[F.col(c).alias(f"{c}_r") if c in on else F.col(c) for c in right.columns])
         cond = F.lit(True)
         for c in on:
-            cond = cond & (F.col(c).eqNullSafe(F.col(f"{c}_r")) if c in kc else F.col(c) == F.col(f"{c}_r"))
+            # Null-safe for all: a plain equality would add a filter below one use of the counts and keep their exchange from being shared.
+            cond = cond & F.col(c).eqNullSafe(F.col(f"{c}_r"))
         return left.join(r, cond).drop(*[f"{c}_r" for c in on])
 
     holds = (F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__from") + F.col("__n"))
