@@ -128,8 +128,8 @@ def train(rows: list[np.ndarray], target: np.ndarray, least: int = 10, penalty:
     """Logistic weights by accelerated proximal gradient with an L1 penalty;
     features of fewer than ``least`` rows get none."""
     n = len(rows)
-    size, doc = _size(), np.repeat(np.arange(n), [len(r) for r in rows])
-    flat = np.concatenate(rows).astype(np.int64) if n else np.empty(0, np.int64)
+    size, doc = _size(), np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
+    flat = np.concatenate(rows).astype(np.int32) if n else np.empty(0, np.int32)
     frequent = np.bincount(flat, minlength=size) >= min(least, max(1, n // 20))
     doc, flat = doc[frequent[flat]], flat[frequent[flat]]
     weight = np.where(target > 0.5, 0.5 / max(target.mean(), 1e-3), 0.5 / max(1 - target.mean(), 1e-3)) if n else target
@@ -207,7 +207,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 12_000, folds: in
     hand = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     seen = written(seen.join(hand, "doc_id", "left"), "weak-votes")
     patterns = seen.groupBy("code", "quality").agg(F.count(F.lit(1)).alias("n")).toPandas()
-    sample = seen.filter("features is not null").select("doc_id", "code", "quality", "toxic", "features").orderBy("doc_id", "code").toPandas()
+    sample = seen.filter("features is not null").select("doc_id", "code", "quality", "toxic", "features").orderBy("doc_id", "code").toArrow()
+    stored, sample = sample["features"].to_pylist(), sample.drop_columns("features").to_pandas()
     n = len(LABELLERS)
     hand_vote = lambda s, bad: np.where(s.isna(), NONE, np.where(s == bad, BAD, GOOD))
 
@@ -217,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 12_000, folds: in
     post = estimate(np.column_stack([digits(patterns["code"].to_numpy(np.int64), n), hand_vote(patterns["quality"], 0)]), patterns["n"].to_numpy(float), start)
     by = {(c, None if q != q else q): p for c, q, p in zip(patterns["code"], patterns["quality"], post)}
     low = np.array([by[c, None if q != q else q] for c, q in zip(sample["code"], sample["quality"])])
-    rows = [np.frombuffer(f, np.uint32) for f in sample["features"]]
+    rows = [np.frombuffer(f, np.uint32) for f in stored]
 
     # Toxicity: one lexicon a fold, learned on the labelled documents outside it, and the hand label.
     fold = np.array([crc_bucket(None if d != d else int(d), folds) for d in sample["doc_id"]], np.int64)

@@ -11,7 +11,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,21 +43,22 @@ def grams_of(word: str, order: int) -> list[str]:
 class Model:
     """Log frequencies by language: ``words`` and ``grams`` map to rows of ``table``."""
 
-    def __init__(self, counts: pd.DataFrame, smoothing: float = 0.5):
-        self.languages = sorted(counts["lang"].unique().tolist(), key=lambda s: s.encode())
+    def __init__(self, counts: pa.Table, smoothing: float = 0.5):
+        self.languages = sorted(counts["lang"].unique().to_pylist(), key=lambda s: s.encode())
         at = {lang: i for i, lang in enumerate(self.languages)}
-        self.index, rows = {}, []
-        for kind, part in counts.groupby("kind"):
-            names = part["gram"].unique().tolist()
-            place = {g: i for i, g in enumerate(names)}
+        kinds = counts["kind"].to_numpy()
+        self.index, rows, first = {}, [], 0
+        for kind in np.unique(kinds).tolist():
+            part = counts.filter(pa.array(kinds == kind))
+            grams = part["gram"].combine_chunks().dictionary_encode()
+            names = grams.dictionary.to_pylist()
             c = np.zeros((len(names), len(self.languages)))
-            np.add.at(c, (part["gram"].map(place).to_numpy(), part["lang"].map(at).to_numpy()), part["n"].to_numpy(float))
-            p = (c + smoothing) / (c.sum(axis=0) + smoothing * (len(names) + 1))
-            log = np.log(p)
-            first = sum(map(len, rows))
-            self.index[int(kind)] = {g: first + i for g, i in place.items()}
-            rows.append(log - log.mean(axis=1, keepdims=True))
-        self.table = np.concatenate(rows).astype(np.float32) if rows else np.zeros((0, len(self.languages)), np.float32)
+            np.add.at(c, (grams.indices.to_numpy(), np.array([at[x] for x in part["lang"].to_pylist()])), part["n"].to_numpy().astype(float))
+            log = np.log((c + smoothing) / (c.sum(axis=0) + smoothing * (len(names) + 1)))
+            self.index[kind] = {g: first + i for i, g in enumerate(names)}
+            first += len(names)
+            rows.append((log - log.mean(axis=1, keepdims=True)).astype(np.float32))
+        self.table = np.concatenate(rows) if rows else np.zeros((0, len(self.languages)), np.float32)
 
     def unseen(self, word: str) -> np.ndarray | None:
         for order in _ORDERS:
@@ -70,7 +70,7 @@ class Model:
         return None
 
 
-def fit(docs: DataFrame, docs_per_language: int = 4000, words_per_language: int = 30_000, grams_per_language: int = 40_000) -> Model:
+def fit(docs: DataFrame, docs_per_language: int = 4000, words_per_language: int = 20_000, grams_per_language: int = 20_000) -> Model:
     """Learn from (doc_id, text, lang) rows with a language.
 
     At most about ``docs_per_language`` documents of each language are used,
@@ -109,7 +109,7 @@ def fit(docs: DataFrame, docs_per_language: int = 4000, words_per_language: int
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), F.col("gram"))
     most = F.when(F.col("kind") == 0, words_per_language).otherwise(grams_per_language)
     top = counts.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= max(words_per_language, grams_per_language)).filter(F.col("k") <= most)
-    return Model(top.drop("k").toPandas())
+    return Model(top.drop("k").toArrow())
 
 
 def predict(docs: DataFrame, model: Model, remember: int = 300_000) -> DataFrame:

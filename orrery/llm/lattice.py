@@ -58,7 +58,7 @@ def _cell_keys(points: np.ndarray, salt: int) -> np.ndarray:
     return h.view(np.int64)
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.95, tables: int = 12, probes: int = 12, scale: float = 1.1,
+def near_vectors(vectors: DataFrame, least: float = 0.95, tables: int = 12, probes: int = 12, scale: float = 1.25,
                  seed: int = 9, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(vec_id, embedding) -> one row per vector: vec_id, n_links, component_id, kept.
 
