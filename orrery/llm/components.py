@@ -27,6 +27,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter(F.col("a") != F.col("b")).distinct()
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node is a centre or hangs on one centre."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(edges.select("b", F.lit(0), F.lit(1)))
+    each = ends.groupBy("n").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return each.filter("down > 1 or (down = 1 and up = 1)").isEmpty()
+
+
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(a, b) long pairs -> (node, component): the smallest node reachable.
 
@@ -38,22 +45,10 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     now = written(edges.select("a", "b").filter(F.col("a") != F.col("b"))
                   .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-
-    def mark(df):
-        r = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return tuple(r)
-
-    last = mark(now)
     for _ in range(most_rounds):
-        if not last[0]:
-            break
+        if _all_stars(now):
+            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
         nxt = written(_star(_star(now, True), False), "edges")
         remove(now)
-        now, seen = nxt, last
-        last = mark(now)
-        if last == seen:
-            break
-    else:
-        raise RuntimeError("components did not converge")
-    return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).union(
-        now.select("b", "b").distinct())
+        now = nxt
+    raise RuntimeError("components did not converge")

@@ -146,6 +146,24 @@ def _close(pairs: DataFrame, classes: DataFrame, least: float, margin: float) ->
     return both.filter(near("ra", "rb", "na", "nb")).select("a", "b")
 
 
+def _room(nodes: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, room): the differences a node may have, its share of the most
+    that a linked pair has, less the shingles that no other node has."""
+    def look(batches):
+        for batch in batches:
+            each = [np.frombuffer(s, np.int64) for s in batch.column(1).to_pylist()]
+            size = [len(s) for s in each]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *each])), pa.array(np.repeat(batch.column(0).to_numpy(), size))],
+                                             names=["shingle", "node"])
+
+    own = sets.join(nodes, "node", "left_semi").select("node", "shingles").mapInArrow(look, "shingle long, node long")
+    alone = own.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter("n = 1")
+    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    share = (100 - percent) / (100 + percent)
+    return (classes.join(nodes, "node", "left_semi").join(alone, "node", "left")
+            .select("node", (F.col("n_shingles") * share - F.coalesce("alone", F.lit(0)) + 1e-6).alias("room")))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int, group: int = 256) -> DataFrame:
     """Pairs with 100 * intersection >= percent * union, on the full sets.
 
@@ -186,11 +204,15 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     reachable by links; kept = (doc_id = component_id).
 
     Equal sets form a class; only classes are compared. In every band bucket
-    all classes are compared with the bucket's first class; where a bucket
-    still joins several components, with a second and third one, and in the
-    end every class outside the bucket's largest component with all others.
-    So no group emits all its pairs, and no link between components is
-    skipped that the bands bring together. With 25 bands of 5 registers a
+    all classes are compared with two leaders: the first by name, the same in
+    all the bands it is in, and the first of one of four random orders. Where
+    a bucket still joins several components, its classes are compared across
+    the components, but for pairs that cannot be linked: each class's shingles
+    that no other class of such buckets has count as differences, and two
+    classes with together more than (1 - s) / (1 + s) of their sizes in
+    differences are below the similarity s. So members of a large family of
+    copies that each changed much are compared with the little-changed only.
+    No link between components is skipped that the bands bring together. With 25 bands of 5 registers a
     pair at 0.85 shares no bucket with probability 4e-7.
 
     Repeated rows are documents of their own; a null doc_id is never the
@@ -207,7 +229,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(band_keys(regs).ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["key", "node"])
 
     bands = classes.filter("low is not null").select("node", "registers").mapInArrow(keys, "key long, node long")
-    firsts = bands.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    firsts = bands.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n"),
+                                      F.min_by("node", F.xxhash64("node", F.pmod("key", F.lit(4)))).alias("other")).filter("n > 1")
     buckets = written(bands.join(firsts, "key"), "buckets")  # only buckets of two classes or more
     met = classes.join(buckets.select("node").distinct(), "node", "left_semi")
     sets = written(_sets(docs, met, width), "shingle-sets")
@@ -216,29 +239,21 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     def links(pairs):
         return _verified(_close(pairs.distinct(), classes, percent / 100, margin), sets, percent)
 
-    edges = written(links(buckets.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))), "links")
-    for turn in (1, 2, None):
-        component = written(connected_components(edges), "components")
-        labelled = buckets.filter("n > 2").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
-        open_ = written(labelled.join(mixed, "key").select("key", "node", "first", "component"), "open-buckets")
-        if open_.isEmpty():
-            break
-        if turn:
-            # Another class to compare with: the first by a new order outside the first one's component.
-            other = open_.join(component.toDF("first", "first_component"), "first", "left").filter(
-                F.col("component") != F.coalesce("first_component", "first"))
-            lead = other.groupBy("key").agg(F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("lead"))
-            pairs = open_.join(lead, "key").filter("component <> lead.component").select("lead.node", "node").toDF("a", "b")
-        else:
-            count = open_.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-            largest = count.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
-            mine = open_.join(largest, "key").filter("component <> largest").select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
-            theirs = open_.join(largest, "key").select("key", F.col("node").alias("b"), F.col("component").alias("cb"), "largest")
-            pairs = mine.join(theirs, "key").filter("ca <> cb and (cb = largest or a < b)").select("a", "b")
-        edges = written(edges.union(links(pairs)), "links")
-    else:
-        component = connected_components(edges)
+    led = buckets.select(F.explode(F.array("first", "other")).alias("lead"), "node").filter("node <> lead")
+    edges = written(links(led.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))), "links")
+    component = written(connected_components(edges), "components")
+    labelled = buckets.filter("n > 2").join(component, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
+    open_ = written(labelled.join(mixed, "key"), "open-buckets")
+    spare = _room(open_.select("node").distinct(), classes, sets, percent)
+    open_ = open_.join(spare, "node")
+    clean = open_.filter("room >= 0").select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("room").alias("ra"))
+    every = open_.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("room").alias("rb"))
+    rest = clean.join(every, "key").filter("ca <> cb and ra + rb >= 0")
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = written(links(rest), "links")
+    if not more.isEmpty():
+        component = connected_components(component.toDF("a", "b").union(more))
 
     info = classes.select("node", "low").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = info.groupBy("component").agg(F.min("low").alias("component_id"))
