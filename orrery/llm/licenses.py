@@ -1,16 +1,20 @@
 """Licence scan: MinHash bands over overlapping text windows retrieve
 templates, and exact shingle containment verifies them.
 
-Band settings. A window that holds a share c of a template's shingles and is
-about as wide as the template has Jaccard s >= c / (2 - c) with it; the
-windows step by half a template width, so some window at most 1.5 times as
-wide as the template holds the whole passage and s >= c / (2.5 - c). With
-one row a band and b bands a pair is retrieved with probability
-1 - (1 - s) ** b: for c = 0.8, s >= 0.47 and 32 bands, above 1 - 2e-9.
+Band settings, from each template's own shingles. A template of k shingles
+may be spread over twice its words: that many shingle places, p (of one
+shingle: its one place). The windows have p + step - 1 places and step by at
+most a quarter of p, so one of them holds all of any such passage. A window of
+v places that holds c of the k shingles has Jaccard s >= c / (k + v - c) with
+the template, whatever its other shingles are. With one row a band and b bands
+the pair is missed with probability (1 - s) ** b; b is taken such that at the
+least c that counts this is at most ``most_missed``, for every template. Only
+shingles that some template has are kept in a window, which lifts s further.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 
@@ -62,74 +66,103 @@ def _words(text: bytes, hashes: _WordHashes) -> np.ndarray:
 
 
 class Matcher:
-    """The templates' shingle sets, grouped by window width, and their band table."""
+    """The templates' shingle sets, grouped by shingle width and window, and their band tables."""
 
-    def __init__(self, templates, width: int = 5, bands: int = 32, similarity: float = 0.8):
-        self.width, self.similarity = width, similarity
+    def __init__(self, templates, width: int = 5, bands: int = 32, similarity: float = 0.8, most_missed: float = 2e-9):
+        self.similarity = similarity
         hashes = _WordHashes()
-        sizes = defaultdict(list)
-        self.names, self.sets, self.vocabulary = [], [], set()
+        sizes, need = defaultdict(list), {}
+        self.names, self.sets = [], []
         for name, text in templates:
             w = _words((text or "").encode(), hashes)
             w = w[w != 0]
             if not len(w):
                 continue
-            s = np.unique(shingle_hashes(w, width))
-            n = 1 << max(0, int(len(w) - 1).bit_length())  # windows of the next power of two, at least 8 words
-            sizes[max(8, n)].append(len(self.names))
+            n, s = min(width, len(w)), np.unique(shingle_hashes(w, width))
+            places = 1 if len(s) == 1 else 2 * len(w) - n + 1
+            step = max(1, places // 4)
+            span = places + step - 1
+            least = max(1, math.ceil(similarity * len(s) - 1e-9))  # shingles that count as found
+            jaccard = least / (len(s) + max(span, least) - least)
+            if jaccard < 1:
+                bands = max(bands, math.ceil(math.log(most_missed) / math.log1p(-jaccard)))
+            sizes[n, step, span].append(len(self.names))
             self.names.append(name)
             self.sets.append(s)
         self.salts = mix64(np.arange(1, bands + 1))
-        self.short = min([width, *(len(s) for s in self.sets)]) if self.sets else width
-        # band minimum -> templates, by window width
-        self.tables = {}
-        for n, members in sizes.items():
+        # (step, span, band minimum -> templates), by shingle width
+        self.tables, self.known = defaultdict(list), {}
+        for (n, step, span), members in sizes.items():
             table = defaultdict(set)
             for t in members:
-                for j, salt in enumerate(self.salts):
-                    table[(j, int(mix64(self.sets[t] ^ salt).min()))].add(t)
-            self.tables[n] = dict(table)
-        self.all_shingles = np.unique(np.concatenate(self.sets)) if self.sets else np.empty(0, np.uint64)
+                for key in self._bands(self.sets[t]):
+                    table[key].add(t)
+            self.tables[n].append((step, span, dict(table)))
+        for n in self.tables:
+            self.known[n] = np.unique(np.concatenate([self.sets[t] for size, members in sizes.items() if size[0] == n for t in members]))
+
+    def _bands(self, shingles: np.ndarray) -> list[tuple[int, int]]:
+        return list(enumerate(mix64(shingles ^ self.salts[:, None]).min(axis=1).tolist()))
 
     def scan(self, words: np.ndarray) -> list[tuple[str, int, int, float]]:
         """(template, first word, words, containment) of the best window of every template found."""
-        if len(words) == 0 or not self.sets:
-            return []
-        sh = shingle_hashes(words, self.width)
-        # A window without one template shingle has Jaccard 0 with all of them and shares no band.
-        at = np.flatnonzero(np.isin(sh, self.all_shingles))
         best = {}
-        if len(at):
-            for n, table in self.tables.items():
-                step, span = n // 2, n + n // 2
-                for start in np.unique(np.concatenate([(at // step) * step, np.maximum(at // step - 1, 0) * step,
-                                                       np.maximum(at // step - 2, 0) * step])):
-                    window = np.unique(sh[start:start + span - self.width + 1])
-                    if not len(window):
+        for n, tables in self.tables.items():
+            if len(words) < n:
+                continue
+            sh = shingle_hashes(words, n)
+            # A window without one template shingle has Jaccard 0 with all of them and shares no band.
+            at = np.flatnonzero(np.isin(sh, self.known[n]))
+            if not len(at):
+                continue
+            for step, span, table in tables:
+                back = np.arange(-(-span // step))
+                starts = np.unique(np.maximum(at[:, None] // step - back, 0)) * step
+                # Windows with the same shingles at the same places are looked at once.
+                slices = np.unique(np.stack([np.searchsorted(at, starts), np.searchsorted(at, starts + span)], axis=1), axis=0)
+                for a, z in slices.tolist():
+                    if a == z:
                         continue
-                    found = set()
-                    for j, salt in enumerate(self.salts):
-                        found |= table.get((j, int(mix64(window ^ salt).min())), set())
+                    places = at[a:z]
+                    window = np.unique(sh[places])
+                    found = set().union(*(table.get(key, ()) for key in self._bands(window)))
                     for t in found:
                         share = np.isin(self.sets[t], window, assume_unique=True).mean()
                         if share >= self.similarity and (t not in best or share > best[t][2]):
-                            inside = np.flatnonzero(np.isin(sh[start:start + span], self.sets[t]))
-                            best[t] = (int(start + inside[0]), int(inside[-1] - inside[0] + self.width), float(share))
-        return [(self.names[t], a, min(n, len(words) - a), c) for t, (a, n, c) in sorted(best.items())]
-
-
-def scan_licenses(docs: DataFrame, templates, width: int = 5, bands: int = 32, similarity: float = 0.8) -> DataFrame:
+                            first, last = _shortest(sh[places], places, self.sets[t])
+                            best[t] = (first, last - first + n, float(share))
+        return [(self.names[t], *x) for t, x in sorted(best.items())]
+
+
+def _shortest(shingles: np.ndarray, places: np.ndarray, wanted: np.ndarray) -> tuple[int, int]:
+    """First and last place of the shortest part that holds as many of the wanted shingles as all places do."""
+    inside = np.isin(shingles, wanted)
+    shingles, places = shingles[inside].tolist(), places[inside].tolist()
+    most, have, a, best = len(set(shingles)), defaultdict(int), 0, None
+    for s, last in zip(shingles, places):
+        have[s] += 1
+        while have[shingles[a]] > 1:
+            have[shingles[a]] -= 1
+            a += 1
+        if len(have) == most and (best is None or last - places[a] < best[1] - best[0]):
+            best = places[a], last
+    return best
+
+
+def scan_licenses(docs: DataFrame, templates, width: int = 5, bands: int = 32, similarity: float = 0.8, most_missed: float = 2e-9) -> DataFrame:
     """(doc_id, text) -> one row per document: doc_id, n_words, licenses
     (array of structs template, first_word, n_words, containment).
 
     Words are cut at ASCII white space, A-Z lower-cased, ASCII punctuation at
     their ends dropped; ``templates`` is a list of (name, text), part of the
-    job's settings. A template is found where one window holds at least
-    ``similarity`` of its distinct ``width``-word shingles (of a shorter
-    template: its whole sequence). Null and empty texts have no licence; the
+    job's settings. A template is found where a passage of at most twice its
+    words holds at least ``similarity`` of its distinct ``width``-word shingles
+    (of a shorter template: its whole sequence); such a passage is missed with
+    probability ``most_missed`` at most, for every template. ``bands`` is the
+    least number of bands. Null and empty texts have no licence; the
     whole text is scanned; repeated rows give repeated rows.
     """
-    matcher = Matcher(templates, width, bands, similarity)
+    matcher = Matcher(templates, width, bands, similarity, most_missed)
     found_type = pa.list_(pa.struct([("template", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("containment", pa.float64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("licenses", found_type)])
 

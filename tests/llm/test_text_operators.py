@@ -337,3 +337,33 @@ def test_licenses_small_table(spark):
             assert got[i] == brute_licenses(t, licenses.TEMPLATES)
         if t and "Released under the MIT License." in t:
             assert "mit" in got[i]
+
+
+def test_licenses_find_short_notices_anywhere():
+    """One-shingle notices, shorter and 9-word ones, at the start and in the middle of many texts."""
+    templates = [*licenses.TEMPLATES, ("three", "Public domain work."), ("nine", "You may copy this text for any use whatever.")]
+    matcher = licenses.Matcher(templates)
+    rng, missed = np.random.default_rng(4), 0
+    for name in ("mit", "cc-by-nc-4.0", "three", "nine"):
+        notice = licenses._words(dict(templates)[name].encode(), licenses._WordHashes())
+        for k in range(1500):
+            filler = rng.integers(1, 1 << 63, 80, dtype=np.uint64)
+            before = 0 if k % 2 else int(rng.integers(1, 60))
+            found = {x[0]: x[1:] for x in matcher.scan(np.concatenate([filler[:before], notice, filler[before:]]))}
+            missed += found.get(name) != (before, len(notice), 1.0)
+    assert missed == 0
+
+
+def test_licenses_missed_bound_of_every_template():
+    """Passages spread over twice a template's words, with the least share that counts, in many fillers."""
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    rng = np.random.default_rng(5)
+    for name, text in licenses.TEMPLATES:
+        notice = licenses._words(text.encode(), licenses._WordHashes())
+        cut = (len(notice) - 4) // 5  # shingles that an insertion may break
+        for k in range(100):
+            filler = rng.integers(1, 1 << 63, 120, dtype=np.uint64)
+            gap = filler[100:100 + len(notice)] if cut >= 4 else filler[:0]
+            at = len(notice) // 2
+            words = np.concatenate([filler[:k % 40], notice[:at], gap, notice[at:], filler[40:100]])
+            assert name in {x[0] for x in matcher.scan(words)}, (name, k)
