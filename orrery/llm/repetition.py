@@ -122,7 +122,25 @@ def maximal_repeats(ranks: SuffixRanks, least: int) -> tuple[np.ndarray, np.ndar
     return start[left], longest[start[left]]
 
 
-def analyse(texts: list[bytes], least: int, long_word: int) -> dict[str, np.ndarray]:
+def short_repeats(number: np.ndarray, counts: np.ndarray, piece_words: int) -> np.ndarray:
+    """Words inside a maximal repeat of two words or more of their piece, or equal to a neighbour.
+
+    A document is cut evenly into pieces of at most ``piece_words`` words, so
+    that the share of such words does not grow with its length. The union of
+    all maximal repeats of two words or more is that of the two-word windows
+    that occur again, so the first levels of the suffix order are enough.
+    """
+    n = len(number)
+    first = np.repeat(np.cumsum(counts) - counts, counts)
+    pieces = -(-counts // piece_words)
+    piece = np.repeat(np.cumsum(pieces) - pieces, counts) + (np.arange(n) - first) * np.repeat(pieces, counts) // np.repeat(counts, counts)
+    at = window_repeats(SuffixRanks(number, piece), 2)
+    same = np.flatnonzero((number[1:] == number[:-1]) & (first[1:] == first[:-1]))
+    at = np.concatenate([at, same])
+    return covered(at, at + 2, n)
+
+
+def analyse(texts: list[bytes], least: int, long_word: int, piece_words: int = 500) -> dict[str, np.ndarray]:
     """Figures of some non-null texts, by text."""
     n = len(texts)
     ids, words, counts, lines, symbols = Ids(), [], [], [], []
@@ -148,6 +166,8 @@ def analyse(texts: list[bytes], least: int, long_word: int) -> dict[str, np.ndar
     repeated = covered(at, at + 5, len(flat))
     # Symbols of the suffix array: words, or single characters of overlong words.
     weight = np.array([len(w) for w in ids], np.int64)
+    total = np.bincount(doc, weight[number], n) if len(number) else np.zeros(n)
+    short = np.bincount(doc, weight[number] * short_repeats(number, counts, piece_words), n) / np.maximum(total, 1) if len(number) else np.zeros(n)
     if len(weight) and weight.max() > long_word:
         parts = [[w] if len(w) <= long_word else [c.encode("utf-8", "surrogateescape") for c in w.decode("utf-8", "surrogateescape")] for w in flat]
         size = np.fromiter(map(len, parts), np.int64, len(parts))
@@ -159,7 +179,6 @@ def analyse(texts: list[bytes], least: int, long_word: int) -> dict[str, np.ndar
     start, length = maximal_repeats(ranks, least)
     weights = weight[number] if len(number) else np.zeros(0, np.int64)
     inside = covered(start, start + length, len(flat))
-    total = np.bincount(doc, weights, n)
     share = np.bincount(doc, weights * inside, n) / np.maximum(total, 1)
     longest = np.zeros(n, np.int64)
     if len(start):
@@ -167,13 +186,13 @@ def analyse(texts: list[bytes], least: int, long_word: int) -> dict[str, np.ndar
         np.maximum.at(longest, doc[start], upto[start + length] - upto[start])
     return {"n_words": counts, "n_symbols": np.array(symbols, np.int64), "n_dup_lines": np.array(lines, np.int64),
             "n_repeat_words": np.bincount(np.repeat(np.arange(n), counts), repeated, n).astype(np.int64),
-            "covered": share, "longest": longest}
+            "covered": share, "longest": longest, "short": short}
 
 
 def quality_rules(docs: DataFrame, least: int = 8, most_covered: float = 0.2, most_longest: int = 500, long_word: int = 64,
-                  min_words: int = 10, most_repeat_percent: int = 20) -> DataFrame:
+                  min_words: int = 10, most_repeat_percent: int = 20, most_short: float = 0.5, piece_words: int = 500) -> DataFrame:
     """(doc_id, text) -> doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, kept, repeat_covered, longest_repeat.
+    n_repeat_words, base_failed, kept, repeat_covered, longest_repeat, short_covered.
 
     The base rule fails documents of fewer than ``min_words`` words or with
     more than ``most_repeat_percent`` of their words in repeated 5-word
@@ -181,12 +200,17 @@ def quality_rules(docs: DataFrame, least: int = 8, most_covered: float = 0.2, mo
     over ``long_word`` bytes, for scripts without spaces). It rejects a
     document if maximal repeats of ``least`` symbols or more cover more than
     ``most_covered`` of its word bytes, or the longest has more than
-    ``most_longest`` bytes. Null texts count as empty, and empty texts fail
+    ``most_longest`` bytes. The base rule and these limits see no repeat of
+    two to four words, so it also rejects a document if repeats of two words
+    or more within pieces of ``piece_words`` words, and words that follow
+    themselves, cover more than ``most_short`` of its word bytes; here an
+    overlong word is one symbol. Null texts count as empty, and empty texts fail
     the base rule. Whole texts; repeated rows give repeated rows.
     """
     long, real, flag = pa.int64(), pa.float64(), pa.bool_()
     schema = pa.schema([("doc_id", long), ("n_words", long), ("word_chars", long), ("n_symbols", long), ("n_dup_lines", long),
-                        ("n_repeat_words", long), ("base_failed", flag), ("kept", flag), ("repeat_covered", real), ("longest_repeat", long)])
+                        ("n_repeat_words", long), ("base_failed", flag), ("kept", flag), ("repeat_covered", real), ("longest_repeat", long),
+                        ("short_covered", real)])
 
     def rules(batches):
         for batch in batches:
@@ -195,17 +219,17 @@ def quality_rules(docs: DataFrame, least: int = 8, most_covered: float = 0.2, mo
             points = pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             white = np.array([len(t) - len(t.translate(None, WHITE)) for t in texts], np.int64)
             for a, z in chunks(texts, 3_000_000):
-                x = analyse(texts[a:z], least, long_word)
+                x = analyse(texts[a:z], least, long_word, piece_words)
                 failed = (x["n_words"] < min_words) | (100 * x["n_repeat_words"] > most_repeat_percent * x["n_words"])
-                kept = ~failed & (x["covered"] <= most_covered) & (x["longest"] <= most_longest)
+                kept = ~failed & (x["covered"] <= most_covered) & (x["longest"] <= most_longest) & (x["short"] <= most_short)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, z - a), pa.array(x["n_words"]), pa.array(points[a:z] - white[a:z]), pa.array(x["n_symbols"]),
                      pa.array(x["n_dup_lines"]), pa.array(x["n_repeat_words"]), pa.array(failed), pa.array(kept),
-                     pa.array(x["covered"]), pa.array(x["longest"])], schema=schema)
+                     pa.array(x["covered"]), pa.array(x["longest"]), pa.array(x["short"])], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(
         rules, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-               "base_failed boolean, kept boolean, repeat_covered double, longest_repeat long")
+               "base_failed boolean, kept boolean, repeat_covered double, longest_repeat long, short_covered double")
 
 
 def op2(spark, sf_dir) -> DataFrame:

@@ -114,6 +114,22 @@ def test_rules_see_repeats_without_spaces(spark, docs_of):
     assert got[1]["repeat_covered"] > 0.1
 
 
+def test_rules_see_stutters_and_short_phrases(spark, docs_of):
+    rng = random.Random(6)
+    some = lambda n: ["".join(rng.choices("abcdefghij", k=6)) for _ in range(n)]
+    junk = [" ".join(w for w in some(8) for _ in range(5)), " ".join(w for w in some(20) for _ in range(2)),
+            " ".join(" ".join(["only", "here", "today", "cheap", *some(2)]) for _ in range(30)),
+            " ".join(" ".join(some(1) * 3 + some(1) * 4) for _ in range(300))]
+    plain = [" ".join(some(40)), " ".join(rng.choices(some(3000), k=20_000)), " ".join(" ".join(["of", "the", *some(4)]) for _ in range(400)), "one"]
+    got = {r["doc_id"]: r for r in rows(repetition.quality_rules(docs_of(junk + plain)))}
+    for i in range(len(junk)):
+        assert not got[i]["base_failed"] and got[i]["repeat_covered"] <= 0.2 and got[i]["longest_repeat"] <= 500
+        assert got[i]["short_covered"] > 0.5 and not got[i]["kept"]
+    for i in range(len(junk), len(junk) + 3):
+        assert got[i]["short_covered"] < 0.4 and got[i]["kept"]
+    assert got[len(junk) + 3]["short_covered"] == 0
+
+
 # --- packing --------------------------------------------------------------------
 
 def check_pack(spark, docs, length=2048):
