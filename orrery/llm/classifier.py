@@ -10,6 +10,7 @@ labels. Hand labels vote too where there are any.
 
 from __future__ import annotations
 
+import warnings
 from collections import Counter
 from operator import eq
 
@@ -181,33 +182,76 @@ def lexicon(rows: list[np.ndarray], toxic: np.ndarray, least: int = 5, ratio: fl
     return np.flatnonzero((bad >= least) & (share_bad > ratio * share_other) & (gain > significance))
 
 
+class _Lexicons(dict):
+    """word -> bits of the lexicons that have the word or its stem, for at most ``most`` words."""
+
+    def __init__(self, lexicons: list[np.ndarray], most: int = 400_000):
+        self.bits, self.most, self.hashes = {}, most, Hashes()
+        for j, words in enumerate(lexicons):
+            for w in words.tolist():
+                self.bits[w] = self.bits.get(w, 0) | 1 << j
+
+    def __missing__(self, word):
+        if len(self) >= self.most:
+            self.clear()
+        bare, mask = word.rstrip(_ENDS), (1 << _BITS) - 1
+        self[word] = b = self.bits.get(self.hashes[bare] & mask, 0) | self.bits.get(self.hashes[b"\0" + bare[:4]] & mask, 0)
+        return b
+
+
+def _lexicon_patterns(docs: DataFrame, hand: DataFrame, lexicons: list[np.ndarray]):
+    """(hits, toxic, n) over all documents; hits has one bit a lexicon."""
+    def look(batches):
+        known = _Lexicons(lexicons)
+        for batch in batches:
+            hits = []
+            for text in binary_texts(batch.column(1)):
+                bits = 0
+                for word in set(text.lower().split()) if text else ():
+                    bits |= known[word]
+                hits.append(bits)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hits, pa.int64())], names=["doc_id", "hits"])
+
+    seen = docs.select("doc_id", "text").mapInArrow(look, "doc_id long, hits long").join(hand.select("doc_id", "toxic"), "doc_id", "left")
+    return seen.groupBy("hits", "toxic").agg(F.count(F.lit(1)).alias("n")).toPandas()
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 12_000, folds: int = 3) -> dict:
     """Weights of both scorers from (doc_id, text) and hand labels (doc_id, quality, toxic).
 
     The labellers of form vote on all documents, and expectation-maximisation
-    runs over the counts of all vote patterns (at most 2 ** 9 of them a label). The
-    scorers are trained on about ``sample_docs`` documents chosen by hash:
-    that bounds what the driver gathers. Repeated labels of a document count
-    as the worst of them.
+    runs over the counts of all vote patterns (at most 2 ** 9 of them a label);
+    so it does for the votes of the toxic lexicons. The lexicons are learned and
+    the scorers trained on about ``sample_docs`` documents chosen by hash: that
+    bounds what the driver gathers. Half of them are hand-labelled, or as many
+    as there are, so the labels used do not thin out as documents grow. If the
+    labels give no lexicon, a warning says that no document is found toxic.
+    Repeated labels of a document count as the worst of them.
     """
-    n_docs = docs.count()
-    share = min(1.0, sample_docs / max(n_docs, 1))
-    spot = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.lit(6)), F.lit(1 << 30)) < int(share * (1 << 30))
+    hand = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    marked = hand.filter("quality is not null or toxic is not null").select("doc_id")
+    n_docs, n_marked = docs.count(), docs.select("doc_id").join(marked, "doc_id", "left_semi").count()
+    take = min(n_marked, max(sample_docs // 2, sample_docs - (n_docs - n_marked)))
+    below = lambda most, of: int(min(1.0, most / max(of, 1)) * (1 << 30))
+    most_marked, most_other = below(take, n_marked), below(sample_docs - take, n_docs - n_marked)
+    spot = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.lit(6)), F.lit(1 << 30))
+    picked = np.array([r[0] for r in docs.select("doc_id").join(marked, "doc_id", "left_semi").filter(spot < most_marked).distinct().collect()], np.int64)
 
     def look(batches):
         hashes = Hashes()
         for batch in batches:
-            texts, chosen = binary_texts(batch.column(1)), batch.column(2).to_pylist()
+            texts, place = binary_texts(batch.column(1)), batch.column(2).to_numpy()
+            chosen = (place < most_other) | ((place < most_marked) & np.isin(batch.column(0).fill_null(-1).to_numpy(), picked))
             codes = [votes(t) for t in texts]
             found = [features(t, c, hashes).tobytes() if k else None for t, c, k in zip(texts, codes, chosen)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.int64()), pa.array(found, pa.binary())],
                                              names=["doc_id", "code", "features"])
 
-    seen = docs.select("doc_id", "text", spot.alias("chosen")).mapInArrow(look, "doc_id long, code long, features binary")
-    hand = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    seen = docs.select("doc_id", "text", spot.alias("place")).mapInArrow(look, "doc_id long, code long, features binary")
     seen = written(seen.join(hand, "doc_id", "left"), "weak-votes")
     patterns = seen.groupBy("code", "quality").agg(F.count(F.lit(1)).alias("n")).toPandas()
-    sample = seen.filter("features is not null").select("doc_id", "code", "quality", "toxic", "features").orderBy("doc_id", "code").toArrow()
+    most = F.when(F.coalesce("quality", "toxic").isNotNull(), most_marked).otherwise(most_other)
+    sample = seen.filter("features is not null").filter(spot < most).select("doc_id", "code", "quality", "toxic", "features").orderBy("doc_id", "code").toArrow()
     stored, sample = sample["features"].to_pylist(), sample.drop_columns("features").to_pandas()
     n = len(LABELLERS)
     hand_vote = lambda s, bad: np.where(s.isna(), NONE, np.where(s == bad, BAD, GOOD))
@@ -227,12 +271,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 12_000, folds: in
     for f in range(folds):
         use = labelled & (fold != f)
         lexicons.append(lexicon([r for r, u in zip(rows, use) if u], toxic[use]))
-    if any(map(len, lexicons)):
-        hit = np.column_stack([[BAD if np.isin(r, words).any() else GOOD for r in rows] for words in lexicons if len(words)])
-        start = np.stack([start_table(0.9, 0.02, False)] * hit.shape[1] + [start_table(0.95, 0.02, False, float(labelled.mean()))], 1)
-        poison = estimate(np.column_stack([hit, hand_vote(sample["toxic"], 1)]), np.ones(len(rows)), start, prior_bad=0.05)
-    else:
-        poison = np.zeros(len(rows))
+    lexicons = [words for words in lexicons if len(words)]
+    poison = np.zeros(len(rows))
+    if lexicons:
+        patterns = _lexicon_patterns(docs, hand, lexicons)
+        m, hits = len(lexicons), patterns["hits"].to_numpy(np.int64)
+        hit = np.where(hits[:, None] >> np.arange(m) & 1, BAD, GOOD)
+        cover = float(patterns.loc[patterns["toxic"].notna(), "n"].sum() / patterns["n"].sum())
+        start = np.stack([start_table(0.9, 0.02, False)] * m + [start_table(0.95, 0.02, False, cover)], 1)
+        post = estimate(np.column_stack([hit, hand_vote(patterns["toxic"], 1)]), patterns["n"].to_numpy(float), start, prior_bad=0.05)
+        by = {(h, None if t != t else t): p for h, t, p in zip(hits.tolist(), patterns["toxic"], post)}
+        found = sum((np.array([np.isin(r, words).any() for r in rows], np.int64) << j for j, words in enumerate(lexicons)), np.zeros(len(rows), np.int64))
+        poison = np.array([by[h, None if t != t else t] for h, t in zip(found.tolist(), sample["toxic"])])
+    if not poison.max(initial=0) > 0.5:
+        warnings.warn(f"no document will be found toxic: {int(toxic.sum())} toxic of {int(labelled.sum())} hand labels used, "
+                      f"{len(lexicons)} lexicons", RuntimeWarning, stacklevel=2)
     return {"quality": train(rows, low), "toxic": train(rows, poison) if poison.max(initial=0) > 0.5 else (np.zeros(_size()), -20.0)}
 
 

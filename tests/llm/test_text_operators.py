@@ -286,6 +286,21 @@ def test_classifier_learns_from_other_documents(spark):
     assert sum(bad) / len(bad) < 0.15 and sum(clean) / len(clean) > 0.93
 
 
+def test_classifier_uses_labels_that_are_few_among_documents(spark):
+    """200 labels of 20,200 documents, a sample of 400: half of it is labelled, and toxic documents are found."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("abcdefghijkl", k=6)) for _ in range(400)]
+    line = lambda poison: " ".join(rng.choices(vocabulary, k=30) + (["vilework", "hateword", "slurword"] if poison else [])) + "."
+    texts = [(i, line(i % 4 == 0)) for i in range(20_200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(200)], "doc_id long, quality int, toxic int")
+    model = classifier.fit(docs, labels, sample_docs=400)
+    got = rows(classifier.classify(docs.filter("doc_id >= 19000"), model))
+    assert all((r["toxic_score"] >= 0.5) == (r["doc_id"] % 4 == 0) for r in got)
+    with pytest.warns(RuntimeWarning, match="toxic"):
+        classifier.fit(docs.limit(300), labels.filter("toxic = 0"))
+
+
 def test_classifier_odd_rows(spark, docs_of, odd):
     labels = spark.createDataFrame([(0, 1, 0), (3, 0, 0), (3, 1, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
     good = [f"A sentence with word{i}, and some more words in it, number {i}. Then another one follows here." for i in range(40)]
