@@ -98,6 +98,49 @@ class Hashes(dict):
         return h
 
 
+class TwoGenerations:
+    """A memo of at most twice ``most`` entries. When the young half is full
+    it becomes the old half; an old entry that is asked for is young again, so
+    frequent keys stay and rare ones go."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def __contains__(self, key) -> bool:
+        return key in self.young or key in self.old
+
+    def __getitem__(self, key):
+        try:
+            return self.young[key]
+        except KeyError:
+            self[key] = value = self.old[key]
+            return value
+
+    def __setitem__(self, key, value) -> None:
+        self.young[key] = value
+
+    def turn(self) -> None:
+        """Between two rounds of work: let the old half go if the young one is full."""
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+
+
+_STATE = "_corpus_worker_state"
+
+
+def worker_state(key, make):
+    """What a Python worker keeps from task to task: ``make()`` once a key.
+
+    Functions are pickled by value, so their module's own globals live for one
+    task only; the interpreter's module table lives as long as the worker."""
+    import sys
+    import types
+    kept = sys.modules.setdefault(_STATE, types.ModuleType(_STATE)).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers (xor-shift-multiply finaliser)."""
     x = x.astype(np.uint64, copy=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import classifier, katz, language, lattice, licenses, mixing, neardup, packing, repetition, urls
+from . import alignment, chat, classifier, katz, language, lattice, licenses, mixing, neardup, packing, repetition, spelling, urls
 
 QUERIES = {
     "op1_source_mixing": mixing.op1,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_url_filter": urls.op8,
     "op9_vector_near_dedup": lattice.op9,
     "op10_license_scan": licenses.op10,
+    "op11_spelling_variants": spelling.op11,
+    "op12_tokenizer_alignment": alignment.op12,
+    "op13_chat_examples": chat.op13,
 }
 
 ORACLES = {
