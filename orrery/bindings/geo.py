@@ -226,3 +226,27 @@ def g11(t: Tables):
             .withColumn("hit", F.lit(True)))
     out = G.resolve_first_hit(v, hits, "s_suppkey", "variant_pos", "query", first_pass_max_pos=5)
     return out.select("s_suppkey", "query", "variant_pos", "hit", "pass")
+
+
+_BOXES_SQL = f"""SELECT s_nationkey AS box_id, MIN(lat) AS lat_min, MAX(lat) - 3 AS lat_max, MIN(lon) + 2 AS lon_min, MAX(lon) AS lon_max
+FROM ({S.SUPPLIER_GEO_SQL}) g GROUP BY s_nationkey"""
+
+
+def _nation_boxes(t: Tables):
+    """A box per nation, from the places of its suppliers."""
+    return S.supplier_geo(t).groupBy(F.col("s_nationkey").alias("box_id")).agg(
+        F.min("lat").alias("lat_min"), (F.max("lat") - 3).alias("lat_max"), (F.min("lon") + 2).alias("lon_min"), F.max("lon").alias("lon_max"))
+
+
+@register("f5_points_in_box_table", f"""
+SELECT c.c_custkey, b.box_id FROM ({S.CUSTOMER_GEO_SQL}) c JOIN ({_BOXES_SQL}) b
+ON c.lat BETWEEN b.lat_min AND b.lat_max AND c.lon BETWEEN b.lon_min AND b.lon_max""", ["F5"])
+def points_in_box_table(t: Tables):
+    return G.match_boxes(S.customer_geo(t).select("c_custkey", "lat", "lon"), _nation_boxes(t)).select("c_custkey", "box_id")
+
+
+@register("f5_points_in_no_box", f"""
+SELECT c.c_custkey FROM ({S.CUSTOMER_GEO_SQL}) c WHERE NOT EXISTS (SELECT 1 FROM ({_BOXES_SQL}) b
+WHERE c.lat BETWEEN b.lat_min AND b.lat_max AND c.lon BETWEEN b.lon_min AND b.lon_max)""", ["F5", "F6"])
+def points_in_no_box(t: Tables):
+    return G.match_boxes(S.customer_geo(t).select("c_custkey", "lat", "lon"), _nation_boxes(t), how="left_anti").select("c_custkey")

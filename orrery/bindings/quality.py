@@ -79,12 +79,27 @@ def q8(t: Tables):
     return Q.key_summary(t.lineitem.select("l_orderkey"), "l_orderkey")
 
 
-@register("q9_column_profile", """
-SELECT * FROM (VALUES
- (1, 's_suppkey', 'numeric'), (2, 's_name', 'text'), (3, 's_nationkey', 'numeric'), (4, 's_acctbal', 'numeric')) v(position, column_name, kind)""",
+def _profile_sql(table: str, columns: dict[str, str]) -> str:
+    """One row a column; decimals by the shortest text of a number."""
+    rows = []
+    for i, (c, kind) in enumerate(columns.items(), 1):
+        decimals = f"MAX(CASE WHEN {c} IS NULL THEN NULL ELSE length(rtrim(split_part(CAST({c} AS VARCHAR), '.', 2), '0')) END)" if kind == "numeric" else "NULL"
+        rows.append(f"SELECT {i} AS position, '{c}' AS column_name, '{kind}' AS kind, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null, "
+                    f"{r2(f'COUNT(*) FILTER (WHERE {c} IS NULL) * 100.0 / COUNT(*)')} AS null_pct, CAST(MAX(length(CAST({c} AS VARCHAR))) AS INTEGER) AS max_length, "
+                    f"CAST(MIN({c}) AS VARCHAR) AS min_value, CAST(MAX({c}) AS VARCHAR) AS max_value, CAST({decimals} AS INTEGER) AS max_decimals FROM {table}")
+    return " UNION ALL ".join(rows)
+
+
+@register("q9_column_profile", _profile_sql("supplier", {"s_suppkey": "numeric", "s_name": "text", "s_nationkey": "numeric", "s_acctbal": "numeric"}),
           ["Q9", "Q12"])
 def q9(t: Tables):
-    return Q.column_profile(t.supplier).select("position", "column_name", "kind")
+    return Q.column_profile(t.supplier)
+
+
+@register("q9_document_profile", _profile_sql("documents", {"doc_id": "numeric", "text": "text", "lang": "text", "source": "text", "n_chars": "numeric"}),
+          ["Q9", "Q12"])
+def q9_documents(t: Tables):
+    return Q.column_profile(t.documents)
 
 
 @register("q9_null_profile", f"""

@@ -22,7 +22,7 @@ class Binding:
 REGISTRY: dict[str, Binding] = {}
 
 _MODULES = ("core", "text_numbers", "keys_sets", "aggregates", "windows_reshape", "quality",
-            "geo", "recipes", "planning", "sources")
+            "geo", "recipes", "planning", "sources", "views", "keychecks", "changes")
 
 
 def register(name: str, sql: str | None, ops: tuple[str, ...] | list[str] = ()):
@@ -36,11 +36,7 @@ def register(name: str, sql: str | None, ops: tuple[str, ...] | list[str] = ()):
 
 def _load() -> None:
     for m in _MODULES:
-        try:
-            importlib.import_module(f"{__package__}.{m}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != f"{__package__}.{m}":
-                raise
+        importlib.import_module(f"{__package__}.{m}")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

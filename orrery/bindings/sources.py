@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import attach_scalars
 from ..operators.keys import keep_last_per_key
+from ..sources import cache, publish
 from ..sources import io as IO
 from ..tables import Tables
 from .registry import register
@@ -69,18 +70,26 @@ def io3(t: Tables):
 SELECT user_id % 8 AS part, strftime(ts, '%Y-%m-%d') AS period, {r2('AVG(value)')} AS avg_value, {r2('SUM(value)')} AS sum_value
 FROM events GROUP BY 1, 2""", ["IO5", "A22"])
 def io5(t: Tables):
+    """One file a key, ``events_part_07.csv`` and so on, read back by name.
+    A bounded key: eight files whatever the number of users."""
     from ..operators.aggregates import period_rollup
     path = IO.scratch_path(t.spark, "io5")
-    e = t.events.select((F.col("user_id") % 8).alias("part"), "ts", "value")
-    # A bounded key: eight sets of files whatever the number of users.
-    e.write.partitionBy("part").option("header", True).csv(path)
-    back = IO.read_many_with_key(t.spark, f"{path}/*/*.csv", r"part=(\d+)/[^/]*$", key_col="part", header=True,
-                                 recursiveFileLookup=False)
+    e = t.events.select(F.lpad((F.col("user_id") % 8).cast("string"), 2, "0").alias("part"), "ts", "value")
+    publish.write_file_per_key(e, path, "part", "events_part_{key}.csv", bom=True)
+    back = publish.read_files_by_name(t.spark, path, r"^events_part_(\d+)\.csv$", key_col="part", pathGlobFilter="events_part_*.csv")
+    back = IO.clean_headers(back)
     back = back.select(F.col("part").cast("bigint").alias("part"), F.col("ts").try_cast("timestamp_ntz").alias("ts"),
                        F.col("value").try_cast("double").alias("value"))
     return period_rollup(back, ["part"], "ts", "yyyy-MM-dd", means=["value"], sums=["value"])
 
 
+@register("io9_csv_with_bom", "SELECT * FROM customer", ["IO9", "IO4"])
+def io9(t: Tables):
+    path = IO.scratch_path(t.spark, "io9")
+    publish.write_csv_with_bom(t.customer, path, sep=";")
+    return _typed(IO.clean_headers(IO.read_delimited(t.spark, path, sep=";", encoding="UTF-8")), CUSTOMER_TYPES)
+
+
 @register("q14_io12_reports", """
 SELECT 'nations without region' AS report, COUNT(*) AS n_rows, COUNT(*) > 0 AS written FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region)
 UNION ALL
@@ -176,6 +185,25 @@ def io11(t: Tables):
         "user_id", "event_id", "ts", "value", "load_order")
 
 
+@register("io11_partitioned_cache", """
+SELECT user_id, event_id, ts, value FROM (
+  SELECT user_id, event_id, ts, value, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) z WHERE rn = 1""",
+          ["IO11", "J7", "K3"])
+def io11_partitioned(t: Tables):
+    """Users are looked up in three resumable batches; what one leaves over the next takes."""
+    path = IO.scratch_path(t.spark, "io11")
+    e = t.events.select("user_id", "event_id", "ts", "value")
+    users = e.select("user_id").distinct()
+    half = max(1, users.count() // 2)
+
+    def latest(keys):
+        return keep_last_per_key(e.join(keys, "user_id", "left_semi"), ["user_id"], ["ts", "event_id"])
+    for _ in range(3):
+        done = cache.update_cache(path, users, ["user_id"], latest, ["ts", "event_id"], batch=half, buckets=8)
+        users = done.remainder
+    return cache.read_cache(t.spark, path)
+
+
 @register("io13_io14_column_contract", """
 SELECT c_name, c_custkey, c_nationkey, c_acctbal, c_mktsegment, CAST(NULL AS VARCHAR) AS c_phone FROM customer""",
           ["IO13", "IO14", "IO15"])
@@ -197,6 +225,6 @@ def streaming_latest(t: Tables):
     e.filter(F.col("ts") < cutoff).write.mode("overwrite").parquet(f"{base}/in/part1")
     e.filter(F.col("ts") >= cutoff).write.mode("overwrite").parquet(f"{base}/in/part2")
     q = upsert_latest_stream(t.spark, f"{base}/in/*", e.schema, f"{base}/out", f"{base}/ckpt", ["user_id"],
-                             ["ts", "event_id"])
+                             ["ts", "event_id"], buckets=8)
     q.awaitTermination()
     return read_latest(t.spark, f"{base}/out")

@@ -121,3 +121,31 @@ def resolve_first_hit(variants: DataFrame, hits: DataFrame, entity: str, variant
         out = out.withColumn(pass_col, F.when(F.col(variant_pos) <= first_pass_max_pos, "pass1")
                              .when(F.col(variant_pos).isNotNull(), "pass2"))
     return out
+
+
+def match_boxes(points: DataFrame, boxes: DataFrame, box_id: str = "box_id", lat: str = "lat", lon: str = "lon",
+                cell: float = 1.0, how: str = "inner") -> DataFrame:
+    """F5 for many boxes in a table (box_id, lat_min, lat_max, lon_min,
+    lon_max): every point with the id of each closed box that holds it.
+
+    A grid of ``cell`` degrees is the index: a box is exploded to the cells it
+    touches, points meet boxes of their own cell by an equi-join, and the
+    exact test decides. A box and a point share one cell at most, so no pair
+    comes twice. Points with a null coordinate and boxes with a null side or
+    a lower side above the upper one match nothing. ``how="left_semi"`` keeps
+    the points that are in any box, ``"left_anti"`` those in none, ``"left"``
+    all points. A cell with very many points is one join key; Spark splits
+    such a partition on the points' side (AQE skew join).
+    """
+    at = lambda c: F.floor(F.col(c) / cell).cast("long")
+    sides = ["lat_min", "lat_max", "lon_min", "lon_max"]
+    good = boxes.select(F.col(box_id).alias(box_id), *sides).filter("lat_min <= lat_max AND lon_min <= lon_max")
+    rows = good.withColumn("__cy", F.explode(F.sequence(at("lat_min"), at("lat_max"))))
+    rows = rows.withColumn("__cx", F.explode(F.sequence(at("lon_min"), at("lon_max"))))
+    cols = points.columns
+    p = points.withColumn("__py", at(lat)).withColumn("__px", at(lon)).alias("p")
+    b = rows.alias("b")
+    inside = (F.col(f"p.{lat}").between(F.col("b.lat_min"), F.col("b.lat_max")) & F.col(f"p.{lon}").between(F.col("b.lon_min"), F.col("b.lon_max")))
+    joined = p.join(b, (F.col("p.__py") == F.col("b.__cy")) & (F.col("p.__px") == F.col("b.__cx")) & inside, how)
+    keep = [F.col(f"p.`{c}`") for c in cols]
+    return joined.select(*keep) if how in ("left_semi", "left_anti") else joined.select(*keep, F.col(f"b.{box_id}"))

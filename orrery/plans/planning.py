@@ -82,6 +82,13 @@ def nights_by_day_type(summary: DataFrame) -> DataFrame:
     return summary.filter(F.col("trip_nights") > 0).select("plan_id", *_nights_cols())
 
 
+def night_series(summary: DataFrame, weekend_days: Sequence[int] = D.WEEKEND_DAYS) -> DataFrame:
+    """D-2 / J13: one row per plan and night (start .. end - 1) with its date
+    and whether it is a weekend night; plans without nights have no row."""
+    return summary.select("plan_id", F.explode(D.night_dates("start_date", "end_date")).alias("night_date")).select(
+        "plan_id", "night_date", D.is_weekend_night("night_date", weekend_days).alias("is_weekend"))
+
+
 def _lodging_rec(lodging_rec: DataFrame, category_col: str = "category") -> DataFrame:
     return lodging_rec.select(F.col("country_id").alias("dest_country_id"),
                               F.col("province_id").alias("dest_province_id"),
@@ -187,7 +194,15 @@ def estimate_all(plans: DataFrame, stops: DataFrame, prefs: DataFrame, countries
     aggregates (no shuffle of the plans beyond the core itself); only the
     preference-based group costs are an aggregate by ``plan_id`` joined back.
     """
-    core = plan_core(plans, stops, countries, provinces)
+    return estimate_from_core(plan_core(plans, stops, countries, provinces), prefs, lodging_rec, activity_rec,
+                              food_category, rules, daily_factor, transport_factor, carry)
+
+
+def estimate_from_core(core: DataFrame, prefs: DataFrame, lodging_rec: DataFrame, activity_rec: DataFrame,
+                       food_category: str = FOOD_CATEGORY, rules: Mapping[str, str] = COST_GROUP_RULES,
+                       daily_factor: float = FOOD_DAILY_FACTOR, transport_factor: float = TRANSPORT_FACTOR,
+                       carry: Sequence[str] = ()) -> DataFrame:
+    """P3-P7 from the plan core."""
     rows = _with_food(_with_lodging(core, lodging_rec), activity_rec, food_category, daily_factor)
     groups = group_costs(core, prefs, activity_rec, rules)
     j = rows.select("plan_id", "trip_days", "trip_nights", *carry, "lodging_cost", "food_cost").join(groups, "plan_id", "left")

@@ -1,11 +1,9 @@
 """Incremental latest-per-key table maintained by Structured Streaming.
 
-Each micro-batch (``foreachBatch``) merges the new rows with the current
-table version: union, keep the last row per key (aggregate, skew-safe), and
-write the result as a new version folder. A batch reads the newest version
-before its own, so a batch that is run again after a failure reads the same
-rows as the first time and replaces its own unfinished version only. Each
-version is the whole table; versions older than the one read are removed.
+Each micro-batch (``foreachBatch``) is merged into a table that lies in
+folders by a hash of the key (``sources.cache``): only the folders of the
+batch's keys are read and written. Merging keeps the last row per key, so a
+batch that is run again after a failure gives the same table.
 """
 
 from __future__ import annotations
@@ -13,52 +11,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.keys import keep_last_per_key
+from ..sources import cache
 
 
-def read_latest(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
-    """The newest version of the table (older than ``before``): the version
-    folders are partitions ``v=<batch id>`` of ``target``; partition discovery
-    gives the largest id (one number to the driver), then that folder is read."""
-    from pyspark.errors import AnalysisException
-    try:
-        versions = spark.read.parquet(target)
-    except AnalysisException:
-        return None
-    if before is not None:
-        versions = versions.filter(F.col("v") < before)
-    latest = versions.agg(F.max("v").alias("v")).first()["v"]
-    return None if latest is None else spark.read.parquet(f"{target}/v={latest}")
+def read_latest(spark: SparkSession, target: str) -> DataFrame | None:
+    """The table, or None before the first batch. A table that cannot be read raises."""
+    return cache.read_cache(spark, target)
 
 
-def _remove_older(spark: SparkSession, target: str, than: int) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for s in fs.listStatus(path):
-        name = s.getPath().getName()
-        if name.startswith("v=") and int(name[2:]) < than:
-            fs.delete(s.getPath(), True)
-
-
-def merge_batch(batch: DataFrame, epoch_id: int, target: str, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Write version ``epoch_id``: the newest older version and the batch, the last row per key."""
-    spark = batch.sparkSession
-    current = read_latest(spark, target, before=epoch_id)
-    merged = batch if current is None else current.unionByName(batch)
-    keep_last_per_key(merged, keys, order).write.mode("overwrite").parquet(f"{target}/v={epoch_id}")
-    _remove_older(spark, target, epoch_id - 1)
+def merge_batch(batch: DataFrame, epoch_id: int, target: str, keys: Sequence[str], order: Sequence[str], buckets: int = 256) -> None:
+    """``epoch_id`` is what ``foreachBatch`` passes; the merge is the same for any."""
+    cache.upsert(batch, target, keys, order, buckets)
 
 
 def upsert_latest_stream(spark: SparkSession, source_dir: str, schema: StructType, target: str,
-                         checkpoint: str, keys: Sequence[str], order: Sequence[str], fmt: str = "parquet"):
+                         checkpoint: str, keys: Sequence[str], order: Sequence[str], fmt: str = "parquet", buckets: int = 256):
     """Start a stream over ``source_dir`` that keeps the latest row per key
-    in ``target`` (versioned folders). Returns the StreamingQuery; use
-    ``trigger(availableNow=True)`` semantics by calling ``awaitTermination``."""
+    in ``target``. Returns the StreamingQuery; use ``trigger(availableNow=True)``
+    semantics by calling ``awaitTermination``."""
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        merge_batch(batch, epoch_id, target, keys, order)
+        merge_batch(batch, epoch_id, target, keys, order, buckets)
 
     stream = spark.readStream.schema(schema).format(fmt).load(source_dir)
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
