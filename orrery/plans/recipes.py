@@ -13,6 +13,7 @@ from ..operators.aggregates import group_quantiles
 from ..operators.joins import attach_scalars, scalars
 from ..operators.quantiles import join_keys, quantiles, quantiles_of, with_quantiles
 from ..operators.windows import minmax_normalize, winsorized_normalize
+from ..session import cut_lineage
 
 # Category text (lower, trimmed) -> cost group, and the
 # group of everything else.
@@ -131,8 +132,11 @@ def region_ranking(fact: DataFrame, region: str, value: str, scale: int = 2) ->
     table)."""
     from pyspark.sql import Window
     g = fact.groupBy(region).agg(F.count(F.lit(1)).alias("n_rows"))
-    g = with_quantiles(g, fact, value, {"__med": 0.5, "__p25": 0.25, "__p75": 0.75}, [region])
-    j = attach_scalars(g, quantiles(fact, value, {"__nat": 0.5}))
+    q = quantiles_of(fact, {"__med": (value, 0.5), "__p25": (value, 0.25), "__p75": (value, 0.75)}, [region], overall="__overall")
+    # The overall median comes from the same counts; the window runs over one row per region.
+    national = F.max(F.when(F.col("__overall"), F.col("__med"))).over(Window.partitionBy(F.lit(0)))
+    q = q.withColumn("__nat", national).filter(~F.col("__overall")).drop("__overall")
+    j = join_keys(g, q, [region], "left")
     w = Window.orderBy(F.col("__med").asc(), F.col(region).asc())
     return j.select(region, "n_rows", round_half_up("__med", scale).alias("median"),
                     round_half_up("__p25", scale).alias("p25"), round_half_up("__p75", scale).alias("p75"),
@@ -142,8 +146,11 @@ def region_ranking(fact: DataFrame, region: str, value: str, scale: int = 2) ->
 
 
 def price_quality_quartiles(fact: DataFrame, price: str, rating: str, scale: int = 2) -> DataFrame:
-    """Price quartile (exact edges) -> rows, median price, median rating."""
-    q = quantile_bins(fact.filter(F.col(price).isNotNull()), price, 4, "price_quartile")
+    """Price quartile (exact edges) -> rows, median price, median rating.
+    Prices and ratings are checkpointed when the plan is built."""
+    # Written once: the edges, the medians and the counts read it.
+    fact = cut_lineage(fact.select(price, rating).filter(F.col(price).isNotNull()))
+    q = quantile_bins(fact, price, 4, "price_quartile")
     g = q.groupBy("price_quartile").agg(F.count(F.lit(1)).alias("n_rows"))
     return join_keys(g, quantiles_of(q, {"median_price": (price, 0.5), "median_rating": (rating, 0.5)}, ["price_quartile"], scale),
                      ["price_quartile"], "left")
