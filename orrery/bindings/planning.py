@@ -4,11 +4,14 @@ preferences) and events (spend ledger)."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
+from ..plans import colocated
 from ..plans import planning as P
 from ..plans import recipes as M
+from ..sources.io import scratch_path
 from ..tables import Tables
 from . import standins as S
 from .recipes import M1_SQL
@@ -169,6 +172,15 @@ def estimate(t: Tables, *carry: str):
                           _lodging_rec(t), _activity_rec(t), S.FOOD_CATEGORY, S.COST_GROUPS, carry=carry)
 
 
+@register("p7_colocated_estimate", _ctes(*COST_CTES) + " SELECT * FROM estimate", ["P3", "P4", "P5", "P6", "P7", "J12"])
+def colocated_estimate(t: Tables):
+    """The cost chain over tables bucketed by plan."""
+    prefix = f"plans_{uuid.uuid4().hex}"
+    core = P.plan_core(S.plans(t), S.stops(t), S.countries(t), S.provinces(t))
+    colocated.store_plan_tables(core, S.prefs(t), _lodging_rec(t), _activity_rec(t), prefix, scratch_path(t.spark, "plans"), buckets=8)
+    return colocated.stored_estimate(t.spark, prefix, S.FOOD_CATEGORY, S.COST_GROUPS)
+
+
 PAGE_SQL = f"""
 SELECT plan_id, budget, lodging_cost, activities_cost, other_cost, CAST(0.0 AS DOUBLE) AS transport_cost,
   {r2('lodging_cost + activities_cost + other_cost')} AS page_total,

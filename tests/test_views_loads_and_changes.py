@@ -315,3 +315,28 @@ def test_csv_export_begins_with_the_mark(spark, tmp_path):
     publish.write_csv_with_bom(spark.range(20).repartition(3), path)
     parts = [f for f in os.listdir(path) if f.startswith("part-")]
     assert len(parts) == 3 and all(open(os.path.join(path, f), "rb").read(5) == b"\xef\xbb\xbfid" for f in parts)
+
+
+# --- co-located plan tables -------------------------------------------------
+
+def test_stored_cost_chain_moves_no_plan(spark, tables, tmp_path):
+    from orrery.bindings import planning as B
+    from orrery.bindings import standins as S
+    from orrery.plans import colocated
+    from orrery.plans import planning as P
+    core = P.plan_core(S.plans(tables), S.stops(tables), S.countries(tables), S.provinces(tables))
+    prefix = f"stored_{random.randrange(10 ** 9)}"
+    colocated.store_plan_tables(core, S.prefs(tables), B._lodging_rec(tables), B._activity_rec(tables), prefix, str(tmp_path), buckets=4)
+    # Above one file's size, so that the plan tables themselves are not broadcast.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "6k")
+    try:
+        got = colocated.stored_estimate(spark, prefix, S.FOOD_CATEGORY, S.COST_GROUPS)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(plan_id" not in plan and plan.count("SortMergeJoin [plan_id") == 2 and "lineitem.parquet" not in plan
+        rows = sets(got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for n in ("core", "prefs", "lodging", "activities"):
+            spark.sql(f"DROP TABLE {prefix}_{n}")
+    assert rows == sets(B.estimate(tables)) and len(rows) == 1500
