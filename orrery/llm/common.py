@@ -106,18 +106,16 @@ class TwoGenerations:
     def __init__(self, most: int):
         self.most, self.young, self.old = most, {}, {}
 
-    def __contains__(self, key) -> bool:
-        return key in self.young or key in self.old
-
-    def __getitem__(self, key):
-        try:
-            return self.young[key]
-        except KeyError:
-            self[key] = value = self.old[key]
-            return value
-
-    def __setitem__(self, key, value) -> None:
-        self.young[key] = value
+    def hold(self, keys: set, make) -> None:
+        """See that all keys are in the young half; ``make`` gives the entries of a list of unknown ones."""
+        missing = keys - self.young.keys()
+        unknown = []
+        for k in missing:
+            if k in self.old:
+                self.young[k] = self.old[k]
+            else:
+                unknown.append(k)
+        self.young.update(make(unknown))
 
     def turn(self) -> None:
         """Between two rounds of work: let the old half go if the young one is full."""
