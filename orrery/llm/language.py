@@ -18,16 +18,27 @@ from pyspark.sql import functions as F
 from .common import binary_texts, chunks, crc_bucket_col
 
 UNDETERMINED = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+# Words begin with a letter and go on with letters and the marks on them
+# (Unicode categories L and M); numerals such as a half or a Roman eight are
+# no letters. Texts of Latin-1 characters, which has no marks, go by the
+# faster pattern.
+_LATIN = re.compile(r"[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+")
+_ANY = r"\p{L}[\p{L}\p{M}]*"
 _LONGEST = 40  # letters of a run that count as one word; longer runs are cut (scripts without spaces)
 _ORDERS = (5, 4, 3, 2, 1)
 
 
 def words_of(text: bytes | None) -> list[str]:
-    """Runs of letters, lower-cased; runs of over 40 letters in pieces of 40."""
+    """Runs of letters with their marks, lower-cased; runs of over 40 characters in pieces of 40."""
     if not text:
         return []
-    w = _LETTERS.findall(text.decode("utf-8", "replace").lower())
+    lower = text.decode("utf-8", "replace").lower()
+    try:
+        lower.encode("latin-1")
+        w = _LATIN.findall(lower)
+    except UnicodeEncodeError:
+        import regex
+        w = regex.findall(_ANY, lower)
     if w and max(map(len, w)) > _LONGEST:
         w = [x[i:i + _LONGEST] for x in w for i in range(0, len(x), _LONGEST)]
     return w
@@ -120,26 +131,37 @@ def predict(docs: DataFrame, model: Model, remember: int = 300_000) -> DataFrame
     50 words' weight counted; ties go to the first language by code point.
     """
     docs = docs.drop("lang_pred", "score")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain dicts and an array: broadcasts are pickled by reference, and a worker need not have this package.
+    shared = docs.sparkSession.sparkContext.broadcast(model.__dict__)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
     place = docs.columns.index("text")
 
     def tag(batches):
-        m = shared.value
+        m = Model.__new__(Model)
+        m.__dict__.update(shared.value)
         n_lang = len(m.languages)
         known = m.index.get(0, {})
 
-        class Rows(dict):  # word -> row of table; unseen words get rows of their own
+        class Rows(dict):
+            """Word -> row of one growing table: the model's, then those of unseen words."""
+
+            def forget(self):
+                self.clear()
+                self.table, self.used = m.table, len(m.table)
+
             def __missing__(self, word):
                 at = known.get(word)
                 if at is None:
-                    v = m.unseen(word)
-                    at = len(m.table) + len(extra)
-                    extra.append(nothing if v is None else v)
+                    if self.used == len(self.table):
+                        self.table = np.concatenate([self.table, np.zeros((max(4096, len(self.table) // 4), n_lang), np.float32)])
+                    at, v = self.used, m.unseen(word)
+                    self.table[at] = 0 if v is None else v
+                    self.used += 1
                 self[word] = at
                 return at
 
-        rows, extra, nothing = Rows(), [], np.zeros(n_lang, np.float32)
+        rows = Rows()
+        rows.forget()
         for batch in batches:
             texts = binary_texts(batch.column(place))
             pred, score = [], []
@@ -147,12 +169,10 @@ def predict(docs: DataFrame, model: Model, remember: int = 300_000) -> DataFrame
                 words = [words_of(t) if n_lang else [] for t in texts[a:z]]
                 counts = np.fromiter(map(len, words), np.int64, z - a)
                 if len(rows) > remember:
-                    rows.clear()
-                    extra.clear()
+                    rows.forget()
                 at = np.fromiter((rows[w] for ws in words for w in ws), np.int64, int(counts.sum()))
-                table = np.concatenate([m.table, np.array(extra, np.float32).reshape(len(extra), n_lang)])
                 doc = np.repeat(np.arange(z - a), counts)
-                total = np.stack([np.bincount(doc, table[at, j], z - a) for j in range(n_lang)], 1) if n_lang else np.zeros((z - a, 0))
+                total = np.stack([np.bincount(doc, rows.table[at, j], z - a) for j in range(n_lang)], 1) if n_lang else np.zeros((z - a, 0))
                 mean = total / np.maximum(counts, 1)[:, None] * np.minimum(counts, 50)[:, None]
                 for n, row in zip(counts.tolist(), mean):
                     if not n:
