@@ -46,16 +46,20 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one of the smallest
-    doc_id. Shingles of five words, similarity 0.8. Rows that repeat both id
-    and text count as one document; documents without id stay."""
-    found = written(neardup.near_duplicates(docs.select("doc_id", "text"), width=5, percent=80), "near-duplicates")
-    gone = found.filter("not kept").select("doc_id").distinct()
-    again = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    kept = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti")
-    if not again.isEmpty():
-        kept = kept.join(again, "doc_id", "left_anti").unionByName(
-            kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
-    return kept.select(*docs.columns)
+    doc_id (none counts as largest). Shingles of five words, similarity 0.8.
+
+    Rows are judged, not ids: each gets a key of its own, so two texts under
+    one id are two documents, and copies without id are copies. Among rows of
+    one id a hash of all their columns decides, so reruns keep the same ones.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    doc_id, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    rows = written(docs.toDF(*names).withColumn("row", F.monotonically_increasing_id()), "near-duplicate-rows")
+    found = neardup.near_duplicates(rows.select(F.col("row").alias("doc_id"), F.col(text).alias("text")), width=5, percent=80)
+    found = written(found.select(F.col("doc_id").alias("row"), "component_id"), "near-duplicates")
+    order = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.xxhash64(*names).alias("h"), F.col("row").alias("row"))
+    first = rows.select("row", order.alias("order")).join(found, "row").groupBy("component_id").agg(F.min("order").alias("order"))
+    return rows.join(first.select(F.col("order.row").alias("row")), "row", "left_semi").drop("row").toDF(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
