@@ -12,10 +12,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Hashes, binary_texts, chunks, mix64, shingle_hashes, written
+from .common import Hashes, binary_texts, chunks, mix64, remove, shingle_hashes, written
 from .components import connected_components
 
 REGISTERS, ROWS, MANTISSA = 128, 5, 10
@@ -146,26 +146,9 @@ def _close(pairs: DataFrame, classes: DataFrame, least: float, margin: float) ->
     return both.filter(near("ra", "rb", "na", "nb")).select("a", "b")
 
 
-def _room(nodes: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, room): the differences a node may have, its share of the most
-    that a linked pair has, less the shingles that no other node has."""
-    def look(batches):
-        for batch in batches:
-            each = [np.frombuffer(s, np.int64) for s in batch.column(1).to_pylist()]
-            size = [len(s) for s in each]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *each])), pa.array(np.repeat(batch.column(0).to_numpy(), size))],
-                                             names=["shingle", "node"])
-
-    own = sets.join(nodes, "node", "left_semi").select("node", "shingles").mapInArrow(look, "shingle long, node long")
-    alone = own.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter("n = 1")
-    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    share = (100 - percent) / (100 + percent)
-    return (classes.join(nodes, "node", "left_semi").join(alone, "node", "left")
-            .select("node", (F.col("n_shingles") * share - F.coalesce("alone", F.lit(0)) + 1e-6).alias("room")))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int, group: int = 256) -> DataFrame:
-    """Pairs with 100 * intersection >= percent * union, on the full sets.
+def _dealt(pairs: DataFrame, sets: DataFrame, group: int) -> DataFrame:
+    """(a, part, b, shingles) of pairs (a, b), in tasks by a and part, each
+    part opened by a row of a itself (b = a).
 
     The partners of a node are dealt into groups of about ``group``; the
     node's own set travels once a group, so a hub is split over many tasks.
@@ -174,8 +157,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, group: int = 256)
     dealt = pairs.join(size, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / group).cast("long"))).select("a", "b", "part")
     members = dealt.join(sets.toDF("b", "shingles"), "b").select("a", "part", "b", "shingles")
     hubs = dealt.select("a", "part").distinct().join(sets.toDF("a", "shingles"), "a").select("a", "part", F.col("a").alias("b"), "shingles")
-    rows = hubs.union(members).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b") != F.col("a"))
+    return hubs.union(members).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b") != F.col("a"))
+
 
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, group: int = 256) -> DataFrame:
+    """Pairs with 100 * intersection >= percent * union, on the full sets."""
     def verify(batches):
         hub, mine = None, None
         for batch in batches:
@@ -191,7 +177,73 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, group: int = 256)
                         keep.append(i)
             yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"])
 
-    return rows.mapInArrow(verify, "a long, b long")
+    return _dealt(pairs, sets, group).mapInArrow(verify, "a long, b long")
+
+
+def _changes(members: DataFrame, sets: DataFrame, group: int = 256) -> DataFrame:
+    """(leader, node) -> (leader, node, changes, n): the shingles that only one
+    of the two has, as an array, and the size of the node's set."""
+    def look(batches):
+        hub, mine = None, None
+        for batch in batches:
+            a, b = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            found = []
+            for i, s in enumerate(batch.column(3).to_pylist()):
+                s = np.frombuffer(s, np.uint64)
+                if a[i] == b[i]:
+                    hub, mine = a[i], s
+                elif a[i] == hub:
+                    found.append((a[i], b[i], np.setxor1d(mine, s, assume_unique=True).view(np.int64), len(s)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()),
+                                              pa.array([x[2] for x in found], pa.list_(pa.int64())), pa.array([x[3] for x in found], pa.int64())],
+                                             names=["leader", "node", "changes", "n"])
+
+    return _dealt(members.toDF("a", "b"), sets, group).mapInArrow(look, "leader long, node long, changes array<long>, n long")
+
+
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that may be linked, from (leader, node, component): of one
+    leader and two components; none that is linked is left out but for those
+    that other pairs given here join anyway.
+
+    D: a node's changes against the centre of the group, the shingles that more
+    than half of it have (so what is odd about the leader counts for nobody):
+    its changes against the leader, but with those that most have turned
+    round. A pair at a similarity of s or more differs in at most d = (1 - s) / (1 + s) of the two sizes, and
+    its difference is that of the two D. So either the D share a shingle, and
+    one of the (1 - s) / s * size + 1 rarest of each D is shared (rarest within
+    the leader's group, one order for all); or |D| - d * size of the two add
+    up to 0 at most, and then the group's node that has the least of
+    it is linked with both.
+    """
+    s = percent / 100
+    led = written(_changes(members.select("leader", "node"), sets).join(members, ["leader", "node"]), "changes")
+    often = led.select("leader", F.explode("changes").alias("shingle")).groupBy("leader", "shingle").agg(F.count(F.lit(1)).alias("often"))
+    most = often.join(led.groupBy("leader").agg(F.count(F.lit(1)).alias("members")), "leader").filter("2 * often > members")
+    turned = most.groupBy("leader").agg(F.collect_list("shingle").alias("turned"))  # at most twice the mean number of changes
+    turned = led.join(turned, "leader", "left").withColumn("turned", F.coalesce("turned", F.array().cast("array<long>")))
+    each = written(turned.withColumn("changes", F.array_union(F.array_except("changes", "turned"), F.array_except("turned", "changes"))).drop("turned"), "centred-changes")
+    remove(led)
+    excess = F.size("changes") - F.col("n") * ((1 - s) / (1 + s))
+    core = each.groupBy("leader").agg(F.min_by("node", F.struct(excess, "node")).alias("core"), F.min(excess).alias("least"))
+    near_core = each.join(core, "leader").filter((excess + F.col("least") <= 1e-6) & (F.col("node") != F.col("core"))).select(F.col("core").alias("a"), F.col("node").alias("b"))
+    single = each.select("leader", "node", "component", "n", (F.floor(F.col("n") * ((1 - s) / s) + 1e-6) + 1).alias("most"), F.size("changes").alias("size"), F.explode("changes").alias("shingle"))
+    shared = single.groupBy("leader", "shingle").agg(F.count(F.lit(1)).alias("often"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("often > 1")
+    rows = single.join(shared, ["leader", "shingle"])
+    of_node = Window.partitionBy("leader", "node")
+    # The shingles that no other node of the group has are the rarest and bring no pair.
+    rows = rows.withColumn("common", F.count(F.lit(1)).over(of_node)).withColumn("own", F.col("size") - F.col("common"))
+    rows = rows.withColumn("rank", F.row_number().over(of_node.orderBy("often", "shingle")))
+    rows = rows.filter("rank <= most - own and lo <> hi").select("leader", "shingle", "node", "component", "n", "own", "common")
+    rows = written(rows, "rare-changes")
+    mixed = rows.groupBy("leader", "shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("leader", "shingle")
+    rows = rows.join(mixed, ["leader", "shingle"])
+    left = rows.toDF("leader", "shingle", "a", "ca", "na", "oa", "sa")
+    right = rows.toDF("leader", "shingle", "b", "cb", "nb", "ob", "sb")
+    # What they cannot share are differences: their own changes, and what one has more of the others.
+    least = F.col("oa") + F.col("ob") + F.abs(F.col("sa") - F.col("sb"))
+    met = left.join(right, ["leader", "shingle"]).filter("a < b and ca <> cb").filter(least <= (F.col("na") + F.col("nb")) * ((1 - s) / (1 + s)) + 1e-6)
+    return near_core.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(met.select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
@@ -207,13 +259,12 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     all classes are compared with two leaders: the first by name, the same in
     all the bands it is in, and the first of one of four random orders. Where
     a bucket still joins several components, its classes are compared across
-    the components, but for pairs that cannot be linked: each class's shingles
-    that no other class of such buckets has count as differences, and two
-    classes with together more than (1 - s) / (1 + s) of their sizes in
-    differences are below the similarity s. So members of a large family of
-    copies that each changed much are compared with the little-changed only.
-    No link between components is skipped that the bands bring together. With 25 bands of 5 registers a
-    pair at 0.85 shares no bucket with probability 4e-7.
+    the components, each by its changes against the bucket's first: only pairs
+    that share one of their rarest changes, or changed little, can be linked
+    (``_across``). So members of a large family of copies that each changed much in a
+    way of its own are not compared with each other. No component is left apart
+    that links between members of one bucket would join. With 25 bands of 5
+    registers a pair at 0.85 shares no bucket with probability 4e-7.
 
     Repeated rows are documents of their own; a null doc_id is never the
     smallest id, and a class with null ids only is its own component, null.
@@ -242,15 +293,10 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     led = buckets.select(F.explode(F.array("first", "other")).alias("lead"), "node").filter("node <> lead")
     edges = written(links(led.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))), "links")
     component = written(connected_components(edges), "components")
-    labelled = buckets.filter("n > 2").join(component, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    labelled = buckets.filter("n > 2").join(component, "node", "left").select("key", "first", "node", F.coalesce("component", "node").alias("component"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
-    open_ = written(labelled.join(mixed, "key"), "open-buckets")
-    spare = _room(open_.select("node").distinct(), classes, sets, percent)
-    open_ = open_.join(spare, "node")
-    clean = open_.filter("room >= 0").select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("room").alias("ra"))
-    every = open_.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("room").alias("rb"))
-    rest = clean.join(every, "key").filter("ca <> cb and ra + rb >= 0")
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    open_ = labelled.join(mixed, "key").filter("node <> first").select(F.col("first").alias("leader"), "node", "component").distinct()
+    rest = _across(written(open_, "open-buckets"), sets, percent)
     more = written(links(rest), "links")
     if not more.isEmpty():
         component = connected_components(component.toDF("a", "b").union(more))

@@ -64,6 +64,33 @@ def test_near_duplicates_families_and_chains(spark, docs_of):
     assert got == want
 
 
+def test_pairs_by_changes_join_what_all_pairs_join(spark):
+    """Members of one leader's group: pairs by shared rare changes and by the
+    group's core lead to the components that all linked pairs give."""
+    rng = random.Random(21)
+    percent, sets, members = 85, {}, []
+    number = lambda: rng.randrange(1, 1 << 62)
+    for leader in (1, 2, 3):
+        base = {number() for _ in range((40, 100, 400)[leader - 1])}
+        variants = [(rng.sample(sorted(base), len(base) // 5), [number() for _ in range(len(base) // 5)]) for _ in range(3)]
+        sets[leader] = base
+        for i in range(90):
+            gone, come = rng.choice([([], []), *variants])
+            n = rng.choice((0, 1, 3, 8, 15)) * len(base) // 100
+            own = (base - set(gone) | set(come)) - set(rng.sample(sorted(base), n)) | {number() for _ in range(n)}
+            node = leader * 1000 + i
+            sets[node] = own
+            members.append((leader, node, node))
+    table = spark.createDataFrame([(k, np.array(sorted(v), np.uint64).tobytes()) for k, v in sets.items()], "node long, shingles binary")
+    pairs = neardup._across(spark.createDataFrame(members, "leader long, node long, component long"), table, percent).distinct()
+    linked = lambda a, b: 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    every = [(a, b) for l, a, _ in members for m, b, _ in members if l == m and a < b and linked(a, b)]
+    found = [(r.a, r.b) for r in pairs.collect()]
+    some = [x for x in found if linked(*x)]
+    assert brute.components(4000, some) == brute.components(4000, every)
+    assert len(every) > 500 and len(found) < len(members) * 90 / 4  # far from all pairs
+
+
 def test_near_duplicates_odd_rows(spark, docs_of, odd):
     got = rows(neardup.near_duplicates(docs_of(odd + odd)))
     want = brute.near_duplicate_components(list(enumerate(odd + odd)))
