@@ -81,14 +81,16 @@ def possible(spark, words: np.ndarray):
 
 
 def match_rules(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
-    """Adds host, path, rule (the longest fitting key or null) and verdict.
+    """Adds host, path, rule (the longest fitting key or null) and verdict,
+    in place of columns of these names.
 
     ``urls``: any table with a ``url`` column and a unique ``page_id``;
     ``rules``: (rule, host, path, verdict). A URL that no rule fits is allowed.
     Null URLs and URLs without ``://`` have empty host and path and fit no
     rule. Repeated URLs are judged once; a rule listed twice with different
-    verdicts blocks. No rules: everything is allowed.
+    verdicts blocks. No rules: everything is allowed; no URLs give no rows.
     """
+    urls = urls.drop("host", "path", "rule", "verdict", "rule_verdict")
     rules = written(rules.filter(F.col("host") != "").withColumn("key", F.concat("host", "path")).groupBy("key").agg(
         F.max("verdict").alias("verdict"), F.first("path").alias("rule_path")), "url-rules")
     # The distinct lengths of listed paths: no more than a URL has places.

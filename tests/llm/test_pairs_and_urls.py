@@ -307,3 +307,11 @@ def test_oracles(spark, name):
     df = queries.QUERIES[name](spark, SF_SMALL)
     assert sorted(df.columns) == sorted(names)
     assert sorted(map(repr, (tuple(r[c] for c in names) for r in df.collect()))) == sorted(map(repr, cur.fetchall()))
+
+
+def test_url_rules_replace_columns_of_their_names(spark):
+    table = spark.createDataFrame([(1, "http://a.example.com/en/x", "r", "h", "p", "v", 7)], "page_id long, url string, rule string, host string, path string, verdict string, rule_verdict int")
+    rules = spark.createDataFrame([("block", "example.com", "/en/")], "verdict string, host string, path string")
+    assert rows(urls.match_rules(table, rules)) == [
+        {"page_id": 1, "url": "http://a.example.com/en/x", "host": "a.example.com", "path": "/en/x", "rule": "example.com/en/", "verdict": "block"}]
+    assert urls.match_rules(table.limit(0), rules).count() == 0
