@@ -129,10 +129,12 @@ def train(rows: list[np.ndarray], target: np.ndarray, least: int = 10, penalty:
     """Logistic weights by accelerated proximal gradient with an L1 penalty;
     features of fewer than ``least`` rows get none."""
     n = len(rows)
-    size, doc = _size(), np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
+    doc = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
     flat = np.concatenate(rows).astype(np.int32) if n else np.empty(0, np.int32)
-    frequent = np.bincount(flat, minlength=size) >= min(least, max(1, n // 20))
+    frequent = np.bincount(flat, minlength=_size()) >= min(least, max(1, n // 20))
     doc, flat = doc[frequent[flat]], flat[frequent[flat]]
+    used = np.flatnonzero(frequent)
+    flat, size = np.searchsorted(used, flat), len(used)
     weight = np.where(target > 0.5, 0.5 / max(target.mean(), 1e-3), 0.5 / max(1 - target.mean(), 1e-3)) if n else target
     weight = np.sqrt(np.minimum(weight, 20.0))
     df = np.bincount(flat, minlength=size) / max(n, 1)
@@ -157,7 +159,9 @@ def train(rows: list[np.ndarray], target: np.ndarray, least: int = 10, penalty:
         nt = (1 + (1 + 4 * t * t) ** 0.5) / 2
         v, vb = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b)
         w, b, t = nw, nb, nt
-    return w * scale, b
+    out = np.zeros(_size())
+    out[used] = w * scale
+    return out, b
 
 
 def lexicon(rows: list[np.ndarray], toxic: np.ndarray, least: int = 5, ratio: float = 8.0,
