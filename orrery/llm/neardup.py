@@ -288,7 +288,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     margin = 5 * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
 
     def links(pairs):
-        return _verified(_close(pairs.distinct(), classes, percent / 100, margin), sets, percent)
+        # Written once: the verification reads the pairs several times.
+        return _verified(written(_close(pairs.distinct(), classes, percent / 100, margin), "close-pairs"), sets, percent)
 
     led = buckets.select(F.explode(F.array("first", "other")).alias("lead"), "node").filter("node <> lead")
     edges = written(links(led.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))), "links")
