@@ -153,10 +153,11 @@ def _dealt(pairs: DataFrame, sets: DataFrame, group: int) -> DataFrame:
     The partners of a node are dealt into groups of about ``group``; the
     node's own set travels once a group, so a hub is split over many tasks.
     """
-    size = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    dealt = pairs.join(size, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / group).cast("long"))).select("a", "b", "part")
+    size = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / group).cast("long").alias("parts"))
+    many = size.filter("parts > 1")  # few: only these are joined to the pairs
+    dealt = pairs.join(many, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).alias("part"))
     members = dealt.join(sets.toDF("b", "shingles"), "b").select("a", "part", "b", "shingles")
-    hubs = dealt.select("a", "part").distinct().join(sets.toDF("a", "shingles"), "a").select("a", "part", F.col("a").alias("b"), "shingles")
+    hubs = size.join(sets.toDF("a", "shingles"), "a").select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("a").alias("b"), "shingles")
     return hubs.union(members).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b") != F.col("a"))
 
 
@@ -202,9 +203,9 @@ def _changes(members: DataFrame, sets: DataFrame, group: int = 256) -> DataFrame
 
 
 def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that may be linked, from (leader, node, component): of one
-    leader and two components; none that is linked is left out but for those
-    that other pairs given here join anyway.
+    """Linked pairs (a, b) from (leader, node, component): of one leader and two
+    components or with the group's core; none is left out but for those that
+    other pairs given here join anyway.
 
     D: a node's changes against the centre of the group, the shingles that more
     than half of it have (so what is odd about the leader counts for nobody):
@@ -226,7 +227,7 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     remove(led)
     excess = F.size("changes") - F.col("n") * ((1 - s) / (1 + s))
     core = each.groupBy("leader").agg(F.min_by("node", F.struct(excess, "node")).alias("core"), F.min(excess).alias("least"))
-    near_core = each.join(core, "leader").filter((excess + F.col("least") <= 1e-6) & (F.col("node") != F.col("core"))).select(F.col("core").alias("a"), F.col("node").alias("b"))
+    near_core = each.join(core, "leader").filter((excess + F.col("least") <= 1e-6) & (F.col("node") != F.col("core"))).select("leader", F.col("core").alias("a"), F.col("node").alias("b"))
     single = each.select("leader", "node", "component", "n", (F.floor(F.col("n") * ((1 - s) / s) + 1e-6) + 1).alias("most"), F.size("changes").alias("size"), F.explode("changes").alias("shingle"))
     shared = single.groupBy("leader", "shingle").agg(F.count(F.lit(1)).alias("often"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("often > 1")
     rows = single.join(shared, ["leader", "shingle"])
@@ -234,16 +235,22 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # The shingles that no other node of the group has are the rarest and bring no pair.
     rows = rows.withColumn("common", F.count(F.lit(1)).over(of_node)).withColumn("own", F.col("size") - F.col("common"))
     rows = rows.withColumn("rank", F.row_number().over(of_node.orderBy("often", "shingle")))
-    rows = rows.filter("rank <= most - own and lo <> hi").select("leader", "shingle", "node", "component", "n", "own", "common")
+    rows = rows.filter("rank <= most - own and lo <> hi").select("leader", "shingle", "node", "component", "n", (F.col("own") + F.col("rank") - 1).alias("before"), (F.col("common") - F.col("rank")).alias("after"))
     rows = written(rows, "rare-changes")
     mixed = rows.groupBy("leader", "shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("leader", "shingle")
     rows = rows.join(mixed, ["leader", "shingle"])
-    left = rows.toDF("leader", "shingle", "a", "ca", "na", "oa", "sa")
-    right = rows.toDF("leader", "shingle", "b", "cb", "nb", "ob", "sb")
-    # What they cannot share are differences: their own changes, and what one has more of the others.
-    least = F.col("oa") + F.col("ob") + F.abs(F.col("sa") - F.col("sb"))
+    left = rows.toDF("leader", "shingle", "a", "ca", "na", "xa", "za")
+    right = rows.toDF("leader", "shingle", "b", "cb", "nb", "xb", "zb")
+    # At the rarest shingle that two D share, all rarer ones are differences, and what one has more of the others.
+    least = F.col("xa") + F.col("xb") + F.abs(F.col("za") - F.col("zb"))
     met = left.join(right, ["leader", "shingle"]).filter("a < b and ca <> cb").filter(least <= (F.col("na") + F.col("nb")) * ((1 - s) / (1 + s)) + 1e-6)
-    return near_core.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(met.select("a", "b"))
+    found = near_core.select("leader", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(met.select("leader", "a", "b"))
+    # Any leader's D tell how much the two sets differ, so one is enough to leave out what is too far apart.
+    found = written(found.groupBy("a", "b").agg(F.min("leader").alias("leader")), "met")
+    of_both = found.join(each.select("leader", F.col("node").alias("a"), F.col("n").alias("na"), F.col("changes").alias("da")), ["leader", "a"])
+    of_both = of_both.join(each.select("leader", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("changes").alias("db")), ["leader", "b"])
+    differ = F.size("da") + F.size("db") - 2 * F.size(F.array_intersect("da", "db"))
+    return of_both.filter(differ <= (F.col("na") + F.col("nb")) * ((1 - s) / (1 + s)) + 1e-6).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
@@ -261,7 +268,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     a bucket still joins several components, its classes are compared across
     the components, each by its changes against the bucket's first: only pairs
     that share one of their rarest changes, or changed little, can be linked
-    (``_across``). So members of a large family of copies that each changed much in a
+    (``_across``), and their changes tell which of them are. So members of a large family of copies that each changed much in a
     way of its own are not compared with each other. No component is left apart
     that links between members of one bucket would join. With 25 bands of 5
     registers a pair at 0.85 shares no bucket with probability 4e-7.

@@ -64,6 +64,32 @@ def test_near_duplicates_families_and_chains(spark, docs_of):
     assert got == want
 
 
+def test_pairs_by_changes_are_linked_pairs(spark):
+    """Members that share changes without being linked make no pairs to verify."""
+    rng = random.Random(5)
+    number = lambda: rng.randrange(1, 1 << 62)
+    base = [number() for _ in range(200)]
+    common, sets, members = [number() for _ in range(10)], {1: set(base)}, []
+    for i in range(40):
+        gone = 3 if i < 8 else 30  # the first eight are linked with each other, the others with none
+        sets[100 + i] = set(base[10:]) - set(rng.sample(base[10:], gone)) | set(rng.sample(common, 5)) | {number() for _ in range(gone)}
+        members.append((1, 100 + i, 100 + i))
+    table = spark.createDataFrame([(k, np.array(sorted(v), np.uint64).tobytes()) for k, v in sets.items()], "node long, shingles binary")
+    pairs = neardup._across(spark.createDataFrame(members, "leader long, node long, component long"), table, 85)
+    found = [(r.a, r.b) for r in pairs.collect()]
+    assert len(found) == len(set(found))
+    linked = {(a, b) for a in sets for b in sets if 1 < a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert linked and set(found) <= linked
+    assert brute.components(200, found) == brute.components(200, list(linked))
+
+
+def test_a_hub_of_many_parts_is_verified_with_all_partners(spark):
+    sets = spark.createDataFrame([(k, np.array([7, 8, 9, *([] if k % 3 else [k + 10])], np.uint64).tobytes()) for k in range(30)], "node long, shingles binary")
+    pairs = spark.createDataFrame([(0 if b % 2 else 1, b) for b in range(2, 30)], "a long, b long")
+    got = sorted((r.a, r.b) for r in neardup._verified(pairs, sets, 100, group=2).collect())
+    assert got == sorted((1, b) for b in range(2, 30) if b % 2 == 0 and b % 3)
+
+
 def test_pairs_by_changes_join_what_all_pairs_join(spark):
     """Members of one leader's group: pairs by shared rare changes and by the
     group's core lead to the components that all linked pairs give."""
