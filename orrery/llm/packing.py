@@ -4,6 +4,7 @@ bin capacities, run independently in randomised groups of pieces."""
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -23,8 +24,17 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 # A run of Latin letters, all of one code point with and without
-# normalisation, and ASCII punctuation after it that forms one run of its own.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+# normalisation, and ASCII punctuation after it (without the apostrophe, which
+# may begin a run) that forms one run of its own.
+_ENDS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([" + re.escape(_ENDS.decode()) + "]*)")
+
+
+def lowered(text: bytes) -> bytes:
+    """A-Z in lower case where the tokenizer would do the same: it looks for
+    special tokens before, and joins letters with marks (U+0300 to U+037F) in a
+    way that depends on their case."""
+    return text if b"\xcc" in text or b"\xcd" in text or b"<|" in text else text.lower()
 
 
 class WordTokens(dict):
@@ -36,40 +46,43 @@ class WordTokens(dict):
     ``most`` words at most.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 200_000):
         from tokenizers import Tokenizer
-        self.tokenizer, self.most, self.plain, self.tails = Tokenizer.from_file(path), most, {}, {"": b""}
+        self.tokenizer, self.most, self.plain, self.tails = Tokenizer.from_file(path), most, {}, {}
+        self.tokenize = self.tokenizer.model.tokenize
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = dict(zip(shown, shown)) | {b: 256 + i for i, b in enumerate(hidden)}
 
-    def whole(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def add(self, words: set[bytes]) -> None:
-        new = words - self.keys()
-        if len(self) + len(new) > self.most:
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.most:
             self.clear()
             self.plain.clear()
-            new = words
-        tokenize, other = self.tokenizer.model.tokenize, []
-        for w in new:
-            text = w.decode("utf-8", "replace")
+        head = word.rstrip(_ENDS)
+        if head.isalpha():  # ASCII letters only, which stand for themselves in the byte alphabet
+            head, tail = head.lower().decode(), word[len(head):]
+        else:
+            text = word.decode("utf-8", "replace")
             m = _PLAIN.fullmatch(text)
             if not m:
-                other.append((w, text))
-                continue
-            head, tail = m[1].lower(), m[2]
-            ids = self.plain.get(head)
-            if ids is None:
-                ids = self.plain[head] = np.array([t.id for t in tokenize(head.encode().decode("latin-1").translate(self.alphabet))], "<u4").tobytes()
+                self[word] = ids = self.whole(text)
+                return ids
+            head, tail = m[1].lower().encode().decode("latin-1").translate(self.alphabet), m[2].encode()
+        ids = self.plain.get(head)
+        if ids is None:
+            found = [t.id for t in self.tokenize(head)]
+            ids = self.plain[head] = struct.pack(f"<{len(found)}I", *found)
+        if tail:
             if tail not in self.tails:
                 if len(self.tails) > 10_000:
-                    self.tails = {"": b""}
-                self.tails[tail] = self.whole([tail])[0]
-            self[w] = ids + self.tails[tail]
-        for (w, _), ids in zip(other, self.whole([t for _, t in other])):
-            self[w] = ids
+                    self.tails.clear()
+                self.tails[tail] = self.whole(tail.decode())
+            ids += self.tails[tail]
+        self[word] = ids
+        return ids
 
 
 def pieces_of(docs: DataFrame, path: str, length: int = 2048) -> DataFrame:
@@ -83,11 +96,9 @@ def pieces_of(docs: DataFrame, path: str, length: int = 2048) -> DataFrame:
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), binary_texts(batch.column(1))
             for a, z in chunks(texts, 2_000_000):
-                words = [t.split() if t else [] for t in texts[a:z]]
-                cache.add(set().union(*words))
                 rows = []
-                for doc, w in zip(ids[a:z], words):
-                    seq = b"".join(map(cache.__getitem__, w)) + end
+                for doc, text in zip(ids[a:z], texts[a:z]):
+                    seq = b"".join(map(cache.__getitem__, lowered(text).split() if text else ())) + end
                     n = len(seq) // 4
                     for s in range(0, n, length):
                         part = seq[4 * s:4 * (s + length)]

@@ -132,6 +132,25 @@ def test_rules_see_stutters_and_short_phrases(spark, docs_of):
 
 # --- packing --------------------------------------------------------------------
 
+def test_plain_words_go_to_the_model_and_others_keep_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+    tk = Tokenizer.from_file(packing.tokenizer_path())
+    asked = []
+
+    class Asked(packing.WordTokens):
+        def whole(self, word):
+            asked.append(word)
+            return super().whole(word)
+
+    known = Asked(packing.tokenizer_path(), most=4)
+    for text in ("Abc$$$ abc ABC### Caf\u00c9*** caf\u00e9 it's IT'S a<b a> B2B",
+                 "J\u030cab J\u030cAB K\u0331 \u01f0", "<|ENDOFTEXT|> <|endoftext|> A<|endoftext|>.", "\u0130I \u03a3A\u03a3 \u4e2d\u6587 \u1e9e."):
+        words = packing.lowered(text.encode()).split()
+        assert np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4").tolist() == tk.encode(text, add_special_tokens=False).ids
+        assert len(known) <= 4
+    assert not {"abc$$$", "abc###", "caf\u00e9***"} & set(asked) and {"$$$", "###", "***", ">"} <= set(asked)
+
+
 def check_pack(spark, docs, length=2048):
     from tokenizers import Tokenizer
     tk = Tokenizer.from_file(packing.tokenizer_path())
