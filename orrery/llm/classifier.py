@@ -189,7 +189,7 @@ def lexicon(rows: list[np.ndarray], toxic: np.ndarray, least: int = 5, ratio: fl
 class _Lexicons(dict):
     """word -> bits of the lexicons that have the word or its stem, for at most ``most`` words."""
 
-    def __init__(self, lexicons: list[np.ndarray], most: int = 400_000):
+    def __init__(self, lexicons: list[np.ndarray], most: int = 100_000):
         self.bits, self.most, self.hashes = {}, most, Hashes()
         for j, words in enumerate(lexicons):
             for w in words.tolist():

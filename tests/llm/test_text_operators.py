@@ -132,6 +132,18 @@ def test_rules_see_stutters_and_short_phrases(spark, docs_of):
 
 # --- packing --------------------------------------------------------------------
 
+def test_word_memos_stay_small():
+    from orrery.llm.common import Hashes
+    hashes, bits = Hashes(), classifier._Lexicons([])
+    most = 0
+    for i in range(250_000):
+        word = b"%d" % i
+        assert hashes[word] == Hashes()[word] if i % 50_000 == 0 else hashes[word] >= 0
+        assert bits[word] == 0
+        most = max(most, len(hashes), len(bits), len(bits.hashes))
+    assert most <= 100_000
+
+
 def test_plain_words_go_to_the_model_and_others_keep_the_tokenizers_ids():
     from tokenizers import Tokenizer
     tk = Tokenizer.from_file(packing.tokenizer_path())
