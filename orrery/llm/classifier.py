@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, Hashes, binary_texts, crc_bucket, mix64, written
+from .common import WHITE, Hashes, binary_texts, crc_bucket, mix64, portions, written
 
 _BITS = 20
 _SYMBOLS = b"#*$%&|<>"
@@ -207,7 +207,7 @@ def _lexicon_patterns(docs: DataFrame, hand: DataFrame, lexicons: list[np.ndarra
     """(hits, toxic, n) over all documents; hits has one bit a lexicon."""
     def look(batches):
         known = _Lexicons(lexicons)
-        for batch in batches:
+        for batch in portions(batches, 1):
             hits = []
             for text in binary_texts(batch.column(1)):
                 bits = 0
@@ -243,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 12_000, folds: in
 
     def look(batches):
         hashes = Hashes()
-        for batch in batches:
+        for batch in portions(batches, 1):
             texts, place = binary_texts(batch.column(1)), batch.column(2).to_numpy()
             chosen = (place < most_other) | ((place < most_marked) & np.isin(batch.column(0).fill_null(-1).to_numpy(), picked))
             codes = [votes(t) for t in texts]
@@ -309,7 +309,7 @@ def classify(docs: DataFrame, model: dict) -> DataFrame:
         hashes = Hashes()
         (wq, bq), (wt, bt) = shared.value["quality"], shared.value["toxic"]
         sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
-        for batch in batches:
+        for batch in portions(batches, place):
             q, t, empty = [], [], []
             for text in binary_texts(batch.column(place)):
                 f = features(text, votes(text), hashes)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import binary_texts, chunks, crc_bucket_col
+from .common import binary_texts, crc_bucket_col, portions
 
 UNDETERMINED = "und"
 # Words begin with a letter and go on with letters and the marks on them
@@ -95,25 +95,29 @@ def fit(docs: DataFrame, docs_per_language: int = 4000, words_per_language: int
     sample = known.select("doc_id", "text", "lang").join(F.broadcast(share), "lang").filter(spot < F.col("share")).select("lang", "text")
 
     def count(batches):
-        for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), binary_texts(batch.column(1))
-            by = {}
-            for lang, text in zip(langs, texts):
+        by, most = {}, 100_000  # words held at a time, of all languages
+        for batch in portions(batches, 1):
+            for lang, text in zip(batch.column(0).to_pylist(), binary_texts(batch.column(1))):
                 by.setdefault(lang, Counter()).update(words_of(text))
-            out = Counter()
-            for lang, words in by.items():
-                for w, n in words.items():
-                    out[lang, 0, w] += n
-                    for order in _ORDERS:
-                        for g in grams_of(w, order):
-                            out[lang, order, g] += n
-            if out:
-                yield pd_batch(out)
-
-    def pd_batch(out):
-        lang, kind, gram = zip(*out)
-        return pa.RecordBatch.from_arrays([pa.array(lang), pa.array(kind, pa.int32()), pa.array(gram), pa.array(out.values(), pa.int64())],
-                                          names=["lang", "kind", "gram", "n"])
+            if sum(map(len, by.values())) >= most:
+                yield from counted(by)
+                by = {}
+        yield from counted(by)
+
+    def counted(by):
+        # One language and length of grams at a time: few counts are held beside the words.
+        for lang, words in by.items():
+            for kind in (0, *_ORDERS) if words else ():
+                out = words
+                if kind:
+                    out = Counter()
+                    for w, n in words.items():
+                        for g in grams_of(w, kind):
+                            out[g] += n
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(out), pa.string()), pa.array([kind] * len(out), pa.int32()),
+                                                      pa.array(out, pa.string()), pa.array(out.values(), pa.int64())],
+                                                     names=["lang", "kind", "gram", "n"])
 
     counts = sample.mapInArrow(count, "lang string, kind int, gram string, n long").groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
     counts = counts.filter("n > 1 or kind = 1")
@@ -123,7 +127,7 @@ def fit(docs: DataFrame, docs_per_language: int = 4000, words_per_language: int
     return Model(top.drop("k").toArrow())
 
 
-def predict(docs: DataFrame, model: Model, remember: int = 300_000) -> DataFrame:
+def predict(docs: DataFrame, model: Model, remember: int = 100_000) -> DataFrame:
     """Adds lang_pred and score to the rows, in place of columns of these names (a null text or one without
     letters is ``und`` with score 0; with nothing learned, all are).
 
@@ -162,26 +166,24 @@ def predict(docs: DataFrame, model: Model, remember: int = 300_000) -> DataFrame
 
         rows = Rows()
         rows.forget()
-        for batch in batches:
-            texts = binary_texts(batch.column(place))
-            pred, score = [], []
-            for a, z in chunks(texts):
-                words = [words_of(t) if n_lang else [] for t in texts[a:z]]
-                counts = np.fromiter(map(len, words), np.int64, z - a)
-                if len(rows) > remember:
-                    rows.forget()
-                at = np.fromiter((rows[w] for ws in words for w in ws), np.int64, int(counts.sum()))
-                doc = np.repeat(np.arange(z - a), counts)
-                total = np.stack([np.bincount(doc, rows.table[at, j], z - a) for j in range(n_lang)], 1) if n_lang else np.zeros((z - a, 0))
-                mean = total / np.maximum(counts, 1)[:, None] * np.minimum(counts, 50)[:, None]
-                for n, row in zip(counts.tolist(), mean):
-                    if not n:
-                        pred.append(UNDETERMINED)
-                        score.append(0.0)
-                        continue
-                    e = np.exp(row - row.max())
-                    pred.append(m.languages[int(row.argmax())])
-                    score.append(float(1 / e.sum()))
+        for batch in portions(batches, place):
+            size, pred, score = batch.num_rows, [], []
+            words = [words_of(t) if n_lang else [] for t in binary_texts(batch.column(place))]
+            counts = np.fromiter(map(len, words), np.int64, size)
+            if len(rows) > remember:
+                rows.forget()
+            at = np.fromiter((rows[w] for ws in words for w in ws), np.int64, int(counts.sum()))
+            doc = np.repeat(np.arange(size), counts)
+            total = np.stack([np.bincount(doc, rows.table[at, j], size) for j in range(n_lang)], 1) if n_lang else np.zeros((size, 0))
+            mean = total / np.maximum(counts, 1)[:, None] * np.minimum(counts, 50)[:, None]
+            for n, row in zip(counts.tolist(), mean):
+                if not n:
+                    pred.append(UNDETERMINED)
+                    score.append(0.0)
+                    continue
+                e = np.exp(row - row.max())
+                pred.append(m.languages[int(row.argmax())])
+                score.append(float(1 / e.sum()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                                              names=[*batch.schema.names, "lang_pred", "score"])
 

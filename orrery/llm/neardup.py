@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Hashes, binary_texts, chunks, mix64, remove, shingle_hashes, written
+from .common import Hashes, binary_texts, mix64, portions, remove, shingle_hashes, written
 from .components import connected_components
 
 REGISTERS, ROWS, MANTISSA = 128, 5, 10
@@ -92,17 +92,15 @@ def _node(s: np.ndarray) -> int:
 def _sketches(docs: DataFrame, width: int) -> DataFrame:
     def look(batches):
         hashes = Hashes()
-        for batch in batches:
-            texts = binary_texts(batch.column(1))
-            for a, z in chunks(texts):
-                sizes, nodes, regs = [], [], []
-                for text in texts[a:z]:
-                    s = shingle_set(text, hashes, width)
-                    sizes.append(len(s))
-                    nodes.append(_node(s) if len(s) else None)
-                    regs.append(sketch(s).tobytes() if len(s) else None)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, z - a), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                                                  pa.array(regs, pa.binary())], names=["doc_id", "n_shingles", "node", "registers"])
+        for batch in portions(batches, 1):
+            sizes, nodes, regs = [], [], []
+            for text in binary_texts(batch.column(1)):
+                s = shingle_set(text, hashes, width)
+                sizes.append(len(s))
+                nodes.append(_node(s) if len(s) else None)
+                regs.append(sketch(s).tobytes() if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
+                                              pa.array(regs, pa.binary())], names=["doc_id", "n_shingles", "node", "registers"])
 
     return docs.mapInArrow(look, "doc_id long, n_shingles long, node long, registers binary")
 
@@ -111,13 +109,11 @@ def _sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """(node, set) of the given classes, from the texts of their first documents."""
     def look(batches):
         hashes = Hashes()
-        for batch in batches:
-            texts = binary_texts(batch.column(0))
-            for a, z in chunks(texts):
-                sets = [shingle_set(t, hashes, width) for t in texts[a:z]]
-                sets = [s for s in sets if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                                 names=["node", "shingles"])
+        for batch in portions(batches, 0):
+            sets = [shingle_set(t, hashes, width) for t in binary_texts(batch.column(0))]
+            sets = [s for s in sets if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                                             names=["node", "shingles"])
 
     firsts = classes.select(F.col("low").alias("doc_id")).distinct()
     text = docs.select("doc_id", "text").join(firsts.hint("shuffle_hash"), "doc_id", "left_semi").select("text")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_texts, chunks, written
+from .common import binary_texts, portions, written
 
 DOC_END = 1
 
@@ -93,17 +93,15 @@ def pieces_of(docs: DataFrame, path: str, length: int = 2048) -> DataFrame:
 
     def tokenise(batches):
         cache = WordTokens(path)
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), binary_texts(batch.column(1))
-            for a, z in chunks(texts, 2_000_000):
-                rows = []
-                for doc, text in zip(ids[a:z], texts[a:z]):
-                    seq = b"".join(map(cache.__getitem__, lowered(text).split() if text else ())) + end
-                    n = len(seq) // 4
-                    for s in range(0, n, length):
-                        part = seq[4 * s:4 * (s + length)]
-                        rows.append((doc, s, len(part) // 4, zlib.crc32(part), n))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=schema)
+        for batch in portions(batches, 1):
+            rows = []
+            for doc, text in zip(batch.column(0).to_pylist(), binary_texts(batch.column(1))):
+                seq = b"".join(map(cache.__getitem__, lowered(text).split() if text else ())) + end
+                n = len(seq) // 4
+                for s in range(0, n, length):
+                    part = seq[4 * s:4 * (s + length)]
+                    rows.append((doc, s, len(part) // 4, zlib.crc32(part), n))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(tokenise, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
