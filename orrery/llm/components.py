@@ -44,11 +44,11 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise an error rather than return unfinished components.
     """
     now = written(edges.select("a", "b").filter(F.col("a") != F.col("b"))
-                  .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+                  .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", gathered=True)
     for _ in range(most_rounds):
         if _all_stars(now):
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
-        nxt = written(_star(_star(now, True), False), "edges")
+        nxt = written(_star(_star(now, True), False), "edges", gathered=True)
         remove(now)
         now = nxt
     raise RuntimeError("components did not converge")

@@ -113,7 +113,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most_epoc
     placed = (placed.alias("k").join(base.alias("b"), F.col("k.source").eqNullSafe(F.col("b.source")) & (F.col("k.bucket") == F.col("b.bucket")))
               .select("k.doc_id", "k.source", "k.size", "b.source_size", "b.target", "b.source_no",
                       (F.col("b.base") + F.col("k.inside")).alias("start")))
-    documents = written(placed, "mix-documents")
+    documents = written(placed, "mix-documents", gathered=True)
     limit = F.round("target").cast("long")
     epochs = documents.filter("size > 0").select(
         "source_no", "start", "size", "source_size", limit.alias("limit"),

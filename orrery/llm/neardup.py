@@ -214,12 +214,12 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     it is linked with both.
     """
     s = percent / 100
-    led = written(_changes(members.select("leader", "node"), sets).join(members, ["leader", "node"]), "changes")
+    led = written(_changes(members.select("leader", "node"), sets).join(members, ["leader", "node"]), "changes", gathered=True)
     often = led.select("leader", F.explode("changes").alias("shingle")).groupBy("leader", "shingle").agg(F.count(F.lit(1)).alias("often"))
     most = often.join(led.groupBy("leader").agg(F.count(F.lit(1)).alias("members")), "leader").filter("2 * often > members")
     turned = most.groupBy("leader").agg(F.collect_list("shingle").alias("turned"))  # at most twice the mean number of changes
     turned = led.join(turned, "leader", "left").withColumn("turned", F.coalesce("turned", F.array().cast("array<long>")))
-    each = written(turned.withColumn("changes", F.array_union(F.array_except("changes", "turned"), F.array_except("turned", "changes"))).drop("turned"), "centred-changes")
+    each = written(turned.withColumn("changes", F.array_union(F.array_except("changes", "turned"), F.array_except("turned", "changes"))).drop("turned"), "centred-changes", gathered=True)
     remove(led)
     excess = F.size("changes") - F.col("n") * ((1 - s) / (1 + s))
     core = each.groupBy("leader").agg(F.min_by("node", F.struct(excess, "node")).alias("core"), F.min(excess).alias("least"))
@@ -232,7 +232,7 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = rows.withColumn("common", F.count(F.lit(1)).over(of_node)).withColumn("own", F.col("size") - F.col("common"))
     rows = rows.withColumn("rank", F.row_number().over(of_node.orderBy("often", "shingle")))
     rows = rows.filter("rank <= most - own and lo <> hi").select("leader", "shingle", "node", "component", "n", (F.col("own") + F.col("rank") - 1).alias("before"), (F.col("common") - F.col("rank")).alias("after"))
-    rows = written(rows, "rare-changes")
+    rows = written(rows, "rare-changes", gathered=True)
     mixed = rows.groupBy("leader", "shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("leader", "shingle")
     rows = rows.join(mixed, ["leader", "shingle"])
     left = rows.toDF("leader", "shingle", "a", "ca", "na", "xa", "za")
@@ -242,7 +242,7 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     met = left.join(right, ["leader", "shingle"]).filter("a < b and ca <> cb").filter(least <= (F.col("na") + F.col("nb")) * ((1 - s) / (1 + s)) + 1e-6)
     found = near_core.select("leader", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(met.select("leader", "a", "b"))
     # Any leader's D tell how much the two sets differ, so one is enough to leave out what is too far apart.
-    found = written(found.groupBy("a", "b").agg(F.min("leader").alias("leader")), "met")
+    found = written(found.groupBy("a", "b").agg(F.min("leader").alias("leader")), "met", gathered=True)
     of_both = found.join(each.select("leader", F.col("node").alias("a"), F.col("n").alias("na"), F.col("changes").alias("da")), ["leader", "a"])
     of_both = of_both.join(each.select("leader", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("changes").alias("db")), ["leader", "b"])
     differ = F.size("da") + F.size("db") - 2 * F.size(F.array_intersect("da", "db"))
@@ -275,7 +275,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     docs = docs.select("doc_id", "text")
     rows = written(_sketches(docs, width), "sketches")
     classes = written(rows.filter("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("low"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "classes")
+        F.min("doc_id").alias("low"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "classes", gathered=True)
 
     def keys(batches):
         for batch in batches:
@@ -285,23 +285,23 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     bands = classes.filter("low is not null").select("node", "registers").mapInArrow(keys, "key long, node long")
     firsts = bands.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n"),
                                       F.min_by("node", F.xxhash64("node", F.pmod("key", F.lit(4)))).alias("other")).filter("n > 1")
-    buckets = written(bands.join(firsts, "key"), "buckets")  # only buckets of two classes or more
+    buckets = written(bands.join(firsts, "key"), "buckets", gathered=True)  # only buckets of two classes or more
     met = classes.join(buckets.select("node").distinct(), "node", "left_semi")
-    sets = written(_sets(docs, met, width), "shingle-sets")
+    sets = written(_sets(docs, met, width), "shingle-sets", gathered=True)
     margin = 5 * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
 
     def links(pairs):
         # Written once: the verification reads the pairs several times.
-        return _verified(written(_close(pairs.distinct(), classes, percent / 100, margin), "close-pairs"), sets, percent)
+        return _verified(written(_close(pairs.distinct(), classes, percent / 100, margin), "close-pairs", gathered=True), sets, percent)
 
     led = buckets.select(F.explode(F.array("first", "other")).alias("lead"), "node").filter("node <> lead")
-    edges = written(links(led.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))), "links")
-    component = written(connected_components(edges), "components")
+    edges = written(links(led.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))), "links", gathered=True)
+    component = written(connected_components(edges), "components", gathered=True)
     labelled = buckets.filter("n > 2").join(component, "node", "left").select("key", "first", "node", F.coalesce("component", "node").alias("component"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
     open_ = labelled.join(mixed, "key").filter("node <> first").select(F.col("first").alias("leader"), "node", "component").distinct()
-    rest = _across(written(open_, "open-buckets"), sets, percent)
-    more = written(links(rest), "links")
+    rest = _across(written(open_, "open-buckets", gathered=True), sets, percent)
+    more = written(links(rest), "links", gathered=True)
     if not more.isEmpty():
         component = connected_components(component.toDF("a", "b").union(more))
 
