@@ -194,6 +194,43 @@ def test_vectors_odd_rows(spark):
     assert lattice.near_vectors(empty).count() == 0
 
 
+def test_vectors_of_a_large_group_are_not_written_pair_by_pair(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    center = rng.normal(size=64)
+    data = [(i, (center + rng.normal(size=64) * 0.02).tolist(), 0) for i in range(300)]
+    made, write = {}, lattice.written
+
+    def watched(df, what, *a, **k):
+        out = write(df, what, *a, **k)
+        made[what] = made.get(what, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(lattice, "written", watched)
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>, label int")
+    assert {(r["n_links"], r["component_id"]) for r in rows(lattice.near_vectors(df))} == {(299, 0)}
+    assert sum(made.values()) < 12 * len(data)  # of 44,850 pairs
+
+
+def test_vectors_in_many_regions_and_rounds(spark):
+    rng = np.random.default_rng(9)
+    data = []
+    for _ in range(120):
+        center = rng.normal(size=16)
+        data += [center + rng.normal(size=16) * rng.choice([0.02, 0.08, 0.2]) for _ in range(rng.integers(1, 9))]
+    # every other row holds numbers that 32 bits hold exactly; lengths differ
+    data = [x.astype(np.float32).astype(float) if k % 2 else x for k, x in enumerate(data)] + [rng.normal(size=3) for _ in range(30)]
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(data)], "vec_id long, embedding array<double>")
+    dealt = lattice.Regions(np.zeros((0, 4, 8), np.int16), 1)
+    assert dealt.of(np.ones((5, 4, 8), np.int16)).tolist() == [[0] * 4] * 5
+    whole = sorted(rows(lattice.near_vectors(df, tables=4)), key=lambda r: r["vec_id"])
+    parts = sorted(rows(lattice.near_vectors(df, tables=4, region_bytes=15_000, round_bytes=0)), key=lambda r: r["vec_id"])
+    assert parts == whole
+    unit = [x / np.linalg.norm(x) for x in data]
+    links = [(i, j) for i in range(len(data)) for j in range(i) if len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.95]
+    found = sum(r["n_links"] for r in whole)
+    assert 500 < 0.95 * 2 * len(links) <= found <= 2 * len(links)
+
+
 def test_e8_decoder_is_nearest():
     rng = np.random.default_rng(2)
     y = rng.normal(size=(300, 8)) * 2
