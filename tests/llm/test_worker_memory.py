@@ -1,4 +1,5 @@
 """What Python workers hold of large Arrow batches."""
+import contextlib
 import random
 import tracemalloc
 from types import SimpleNamespace
@@ -7,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from orrery.llm import classifier, language
+from orrery.llm import alignment, classifier, common, language
 
 
 class Docs:
@@ -64,3 +65,57 @@ def test_worker_memory_does_not_grow_with_the_batch(f, most):
         tracemalloc.stop()
     assert n == 3500
     assert peak < most
+
+
+def test_alignment_memory_does_not_grow_with_the_batch(monkeypatch):
+    monkeypatch.setattr(alignment, "written", lambda f, what, **k: f)
+    monkeypatch.setattr(alignment, "arrow_batches", lambda spark: contextlib.nullcontext(), raising=False)
+    monkeypatch.setattr(alignment, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 1)))
+
+    class Columns(Docs):
+        def select(self, *columns):
+            return self
+
+    monkeypatch.setattr(alignment, "F", SimpleNamespace(col=lambda name: SimpleNamespace(cast=lambda kind: name)))
+    import public_tokenizers as public
+    run = alignment.align_blocks(Columns(), public.path("byte_bpe_50k.tiktoken"), public.path("piece_bpe_32k.model"), public.PATTERN)
+    r = random.Random(2)
+    words = ["".join(r.choices("abcdefghwz", k=r.randint(3, 8))) for _ in range(3000)]
+    list(run(iter([batch_of([" ".join(words)])])))  # the tokenizers and the words are known
+    batch = batch_of([" ".join(r.choices(words, k=400)) for _ in range(3500)])
+    assert batch.nbytes > 8e6
+    tracemalloc.start()
+    try:
+        rows = sum(b.column(0).to_pylist().count("document") for b in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 3500
+    assert peak < 80e6
+    common.forget("alignment")
+
+
+def test_what_a_worker_kept_for_a_stage_is_forgotten():
+    made = []
+    for _ in range(2):
+        common.worker_state(("forgotten", 1), lambda: made.append(1))
+        common.worker_state(("forgotten-not", 1), lambda: made.append(2))
+    common.forget("forgotten")
+    common.worker_state(("forgotten", 1), lambda: made.append(1))
+    common.worker_state(("forgotten-not", 1), lambda: made.append(2))
+    assert made == [1, 2, 1]
+    common.forget("forgotten"), common.forget("forgotten-not"), common.forget("never")
+
+
+def test_alignment_asks_for_arrow_batches_by_bytes(spark, docs_of, monkeypatch):
+    conf, seen, write = "spark.sql.execution.arrow.maxBytesPerBatch", [], alignment.written
+    monkeypatch.setattr(alignment, "written", lambda df, what, **k: seen.append(spark.conf.get(conf, None)) or write(df, what, **k))
+    before = spark.conf.get(conf, None)
+    try:
+        for said in (None, "1234567"):
+            spark.conf.unset(conf) if said is None else spark.conf.set(conf, said)
+            assert alignment.align_documents(docs_of(["one two", "three"])).count() == 2
+            assert spark.conf.get(conf, None) == said
+    finally:
+        spark.conf.unset(conf) if before is None else spark.conf.set(conf, before)
+    assert seen[0] == str(4 << 20) and seen[2] == "1234567"
